@@ -9,9 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from riverbend.functions.text import head_before
-from riverbend.operators import report
+from riverbend.functions.scores import band
+from riverbend.functions.text import letters_only, long_tokens
+from riverbend.operators import customer, keyed, records, report, search, stats, vault, windows
+from riverbend.operators.joins import latest_per_key
+from riverbend.plans import tables as tb
 from riverbend.plans.tables import Tables, codes_from_tables, incidents_from_tables
 from riverbend.session import apply_defaults
 
@@ -61,9 +65,237 @@ def code_name_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.clean_codes(codes, name_sep="-")
 
 
+
+# --------------------------------------------------------------------------
+# customer weight (left joins)
+# --------------------------------------------------------------------------
+
+FIXED_LOAD_TS = "2024-01-01 00:00:00"
+
+
+def customer_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    customers = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    orders = t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("purchaser"))
+    lines = t.lineitem.select(F.col("l_orderkey").alias("order_id"),
+                              F.col("l_partkey").alias("product_id"))
+    products = t.part.select(F.col("p_partkey").alias("id"), F.col("p_size").alias("weight"))
+    return customer.customer_weight(customers, orders, products, lines,
+                                    load_ts=FIXED_LOAD_TS, name_cols=("name",))
+
+
+# --------------------------------------------------------------------------
+# C. warehouse load
+# --------------------------------------------------------------------------
+
+def _inline_log(spark: SparkSession) -> DataFrame:
+    """The file log before this load: an earlier reference-data file."""
+    return spark.createDataFrame(
+        [(1, "ERP", "STG_REF", "2023-12-01 00:00:00")],
+        "FILE_ID long, SOURCE string, FILE_NAME string, LOAD_TS string",
+    ).withColumn("LOAD_TS", F.col("LOAD_TS").cast("timestamp_ntz"))
+
+
+def _log_after_insert(spark: SparkSession, stage: DataFrame) -> DataFrame:
+    log = _inline_log(spark)
+    return log.unionByName(vault.new_file_rows(stage, log, load_ts=FIXED_LOAD_TS))
+
+
+def file_log_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    return _log_after_insert(spark, tb.stage_from_supplier(t))
+
+
+def latest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest log row per (SOURCE, FILE_NAME) with events as the log."""
+    t = _t(spark, sf_dir)
+    log = t.events.select(F.col("event_id").alias("FILE_ID"), F.col("event_type").alias("SOURCE"),
+                          F.col("user_id").cast("string").alias("FILE_NAME"),
+                          F.col("ts").alias("LOAD_TS"))
+    return vault.latest_files(log)
+
+
+ODS_DDL = ("FILE_ID long, LOAD_TS timestamp_ntz, District string, Crimes_total long, "
+           "Crimes_monthly long, Frequent_crime_types string, Lat decimal(37,15), Lng decimal(37,15)")
+HUB_DDL = "HK_DISTRICT string, FILE_ID long, LOAD_TS timestamp_ntz, DISTRICT string"
+SAT_DDL = ("HK_DISTRICT string, FILE_ID long, LOAD_TS timestamp_ntz, HASHDIFF string, "
+           "CRIMES_TOTAL long, CRIMES_MONTHLY long, FREQUENT_CRIME_TYPES string, "
+           "LAT decimal(37,15), LNG decimal(37,15)")
+
+
+def _interrupted_load(spark: SparkSession, t: Tables):
+    """Stage, log and targets after a load of the current file that stopped
+    once the districts of the first two regions were written."""
+    stage = tb.stage_from_supplier(t)
+    log = _log_after_insert(spark, stage)
+    first = stage.join(tb.districts_of_regions(t, tb.FIRST_LOAD_REGIONS), "District", "left_semi")
+    ods = vault.ods_delta(first, log, spark.createDataFrame([], ODS_DDL))
+    hub = vault.hub_delta(first, log, spark.createDataFrame([], HUB_DDL))
+    sat = vault.sat_delta(first, log, spark.createDataFrame([], SAT_DDL))
+    return stage, log, ods, hub, sat
+
+
+def ods_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stage, log, ods, _, _ = _interrupted_load(spark, _t(spark, sf_dir))
+    return vault.ods_delta(stage, log, ods)
+
+
+def hub_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stage, log, _, hub, _ = _interrupted_load(spark, _t(spark, sf_dir))
+    return vault.hub_delta(stage, log, hub)
+
+
+def sat_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stage, log, _, _, sat = _interrupted_load(spark, _t(spark, sf_dir))
+    return vault.sat_delta(stage, log, sat)
+
+
+def vault_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hub x satellite after two loads (suppliers, then customers as a later
+    file), latest satellite row per district."""
+    t = _t(spark, sf_dir)
+    log = spark.createDataFrame(
+        [(1, "ERP", "STG_OPER", "2024-01-01 00:00:00"), (2, "ERP", "STG_OPER_2", "2024-02-01 00:00:00")],
+        "FILE_ID long, SOURCE string, FILE_NAME string, LOAD_TS string",
+    ).withColumn("LOAD_TS", F.col("LOAD_TS").cast("timestamp_ntz"))
+    hub = spark.createDataFrame([], HUB_DDL)
+    sat = spark.createDataFrame([], SAT_DDL)
+    for stage, name in ((tb.stage_from_supplier(t), "STG_OPER"), (tb.stage_from_customer(t), "STG_OPER_2")):
+        hub = hub.unionByName(vault.hub_delta(stage, log, hub, file_name=name))
+        sat = sat.unionByName(vault.sat_delta(stage, log, sat, file_name=name))
+    return vault.current_view(hub, sat)
+
+
+def key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    return vault.key_violations(t.orders, ["o_custkey"])
+
+
+# --------------------------------------------------------------------------
+# D. keyed lookups, change application
+# --------------------------------------------------------------------------
+
+def lookup_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    requests = t.orders.select("o_orderkey", "o_custkey")
+    return keyed.lookup_by_id(tb.customer_store(t), requests, request_key="o_custkey")
+
+
+def lookup_by_attr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    requests = t.supplier.select("s_suppkey", "s_nationkey")
+    return keyed.lookup_by_attr(tb.customer_store(t), requests, request_attr="s_nationkey")
+
+
+def apply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    changes = tb.event_ops(t).select("user_id", "ts", "event_id", "event_type",
+                                     F.col("value").cast("decimal(18,2)").alias("value"), "op")
+    return keyed.apply_changes(changes, ["user_id"], ["ts", "event_id"])
+
+
+# --------------------------------------------------------------------------
+# E. change streams: batch forms
+# --------------------------------------------------------------------------
+
+def cdc_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    return records.parse_cdc(tb.cdc_messages(t))
+
+
+def json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    return records.parse_json(t.events, T.StructType([T.StructField("k", T.LongType())]),
+                              col="props", keep=("event_id",))
+
+
+def guarded_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riverbend.streaming.consumers import guarded_type_counts
+    t = _t(spark, sf_dir)
+    return guarded_type_counts(tb.change_events(t))
+
+
+def slide_300_10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    ev = t.events.select("ts", F.col("event_type").alias("type"))
+    return windows.sliding_counts(ev, "ts", 300, 10, ["type"])
+
+
+def stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    out = stats.stream_stats(t.events, "ts", ["event_type"])
+    return out.withColumn("messages_per_sec", F.col("messages_per_sec").cast("decimal(18,4)"))
+
+
+SEARCH_GTE_MS = 1704672000000   # 2024-01-08T00:00:00Z
+SEARCH_LTE_MS = 1705881599999   # 2024-01-21T23:59:59.999Z
+
+
+def search_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    ev = t.events
+    cond = search.epoch_millis_range(ev, "ts", SEARCH_GTE_MS, SEARCH_LTE_MS)
+    return search.search(ev, must=[cond], terms_field="user_id", size=10)
+
+
+# --------------------------------------------------------------------------
+# F. text: labels, bands, histogram, cleaning
+# --------------------------------------------------------------------------
+
+def label_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    return tb.labelled_documents(t).groupBy("label").agg(F.count(F.lit(1)).alias("count"))
+
+
+def letter_share(col: str) -> F.Column:
+    n = F.length(F.col(col))
+    return F.when(n > 0, F.length(F.regexp_replace(F.col(col), "[^a-zA-Z]", "")) / n)
+
+
+def score_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    scored = t.documents.select(band(letter_share("text")).alias("clean_probability"))
+    return scored.groupBy("clean_probability").agg(F.count(F.lit(1)).alias("count"))
+
+
+def histogram10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    h = stats.histogram(t.events, "value", 10)
+    return h.select("bin", F.col("bin_start").cast("decimal(18,4)").alias("bin_start"),
+                    F.col("bin_end").cast("decimal(18,4)").alias("bin_end"), "count")
+
+
+def clean_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    toks = long_tokens(letters_only("text"), 3)
+    return t.documents.select("doc_id", F.size(toks).cast("long").alias("n_tokens"),
+                              F.array_join(toks, " ").alias("tokens"))
+
+
 QUERIES = {
     "incident_report": incident_report,
     "median_monthly": median_monthly,
     "top3_types": top3_types,
     "code_name_head": code_name_head,
+    "customer_weight": customer_weight,
+    "file_log_once": file_log_once,
+    "latest_file": latest_file,
+    "ods_delta": ods_delta,
+    "hub_delta": hub_delta,
+    "sat_delta": sat_delta,
+    "vault_current": vault_current,
+    "key_check": key_check,
+    "lookup_by_id": lookup_by_id,
+    "lookup_by_attr": lookup_by_attr,
+    "apply_changes": apply_changes,
+    "cdc_parse": cdc_parse,
+    "json_flatten": json_flatten,
+    "guarded_counts": guarded_counts,
+    "slide_300_10": slide_300_10,
+    "stream_stats": stream_stats,
+    "search_top10": search_top10,
+    "label_balance": label_balance,
+    "score_bands": score_bands,
+    "histogram10": histogram10,
+    "clean_tokens": clean_tokens,
 }

@@ -64,3 +64,178 @@ SELECT CODE, trim(split_part(NAME, '-', 1)) AS NAME
 FROM (SELECT DISTINCT o_orderstatus AS CODE, o_orderpriority AS NAME FROM orders)
 """,
 }
+
+
+def _stage(table: str, prefix: str) -> str:
+    return f"""
+    SELECT n.n_name AS District, count(*) AS Crimes_total,
+           CAST(sum(CASE WHEN x.{prefix}_acctbal > 0 THEN 1 ELSE 0 END) AS BIGINT) AS Crimes_monthly,
+           min(x.{prefix}_name) AS Frequent_crime_types,
+           CAST(CAST(min(x.{prefix}_acctbal) AS DECIMAL(18,2)) AS DECIMAL(37,15)) AS Lat,
+           CAST(CAST(max(x.{prefix}_acctbal) AS DECIMAL(18,2)) AS DECIMAL(37,15)) AS Lng
+    FROM {table} x JOIN nation n ON x.{prefix}_nationkey = n.n_nationkey
+    GROUP BY n.n_name"""
+
+
+_HASHDIFF = """md5(CAST(coalesce(CAST(Crimes_total AS INTEGER), 0) AS VARCHAR)
+        || CAST(coalesce(CAST(Crimes_monthly AS INTEGER), 0) AS VARCHAR)
+        || coalesce(CAST(Frequent_crime_types AS VARCHAR), 'NULL')
+        || CAST(coalesce(CAST(Lat AS DECIMAL(37,15)), CAST(0.0 AS DECIMAL(37,15))) AS VARCHAR)
+        || CAST(coalesce(CAST(Lng AS DECIMAL(37,15)), CAST(0.0 AS DECIMAL(37,15))) AS VARCHAR))"""
+
+_REST = """
+  rest AS (
+    SELECT * FROM stage WHERE District NOT IN (
+      SELECT n_name FROM nation JOIN region ON n_regionkey = r_regionkey
+      WHERE r_name IN ('AFRICA', 'AMERICA')))"""
+
+_CUR = "CAST(2 AS BIGINT) AS FILE_ID, TIMESTAMP '2024-01-01 00:00:00' AS LOAD_TS"
+
+_OPS = """(SELECT *, CASE WHEN event_type = 'signup' THEN 'c'
+                          WHEN event_type = 'error' THEN 'd' ELSE 'u' END AS op FROM events)"""
+
+
+def _cdc_side(side: str, skip_op: str) -> str:
+    cols = [("id", "CAST(user_id AS INTEGER)"), ("first_name", "event_type"),
+            ("last_name", "CAST(event_id AS VARCHAR)"), ("email", "props")]
+    return ",\n       ".join(
+        f"CASE WHEN op = '{skip_op}' THEN NULL ELSE {expr} END AS {side}_{name}"
+        for name, expr in cols)
+
+
+SQL.update({
+    "customer_weight": """
+SELECT c.c_custkey AS id, c.c_name AS name, CAST(sum(p.p_size) AS BIGINT) AS total_weight,
+       TIMESTAMP '2024-01-01 00:00:00' AS load_dttm
+FROM customer c
+LEFT JOIN orders o ON c.c_custkey = o.o_custkey
+LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey
+LEFT JOIN part p ON l.l_partkey = p.p_partkey
+GROUP BY c.c_custkey, c.c_name
+""",
+    "file_log_once": f"""
+WITH stage AS ({_stage('supplier', 's')})
+SELECT CAST(1 AS BIGINT) AS FILE_ID, 'ERP' AS SOURCE, 'STG_REF' AS FILE_NAME,
+       TIMESTAMP '2023-12-01 00:00:00' AS LOAD_TS
+UNION ALL
+SELECT 2, 'ERP', 'STG_OPER', TIMESTAMP '2024-01-01 00:00:00' WHERE EXISTS (SELECT 1 FROM stage)
+""",
+    "latest_file": """
+SELECT FILE_ID, SOURCE, FILE_NAME, LOAD_TS FROM (
+  SELECT event_id AS FILE_ID, event_type AS SOURCE, CAST(user_id AS VARCHAR) AS FILE_NAME, ts AS LOAD_TS,
+         row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events)
+WHERE rn = 1
+""",
+    "ods_delta": f"""
+WITH stage AS ({_stage('supplier', 's')}), {_REST}
+SELECT {_CUR}, District, Crimes_total, Crimes_monthly, Frequent_crime_types, Lat, Lng FROM rest
+""",
+    "hub_delta": f"""
+WITH stage AS ({_stage('supplier', 's')}), {_REST}
+SELECT md5(District) AS HK_DISTRICT, {_CUR}, District AS DISTRICT FROM rest
+""",
+    "sat_delta": f"""
+WITH stage AS ({_stage('supplier', 's')}), {_REST}
+SELECT md5(District) AS HK_DISTRICT, {_CUR}, {_HASHDIFF} AS HASHDIFF,
+       Crimes_total AS CRIMES_TOTAL, Crimes_monthly AS CRIMES_MONTHLY,
+       Frequent_crime_types AS FREQUENT_CRIME_TYPES, Lat AS LAT, Lng AS LNG
+FROM rest
+""",
+    "vault_current": f"""
+WITH v1 AS ({_stage('supplier', 's')}), v2 AS ({_stage('customer', 'c')}),
+  cur AS (SELECT * FROM v2 UNION ALL
+          SELECT * FROM v1 WHERE District NOT IN (SELECT District FROM v2))
+SELECT District AS DISTRICT, Crimes_total AS CRIMES_TOTAL, Crimes_monthly AS CRIMES_MONTHLY,
+       Frequent_crime_types AS FREQUENT_CRIME_TYPES, Lat AS LAT, Lng AS LNG
+FROM cur
+""",
+    "key_check": """
+SELECT o_custkey, count(*) AS n_rows FROM orders GROUP BY o_custkey
+HAVING count(*) > 1 OR o_custkey IS NULL
+""",
+    "lookup_by_id": """
+SELECT o.o_orderkey, o.o_custkey, CAST(c.c_acctbal AS DECIMAL(18,2)) AS ltv
+FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+""",
+    "lookup_by_attr": """
+WITH store AS (SELECT c_custkey AS customer_id, CAST(c_nationkey AS VARCHAR) AS phone,
+                      CAST(c_acctbal AS DECIMAL(18,2)) AS ltv FROM customer),
+  first AS (SELECT phone, arg_min(ltv, customer_id) AS ltv FROM store GROUP BY phone)
+SELECT s.s_suppkey, s.s_nationkey, f.ltv
+FROM supplier s LEFT JOIN first f ON CAST(s.s_nationkey AS VARCHAR) = f.phone
+""",
+    "apply_changes": f"""
+SELECT user_id, ts, event_id, event_type, CAST(value AS DECIMAL(18,2)) AS value, op FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+  FROM {_OPS})
+WHERE rn = 1 AND op <> 'd'
+""",
+    "cdc_parse": f"""
+SELECT op, epoch_us(ts) // 1000 AS ts_ms,
+       {_cdc_side('before', 'c')},
+       {_cdc_side('after', 'd')},
+       'events' AS source_table, event_id AS source_txid
+FROM {_OPS}
+""",
+    "json_flatten": """
+SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
+FROM events WHERE props IS NOT NULL
+""",
+    "guarded_counts": """
+SELECT event_type AS type, count(*) AS count FROM events
+WHERE event_type <> 'error' AND event_type <> '142' GROUP BY event_type
+""",
+    "slide_300_10": """
+SELECT ws AS window_start, ws + INTERVAL 300 SECOND AS window_end, type, count(*) AS count
+FROM (SELECT time_bucket(INTERVAL '10 seconds', ts, TIMESTAMP '1970-01-01') - to_seconds(10 * k) AS ws,
+             event_type AS type
+      FROM events, range(30) r(k)
+      WHERE ts IS NOT NULL)
+GROUP BY ws, type
+""",
+    "stream_stats": """
+SELECT event_type, count(*) AS total_messages, min(ts) AS first_message, max(ts) AS last_message,
+       CAST(count(*) / ((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6) AS DECIMAL(18,4)) AS messages_per_sec
+FROM events GROUP BY event_type
+""",
+    "search_top10": """
+SELECT user_id AS key, count(*) AS doc_count FROM events
+WHERE ts >= TIMESTAMP '2024-01-08 00:00:00' AND ts < TIMESTAMP '2024-01-22 00:00:00'
+GROUP BY user_id ORDER BY doc_count DESC, key ASC LIMIT 10
+""",
+    "label_balance": """
+SELECT l.quality AS label, count(*) AS count
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY l.quality
+""",
+    "score_bands": """
+SELECT CASE WHEN s > 0.55 THEN 'positive' WHEN s < 0.45 THEN 'negative' ELSE 'undefine' END
+         AS clean_probability,
+       count(*) AS count
+FROM (SELECT CASE WHEN length(text) > 0
+                  THEN length(regexp_replace(text, '[^a-zA-Z]', '', 'g')) / length(text) END AS s
+      FROM documents)
+GROUP BY 1
+""",
+    "histogram10": """
+WITH v AS (SELECT CAST(value AS DOUBLE) AS v FROM events WHERE value IS NOT NULL),
+  b AS (SELECT min(v) AS lo, max(v) AS hi FROM v),
+  c AS (SELECT CAST(CASE WHEN hi - lo = 0 THEN 1
+                         ELSE least(floor((v - lo) / (hi - lo) * 10), 9) + 1 END AS INTEGER) AS bin,
+               count(*) AS count
+        FROM v, b GROUP BY 1),
+  f AS (SELECT CAST(i AS INTEGER) AS bin, lo, hi FROM b, range(1, 11) r(i) WHERE lo IS NOT NULL)
+SELECT f.bin,
+       CAST(lo + (f.bin - 1) * ((hi - lo) / 10) AS DECIMAL(18,4)) AS bin_start,
+       CAST(CASE WHEN f.bin = 10 THEN hi ELSE lo + f.bin * ((hi - lo) / 10) END AS DECIMAL(18,4)) AS bin_end,
+       coalesce(c.count, 0) AS count
+FROM f LEFT JOIN c ON f.bin = c.bin
+""",
+    "clean_tokens": """
+SELECT doc_id, CAST(len(t) AS BIGINT) AS n_tokens, array_to_string(t, ' ') AS tokens
+FROM (SELECT doc_id,
+             list_filter(string_split_regex(regexp_replace(text, '[^a-zA-Z]', ' ', 'g'), '\\s+'),
+                         lambda w: length(w) > 3) AS t
+      FROM documents)
+""",
+})

@@ -60,3 +60,99 @@ def incidents_from_tables(t: Tables) -> DataFrame:
 def codes_from_tables(t: Tables) -> DataFrame:
     """Offence codes: part key and part name."""
     return t.part.select(F.col("p_partkey").alias("CODE"), F.col("p_name").alias("NAME"))
+
+
+# ---------------------------------------------------------------- warehouse
+
+FIRST_LOAD_REGIONS = ("AFRICA", "AMERICA")
+
+
+def _stage_by_nation(t: Tables, rows: DataFrame, nation_col: str, name_col: str,
+                     bal_col: str) -> DataFrame:
+    nation = t.nation.select("n_nationkey", F.col("n_name").alias("District"))
+    joined = rows.join(F.broadcast(nation), rows[nation_col] == nation["n_nationkey"], "inner")
+    return joined.groupBy("District").agg(
+        F.count(F.lit(1)).alias("Crimes_total"),
+        F.sum(F.when(F.col(bal_col) > 0, 1).otherwise(0)).cast("long").alias("Crimes_monthly"),
+        F.min(name_col).alias("Frequent_crime_types"),
+        F.min(bal_col).cast("decimal(18,2)").cast("decimal(37,15)").alias("Lat"),
+        F.max(bal_col).cast("decimal(18,2)").cast("decimal(37,15)").alias("Lng"),
+    )
+
+
+def stage_from_supplier(t: Tables) -> DataFrame:
+    """Staged district metrics: suppliers grouped by nation."""
+    return _stage_by_nation(t, t.supplier, "s_nationkey", "s_name", "s_acctbal")
+
+
+def stage_from_customer(t: Tables) -> DataFrame:
+    """A second, later stage of the same shape: customers grouped by nation."""
+    return _stage_by_nation(t, t.customer, "c_nationkey", "c_name", "c_acctbal")
+
+
+def districts_of_regions(t: Tables, regions) -> DataFrame:
+    region = t.region.filter(F.col("r_name").isin(list(regions))).select("r_regionkey")
+    return (t.nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"), "left_semi")
+                    .select(F.col("n_name").alias("District")))
+
+
+# ---------------------------------------------------------------- events
+
+def change_events(t: Tables) -> DataFrame:
+    """Events as page-change events: ``type``, ``bot`` (error events are
+    bots), ``timestamp`` (event time), ``user``, ``id``."""
+    return t.events.select(
+        F.col("event_id").alias("id"),
+        F.col("event_type").alias("type"),
+        (F.col("event_type") == "error").alias("bot"),
+        F.col("ts").alias("timestamp"),
+        F.col("user_id").cast("string").alias("user"),
+        F.col("value"),
+        F.col("props"),
+    )
+
+
+def event_ops(t: Tables) -> DataFrame:
+    """Events as row changes keyed by user: signup creates, error deletes,
+    everything else updates."""
+    op = (F.when(F.col("event_type") == "signup", "c")
+           .when(F.col("event_type") == "error", "d").otherwise("u"))
+    return t.events.withColumn("op", op)
+
+
+def cdc_messages(t: Tables) -> DataFrame:
+    """Each event as a CDC envelope JSON text (``to_json``)."""
+    ev = event_ops(t)
+    row = F.struct(F.col("user_id").cast("int").alias("id"),
+                   F.col("event_type").alias("first_name"),
+                   F.col("event_id").cast("string").alias("last_name"),
+                   F.col("props").alias("email"))
+    payload = F.struct(
+        F.when(F.col("op") == "c", F.lit(None)).otherwise(row).alias("before"),
+        F.when(F.col("op") == "d", F.lit(None)).otherwise(row).alias("after"),
+        F.struct(F.lit("events").alias("table"), F.col("event_id").alias("txId")).alias("source"),
+        F.col("op").alias("op"),
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"),
+    )
+    return ev.select(F.col("event_id").cast("string").alias("key"),
+                     F.to_json(F.struct(payload.alias("payload"))).alias("value"))
+
+
+# ---------------------------------------------------------------- keyed
+
+def customer_store(t: Tables) -> DataFrame:
+    """Customer value records: id, secondary attribute (the nation key as
+    text, shared by many customers), lifetime value."""
+    return t.customer.select(
+        F.col("c_custkey").alias("customer_id"),
+        F.col("c_nationkey").cast("string").alias("phone"),
+        F.col("c_acctbal").cast("decimal(18,2)").alias("ltv"),
+    )
+
+
+# ---------------------------------------------------------------- text
+
+def labelled_documents(t: Tables) -> DataFrame:
+    """``(doc_id, label, tweet)``: labelled documents, label = quality."""
+    return (t.documents.select("doc_id", F.col("text").alias("tweet"))
+             .join(t.labels.select("doc_id", F.col("quality").alias("label")), "doc_id", "inner"))
