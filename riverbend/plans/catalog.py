@@ -272,6 +272,55 @@ def clean_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
                               F.array_join(toks, " ").alias("tokens"))
 
 
+# --------------------------------------------------------------------------
+# E. change streams: streaming forms (availableNow replay of the tables)
+# --------------------------------------------------------------------------
+
+# Fixed value: the channel the language stream leaves out.
+EXCLUDED_CHANNEL = "click"
+
+
+def window_append_20_10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Non-bot events per type in 20 s windows sliding by 10 s, watermark
+    20 s, append mode, run as a stream over the events table."""
+    _t(spark, sf_dir)
+    from riverbend.sources.readers import table_stream
+    from riverbend.streaming import consumers, runner
+    changes = tb.change_events_of(table_stream(spark, sf_dir, "events"))
+    counts = consumers.window_counts(consumers.non_bot_changes(changes))
+    out = runner.run_to_table(counts, "window-append")
+    return consumers.flatten_window(runner.read_table(spark, out))
+
+
+def filtered_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language stream without one channel and without bots, five fields."""
+    _t(spark, sf_dir)
+    from riverbend.sources.readers import table_stream
+    from riverbend.streaming import consumers, runner
+    lang = tb.language_stream_of(table_stream(spark, sf_dir, "events"))
+    out = runner.run_to_table(consumers.filtered_projection(lang, EXCLUDED_CHANNEL), "filtered")
+    return runner.read_table(spark, out)
+
+
+CDC_FILES = 4
+
+
+def cdc_apply_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as CDC messages in several JSON files, streamed one file per
+    batch and applied to a current table with ``foreachBatch``."""
+    t = _t(spark, sf_dir)
+    from riverbend.session import scratch_path
+    from riverbend.sources.readers import file_stream
+    from riverbend.streaming import cdc, runner
+    feed = scratch_path(spark, "cdc-feed")
+    (tb.cdc_messages(t).repartitionByRange(CDC_FILES, F.col("key").cast("long"))
+       .write.json(feed))
+    stream = file_stream(spark, feed, "key string, value string", fmt="json", max_files_per_trigger=1)
+    root = scratch_path(spark, "cdc-state")
+    runner.run_batches(stream, cdc.make_batch_writer(root), "cdc-apply")
+    return cdc.current_table(spark, root)
+
+
 QUERIES = {
     "incident_report": incident_report,
     "median_monthly": median_monthly,
@@ -298,4 +347,7 @@ QUERIES = {
     "score_bands": score_bands,
     "histogram10": histogram10,
     "clean_tokens": clean_tokens,
+    "window_append_20_10": window_append_20_10,
+    "filtered_stream": filtered_stream,
+    "cdc_apply_stream": cdc_apply_stream,
 }

@@ -239,3 +239,29 @@ FROM (SELECT doc_id,
       FROM documents)
 """,
 })
+
+
+SQL.update({
+    "window_append_20_10": """
+WITH ne AS (SELECT ts, event_type FROM events WHERE event_type <> 'error' AND ts IS NOT NULL),
+  wm AS (SELECT max(ts) - INTERVAL 20 SECOND AS w FROM ne),
+  win AS (SELECT time_bucket(INTERVAL '10 seconds', ts, TIMESTAMP '1970-01-01') - to_seconds(10 * k) AS ws,
+                 event_type AS type
+          FROM ne, range(2) r(k))
+SELECT ws AS window_start, ws + INTERVAL 20 SECOND AS window_end, type, count(*) AS count
+FROM win, wm WHERE ws + INTERVAL 20 SECOND <= wm.w
+GROUP BY ws, type
+""",
+    "filtered_stream": """
+SELECT epoch_us(ts) // 1000 AS CREATEDAT, event_type AS CHANNEL, CAST(user_id AS VARCHAR) AS USERNAME,
+       props AS WIKIPAGE, CAST(event_id AS VARCHAR) AS DIFFURL
+FROM events WHERE event_type <> 'click' AND event_type <> 'error'
+""",
+    "cdc_apply_stream": f"""
+SELECT CAST(user_id AS INTEGER) AS id, event_type AS first_name, CAST(event_id AS VARCHAR) AS last_name,
+       props AS email
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts) // 1000 DESC, event_id DESC) AS rn
+      FROM {_OPS})
+WHERE rn = 1 AND op <> 'd'
+""",
+})

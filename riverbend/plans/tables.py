@@ -99,9 +99,13 @@ def districts_of_regions(t: Tables, regions) -> DataFrame:
 # ---------------------------------------------------------------- events
 
 def change_events(t: Tables) -> DataFrame:
+    return change_events_of(t.events)
+
+
+def change_events_of(events: DataFrame) -> DataFrame:
     """Events as page-change events: ``type``, ``bot`` (error events are
     bots), ``timestamp`` (event time), ``user``, ``id``."""
-    return t.events.select(
+    return events.select(
         F.col("event_id").alias("id"),
         F.col("event_type").alias("type"),
         (F.col("event_type") == "error").alias("bot"),
@@ -112,6 +116,19 @@ def change_events(t: Tables) -> DataFrame:
     )
 
 
+def language_stream_of(events: DataFrame) -> DataFrame:
+    """Events as the language stream: created-at millis, channel (event type),
+    user name, page (the props text), diff url (event id), bot flag."""
+    return events.select(
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("CREATEDAT"),
+        F.col("event_type").alias("CHANNEL"),
+        F.col("user_id").cast("string").alias("USERNAME"),
+        F.col("props").alias("WIKIPAGE"),
+        F.col("event_id").cast("string").alias("DIFFURL"),
+        (F.col("event_type") == "error").alias("ISBOT"),
+    )
+
+
 def event_ops(t: Tables) -> DataFrame:
     """Events as row changes keyed by user: signup creates, error deletes,
     everything else updates."""
