@@ -15,11 +15,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riverbend.operators.joins import DEFAULT_BROADCAST_ROWS, checked_broadcast
+from riverbend.operators.joins import checked_broadcast
 
 
 def purchaser_weights(orders: DataFrame, products: DataFrame, lines: DataFrame | None = None,
-                      products_max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                      products_max_rows: int | None = None) -> DataFrame:
     """``(purchaser, total_weight)``.
 
     ``orders(id, purchaser[, product_id])``; when ``lines(order_id,

@@ -10,8 +10,8 @@ Plan shape (one pass over the facts):
 * the joined facts are aggregated once at the finest grain the three
   measures need, ``(DISTRICT, MONTH, NAME)``, with a map-side partial
   aggregate, so a hot district is combined inside each scan task;
-* the three measures are derived from that small aggregate; its shuffle is
-  one exchange that the planner reuses for all three branches;
+* that small aggregate is checkpointed (computed once, lineage cut) and
+  the three measures are derived from it;
 * the top-k list uses ``row_number() <= k``, which Spark executes with a
   partial per-task group limit before the exchange.
 """
@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riverbend.functions.text import head_before, top_k_text
-from riverbend.operators.joins import DEFAULT_BROADCAST_ROWS, checked_broadcast
+from riverbend.operators.joins import checked_broadcast
+from riverbend.session import materialize
 
 # Fixed values of the reference report: three types, joined by ", ".
 TOP_K = 3
@@ -53,12 +54,15 @@ def top_k_per_group(counts: DataFrame, group: str, item: str, count: str,
 
 def incident_report(incidents: DataFrame, codes: DataFrame, *, name_sep: str = "-",
                     dedupe_key: bool = False, top_k: int = TOP_K, list_sep: str = LIST_SEP,
-                    codes_max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    codes_max_rows: int | None = None) -> DataFrame:
     """Report over ``incidents(DISTRICT, OFFENSE_CODE, MONTH, LAT, LONG)`` and
     ``codes(CODE, NAME)``.
 
     Columns: ``DISTRICT, crimes_total, crimes_monthly, frequent_crime_types,
-    lat, lng``.  A null district is grouped but dropped by the final inner
+    lat, lng``.  ``codes_max_rows`` forces a broadcast of the code dimension
+    after a bounded row count; by default the planner decides from the size
+    estimate (``spark.sql.autoBroadcastJoinThreshold``) and AQE from the real
+    size, with a shuffle join beyond either.  A null district is grouped but dropped by the final inner
     joins, as in the reference.  ``crimes_monthly`` is the approximate
     median (a member of the set) of the per-month counts; months of
     different years are pooled.
@@ -73,6 +77,9 @@ def incident_report(incidents: DataFrame, codes: DataFrame, *, name_sep: str = "
         F.sum("LAT").alias("s_lat"), F.count("LAT").alias("c_lat"),
         F.sum("LONG").alias("s_lng"), F.count("LONG").alias("c_lng"),
     )
+    # small (districts x months x names); saved once so the facts are
+    # scanned once although three branches read it
+    fine = materialize(fine)
 
     totals = fine.groupBy("DISTRICT").agg(
         F.sum("n").alias("crimes_total"),

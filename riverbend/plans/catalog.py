@@ -321,6 +321,63 @@ def cdc_apply_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cdc.current_table(spark, root)
 
 
+# --------------------------------------------------------------------------
+# F. text classification (no SQL oracle: model fitting and sampling)
+# --------------------------------------------------------------------------
+
+def _all_documents(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", F.col("text").alias("tweet"))
+
+
+def lr_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fit the hashing-TF logistic pipeline on the labelled documents, save
+    and reload it, and score every document."""
+    t = _t(spark, sf_dir)
+    from riverbend.operators import text_ml
+    from riverbend.session import scratch_path
+    model = text_ml.lr_pipeline().fit(tb.labelled_documents(t))
+    model = text_ml.save_and_reload(model, scratch_path(spark, "lr-model"))
+    return text_ml.score(model, _all_documents(t))
+
+
+def rf_stream_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Random-forest pipeline fitted on a 70 % split, applied to the documents
+    replayed as a stream; score bands counted per micro-batch."""
+    t = _t(spark, sf_dir)
+    from riverbend.operators import text_ml
+    from riverbend.sources.readers import table_stream
+    from riverbend.streaming import scoring
+    train, _ = tb.labelled_documents(t).randomSplit([0.7, 0.3], seed=42)
+    model = text_ml.with_label_names(text_ml.rf_pipeline().fit(train))
+    stream = table_stream(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("tweet"))
+    sink = scoring.score_stream(model, stream, "rf-bands")
+    return (spark.read.parquet(sink).groupBy("clean_probability")
+                 .agg(F.sum("count").alias("count")))
+
+
+def block_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A foreign (numpy) model scored over every document in 10,000-row blocks."""
+    t = _t(spark, sf_dir)
+    from riverbend.operators import text_ml
+    weights = text_ml.fit_foreign_model(tb.labelled_documents(t))
+    return text_ml.block_scores(_all_documents(t), weights)
+
+
+def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """3-fold cross validation of the tf-idf random forest over 18 settings."""
+    t = _t(spark, sf_dir)
+    from riverbend.operators import text_ml
+    results, _ = text_ml.grid_search(tb.labelled_documents(t), parallelism=8)
+    return results
+
+
+def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seeded sample and seeded 70/30 split of the labelled documents."""
+    t = _t(spark, sf_dir)
+    from riverbend.operators import text_ml
+    return text_ml.samples(tb.labelled_documents(t))
+
+
 QUERIES = {
     "incident_report": incident_report,
     "median_monthly": median_monthly,
@@ -350,4 +407,9 @@ QUERIES = {
     "window_append_20_10": window_append_20_10,
     "filtered_stream": filtered_stream,
     "cdc_apply_stream": cdc_apply_stream,
+    "lr_scores": lr_scores,
+    "rf_stream_bands": rf_stream_bands,
+    "block_scores": block_scores,
+    "grid_search": grid_search,
+    "samples": samples,
 }

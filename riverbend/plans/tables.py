@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverbend.operators.joins import checked_broadcast
 
 
 class Tables:
@@ -52,7 +51,7 @@ def incidents_from_tables(t: Tables) -> DataFrame:
         money("l_extendedprice").alias("LAT"),
         money("l_discount").alias("LONG"),
     )
-    district = checked_broadcast(supplier_district(t))
+    district = supplier_district(t)
     return (facts.join(district, facts["l_suppkey"] == district["s_suppkey"], "left")
                  .select("DISTRICT", "OFFENSE_CODE", "MONTH", "LAT", "LONG"))
 

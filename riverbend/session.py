@@ -88,3 +88,16 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
         return root.rstrip("/") + "/" + name
     local = root[len("file:"):] if root.startswith("file:") else root
     return os.path.join(local, name)
+
+
+def materialize(df, purpose: str = "stage"):
+    """Compute ``df`` once and cut its lineage: it is written as a parquet
+    table under ``spark.checkpoint.dir`` (shared storage on a cluster) and
+    read back, so later stages read the saved rows and a lost executor does
+    not re-run the inputs.  One job (``DataFrame.checkpoint`` would compute
+    the plan twice unless it was cached first).  Use it for intermediate
+    results that several branches read."""
+    spark = df.sparkSession
+    path = scratch_path(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
