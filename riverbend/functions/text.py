@@ -33,6 +33,27 @@ def long_tokens(col: Column | str, min_len: int = 3) -> Column:
     return F.filter(F.split(c, "\\s+"), lambda w: F.length(w) > F.lit(min_len))
 
 
+def clean_long_tokens(col: Column | str, min_len: int = 3) -> Column:
+    """``long_tokens(letters_only(col), min_len)`` in one regex pass.
+
+    After non-letters become spaces the tokens are exactly the maximal runs
+    of ASCII letters, so the runs longer than ``min_len`` are the matches of
+    ``[a-zA-Z]{min_len+1,}`` (no lambda, no intermediate string).
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    return F.regexp_extract_all(c, F.lit("[a-zA-Z]{%d,}" % (min_len + 1)), 0)
+
+
+# Fixed value: the ASCII letters kept by the cleaning step.
+ASCII_LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def letter_count(col: Column | str) -> Column:
+    """Number of ASCII letters (a character map, no regex)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.length(c) - F.length(F.translate(c, ASCII_LETTERS, ""))
+
+
 def top_k_text(rank_col: str, item_col: str, sep: str = ", ") -> Column:
     """Aggregate expression: items of a group joined by ``sep`` in rank order.
 

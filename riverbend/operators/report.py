@@ -10,8 +10,10 @@ Plan shape (one pass over the facts):
 * the joined facts are aggregated once at the finest grain the three
   measures need, ``(DISTRICT, MONTH, NAME)``, with a map-side partial
   aggregate, so a hot district is combined inside each scan task;
-* that small aggregate is checkpointed (computed once, lineage cut) and
-  the three measures are derived from it;
+* that small aggregate is written once to the shared scratch folder
+  (lineage cut) and the measures are derived from it: totals, means and
+  the median in one chain (per month, then per district), the top-k list
+  in another;
 * the top-k list uses ``row_number() <= k``, which Spark executes with a
   partial per-task group limit before the exchange.
 """
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riverbend.functions.text import head_before, top_k_text
 from riverbend.operators.joins import checked_broadcast
@@ -78,27 +81,37 @@ def incident_report(incidents: DataFrame, codes: DataFrame, *, name_sep: str = "
         F.sum("LONG").alias("s_lng"), F.count("LONG").alias("c_lng"),
     )
     # small (districts x months x names); saved once so the facts are
-    # scanned once although three branches read it
-    fine = materialize(fine)
+    # scanned once although two branches read it
+    fine = materialize(fine, "report-fine")
 
-    totals = fine.groupBy("DISTRICT").agg(
+    per_month = fine.groupBy("DISTRICT", "MONTH").agg(
+        F.sum("n").alias("n"), F.sum("s_lat").alias("s_lat"), F.sum("c_lat").alias("c_lat"),
+        F.sum("s_lng").alias("s_lng"), F.sum("c_lng").alias("c_lng"))
+    totals = per_month.groupBy("DISTRICT").agg(
         F.sum("n").alias("crimes_total"),
-        (F.sum("s_lat") / F.sum("c_lat")).alias("lat"),
-        (F.sum("s_lng") / F.sum("c_lng")).alias("lng"),
+        F.percentile_approx("n", 0.5).alias("crimes_monthly"),
+        exact_mean(F.sum("s_lat"), F.sum("c_lat"), incidents.schema["LAT"].dataType).alias("lat"),
+        exact_mean(F.sum("s_lng"), F.sum("c_lng"), incidents.schema["LONG"].dataType).alias("lng"),
     )
-    monthly = (fine.groupBy("DISTRICT", "MONTH").agg(F.sum("n").alias("counts"))
-                   .groupBy("DISTRICT")
-                   .agg(F.percentile_approx("counts", 0.5).alias("crimes_monthly")))
     types = top_k_per_group(
         fine.groupBy("DISTRICT", "NAME").agg(F.sum("n").alias("counts")),
         "DISTRICT", "NAME", "counts", top_k, list_sep, out="frequent_crime_types")
 
     return (totals.join(types, "DISTRICT", "inner")
-                  .join(monthly, "DISTRICT", "inner")
                   .select("DISTRICT", "crimes_total", "crimes_monthly",
                           "frequent_crime_types", "lat", "lng"))
 
 
+def exact_mean(total: F.Column, count: F.Column, dtype) -> F.Column:
+    """``total / count``.  For decimals the sum is first narrowed to 20 integer
+    digits, which leaves Spark's decimal division 18 fractional digits (the
+    default rules would keep only 6 and a later rounding could round twice)."""
+    if isinstance(dtype, T.DecimalType):
+        scale = dtype.scale
+        return total.cast(T.DecimalType(min(38, scale + 20), scale)) / count
+    return total / count
+
+
 def monthly_median(incidents: DataFrame) -> DataFrame:
     """``(DISTRICT, crimes_monthly)``: approximate median of per-month counts."""
     return (incidents.groupBy("DISTRICT", "MONTH").agg(F.count(F.lit(1)).alias("counts"))

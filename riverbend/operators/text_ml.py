@@ -13,8 +13,8 @@ grid search and sampling, on ``pyspark.ml``.
   reference is not built; its maxDF of 1.0 means "no limit", which Spark
   spells by leaving ``maxDF`` unset.)
 * ``block_scores``: a model trained outside the pipeline (a small numpy
-  logistic model) scored with ``mapInPandas`` over 10,000-row Arrow
-  batches, its weights broadcast once.
+  linear discriminant, fitted from one grouped aggregate) scored with
+  ``mapInPandas`` over 10,000-row Arrow batches, its weights broadcast once.
 """
 
 from __future__ import annotations
@@ -25,14 +25,14 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (IDF, CountVectorizer, HashingTF, IndexToString, StringIndexer,
-                                Tokenizer, VectorAssembler, VectorIndexer)
+                                Tokenizer, VectorIndexer)
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riverbend.functions.scores import band, positive_probability
-from riverbend.functions.text import letters_only, long_tokens
+from riverbend.functions.text import clean_long_tokens, letter_count
 
 # Fixed values of the reference pipelines.
 NUM_FEATURES = 1000
@@ -95,7 +95,7 @@ def save_and_reload(model: PipelineModel, path: str) -> PipelineModel:
 
 def clean_words(df: DataFrame, text_col: str = "tweet", out: str = "tokens") -> DataFrame:
     """Letters only, tokens longer than 3 characters (no stemming)."""
-    return df.withColumn(out, long_tokens(letters_only(text_col), 3))
+    return df.withColumn(out, clean_long_tokens(text_col, 3))
 
 
 def tfidf_rf_pipeline(label_col: str = "label", seed: int = 42):
@@ -144,7 +144,7 @@ NUMERIC_FEATURES = ("n_chars", "letter_share", "mean_word_len")
 def numeric_features(df: DataFrame, text_col: str = "tweet") -> DataFrame:
     """Spark-side features used to train the foreign model."""
     n = F.length(text_col)
-    letters = F.length(F.regexp_replace(F.col(text_col), "[^a-zA-Z]", ""))
+    letters = letter_count(text_col)
     words = F.size(F.split(F.trim(F.col(text_col)), "\\s+"))
     return df.select("*",
                      F.log1p(n.cast("double")).alias("n_chars"),
@@ -153,12 +153,33 @@ def numeric_features(df: DataFrame, text_col: str = "tweet") -> DataFrame:
 
 
 def fit_foreign_model(train: DataFrame, label_col: str = "label") -> dict[str, np.ndarray]:
-    """Weights of a logistic model on ``NUMERIC_FEATURES`` (fitted by Spark,
-    exported as numpy: 3 weights + intercept, a fixed small size)."""
-    feats = VectorAssembler(inputCols=list(NUMERIC_FEATURES), outputCol="x") \
-        .transform(numeric_features(train))
-    lr = LogisticRegression(featuresCol="x", labelCol=label_col, maxIter=50).fit(feats)
-    return {"w": lr.coefficients.toArray().astype(float), "b": np.array([lr.intercept])}
+    """A linear discriminant with per-feature variances on ``NUMERIC_FEATURES``.
+
+    One grouped aggregate (count, mean, variance per class and feature)
+    gives the class-conditional normals; with a shared variance per feature
+    the log-odds are linear: ``w = (mu1 - mu0) / var``, ``b = log(n1 / n0) -
+    sum((mu1^2 - mu0^2) / (2 var))``.  The result is 3 weights and an
+    intercept (a fixed small size), scored outside Spark ML by numpy.
+    """
+    feats = numeric_features(train).select(F.col(label_col).cast("int").alias("y"),
+                                           *NUMERIC_FEATURES)
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for f in NUMERIC_FEATURES:
+        aggs += [F.avg(f).alias(f"m_{f}"), F.var_pop(f).alias(f"v_{f}")]
+    by_class = {r["y"]: r for r in feats.groupBy("y").agg(*aggs).collect()}   # two rows
+    c0, c1 = by_class.get(0), by_class.get(1)
+    if c0 is None or c1 is None:
+        only = 1.0 if c1 is not None else 0.0
+        return {"w": np.zeros(len(NUMERIC_FEATURES)), "b": np.array([20.0 if only else -20.0])}
+    n0, n1 = float(c0["n"]), float(c1["n"])
+    mu0 = np.array([c0[f"m_{f}"] for f in NUMERIC_FEATURES], dtype=float)
+    mu1 = np.array([c1[f"m_{f}"] for f in NUMERIC_FEATURES], dtype=float)
+    var = (n0 * np.array([c0[f"v_{f}"] for f in NUMERIC_FEATURES], dtype=float)
+           + n1 * np.array([c1[f"v_{f}"] for f in NUMERIC_FEATURES], dtype=float)) / (n0 + n1)
+    var = np.where(var > 1e-12, var, 1e-12)
+    w = (mu1 - mu0) / var
+    b = np.log(n1 / n0) - float(np.sum((mu1 ** 2 - mu0 ** 2) / (2 * var)))
+    return {"w": w, "b": np.array([b])}
 
 
 def _pandas_features(text: pd.Series) -> np.ndarray:
@@ -197,12 +218,23 @@ def block_scores(df: DataFrame, weights: dict[str, np.ndarray], text_col: str =
 
 # ------------------------------------------------------------------ sampling
 
-def samples(df: DataFrame, fraction: float = 0.005, seed: int = 42,
-            split=(0.7, 0.3)) -> DataFrame:
-    """``doc_id, part``: a seeded sample without replacement (``sample``) and a
-    seeded random split (``train`` / ``test``)."""
+# Fixed values of the reference's sampling: 0.5 % without replacement for the
+# grid-search sample, 0.001 % with replacement for the stream feeder, seed 42.
+SAMPLE_FRACTION = 0.005
+FEED_FRACTION = 0.00001
+SEED = 42
+
+
+def samples(df: DataFrame, fraction: float = SAMPLE_FRACTION, seed: int = SEED,
+            split=(0.7, 0.3), feed_fraction: float = FEED_FRACTION) -> DataFrame:
+    """``doc_id, part``: a seeded sample without replacement (``sample``), one
+    with replacement (``feed``, a row may repeat) and a seeded random split
+    (``train`` / ``test``)."""
     s = df.sample(withReplacement=False, fraction=fraction, seed=seed) \
           .select("doc_id", F.lit("sample").alias("part"))
+    feed = df.sample(withReplacement=True, fraction=feed_fraction, seed=seed) \
+             .select("doc_id", F.lit("feed").alias("part"))
+    s = s.unionByName(feed)
     train, test = df.randomSplit(list(split), seed=seed)
     return s.unionByName(train.select("doc_id", F.lit("train").alias("part"))) \
             .unionByName(test.select("doc_id", F.lit("test").alias("part")))

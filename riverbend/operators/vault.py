@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,16 +62,14 @@ def new_file_rows(stage: DataFrame, log: DataFrame, source: str = SOURCE,
     """Rows to append to the file log: one row when the stage is not empty and
     the log has no row for ``(source, file_name)`` yet, else none.
 
-    ``FILE_ID`` continues the log's maximum (auto increment); the numbering
-    window runs over the few new rows only.
+    ``FILE_ID`` continues the log's maximum (auto increment).  The candidate
+    is ``DISTINCT`` over constants, so there is at most one new row.
     """
     cand = stage.select(F.lit(source).alias("SOURCE"), F.lit(file_name).alias("FILE_NAME"),
                         _ts(load_ts).alias("LOAD_TS")).distinct()
     cand = cand.join(log.select("SOURCE", "FILE_NAME"), ["SOURCE", "FILE_NAME"], "left_anti")
-    top = log.agg(F.coalesce(F.max("FILE_ID"), F.lit(0)).cast("long").alias("_base"))
-    numbered = constant_match(cand, top).withColumn(
-        "FILE_ID", F.col("_base") + F.row_number().over(Window.orderBy("SOURCE", "FILE_NAME")))
-    return numbered.select("FILE_ID", "SOURCE", "FILE_NAME", "LOAD_TS")
+    top = log.agg((F.coalesce(F.max("FILE_ID"), F.lit(0)) + 1).cast("long").alias("FILE_ID"))
+    return constant_match(cand, top).select("FILE_ID", "SOURCE", "FILE_NAME", "LOAD_TS")
 
 
 def latest_files(log: DataFrame) -> DataFrame:

@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riverbend.functions.scores import band
-from riverbend.functions.text import letters_only, long_tokens
+from riverbend.functions.text import clean_long_tokens, letter_count
 from riverbend.operators import customer, keyed, records, report, search, stats, vault, windows
 from riverbend.operators.joins import latest_per_key
 from riverbend.plans import tables as tb
 from riverbend.plans.tables import Tables, codes_from_tables, incidents_from_tables
-from riverbend.session import apply_defaults
+from riverbend.session import apply_defaults, materialize
 
 
 def _t(spark: SparkSession, sf_dir: str) -> Tables:
@@ -126,8 +126,9 @@ SAT_DDL = ("HK_DISTRICT string, FILE_ID long, LOAD_TS timestamp_ntz, HASHDIFF st
 def _interrupted_load(spark: SparkSession, t: Tables):
     """Stage, log and targets after a load of the current file that stopped
     once the districts of the first two regions were written."""
-    stage = tb.stage_from_supplier(t)
-    log = _log_after_insert(spark, stage)
+    # the stage and the file log are stored tables in the load chain
+    stage = materialize(tb.stage_from_supplier(t), "stage")
+    log = materialize(_log_after_insert(spark, stage), "file-log")
     first = stage.join(tb.districts_of_regions(t, tb.FIRST_LOAD_REGIONS), "District", "left_semi")
     ods = vault.ods_delta(first, log, spark.createDataFrame([], ODS_DDL))
     hub = vault.hub_delta(first, log, spark.createDataFrame([], HUB_DDL))
@@ -161,6 +162,7 @@ def vault_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     hub = spark.createDataFrame([], HUB_DDL)
     sat = spark.createDataFrame([], SAT_DDL)
     for stage, name in ((tb.stage_from_supplier(t), "STG_OPER"), (tb.stage_from_customer(t), "STG_OPER_2")):
+        stage = materialize(stage, "stage")
         hub = hub.unionByName(vault.hub_delta(stage, log, hub, file_name=name))
         sat = sat.unionByName(vault.sat_delta(stage, log, sat, file_name=name))
     return vault.current_view(hub, sat)
@@ -249,7 +251,7 @@ def label_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def letter_share(col: str) -> F.Column:
     n = F.length(F.col(col))
-    return F.when(n > 0, F.length(F.regexp_replace(F.col(col), "[^a-zA-Z]", "")) / n)
+    return F.when(n > 0, letter_count(col) / n)
 
 
 def score_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,7 +269,7 @@ def histogram10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
-    toks = long_tokens(letters_only("text"), 3)
+    toks = clean_long_tokens("text", 3)
     return t.documents.select("doc_id", F.size(toks).cast("long").alias("n_tokens"),
                               F.array_join(toks, " ").alias("tokens"))
 

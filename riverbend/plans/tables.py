@@ -28,9 +28,10 @@ class Tables:
         return f"{self.sf_dir}/{name}.parquet"
 
 
-def money(col: str, scale: int = 18) -> F.Column:
-    """A double amount as an exact two-decimal value, widened to ``(38, scale)``."""
-    return F.col(col).cast("decimal(18,2)").cast(f"decimal(38,{scale})")
+def money(col: str) -> F.Column:
+    """A double amount as an exact two-decimal value (``decimal(18,2)``: held
+    in a long, so sums stay on the fast path)."""
+    return F.col(col).cast("decimal(18,2)")
 
 
 def supplier_district(t: Tables) -> DataFrame:

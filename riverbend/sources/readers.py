@@ -89,7 +89,8 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType | str, fmt:
     return reader.load(path)
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int = 1) -> DataFrame:
+def table_stream(spark: SparkSession, sf_dir: str, name: str,
+                 max_files_per_trigger: int | None = None) -> DataFrame:
     """One driver table (a single parquet file in ``sf_dir``) replayed as a stream."""
     schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").schema
     return file_stream(spark, sf_dir, schema, fmt="parquet",
