@@ -40,6 +40,15 @@ def incident_report(spark: SparkSession, sf_dir: str) -> DataFrame:
                       dec4("lat"), dec4("lng"))
 
 
+def incident_report_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report as Spark SQL text over temporary views."""
+    from riverbend.plans.sql_views import incident_report_sql as report_sql
+    t = _t(spark, sf_dir)
+    rep = report_sql(spark, incidents_from_tables(t), codes_from_tables(t), name_sep=" ")
+    return rep.select("DISTRICT", "crimes_total", "crimes_monthly", "frequent_crime_types",
+                      dec4("lat"), dec4("lng"))
+
+
 def median_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
     return report.monthly_median(incidents_from_tables(t)) \
@@ -115,12 +124,7 @@ def latest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vault.latest_files(log)
 
 
-ODS_DDL = ("FILE_ID long, LOAD_TS timestamp_ntz, District string, Crimes_total long, "
-           "Crimes_monthly long, Frequent_crime_types string, Lat decimal(37,15), Lng decimal(37,15)")
-HUB_DDL = "HK_DISTRICT string, FILE_ID long, LOAD_TS timestamp_ntz, DISTRICT string"
-SAT_DDL = ("HK_DISTRICT string, FILE_ID long, LOAD_TS timestamp_ntz, HASHDIFF string, "
-           "CRIMES_TOTAL long, CRIMES_MONTHLY long, FREQUENT_CRIME_TYPES string, "
-           "LAT decimal(37,15), LNG decimal(37,15)")
+ODS_DDL, HUB_DDL, SAT_DDL = vault.ODS_DDL, vault.HUB_DDL, vault.SAT_DDL
 
 
 def _interrupted_load(spark: SparkSession, t: Tables):
@@ -305,6 +309,26 @@ def filtered_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CDC_FILES = 4
+LEGACY_FILES = 4
+
+
+def legacy_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change events as JSON texts in several files, one file per micro-batch;
+    per batch the schema is inferred, the ``bot`` column checked and non-bot
+    events counted per type; the counts are summed over 5-minute windows of
+    a replayed batch clock (5 s per batch)."""
+    t = _t(spark, sf_dir)
+    from riverbend.session import scratch_path
+    from riverbend.sources.readers import file_stream
+    from riverbend.streaming import legacy
+    feed = scratch_path(spark, "legacy-feed")
+    changes = tb.change_events(t).withColumn("timestamp", F.unix_timestamp(F.col("timestamp").cast("timestamp")))
+    (records.to_json_text(changes.drop("props", "value"))
+       .repartitionByRange(LEGACY_FILES, F.get_json_object("value", "$.id").cast("long"))
+       .write.text(feed))
+    stream = file_stream(spark, feed, "value string", fmt="text", max_files_per_trigger=1)
+    sink = legacy.run_legacy_counts(stream, "legacy", legacy.replay_clock())
+    return legacy.windowed_type_counts(spark.read.parquet(sink))
 
 
 def cdc_apply_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -382,6 +406,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "incident_report": incident_report,
+    "incident_report_sql": incident_report_sql,
     "median_monthly": median_monthly,
     "top3_types": top3_types,
     "code_name_head": code_name_head,
@@ -409,6 +434,7 @@ QUERIES = {
     "window_append_20_10": window_append_20_10,
     "filtered_stream": filtered_stream,
     "cdc_apply_stream": cdc_apply_stream,
+    "legacy_type_counts": legacy_type_counts,
     "lr_scores": lr_scores,
     "rf_stream_bands": rf_stream_bands,
     "block_scores": block_scores,

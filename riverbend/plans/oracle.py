@@ -265,3 +265,5 @@ FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts) //
 WHERE rn = 1 AND op <> 'd'
 """,
 })
+
+SQL["incident_report_sql"] = SQL["incident_report"]

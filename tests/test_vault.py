@@ -91,3 +91,14 @@ def test_key_enforcement(spark):
         vault.enforce(df, ["k"])
     with pytest.raises(ValueError):
         vault.enforce(df.filter("k is null or v = 'a'"), [], not_null=["k"])
+
+
+def test_table_chain_rerun_and_change(spark, tmp_dir):
+    root = tmp_dir + "/dwh"
+    first = vault.run_load_chain(stage(spark), root, load_ts="2024-01-01 00:00:00")
+    assert first == {"file_log": 1, "ods": 2, "hub": 2, "satellite": 2}
+    again = vault.run_load_chain(stage(spark), root, load_ts="2024-01-02 00:00:00")
+    assert again == {"file_log": 0, "ods": 0, "hub": 0, "satellite": 0}
+    changed = vault.run_load_chain(stage(spark, total_b=6), root, load_ts="2024-01-03 00:00:00")
+    assert changed == {"file_log": 0, "ods": 0, "hub": 0, "satellite": 1}
+    assert vault.current_from_tables(spark, root).count() == 2
