@@ -44,14 +44,11 @@ def clean_long_tokens(col: Column | str, min_len: int = 3) -> Column:
     return F.regexp_extract_all(c, F.lit("[a-zA-Z]{%d,}" % (min_len + 1)), 0)
 
 
-# Fixed value: the ASCII letters kept by the cleaning step.
-ASCII_LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
-
-
 def letter_count(col: Column | str) -> Column:
-    """Number of ASCII letters (a character map, no regex)."""
+    """Number of ASCII letters: the length left after dropping every run of
+    non-letters (measured faster than a character map or a match count)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.length(c) - F.length(F.translate(c, ASCII_LETTERS, ""))
+    return F.length(F.regexp_replace(c, "[^a-zA-Z]+", ""))
 
 
 def top_k_text(rank_col: str, item_col: str, sep: str = ", ") -> Column:
