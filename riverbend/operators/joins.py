@@ -56,14 +56,16 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
               .select(*df.columns)
 
 
-def constant_match(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a single-row DataFrame to every row of ``df``.
-
-    This is the SQL join on constants only (``ON log.SOURCE = 'ERP' AND ..``).
-    The right side is bounded to one row by construction (``limit(1)``), so
-    it is broadcast and the join is a map-side loop over one row.
-    """
-    return df.join(F.broadcast(one_row.limit(1)), how="inner")
+def one_row(df: DataFrame) -> dict | None:
+    """The single row of a DataFrame that is at most one row by construction
+    (a global aggregate, the latest row of one key) as a dict, or None.
+
+    Reading such a row as scalars and using them as literals replaces a join
+    on constants: no cross join, no broadcast, one tiny job."""
+    rows = df.take(2)
+    if len(rows) > 1:
+        raise ValueError("expected at most one row")
+    return rows[0].asDict() if rows else None
 
 
 def eq(cols: Sequence[str], left: DataFrame, right: DataFrame) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riverbend.operators.joins import constant_match
+from riverbend.operators.joins import one_row
 
 
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
@@ -15,26 +15,27 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     between the column's min and max; the max falls in the last bin.
     Every bin is listed, empty ones with count 0.
 
-    The bounds are one global aggregate row attached to every row by a
-    broadcast of that single row; the counts are a partial/final aggregate
-    over at most ``bins`` groups.
+    Two passes: a global min/max (one row, read as scalars), then a
+    partial/final aggregate over at most ``bins`` groups.
     """
+    spark = df.sparkSession
     vals = df.select(F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    bounds = vals.agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    width = (F.col("_hi") - F.col("_lo"))
+    b = one_row(vals.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi")))
+    if b is None or b["lo"] is None:
+        return spark.createDataFrame([], "bin int, bin_start double, bin_end double, count long")
+    lo, hi = F.lit(b["lo"]).cast("double"), F.lit(b["hi"]).cast("double")
+    width = hi - lo
     idx = F.when(width == 0, F.lit(1)).otherwise(
-        F.least(F.floor((F.col("_v") - F.col("_lo")) / width * F.lit(bins)), F.lit(bins - 1)) + 1)
-    counts = constant_match(vals, bounds).groupBy(idx.cast("int").alias("bin")) \
-        .agg(F.count(F.lit(1)).alias("count"))
-    frame = bounds.filter(F.col("_lo").isNotNull()).select(
-        "_lo", "_hi", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
-    step = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
+        F.least(F.floor((F.col("_v") - lo) / width * F.lit(bins)), F.lit(bins - 1)) + 1)
+    counts = vals.groupBy(idx.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    frame = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    step = width / F.lit(bins)
     return (frame.join(counts, "bin", "left")
                  .select("bin",
-                         (F.col("_lo") + (F.col("bin") - 1) * step).alias("bin_start"),
-                         F.when(F.col("bin") == bins, F.col("_hi"))
-                          .otherwise(F.col("_lo") + F.col("bin") * step).alias("bin_end"),
-                         F.coalesce(F.col("count"), F.lit(0)).alias("count")))
+                         (lo + (F.col("bin") - 1) * step).alias("bin_start"),
+                         F.when(F.col("bin") == bins, hi)
+                          .otherwise(lo + F.col("bin") * step).alias("bin_end"),
+                         F.coalesce(F.col("count"), F.lit(0).cast("long")).alias("count")))
 
 
 def stream_stats(df: DataFrame, ts: str, keys: Sequence[str] = ()) -> DataFrame:

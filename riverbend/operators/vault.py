@@ -7,8 +7,9 @@ joins against the target, so a rerun with the same stage adds nothing, and
 a changed metric adds exactly one satellite row.
 
 Scale notes: the stage is one row per business key; the file log is a tiny
-metadata table.  Joins against the log are "join on constants": the latest
-log row is bounded to one row and broadcast.  Hub and satellite anti joins
+metadata table.  The reference joins on constants with the latest log row;
+here that one row is read as scalars and attached as literals (no cross
+join).  Hub and satellite anti joins
 shuffle on the hash key (AQE splits a skewed key).
 """
 
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riverbend.functions.hashing import hash_key, hashdiff
-from riverbend.operators.joins import anti_join, constant_match, latest_per_key
+from riverbend.operators.joins import anti_join, latest_per_key, one_row
 
 # Fixed values of the reference load: the source system and the file name
 # of the operational stage.
@@ -65,11 +66,12 @@ def new_file_rows(stage: DataFrame, log: DataFrame, source: str = SOURCE,
     ``FILE_ID`` continues the log's maximum (auto increment).  The candidate
     is ``DISTINCT`` over constants, so there is at most one new row.
     """
-    cand = stage.select(F.lit(source).alias("SOURCE"), F.lit(file_name).alias("FILE_NAME"),
+    next_id = one_row(log.agg((F.coalesce(F.max("FILE_ID"), F.lit(0)) + 1).cast("long").alias("n")))["n"]
+    cand = stage.select(F.lit(next_id).cast("long").alias("FILE_ID"),
+                        F.lit(source).alias("SOURCE"), F.lit(file_name).alias("FILE_NAME"),
                         _ts(load_ts).alias("LOAD_TS")).distinct()
-    cand = cand.join(log.select("SOURCE", "FILE_NAME"), ["SOURCE", "FILE_NAME"], "left_anti")
-    top = log.agg((F.coalesce(F.max("FILE_ID"), F.lit(0)) + 1).cast("long").alias("FILE_ID"))
-    return constant_match(cand, top).select("FILE_ID", "SOURCE", "FILE_NAME", "LOAD_TS")
+    return cand.join(log.select("SOURCE", "FILE_NAME"), ["SOURCE", "FILE_NAME"], "left_anti") \
+               .select("FILE_ID", "SOURCE", "FILE_NAME", "LOAD_TS")
 
 
 def latest_files(log: DataFrame) -> DataFrame:
@@ -83,10 +85,27 @@ def current_file(log: DataFrame, source: str = SOURCE, file_name: str = FILE_NAM
             .select("FILE_ID", "LOAD_TS"))
 
 
+def with_current_file(df: DataFrame, log: DataFrame, source: str = SOURCE,
+                      file_name: str = FILE_NAME) -> DataFrame:
+    """``df`` with the current file's ``FILE_ID`` and ``LOAD_TS`` attached.
+
+    The reference writes this as an inner join on constants with the latest
+    log row.  That row is read once as scalars (the log is a small metadata
+    table) and attached as literals; with no such row the result is empty,
+    as the inner join would be.
+    """
+    row = one_row(current_file(log, source, file_name))
+    if row is None:
+        return df.withColumn("FILE_ID", F.lit(None).cast("long")) \
+                 .withColumn("LOAD_TS", F.lit(None).cast("timestamp_ntz")).limit(0)
+    return df.withColumn("FILE_ID", F.lit(row["FILE_ID"]).cast("long")) \
+             .withColumn("LOAD_TS", F.lit(row["LOAD_TS"]).cast("timestamp_ntz"))
+
+
 def ods_delta(stage: DataFrame, log: DataFrame, ods: DataFrame,
               source: str = SOURCE, file_name: str = FILE_NAME) -> DataFrame:
     """Stage rows of the current file not yet in the ODS on ``(FILE_ID, District)``."""
-    src = constant_match(stage, current_file(log, source, file_name))
+    src = with_current_file(stage, log, source, file_name)
     delta = anti_join(src, ods, ["FILE_ID", "District"])
     return delta.select("FILE_ID", "LOAD_TS", *STAGE_COLUMNS)
 
@@ -95,7 +114,7 @@ def hub_delta(stage: DataFrame, log: DataFrame, hub: DataFrame,
               source: str = SOURCE, file_name: str = FILE_NAME) -> DataFrame:
     """New business keys: ``(HK_DISTRICT, FILE_ID, LOAD_TS, DISTRICT)``."""
     keys = stage.select(hash_key("District").alias("HK_DISTRICT"), F.col("District").alias("DISTRICT"))
-    src = constant_match(keys, current_file(log, source, file_name)) \
+    src = with_current_file(keys, log, source, file_name) \
         .select("HK_DISTRICT", "FILE_ID", "LOAD_TS", "DISTRICT").distinct()
     return anti_join(src, hub, ["HK_DISTRICT"])
 
@@ -123,7 +142,7 @@ def sat_delta(stage: DataFrame, log: DataFrame, sat: DataFrame,
     The anti join covers all history, so values returning to an older state
     are not recorded again (reference behaviour).
     """
-    src = constant_match(satellite_rows(stage), current_file(log, source, file_name))
+    src = with_current_file(satellite_rows(stage), log, source, file_name)
     return anti_join(src, sat, ["HK_DISTRICT", "HASHDIFF"]).select(*SAT_COLUMNS)
 
 

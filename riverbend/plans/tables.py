@@ -38,7 +38,7 @@ def supplier_district(t: Tables) -> DataFrame:
     """``(s_suppkey, DISTRICT)``: a supplier's nation name."""
     nation = t.nation.select("n_nationkey", F.col("n_name").alias("DISTRICT"))
     return (t.supplier.select("s_suppkey", "s_nationkey")
-             .join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"), "left")
+             .join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
              .select("s_suppkey", "DISTRICT"))
 
 
@@ -70,7 +70,7 @@ FIRST_LOAD_REGIONS = ("AFRICA", "AMERICA")
 def _stage_by_nation(t: Tables, rows: DataFrame, nation_col: str, name_col: str,
                      bal_col: str) -> DataFrame:
     nation = t.nation.select("n_nationkey", F.col("n_name").alias("District"))
-    joined = rows.join(F.broadcast(nation), rows[nation_col] == nation["n_nationkey"], "inner")
+    joined = rows.join(nation, rows[nation_col] == nation["n_nationkey"], "inner")
     return joined.groupBy("District").agg(
         F.count(F.lit(1)).alias("Crimes_total"),
         F.sum(F.when(F.col(bal_col) > 0, 1).otherwise(0)).cast("long").alias("Crimes_monthly"),
@@ -92,7 +92,7 @@ def stage_from_customer(t: Tables) -> DataFrame:
 
 def districts_of_regions(t: Tables, regions) -> DataFrame:
     region = t.region.filter(F.col("r_name").isin(list(regions))).select("r_regionkey")
-    return (t.nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"), "left_semi")
+    return (t.nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left_semi")
                     .select(F.col("n_name").alias("District")))
 
 

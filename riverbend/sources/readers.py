@@ -34,10 +34,15 @@ def read_json_records(spark: SparkSession, path: str, schema: T.StructType | str
 
 
 def read_json_inferred(spark: SparkSession, path_or_df) -> DataFrame:
-    """JSON with the schema inferred from the data (a whole file, or a
-    DataFrame holding one JSON text per row in column ``value``)."""
+    """JSON with the schema inferred from all the data (a path, or a DataFrame
+    holding one JSON text per row in column ``value``).  A DataFrame is
+    written as text to the shared scratch folder and read back, so the
+    inference runs in the JVM over every row (no Python row loop)."""
     if isinstance(path_or_df, DataFrame):
-        return spark.read.json(path_or_df.select("value").rdd.map(lambda r: r[0]))
+        from riverbend.session import scratch_path
+        path = scratch_path(spark, "json-texts")
+        path_or_df.select("value").write.text(path)
+        return spark.read.json(path)
     return spark.read.json(path_or_df)
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riverbend.session import scratch_path
+from riverbend.sources.readers import read_json_inferred
 from riverbend.streaming.consumers import arrival_window_sums, guarded_type_counts
 from riverbend.streaming.runner import run_batches
 
@@ -29,12 +30,9 @@ log = logging.getLogger(__name__)
 BATCH_SECONDS = 5
 
 
-def infer_batch(batch: DataFrame, purpose: str = "batch-json") -> DataFrame:
+def infer_batch(batch: DataFrame) -> DataFrame:
     """The batch's ``value`` texts as a DataFrame with an inferred schema."""
-    spark = batch.sparkSession
-    path = scratch_path(spark, purpose)
-    batch.select("value").write.text(path)
-    df = spark.read.json(path)
+    df = read_json_inferred(batch.sparkSession, batch)
     for field in df.schema.fields:
         log.info("Field data: %s with type %s", field.name, field.dataType.simpleString())
     return df
