@@ -70,8 +70,9 @@ def new_file_rows(stage: DataFrame, log: DataFrame, source: str = SOURCE,
     cand = stage.select(F.lit(next_id).cast("long").alias("FILE_ID"),
                         F.lit(source).alias("SOURCE"), F.lit(file_name).alias("FILE_NAME"),
                         _ts(load_ts).alias("LOAD_TS")).distinct()
-    return cand.join(log.select("SOURCE", "FILE_NAME"), ["SOURCE", "FILE_NAME"], "left_anti") \
-               .select("FILE_ID", "SOURCE", "FILE_NAME", "LOAD_TS")
+    # LEFT JOIN log ON constants WHERE log.FILE_ID IS NULL: insert only if absent
+    logged = log.filter((F.col("SOURCE") == source) & (F.col("FILE_NAME") == file_name))
+    return cand if logged.isEmpty() else cand.limit(0)
 
 
 def latest_files(log: DataFrame) -> DataFrame:

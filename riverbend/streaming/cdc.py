@@ -1,13 +1,20 @@
 """Applying a CDC stream to a current table with ``foreachBatch``.
 
-State is a table of the latest change per key *including deletes*
-(tombstones), so batches may arrive in any order: each batch merges its
-changes with the state by taking the maximum ``(ts_ms, seq)`` per key, and
-an older insert can never resurrect a deleted key.  Each batch writes a new
-version (partition ``batch_id``) of the state table; a retried batch
-overwrites only its own partition, so it is idempotent.  The current table
-is the newest version without the tombstones.  (With a transactional table
-format on the classpath this would be one MERGE per batch.)
+State is a parquet table of the latest change per key *including deletes*
+(tombstones), hash-partitioned into ``buckets`` folders by key.  Each batch:
+
+1. parses its envelopes and finds the buckets its keys fall in;
+2. reads only those buckets of the state (partition pruning);
+3. merges state and changes by taking the maximum ``(ts_ms, seq)`` per key;
+4. overwrites only those buckets (dynamic partition overwrite).
+
+So a batch costs O(its changes + the buckets they touch), not O(table).
+The merge is idempotent and order-independent: batches may arrive in any
+order, an older insert never resurrects a deleted key, and a batch retried
+after a failure (even one that had already replaced some buckets) gives the
+same state.  The current table is the state without tombstones.  (With a
+transactional table format on the classpath this would be one MERGE per
+batch.)
 """
 
 from __future__ import annotations
@@ -18,8 +25,10 @@ from pyspark.sql import functions as F
 from riverbend.operators.joins import latest_per_key
 from riverbend.operators.keyed import OP_DELETE
 from riverbend.operators.records import parse_cdc
+from riverbend.session import materialize
 
 STATE_COLUMNS = ["id", "ts_ms", "seq", "op", "first_name", "last_name", "email"]
+STATE_BUCKETS = 16
 
 
 def change_rows(messages: DataFrame, seq: str = "source_txid") -> DataFrame:
@@ -35,42 +44,51 @@ def change_rows(messages: DataFrame, seq: str = "source_txid") -> DataFrame:
 
 
 def merge_changes(state: DataFrame | None, changes: DataFrame) -> DataFrame:
-    both = changes if state is None else state.unionByName(changes.select(*STATE_COLUMNS))
-    return latest_per_key(both.select(*STATE_COLUMNS), ["id"], ["ts_ms", "seq"])
+    both = changes.select(*STATE_COLUMNS)
+    if state is not None:
+        both = state.select(*STATE_COLUMNS).unionByName(both)
+    return latest_per_key(both, ["id"], ["ts_ms", "seq"])
 
 
-def _state(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
-    """Newest complete version (below ``before``) of the state table, or None."""
+def bucket_of(col: str, buckets: int) -> F.Column:
+    return F.pmod(F.xxhash64(F.col(col)), F.lit(buckets)).cast("int")
+
+
+def _state_path(root: str) -> str:
+    return f"{root.rstrip('/')}/state"
+
+
+def _read_state(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        versions = spark.read.parquet(root)
-    except Exception:  # noqa: BLE001 - no version written yet
-        return None
-    if before is not None:
-        versions = versions.filter(F.col("batch_id") < F.lit(before))
-    newest = versions.agg(F.max("batch_id")).first()[0]
-    if newest is None:
+        return spark.read.parquet(_state_path(root))
+    except Exception:  # noqa: BLE001 - nothing written yet
         return None
-    return versions.filter(F.col("batch_id") == F.lit(newest)).drop("batch_id")
-
 
-def make_batch_writer(root: str):
-    """``foreachBatch`` function merging each batch into versioned state.
 
-    Versions are partitions ``batch_id=N`` of one parquet table; a retried
-    batch overwrites only its own partition (dynamic partition overwrite).
-    """
+def make_batch_writer(root: str, buckets: int = STATE_BUCKETS):
+    """``foreachBatch`` function merging each batch into the bucketed state."""
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        merged = merge_changes(_state(spark, root, before=batch_id), change_rows(batch))
-        (merged.withColumn("batch_id", F.lit(batch_id).cast("long"))
-               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy("batch_id").parquet(root))
+        changes = change_rows(batch).withColumn("bucket", bucket_of("id", buckets))
+        touched = [r[0] for r in changes.select("bucket").distinct().collect()]   # <= buckets values
+        if not touched:
+            return
+        state = _read_state(spark, root)
+        if state is not None:
+            state = state.filter(F.col("bucket").isin(touched))
+        merged = merge_changes(state, changes).withColumn("bucket", bucket_of("id", buckets))
+        # the overwrite replaces files the merge reads: save the merge first
+        merged = materialize(merged, "cdc-merge")
+        # one task (one file) per bucket folder
+        (merged.repartition("bucket").write.mode("overwrite")
+               .option("partitionOverwriteMode", "dynamic")
+               .partitionBy("bucket").parquet(_state_path(root)))
     return apply
 
 
 def current_table(spark: SparkSession, root: str) -> DataFrame:
-    """The newest version without tombstones: ``id, first_name, last_name, email``."""
-    state = _state(spark, root)
+    """The state without tombstones: ``id, first_name, last_name, email``."""
+    state = _read_state(spark, root)
     if state is None:
         return spark.createDataFrame([], "id int, first_name string, last_name string, email string")
     return state.filter(F.col("op") != OP_DELETE).select("id", "first_name", "last_name", "email")
