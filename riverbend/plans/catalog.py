@@ -49,6 +49,35 @@ def incident_report_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
                       dec4("lat"), dec4("lng"))
 
 
+# Input schemas of the reference's file sources (positional binding).
+INCIDENT_CSV_SCHEMA = "DISTRICT string, OFFENSE_CODE long, MONTH int, LAT decimal(18,2), LONG decimal(18,2)"
+CODES_CSV_SCHEMA = "CODE long, NAME string"
+TWEET_CSV_SCHEMA = ("target int, id long, raw_timestamp string, query_status string, "
+                    "author string, tweet string")
+WINE_SCHEMA = ("id decimal(38,0), country string, points decimal(38,0), title string, "
+               "variety string, winery string")
+# The defaults printed for missing wine fields.
+WINE_DEFAULTS = {"country": "empty country", "title": "empty title",
+                 "variety": "empty variety", "winery": "empty winery"}
+
+
+def incident_report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report from CSV files with header and fixed schemas (the
+    reference's input format), its result saved as one parquet file."""
+    t = _t(spark, sf_dir)
+    from riverbend.session import scratch_path
+    from riverbend.sources import readers, sinks
+    inc_path, codes_path = scratch_path(spark, "incidents-csv"), scratch_path(spark, "codes-csv")
+    sinks.write_csv(incidents_from_tables(t), inc_path)
+    sinks.write_csv(codes_from_tables(t), codes_path)
+    rep = report.incident_report(readers.read_csv(spark, inc_path, INCIDENT_CSV_SCHEMA),
+                                 readers.read_csv(spark, codes_path, CODES_CSV_SCHEMA), name_sep=" ")
+    out = scratch_path(spark, "report-parquet")
+    sinks.write_parquet(rep, out, single_file=True)
+    return readers.read_parquet(spark, out).select(
+        "DISTRICT", "crimes_total", "crimes_monthly", "frequent_crime_types", dec4("lat"), dec4("lng"))
+
+
 def median_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
     return report.monthly_median(incidents_from_tables(t)) \
@@ -248,6 +277,39 @@ def search_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
 # F. text: labels, bands, histogram, cleaning
 # --------------------------------------------------------------------------
 
+def tweet_labels_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents as the 6-column tweet CSV without header (target 4
+    = positive), read back with the fixed schema; label balance."""
+    t = _t(spark, sf_dir)
+    from riverbend.functions.scores import binary_label
+    from riverbend.session import scratch_path
+    from riverbend.sources import readers, sinks
+    path = scratch_path(spark, "tweets-csv")
+    docs = tb.labelled_documents(t)
+    sinks.write_csv(docs.select((F.col("label") * 4).cast("int").alias("target"),
+                                F.col("doc_id").alias("id"), F.lit(None).cast("string").alias("raw_timestamp"),
+                                F.lit("NO_QUERY").alias("query_status"), F.lit(None).cast("string").alias("author"),
+                                "tweet"), path, header=False)
+    raw = readers.read_csv(spark, path, TWEET_CSV_SCHEMA, header=False, multi_line=True)
+    return raw.groupBy(binary_label("target").alias("label")).agg(F.count(F.lit(1)).alias("count"))
+
+
+def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as JSON-lines records (missing fields omitted), read back as typed
+    records with FAILFAST and printed defaults for missing fields."""
+    t = _t(spark, sf_dir)
+    from riverbend.session import scratch_path
+    from riverbend.sources import readers, sinks
+    path = scratch_path(spark, "records-json")
+    recs = t.part.select(F.col("p_partkey").alias("id"),
+                         F.when(F.col("p_size") > 25, F.col("p_brand")).alias("country"),
+                         F.col("p_size").alias("points"), F.col("p_name").alias("title"),
+                         F.col("p_type").alias("variety"))
+    sinks.write_json(recs, path, mode="errorifexists")
+    typed = readers.read_json_records(spark, path, WINE_SCHEMA)
+    return records.json_field_defaults(typed, WINE_DEFAULTS)
+
+
 def label_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
     return tb.labelled_documents(t).groupBy("label").agg(F.count(F.lit(1)).alias("count"))
@@ -407,6 +469,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "incident_report": incident_report,
     "incident_report_sql": incident_report_sql,
+    "incident_report_csv": incident_report_csv,
     "median_monthly": median_monthly,
     "top3_types": top3_types,
     "code_name_head": code_name_head,
@@ -428,6 +491,8 @@ QUERIES = {
     "stream_stats": stream_stats,
     "search_top10": search_top10,
     "label_balance": label_balance,
+    "tweet_labels_csv": tweet_labels_csv,
+    "json_records": json_records,
     "score_bands": score_bands,
     "histogram10": histogram10,
     "clean_tokens": clean_tokens,

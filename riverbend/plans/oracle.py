@@ -267,3 +267,15 @@ WHERE rn = 1 AND op <> 'd'
 })
 
 SQL["incident_report_sql"] = SQL["incident_report"]
+
+SQL["incident_report_csv"] = SQL["incident_report"]
+SQL["tweet_labels_csv"] = SQL["label_balance"].replace("l.quality AS label", "CASE WHEN l.quality * 4 = 4 THEN 1 ELSE 0 END AS label").replace("GROUP BY l.quality", "GROUP BY 1")
+SQL["json_records"] = """
+SELECT CAST(p_partkey AS DECIMAL(38,0)) AS id,
+       coalesce(CASE WHEN p_size > 25 THEN p_brand END, 'empty country') AS country,
+       CAST(p_size AS DECIMAL(38,0)) AS points,
+       coalesce(p_name, 'empty title') AS title,
+       coalesce(p_type, 'empty variety') AS variety,
+       'empty winery' AS winery
+FROM part
+"""

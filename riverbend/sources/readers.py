@@ -14,13 +14,15 @@ from pyspark.sql import types as T
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True,
-             sep: str = ",", encoding: str = "utf-8", mode: str = "PERMISSIVE") -> DataFrame:
+             sep: str = ",", encoding: str = "utf-8", mode: str = "PERMISSIVE",
+             multi_line: bool = False) -> DataFrame:
     """CSV with a fixed schema.  With ``header=True`` the first line is skipped
     and columns bind by position (the header text is not used); a cell that
-    does not parse becomes null in PERMISSIVE mode."""
+    does not parse becomes null in PERMISSIVE mode.  ``multi_line`` allows
+    quoted fields holding line breaks (such files are not split)."""
     return (spark.read.option("header", str(header).lower()).option("sep", sep)
                  .option("encoding", encoding).option("mode", mode)
-                 .option("enforceSchema", "true")
+                 .option("enforceSchema", "true").option("multiLine", str(multi_line).lower())
                  .schema(schema).csv(path))
 
 

@@ -22,6 +22,10 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", single_
     writer.parquet(path)
 
 
+def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists") -> None:
+    df.write.mode(mode).option("header", str(header).lower()).csv(path)
+
+
 def write_json(df: DataFrame, path: str, mode: str = "append", single_file: bool = False) -> None:
     out = df.coalesce(1) if single_file else df
     out.write.mode(mode).json(path)
