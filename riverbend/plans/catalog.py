@@ -370,6 +370,26 @@ def filtered_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runner.read_table(spark, out)
 
 
+# Fixed value: the index mapping of the language stream (date, keyword, keyword, text).
+LANG_INDEX_MAPPING = {"CREATEDAT": "date", "CHANNEL": "keyword", "WIKIPAGE": "keyword",
+                      "USERNAME": "keyword", "DIFFURL": "text"}
+
+
+def lang_index_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language-stream chain: filtered stream -> index documents with the
+    mapped field types (message key not used) -> range + terms search on the
+    index (top channels by count in a time range)."""
+    _t(spark, sf_dir)
+    from riverbend.sources.readers import table_stream
+    from riverbend.sources.sinks import index_documents
+    from riverbend.streaming import consumers, runner
+    lang = tb.language_stream_of(table_stream(spark, sf_dir, "events"))
+    docs = index_documents(consumers.filtered_projection(lang, EXCLUDED_CHANNEL), LANG_INDEX_MAPPING)
+    index = runner.read_table(spark, runner.run_to_table(docs, "lang-index"))
+    cond = search.epoch_millis_range(index, "CREATEDAT", SEARCH_GTE_MS, SEARCH_LTE_MS)
+    return search.search(index, must=[cond], terms_field="CHANNEL", size=10)
+
+
 CDC_FILES = 4
 LEGACY_FILES = 4
 
@@ -498,6 +518,7 @@ QUERIES = {
     "clean_tokens": clean_tokens,
     "window_append_20_10": window_append_20_10,
     "filtered_stream": filtered_stream,
+    "lang_index_search": lang_index_search,
     "cdc_apply_stream": cdc_apply_stream,
     "legacy_type_counts": legacy_type_counts,
     "lr_scores": lr_scores,

@@ -279,3 +279,10 @@ SELECT CAST(p_partkey AS DECIMAL(38,0)) AS id,
        'empty winery' AS winery
 FROM part
 """
+
+SQL["lang_index_search"] = """
+SELECT event_type AS key, count(*) AS doc_count FROM events
+WHERE event_type <> 'click' AND event_type <> 'error'
+  AND ts >= TIMESTAMP '2024-01-08 00:00:00' AND ts < TIMESTAMP '2024-01-22 00:00:00'
+GROUP BY event_type ORDER BY doc_count DESC, key ASC LIMIT 10
+"""

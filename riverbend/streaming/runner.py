@@ -56,3 +56,20 @@ def await_any(spark: SparkSession, timeout_s: int = DEFAULT_TIMEOUT_S) -> None:
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)
+
+
+def progress_stats(q) -> dict:
+    """Live statistics of a running or finished query from its progress
+    reports: total input rows, the latest input and processing rates, and the
+    time of the last batch (the stream's ``describe extended`` figures)."""
+    reports = [p if isinstance(p, dict) else p.jsonValue() if hasattr(p, "jsonValue") else dict(p)
+               for p in (q.recentProgress or [])]
+    with_rows = [p for p in reports if p.get("numInputRows")]
+    last = with_rows[-1] if with_rows else (reports[-1] if reports else {})
+    return {
+        "total_messages": int(sum(p.get("numInputRows", 0) for p in reports)),
+        "input_rows_per_sec": float(last.get("inputRowsPerSecond") or 0.0),
+        "processed_rows_per_sec": float(last.get("processedRowsPerSecond") or 0.0),
+        "last_batch": last.get("timestamp"),
+        "batches": len(reports),
+    }

@@ -154,3 +154,14 @@ def test_legacy_batch_guard_and_clock(spark, tmp_dir):
     assert [(r["type"], r["count"]) for r in rows] == [("edit", 1)]
     bad = spark.createDataFrame([('{"type": "edit"}',)], "value string")
     assert legacy.batch_type_counts(bad, F.timestamp_seconds(F.lit(0))).count() == 0
+
+
+def test_progress_stats(spark, tmp_dir):
+    _write_batches(tmp_dir, [[{"type": "a", "bot": False, "timestamp": i} for i in range(5)],
+                             [{"type": "b", "bot": False, "timestamp": 9}]])
+    from riverbend.sources.sinks import start_stream
+    q = start_stream(file_stream(spark, tmp_dir, "type string, bot boolean, timestamp long"),
+                     os.path.join(tmp_dir, "chk"), os.path.join(tmp_dir, "out"))
+    runner.await_query(q)
+    st = runner.progress_stats(q)
+    assert st["total_messages"] == 6 and st["batches"] >= 2 and st["last_batch"]
