@@ -86,16 +86,25 @@ def current_file(log: DataFrame, source: str = SOURCE, file_name: str = FILE_NAM
             .select("FILE_ID", "LOAD_TS"))
 
 
+_LOOKUP = object()
+
+
+def current_file_row(log: DataFrame, source: str = SOURCE, file_name: str = FILE_NAME) -> dict | None:
+    """``{"FILE_ID", "LOAD_TS"}`` of the current file, read once (one row)."""
+    return one_row(current_file(log, source, file_name))
+
+
 def with_current_file(df: DataFrame, log: DataFrame, source: str = SOURCE,
-                      file_name: str = FILE_NAME) -> DataFrame:
+                      file_name: str = FILE_NAME, file_row=_LOOKUP) -> DataFrame:
     """``df`` with the current file's ``FILE_ID`` and ``LOAD_TS`` attached.
 
     The reference writes this as an inner join on constants with the latest
-    log row.  That row is read once as scalars (the log is a small metadata
-    table) and attached as literals; with no such row the result is empty,
-    as the inner join would be.
+    log row.  That row is read as scalars (the log is a small metadata
+    table; pass ``file_row`` to reuse one lookup across steps) and attached
+    as literals; with no such row the result is empty, as the inner join
+    would be.
     """
-    row = one_row(current_file(log, source, file_name))
+    row = current_file_row(log, source, file_name) if file_row is _LOOKUP else file_row
     if row is None:
         return df.withColumn("FILE_ID", F.lit(None).cast("long")) \
                  .withColumn("LOAD_TS", F.lit(None).cast("timestamp_ntz")).limit(0)
@@ -104,18 +113,18 @@ def with_current_file(df: DataFrame, log: DataFrame, source: str = SOURCE,
 
 
 def ods_delta(stage: DataFrame, log: DataFrame, ods: DataFrame,
-              source: str = SOURCE, file_name: str = FILE_NAME) -> DataFrame:
+              source: str = SOURCE, file_name: str = FILE_NAME, file_row=_LOOKUP) -> DataFrame:
     """Stage rows of the current file not yet in the ODS on ``(FILE_ID, District)``."""
-    src = with_current_file(stage, log, source, file_name)
+    src = with_current_file(stage, log, source, file_name, file_row)
     delta = anti_join(src, ods, ["FILE_ID", "District"])
     return delta.select("FILE_ID", "LOAD_TS", *STAGE_COLUMNS)
 
 
 def hub_delta(stage: DataFrame, log: DataFrame, hub: DataFrame,
-              source: str = SOURCE, file_name: str = FILE_NAME) -> DataFrame:
+              source: str = SOURCE, file_name: str = FILE_NAME, file_row=_LOOKUP) -> DataFrame:
     """New business keys: ``(HK_DISTRICT, FILE_ID, LOAD_TS, DISTRICT)``."""
     keys = stage.select(hash_key("District").alias("HK_DISTRICT"), F.col("District").alias("DISTRICT"))
-    src = with_current_file(keys, log, source, file_name) \
+    src = with_current_file(keys, log, source, file_name, file_row) \
         .select("HK_DISTRICT", "FILE_ID", "LOAD_TS", "DISTRICT").distinct()
     return anti_join(src, hub, ["HK_DISTRICT"])
 
@@ -137,13 +146,13 @@ SAT_COLUMNS = ["HK_DISTRICT", "FILE_ID", "LOAD_TS", "HASHDIFF", "CRIMES_TOTAL",
 
 
 def sat_delta(stage: DataFrame, log: DataFrame, sat: DataFrame,
-              source: str = SOURCE, file_name: str = FILE_NAME) -> DataFrame:
+              source: str = SOURCE, file_name: str = FILE_NAME, file_row=_LOOKUP) -> DataFrame:
     """Satellite rows whose ``(HK_DISTRICT, HASHDIFF)`` is not in the satellite.
 
     The anti join covers all history, so values returning to an older state
     are not recorded again (reference behaviour).
     """
-    src = with_current_file(satellite_rows(stage), log, source, file_name)
+    src = with_current_file(satellite_rows(stage), log, source, file_name, file_row)
     return anti_join(src, sat, ["HK_DISTRICT", "HASHDIFF"]).select(*SAT_COLUMNS)
 
 
@@ -239,12 +248,16 @@ def run_load_chain(stage: DataFrame, root: str, source: str = SOURCE, file_name:
     added["file_log"] = _append(spark, root, "file_log",
                                 new_file_rows(stage, log, source, file_name, load_ts), check_keys)
     log = _table(spark, root, "file_log")
+    row = current_file_row(log, source, file_name)
     added["ods"] = _append(spark, root, "ods",
-                           ods_delta(stage, log, _table(spark, root, "ods"), source, file_name), check_keys)
+                           ods_delta(stage, log, _table(spark, root, "ods"), source, file_name, row),
+                           check_keys)
     added["hub"] = _append(spark, root, "hub",
-                           hub_delta(stage, log, _table(spark, root, "hub"), source, file_name), check_keys)
+                           hub_delta(stage, log, _table(spark, root, "hub"), source, file_name, row),
+                           check_keys)
     added["satellite"] = _append(spark, root, "satellite",
-                                 sat_delta(stage, log, _table(spark, root, "satellite"), source, file_name),
+                                 sat_delta(stage, log, _table(spark, root, "satellite"), source,
+                                           file_name, row),
                                  check_keys)
     return added
 

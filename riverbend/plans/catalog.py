@@ -163,25 +163,26 @@ def _interrupted_load(spark: SparkSession, t: Tables):
     stage = materialize(tb.stage_from_supplier(t), "stage")
     log = materialize(_log_after_insert(spark, stage), "file-log")
     first = stage.join(tb.districts_of_regions(t, tb.FIRST_LOAD_REGIONS), "District", "left_semi")
-    ods = vault.ods_delta(first, log, spark.createDataFrame([], ODS_DDL))
-    hub = vault.hub_delta(first, log, spark.createDataFrame([], HUB_DDL))
-    sat = vault.sat_delta(first, log, spark.createDataFrame([], SAT_DDL))
-    return stage, log, ods, hub, sat
+    row = vault.current_file_row(log)
+    ods = vault.ods_delta(first, log, spark.createDataFrame([], ODS_DDL), file_row=row)
+    hub = vault.hub_delta(first, log, spark.createDataFrame([], HUB_DDL), file_row=row)
+    sat = vault.sat_delta(first, log, spark.createDataFrame([], SAT_DDL), file_row=row)
+    return stage, log, row, ods, hub, sat
 
 
 def ods_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stage, log, ods, _, _ = _interrupted_load(spark, _t(spark, sf_dir))
-    return vault.ods_delta(stage, log, ods)
+    stage, log, row, ods, _, _ = _interrupted_load(spark, _t(spark, sf_dir))
+    return vault.ods_delta(stage, log, ods, file_row=row)
 
 
 def hub_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stage, log, _, hub, _ = _interrupted_load(spark, _t(spark, sf_dir))
-    return vault.hub_delta(stage, log, hub)
+    stage, log, row, _, hub, _ = _interrupted_load(spark, _t(spark, sf_dir))
+    return vault.hub_delta(stage, log, hub, file_row=row)
 
 
 def sat_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stage, log, _, _, sat = _interrupted_load(spark, _t(spark, sf_dir))
-    return vault.sat_delta(stage, log, sat)
+    stage, log, row, _, _, sat = _interrupted_load(spark, _t(spark, sf_dir))
+    return vault.sat_delta(stage, log, sat, file_row=row)
 
 
 def vault_current(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,8 +197,9 @@ def vault_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     sat = spark.createDataFrame([], SAT_DDL)
     for stage, name in ((tb.stage_from_supplier(t), "STG_OPER"), (tb.stage_from_customer(t), "STG_OPER_2")):
         stage = materialize(stage, "stage")
-        hub = hub.unionByName(vault.hub_delta(stage, log, hub, file_name=name))
-        sat = sat.unionByName(vault.sat_delta(stage, log, sat, file_name=name))
+        row = vault.current_file_row(log, file_name=name)
+        hub = hub.unionByName(vault.hub_delta(stage, log, hub, file_name=name, file_row=row))
+        sat = sat.unionByName(vault.sat_delta(stage, log, sat, file_name=name, file_row=row))
     return vault.current_view(hub, sat)
 
 

@@ -1,20 +1,19 @@
-"""Applying a CDC stream to a current table with ``foreachBatch``.
-
-State is a parquet table of the latest change per key *including deletes*
-(tombstones), hash-partitioned into ``buckets`` folders by key.  Each batch:
-
-1. parses its envelopes and finds the buckets its keys fall in;
-2. reads only those buckets of the state (partition pruning);
-3. merges state and changes by taking the maximum ``(ts_ms, seq)`` per key;
-4. overwrites only those buckets (dynamic partition overwrite).
-
-So a batch costs O(its changes + the buckets they touch), not O(table).
-The merge is idempotent and order-independent: batches may arrive in any
-order, an older insert never resurrects a deleted key, and a batch retried
-after a failure (even one that had already replaced some buckets) gives the
-same state.  The current table is the state without tombstones.  (With a
-transactional table format on the classpath this would be one MERGE per
-batch.)
+"""Applying a CDC stream to a current table with ``foreachBatch``
+(merge on read).
+
+Each micro-batch parses its envelopes, keeps the last change per key within
+the batch, and writes those rows to its own partition ``batch_id`` of a
+change-log table (dynamic partition overwrite: a retried batch replaces
+exactly what it wrote before).  A batch therefore costs O(its changes).
+
+The current table is read as one aggregate over the log: the change with
+the largest ``(ts_ms, seq)`` per key, without the keys whose last change is
+a delete.  The aggregate has a map-side partial step, so a key changed in
+every batch is combined inside each scan task.  Because the rule is "largest
+``(ts_ms, seq)`` wins", batches may arrive in any order and an older insert
+never resurrects a deleted key.  ``compact`` rewrites the log as one
+snapshot (tombstones kept) when it has grown.  (With a transactional table
+format on the classpath this would be one MERGE per batch.)
 """
 
 from __future__ import annotations
@@ -25,10 +24,8 @@ from pyspark.sql import functions as F
 from riverbend.operators.joins import latest_per_key
 from riverbend.operators.keyed import OP_DELETE
 from riverbend.operators.records import parse_cdc
-from riverbend.session import materialize
 
 STATE_COLUMNS = ["id", "ts_ms", "seq", "op", "first_name", "last_name", "email"]
-STATE_BUCKETS = 16
 
 
 def change_rows(messages: DataFrame, seq: str = "source_txid") -> DataFrame:
@@ -43,52 +40,45 @@ def change_rows(messages: DataFrame, seq: str = "source_txid") -> DataFrame:
     )
 
 
-def merge_changes(state: DataFrame | None, changes: DataFrame) -> DataFrame:
-    both = changes.select(*STATE_COLUMNS)
-    if state is not None:
-        both = state.select(*STATE_COLUMNS).unionByName(both)
-    return latest_per_key(both, ["id"], ["ts_ms", "seq"])
+def last_changes(changes: DataFrame) -> DataFrame:
+    """The change with the largest ``(ts_ms, seq)`` per key (deletes kept)."""
+    return latest_per_key(changes.select(*STATE_COLUMNS), ["id"], ["ts_ms", "seq"])
 
 
-def bucket_of(col: str, buckets: int) -> F.Column:
-    return F.pmod(F.xxhash64(F.col(col)), F.lit(buckets)).cast("int")
+def _log_path(root: str) -> str:
+    return f"{root.rstrip('/')}/changes"
 
 
-def _state_path(root: str) -> str:
-    return f"{root.rstrip('/')}/state"
-
-
-def _read_state(spark: SparkSession, root: str) -> DataFrame | None:
+def _read_log(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        return spark.read.parquet(_state_path(root))
+        return spark.read.parquet(_log_path(root))
     except Exception:  # noqa: BLE001 - nothing written yet
         return None
 
 
-def make_batch_writer(root: str, buckets: int = STATE_BUCKETS):
-    """``foreachBatch`` function merging each batch into the bucketed state."""
+def make_batch_writer(root: str):
+    """``foreachBatch`` function appending each batch's last changes per key."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        changes = change_rows(batch).withColumn("bucket", bucket_of("id", buckets))
-        touched = [r[0] for r in changes.select("bucket").distinct().collect()]   # <= buckets values
-        if not touched:
-            return
-        state = _read_state(spark, root)
-        if state is not None:
-            state = state.filter(F.col("bucket").isin(touched))
-        merged = merge_changes(state, changes).withColumn("bucket", bucket_of("id", buckets))
-        # the overwrite replaces files the merge reads: save the merge first
-        merged = materialize(merged, "cdc-merge")
-        # one task (one file) per bucket folder
-        (merged.repartition("bucket").write.mode("overwrite")
-               .option("partitionOverwriteMode", "dynamic")
-               .partitionBy("bucket").parquet(_state_path(root)))
+        (last_changes(change_rows(batch)).withColumn("batch_id", F.lit(batch_id).cast("long"))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id").parquet(_log_path(root)))
     return apply
 
 
 def current_table(spark: SparkSession, root: str) -> DataFrame:
-    """The state without tombstones: ``id, first_name, last_name, email``."""
-    state = _read_state(spark, root)
-    if state is None:
+    """The current rows: ``id, first_name, last_name, email``."""
+    log = _read_log(spark, root)
+    if log is None:
         return spark.createDataFrame([], "id int, first_name string, last_name string, email string")
-    return state.filter(F.col("op") != OP_DELETE).select("id", "first_name", "last_name", "email")
+    return (last_changes(log).filter(F.col("op") != OP_DELETE)
+            .select("id", "first_name", "last_name", "email"))
+
+
+def compact(spark: SparkSession, root: str, new_root: str) -> str:
+    """Write the log's last change per key (tombstones kept) as the single
+    partition of a new log under ``new_root``; later batches append to it."""
+    log = _read_log(spark, root)
+    if log is not None:
+        (last_changes(log).withColumn("batch_id", F.lit(-1).cast("long"))
+            .write.partitionBy("batch_id").parquet(_log_path(new_root)))
+    return new_root
