@@ -19,8 +19,11 @@ grid search and sampling, on ``pyspark.ml``.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -200,6 +203,9 @@ def block_scores(df: DataFrame, weights: dict[str, np.ndarray], text_col: str =
     task scores whole batches with numpy (no per-row Python call).
     """
     spark = df.sparkSession
+    # tasks carry this module's code with them (pickled by value), so the
+    # executors need numpy and pandas but not this package installed
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     bc = spark.sparkContext.broadcast(weights)
     keep = list(keep)
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField("proba", T.DoubleType())])

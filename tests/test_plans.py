@@ -54,3 +54,33 @@ def test_top_k_is_limited_before_the_shuffle(spark):
     out = report.top_k_per_group(counts, "g", "item", "c", 3)
     out.write.format("noop").mode("overwrite").save()
     assert "WindowGroupLimit" in plan_text(out)
+
+
+def test_hot_join_key_is_split_by_aqe(spark):
+    """A lookup where one key holds a third of the requests: with broadcast
+    off, AQE splits the skewed shuffle partition of the sort-merge join."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 60000
+        requests = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).alias("customer_id"),
+            F.col("id").alias("request_id"))
+        table = spark.range(1000).select(F.col("id").alias("customer_id"), (F.col("id") + 1).alias("ltv"))
+        out = keyed.lookup_by_id(table, requests)
+        rows = out.collect()          # runs this DataFrame's own adaptive plan
+        assert len(rows) == n and all(r["ltv"] == r["customer_id"] + 1 for r in rows)
+        assert "skew=true" in plan_text(out)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
