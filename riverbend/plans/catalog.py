@@ -186,21 +186,17 @@ def sat_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vault_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hub x satellite after two loads (suppliers, then customers as a later
-    file), latest satellite row per district."""
+    """The table-backed load chain run twice (suppliers as the first file,
+    customers as a later one) into fresh parquet tables, then the current
+    view: hub x satellite, latest satellite row per district."""
     t = _t(spark, sf_dir)
-    log = spark.createDataFrame(
-        [(1, "ERP", "STG_OPER", "2024-01-01 00:00:00"), (2, "ERP", "STG_OPER_2", "2024-02-01 00:00:00")],
-        "FILE_ID long, SOURCE string, FILE_NAME string, LOAD_TS string",
-    ).withColumn("LOAD_TS", F.col("LOAD_TS").cast("timestamp_ntz"))
-    hub = spark.createDataFrame([], HUB_DDL)
-    sat = spark.createDataFrame([], SAT_DDL)
-    for stage, name in ((tb.stage_from_supplier(t), "STG_OPER"), (tb.stage_from_customer(t), "STG_OPER_2")):
-        stage = materialize(stage, "stage")
-        row = vault.current_file_row(log, file_name=name)
-        hub = hub.unionByName(vault.hub_delta(stage, log, hub, file_name=name, file_row=row))
-        sat = sat.unionByName(vault.sat_delta(stage, log, sat, file_name=name, file_row=row))
-    return vault.current_view(hub, sat)
+    from riverbend.session import scratch_path
+    root = scratch_path(spark, "dwh")
+    vault.run_load_chain(tb.stage_from_supplier(t), root, file_name="STG_OPER",
+                         load_ts="2024-01-01 00:00:00")
+    vault.run_load_chain(tb.stage_from_customer(t), root, file_name="STG_OPER_2",
+                         load_ts="2024-02-01 00:00:00")
+    return vault.current_from_tables(spark, root)
 
 
 def key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
