@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 from riverbend.functions.scores import band
 from riverbend.functions.text import clean_long_tokens, letter_count
 from riverbend.operators import customer, keyed, records, report, search, stats, vault, windows
-from riverbend.operators.joins import latest_per_key
 from riverbend.plans import tables as tb
 from riverbend.plans.tables import Tables, codes_from_tables, incidents_from_tables
 from riverbend.session import apply_defaults, materialize

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from riverbend.operators import joins, keyed, report
-from riverbend.plans import tables as tb
 
 from conftest import SF_SMALL
 

@@ -1,6 +1,5 @@
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from riverbend.functions.text import head_before
 from riverbend.operators import report

@@ -57,3 +57,21 @@ def test_stream_stats(spark):
               .select(F.col("t").cast("timestamp_ntz").alias("ts"))
     r = stats.stream_stats(df, "ts").first()
     assert r["total_messages"] == 2 and abs(r["messages_per_sec"] - 0.2) < 1e-12
+
+
+def test_bool_query_must_not_and_numeric_range(spark):
+    df = spark.createDataFrame([(1, 1000, "a"), (2, 2000, "b"), (3, 3000, None), (4, 4000, "a")],
+                               "id long, CREATEDAT long, CHANNEL string")
+    rng = search.epoch_millis_range(df, "CREATEDAT", 2000, 4000)
+    hits = search.search(df, must=[rng], must_not=[F.col("CHANNEL") == "a"])
+    # null channel is not excluded by must_not (no match), as in an index
+    assert sorted(r["id"] for r in hits.collect()) == [2, 3]
+    top = search.search(df, terms_field="CHANNEL", size=1).collect()
+    assert [(r["key"], r["doc_count"]) for r in top] == [("a", 2)]
+
+
+def test_ms_range_on_timestamps_is_inclusive_at_ms_precision(spark):
+    df = spark.createDataFrame([("1970-01-01 00:00:01.000999",), ("1970-01-01 00:00:01.001",)], "t string") \
+              .select(F.col("t").cast("timestamp_ntz").alias("ts"))
+    got = df.filter(search.epoch_millis_range(df, "ts", 1000, 1000)).count()
+    assert got == 1
