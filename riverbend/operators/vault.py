@@ -231,10 +231,14 @@ def _append(spark: SparkSession, root: str, name: str, delta: DataFrame, check:
     from riverbend.session import materialize
     ddl, key, cluster = TABLES[name]
     delta = materialize(delta, f"delta-{name}")
-    n = delta.count()
+    # one aggregate gives the row count and the key check: distinct key
+    # tuples equal the rows exactly when keys are unique and never null
+    st = one_row(delta.agg(F.count(F.lit(1)).alias("n"),
+                           F.count_distinct(*[F.col(k) for k in key]).alias("d")))
+    n = st["n"]
     if n:
-        if check:
-            enforce(delta, key)
+        if check and st["d"] != n:
+            raise ValueError(f"{name}: primary key {key} violated (unique, not null)")
         # rows hash-distributed and sorted on the segmentation key
         (delta.repartition(*cluster).sortWithinPartitions(*cluster)
               .write.mode("append").parquet(f"{root.rstrip('/')}/{name}"))

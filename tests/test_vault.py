@@ -102,3 +102,9 @@ def test_table_chain_rerun_and_change(spark, tmp_dir):
     changed = vault.run_load_chain(stage(spark, total_b=6), root, load_ts="2024-01-03 00:00:00")
     assert changed == {"file_log": 0, "ods": 0, "hub": 0, "satellite": 1}
     assert vault.current_from_tables(spark, root).count() == 2
+
+
+def test_table_chain_rejects_duplicate_stage_keys(spark, tmp_dir):
+    dup = stage(spark).unionByName(stage(spark).limit(1).withColumn("Crimes_total", F.lit(99).cast("long")))
+    with pytest.raises(ValueError):
+        vault.run_load_chain(dup, tmp_dir + "/dwh", load_ts="2024-01-01 00:00:00")
