@@ -19,6 +19,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from riverbend.session import scratch_path
 from riverbend.sources.readers import read_json_inferred
@@ -31,7 +32,10 @@ BATCH_SECONDS = 5
 
 
 def infer_batch(batch: DataFrame) -> DataFrame:
-    """The batch's ``value`` texts as a DataFrame with an inferred schema."""
+    """The batch's ``value`` texts as a DataFrame with an inferred schema
+    (no columns at all for an empty batch)."""
+    if batch.isEmpty():
+        return batch.sparkSession.createDataFrame([], StructType([]))
     df = read_json_inferred(batch.sparkSession, batch)
     for field in df.schema.fields:
         log.info("Field data: %s with type %s", field.name, field.dataType.simpleString())

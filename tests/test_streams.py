@@ -179,3 +179,9 @@ def test_cdc_compaction_keeps_current_table(spark, tmp_dir):
     new_root = cdc.compact(spark, root, os.path.join(tmp_dir, "b"))
     after = sorted(map(tuple, cdc.current_table(spark, new_root).collect()))
     assert before == after and len(before) > 0
+
+
+def test_legacy_empty_batch_counts_nothing(spark):
+    from riverbend.streaming import legacy
+    empty = spark.createDataFrame([], "value string")
+    assert legacy.batch_type_counts(empty, F.timestamp_seconds(F.lit(0))).count() == 0
