@@ -40,12 +40,13 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
 
 def stream_stats(df: DataFrame, ts: str, keys: Sequence[str] = ()) -> DataFrame:
     """Total messages, first/last message time and messages per second
-    (total over the span between first and last message) per ``keys``."""
+    (total over the span between first and last message) per ``keys``; the
+    rate is null when all messages share one timestamp."""
     span = (F.unix_micros(F.max(F.col(ts).cast("timestamp")))
             - F.unix_micros(F.min(F.col(ts).cast("timestamp"))))
     return df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_messages"),
         F.min(ts).alias("first_message"),
         F.max(ts).alias("last_message"),
-        (F.count(F.lit(1)) / (span / F.lit(1e6))).alias("messages_per_sec"),
+        F.when(span > 0, F.count(F.lit(1)) / (span / F.lit(1e6))).alias("messages_per_sec"),
     )

@@ -75,3 +75,10 @@ def test_ms_range_on_timestamps_is_inclusive_at_ms_precision(spark):
               .select(F.col("t").cast("timestamp_ntz").alias("ts"))
     got = df.filter(search.epoch_millis_range(df, "ts", 1000, 1000)).count()
     assert got == 1
+
+
+def test_stream_stats_single_message_has_no_rate(spark):
+    df = spark.createDataFrame([("2024-01-01 00:00:00",)], "t string") \
+              .select(F.col("t").cast("timestamp_ntz").alias("ts"))
+    r = stats.stream_stats(df, "ts").first()
+    assert r["total_messages"] == 1 and r["messages_per_sec"] is None
