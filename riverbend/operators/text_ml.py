@@ -69,6 +69,18 @@ def rf_pipeline(text_col: str = "tweet", label_col: str = "label", seed: int = 4
     return Pipeline(stages=[tok, tf, lab, vec, rf])
 
 
+def fit_cached(estimator, train: DataFrame):
+    """Fit with the training rows kept in executor memory/disk for the
+    duration of the fit: every pipeline stage and optimizer pass reads them
+    again (the reference persists its reused join the same way).  A lost
+    executor's cached blocks are recomputed from the lineage."""
+    train = train.persist()
+    try:
+        return estimator.fit(train)
+    finally:
+        train.unpersist()
+
+
 def with_label_names(model: PipelineModel) -> PipelineModel:
     """Append IndexToString with the fitted label names (``predictedLabel``)."""
     labels = model.stages[2].labels
@@ -125,7 +137,7 @@ def grid_search(train: DataFrame, label_col: str = "label", parallelism: int = 4
     ev = MulticlassClassificationEvaluator(labelCol=label_col, metricName="accuracy")
     cvr = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev,
                          numFolds=CV_FOLDS, parallelism=parallelism, seed=seed)
-    fitted = cvr.fit(clean_words(train).select(label_col, "tokens"))
+    fitted = fit_cached(cvr, clean_words(train).select(label_col, "tokens"))
     best = int(np.argmax(fitted.avgMetrics))
     rows = []
     for i, (pm, metric) in enumerate(zip(grid, fitted.avgMetrics)):
@@ -169,7 +181,7 @@ def fit_foreign_model(train: DataFrame, label_col: str = "label") -> dict[str, n
     aggs = [F.count(F.lit(1)).alias("n")]
     for f in NUMERIC_FEATURES:
         aggs += [F.avg(f).alias(f"m_{f}"), F.var_pop(f).alias(f"v_{f}")]
-    by_class = {r["y"]: r for r in feats.groupBy("y").agg(*aggs).collect()}   # two rows
+    by_class = {r["y"]: r for r in feats.groupBy("y").agg(*aggs).collect()}   # one row per class
     c0, c1 = by_class.get(0), by_class.get(1)
     if c0 is None or c1 is None:
         only = 1.0 if c1 is not None else 0.0

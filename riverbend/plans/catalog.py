@@ -440,7 +440,7 @@ def lr_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
     from riverbend.operators import text_ml
     from riverbend.session import scratch_path
-    model = text_ml.lr_pipeline().fit(tb.labelled_documents(t))
+    model = text_ml.fit_cached(text_ml.lr_pipeline(), tb.labelled_documents(t))
     model = text_ml.save_and_reload(model, scratch_path(spark, "lr-model"))
     return text_ml.score(model, _all_documents(t))
 
@@ -453,7 +453,7 @@ def rf_stream_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riverbend.sources.readers import table_stream
     from riverbend.streaming import scoring
     train, _ = tb.labelled_documents(t).randomSplit([0.7, 0.3], seed=42)
-    model = text_ml.with_label_names(text_ml.rf_pipeline().fit(train))
+    model = text_ml.with_label_names(text_ml.fit_cached(text_ml.rf_pipeline(), train))
     stream = table_stream(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("tweet"))
     sink = scoring.score_stream(model, stream, "rf-bands")
     return (spark.read.parquet(sink).groupBy("clean_probability")
