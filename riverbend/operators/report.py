@@ -57,10 +57,18 @@ def top_k_per_group(counts: DataFrame, group: str, item: str, count: str,
 
 def incident_report(incidents: DataFrame, codes: DataFrame, *, name_sep: str = "-",
                     dedupe_key: bool = False, top_k: int = TOP_K, list_sep: str = LIST_SEP,
-                    codes_max_rows: int | None = None) -> DataFrame:
+                    codes_max_rows: int | None = None, districts: DataFrame | None = None,
+                    district_key: str | None = None) -> DataFrame:
     """Report over ``incidents(DISTRICT, OFFENSE_CODE, MONTH, LAT, LONG)`` and
     ``codes(CODE, NAME)``.
 
+    When the district comes from a dimension (``districts(district_key,
+    DISTRICT)``, incidents carrying ``district_key`` instead of ``DISTRICT``),
+    the codes are joined first and the facts pre-aggregated on
+    ``(district_key, MONTH, NAME)`` before the district join, so that join
+    shuffles partial aggregates instead of incident rows.  Sums and counts
+    add up across the join, fan-out included, so the result is the same.
+
     Columns: ``DISTRICT, crimes_total, crimes_monthly, frequent_crime_types,
     lat, lng``.  ``codes_max_rows`` forces a broadcast of the code dimension
     after a bounded row count; by default the planner decides from the size
@@ -75,11 +83,24 @@ def incident_report(incidents: DataFrame, codes: DataFrame, *, name_sep: str = "
         dim = checked_broadcast(dim, codes_max_rows)
     joined = incidents.join(dim, incidents["OFFENSE_CODE"] == dim["CODE"], "inner")
 
-    fine = joined.groupBy("DISTRICT", "MONTH", "NAME").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("LAT").alias("s_lat"), F.count("LAT").alias("c_lat"),
-        F.sum("LONG").alias("s_lng"), F.count("LONG").alias("c_lng"),
-    )
+    if districts is None:
+        fine = joined.groupBy("DISTRICT", "MONTH", "NAME").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("LAT").alias("s_lat"), F.count("LAT").alias("c_lat"),
+            F.sum("LONG").alias("s_lng"), F.count("LONG").alias("c_lng"),
+        )
+    else:
+        pre = joined.groupBy(district_key, "MONTH", "NAME").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("LAT").alias("s_lat"), F.count("LAT").alias("c_lat"),
+            F.sum("LONG").alias("s_lng"), F.count("LONG").alias("c_lng"),
+        )
+        dist = districts.select(F.col(district_key).alias("_dk"), "DISTRICT")
+        fine = (pre.join(dist, pre[district_key] == dist["_dk"], "left")
+                   .groupBy("DISTRICT", "MONTH", "NAME")
+                   .agg(F.sum("n").alias("n"), F.sum("s_lat").alias("s_lat"),
+                        F.sum("c_lat").alias("c_lat"), F.sum("s_lng").alias("s_lng"),
+                        F.sum("c_lng").alias("c_lng")))
     # small (districts x months x names); saved once so the facts are
     # scanned once although two branches read it
     fine = materialize(fine, "report-fine")

@@ -33,8 +33,12 @@ def dec4(col: str) -> F.Column:
 # --------------------------------------------------------------------------
 
 def incident_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagship report; the district comes from the supplier dimension, so the
+    facts are pre-aggregated before that join."""
     t = _t(spark, sf_dir)
-    rep = report.incident_report(incidents_from_tables(t), codes_from_tables(t), name_sep=" ")
+    districts = tb.supplier_district(t).withColumnRenamed("s_suppkey", "l_suppkey")
+    rep = report.incident_report(tb.incident_facts(t), codes_from_tables(t), name_sep=" ",
+                                 districts=districts, district_key="l_suppkey")
     return rep.select("DISTRICT", "crimes_total", "crimes_monthly", "frequent_crime_types",
                       dec4("lat"), dec4("lng"))
 

@@ -45,16 +45,22 @@ def supplier_district(t: Tables) -> DataFrame:
 def incidents_from_tables(t: Tables) -> DataFrame:
     """Incidents: one per lineitem; code = part, district = supplier's nation,
     month of the ship date, location = (extended price, discount)."""
-    facts = t.lineitem.select(
+    facts = incident_facts(t)
+    district = supplier_district(t)
+    return (facts.join(district, facts["l_suppkey"] == district["s_suppkey"], "left")
+                 .select("DISTRICT", "OFFENSE_CODE", "MONTH", "LAT", "LONG"))
+
+
+def incident_facts(t: Tables) -> DataFrame:
+    """Incidents before the district lookup: ``l_suppkey`` names the district
+    through the supplier dimension (see ``supplier_district``)."""
+    return t.lineitem.select(
         F.col("l_partkey").alias("OFFENSE_CODE"),
         "l_suppkey",
         F.month("l_shipdate").alias("MONTH"),
         money("l_extendedprice").alias("LAT"),
         money("l_discount").alias("LONG"),
     )
-    district = supplier_district(t)
-    return (facts.join(district, facts["l_suppkey"] == district["s_suppkey"], "left")
-                 .select("DISTRICT", "OFFENSE_CODE", "MONTH", "LAT", "LONG"))
 
 
 def codes_from_tables(t: Tables) -> DataFrame:

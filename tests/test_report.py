@@ -53,3 +53,14 @@ def test_mean_location(spark):
                                  ("D", 1, 2, Decimal("2.5"), None)], INC)
     row = report.incident_report(inc, codes).collect()[0]
     assert row["lat"] == Decimal("2") and row["lng"] == Decimal("-2")
+
+
+def test_district_dimension_path_equals_direct_path(spark):
+    from riverbend.plans import tables as tb
+    from conftest import SF_SMALL
+    t = tb.Tables(spark, SF_SMALL)
+    direct = report.incident_report(tb.incidents_from_tables(t), tb.codes_from_tables(t), name_sep=" ")
+    districts = tb.supplier_district(t).withColumnRenamed("s_suppkey", "l_suppkey")
+    via_dim = report.incident_report(tb.incident_facts(t), tb.codes_from_tables(t), name_sep=" ",
+                                     districts=districts, district_key="l_suppkey")
+    assert sorted(map(tuple, direct.collect())) == sorted(map(tuple, via_dim.collect()))
