@@ -133,8 +133,22 @@ def exact_mean(total: F.Column, count: F.Column, dtype) -> F.Column:
     return total / count
 
 
-def monthly_median(incidents: DataFrame) -> DataFrame:
+def counts_by_district(rows: DataFrame, by: list[str], districts: DataFrame | None = None,
+                       district_key: str | None = None, out: str = "counts") -> DataFrame:
+    """Row counts per ``(DISTRICT, *by)``.  With a district dimension the rows
+    are counted per ``(district_key, *by)`` first and only those counts are
+    joined and summed."""
+    if districts is None:
+        return rows.groupBy("DISTRICT", *by).agg(F.count(F.lit(1)).alias(out))
+    pre = rows.groupBy(district_key, *by).agg(F.count(F.lit(1)).alias(out))
+    dist = districts.select(F.col(district_key).alias("_dk"), "DISTRICT")
+    return (pre.join(dist, pre[district_key] == dist["_dk"], "left")
+               .groupBy("DISTRICT", *by).agg(F.sum(out).alias(out)))
+
+
+def monthly_median(incidents: DataFrame, districts: DataFrame | None = None,
+                   district_key: str | None = None) -> DataFrame:
     """``(DISTRICT, crimes_monthly)``: approximate median of per-month counts."""
-    return (incidents.groupBy("DISTRICT", "MONTH").agg(F.count(F.lit(1)).alias("counts"))
-                     .groupBy("DISTRICT")
-                     .agg(F.percentile_approx("counts", 0.5).alias("crimes_monthly")))
+    return (counts_by_district(incidents, ["MONTH"], districts, district_key)
+            .groupBy("DISTRICT")
+            .agg(F.percentile_approx("counts", 0.5).alias("crimes_monthly")))

@@ -36,9 +36,8 @@ def incident_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship report; the district comes from the supplier dimension, so the
     facts are pre-aggregated before that join."""
     t = _t(spark, sf_dir)
-    districts = tb.supplier_district(t).withColumnRenamed("s_suppkey", "l_suppkey")
     rep = report.incident_report(tb.incident_facts(t), codes_from_tables(t), name_sep=" ",
-                                 districts=districts, district_key="l_suppkey")
+                                 districts=_districts(t), district_key="l_suppkey")
     return rep.select("DISTRICT", "crimes_total", "crimes_monthly", "frequent_crime_types",
                       dec4("lat"), dec4("lng"))
 
@@ -81,18 +80,22 @@ def incident_report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
         "DISTRICT", "crimes_total", "crimes_monthly", "frequent_crime_types", dec4("lat"), dec4("lng"))
 
 
+def _districts(t: Tables) -> DataFrame:
+    return tb.supplier_district(t).withColumnRenamed("s_suppkey", "l_suppkey")
+
+
 def median_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
-    return report.monthly_median(incidents_from_tables(t)) \
+    return report.monthly_median(tb.incident_facts(t), _districts(t), "l_suppkey") \
                  .filter(F.col("DISTRICT").isNotNull())
 
 
 def top3_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
     codes = report.clean_codes(codes_from_tables(t), name_sep=" ")
-    inc = incidents_from_tables(t)
+    inc = tb.incident_facts(t)
     joined = inc.join(codes, inc["OFFENSE_CODE"] == codes["CODE"], "inner")
-    counts = joined.groupBy("DISTRICT", "NAME").agg(F.count(F.lit(1)).alias("counts"))
+    counts = report.counts_by_district(joined, ["NAME"], _districts(t), "l_suppkey")
     return report.top_k_per_group(counts, "DISTRICT", "NAME", "counts",
                                   out="frequent_crime_types") \
                  .filter(F.col("DISTRICT").isNotNull())
