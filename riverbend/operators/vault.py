@@ -66,13 +66,15 @@ def new_file_rows(stage: DataFrame, log: DataFrame, source: str = SOURCE,
     ``FILE_ID`` continues the log's maximum (auto increment).  The candidate
     is ``DISTINCT`` over constants, so there is at most one new row.
     """
-    next_id = one_row(log.agg((F.coalesce(F.max("FILE_ID"), F.lit(0)) + 1).cast("long").alias("n")))["n"]
-    cand = stage.select(F.lit(next_id).cast("long").alias("FILE_ID"),
+    # one pass over the (small) log: the next id, and whether this file is
+    # logged already (LEFT JOIN log ON constants WHERE log.FILE_ID IS NULL)
+    this_file = (F.col("SOURCE") == source) & (F.col("FILE_NAME") == file_name)
+    st = one_row(log.agg((F.coalesce(F.max("FILE_ID"), F.lit(0)) + 1).cast("long").alias("next_id"),
+                         F.max(this_file.cast("int")).alias("logged")))
+    cand = stage.select(F.lit(st["next_id"]).cast("long").alias("FILE_ID"),
                         F.lit(source).alias("SOURCE"), F.lit(file_name).alias("FILE_NAME"),
                         _ts(load_ts).alias("LOAD_TS")).distinct()
-    # LEFT JOIN log ON constants WHERE log.FILE_ID IS NULL: insert only if absent
-    logged = log.filter((F.col("SOURCE") == source) & (F.col("FILE_NAME") == file_name))
-    return cand if logged.isEmpty() else cand.limit(0)
+    return cand.limit(0) if st["logged"] == 1 else cand
 
 
 def latest_files(log: DataFrame) -> DataFrame:
