@@ -185,3 +185,16 @@ def test_legacy_empty_batch_counts_nothing(spark):
     from riverbend.streaming import legacy
     empty = spark.createDataFrame([], "value string")
     assert legacy.batch_type_counts(empty, F.timestamp_seconds(F.lit(0))).count() == 0
+
+
+def test_console_sink_and_await_any(spark, tmp_dir):
+    _write_batches(tmp_dir, [[{"type": "a", "bot": False, "timestamp": 1}]])
+    from riverbend.sources.sinks import start_stream
+    src = file_stream(spark, tmp_dir, "type string, bot boolean, timestamp long")
+    q1 = start_stream(src, os.path.join(tmp_dir, "c1"), fmt="console")
+    q2 = start_stream(src, os.path.join(tmp_dir, "c2"), fmt="memory", query_name="await_any_out")
+    runner.await_any(spark, 120)
+    runner.await_query(q1)
+    runner.await_query(q2)
+    spark.streams.resetTerminated()
+    assert spark.sql("SELECT count(*) FROM await_any_out").first()[0] == 1
