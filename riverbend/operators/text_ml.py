@@ -48,6 +48,9 @@ GRID_TREES = (40, 60, 100)
 GRID_DEPTH = (5, 8)
 CV_FOLDS = 3
 BLOCK_ROWS = 10_000
+# the RF is trained on the first part of a 0.1 / 0.9 split, itself split 0.7 / 0.3
+RF_SUBSET = (0.1, 0.9)
+RF_TRAIN_TEST = (0.7, 0.3)
 
 
 def lr_pipeline(text_col: str = "tweet", label_col: str = "label") -> Pipeline:
@@ -81,6 +84,14 @@ def fit_cached(estimator, train: DataFrame):
         train.unpersist()
 
 
+def rf_training_rows(labelled: DataFrame, seed: int = 42) -> DataFrame:
+    """The reference's RF training rows: the 10 % part of a 0.1 / 0.9 split,
+    then the 70 % part of a 0.7 / 0.3 split."""
+    subset, _ = labelled.randomSplit(list(RF_SUBSET), seed=seed)
+    train, _ = subset.randomSplit(list(RF_TRAIN_TEST), seed=seed)
+    return train
+
+
 def with_label_names(model: PipelineModel) -> PipelineModel:
     """Append IndexToString with the fitted label names (``predictedLabel``)."""
     labels = model.stages[2].labels
