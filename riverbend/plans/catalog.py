@@ -21,6 +21,9 @@ from riverbend.session import apply_defaults, materialize
 
 def _t(spark: SparkSession, sf_dir: str) -> Tables:
     apply_defaults(spark)
+    # the tables' timestamps are UTC wall-clock values (timestamp_ntz); casts
+    # to instants (watermarks, epoch millis) must read them as UTC
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return Tables(spark, sf_dir)
 
 
