@@ -367,6 +367,24 @@ def window_append_20_10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consumers.flatten_window(runner.read_table(spark, out))
 
 
+def window_append_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same windows from JSON change messages: decode, parse with the
+    narrow change-event schema, epoch seconds to timestamp, non-bot filter,
+    watermark, 20 s / 10 s windows, append sink with a checkpoint."""
+    t = _t(spark, sf_dir)
+    from riverbend.functions.time import epoch_seconds_to_ts
+    from riverbend.session import scratch_path
+    from riverbend.sources.readers import file_stream
+    from riverbend.streaming import consumers, runner
+    feed = scratch_path(spark, "change-feed")
+    tb.change_messages(t).write.json(feed)
+    stream = file_stream(spark, feed, "key string, value string", fmt="json", max_files_per_trigger=None)
+    typed = records.parse_json(stream, records.CHANGE_EVENT_NARROW)
+    changes = typed.select("type", "bot", epoch_seconds_to_ts("timestamp").alias("timestamp"))
+    out = runner.run_to_table(consumers.window_counts(consumers.non_bot_changes(changes)), "window-json")
+    return consumers.flatten_window(runner.read_table(spark, out))
+
+
 def filtered_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language stream without one channel and without bots, five fields."""
     _t(spark, sf_dir)
@@ -525,6 +543,7 @@ QUERIES = {
     "histogram10": histogram10,
     "clean_tokens": clean_tokens,
     "window_append_20_10": window_append_20_10,
+    "window_append_json": window_append_json,
     "filtered_stream": filtered_stream,
     "lang_index_search": lang_index_search,
     "cdc_apply_stream": cdc_apply_stream,

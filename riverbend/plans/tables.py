@@ -122,6 +122,15 @@ def change_events_of(events: DataFrame) -> DataFrame:
     )
 
 
+def change_messages(t: Tables) -> DataFrame:
+    """Events as change-feed messages: ``key`` = event id, ``value`` = the
+    change event as JSON (epoch-second ``timestamp``, as on the feed)."""
+    ev = change_events(t)
+    body = F.struct(F.col("bot"), F.col("id"), F.col("type"), F.col("user"),
+                    F.unix_seconds(F.col("timestamp").cast("timestamp")).alias("timestamp"))
+    return ev.select(F.col("id").cast("string").alias("key"), F.to_json(body).alias("value"))
+
+
 def language_stream_of(events: DataFrame) -> DataFrame:
     """Events as the language stream: created-at millis, channel (event type),
     user name, page (the props text), diff url (event id), bot flag."""
