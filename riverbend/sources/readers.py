@@ -98,7 +98,18 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType | str, fmt:
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str,
                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """One driver table (a single parquet file in ``sf_dir``) replayed as a stream."""
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").schema
-    return file_stream(spark, sf_dir, schema, fmt="parquet",
-                       max_files_per_trigger=max_files_per_trigger, glob=f"{name}.parquet")
+    """The table ``{sf_dir}/{name}.parquet`` replayed as a stream.
+
+    A table stored as one file is streamed from its folder with a file-name
+    filter (a file stream needs a folder); a table stored as a folder of
+    part files is streamed from that folder.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    batch = spark.read.parquet(path)
+    files = batch.inputFiles()
+    single = len(files) == 1 and files[0].rstrip("/").endswith(f"/{name}.parquet")
+    if single:
+        return file_stream(spark, sf_dir, batch.schema, fmt="parquet",
+                           max_files_per_trigger=max_files_per_trigger, glob=f"{name}.parquet")
+    return file_stream(spark, path, batch.schema, fmt="parquet",
+                       max_files_per_trigger=max_files_per_trigger)

@@ -198,3 +198,11 @@ def test_console_sink_and_await_any(spark, tmp_dir):
     runner.await_query(q2)
     spark.streams.resetTerminated()
     assert spark.sql("SELECT count(*) FROM await_any_out").first()[0] == 1
+
+
+def test_table_stream_from_a_folder_of_parts(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "sf")
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(3).write.parquet(os.path.join(root, "events.parquet"))
+    stream = table_stream(spark, root, "events")
+    q = runner.run_to_table(stream.select("event_id"), "parts-test")
+    assert spark.read.parquet(q).count() == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
