@@ -208,6 +208,28 @@ def vault_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vault.current_from_tables(spark, root)
 
 
+def report_to_vault(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole flow: incident report -> one parquet file -> read back as the
+    crimes table -> stage (warehouse types) -> table-backed load chain ->
+    current view."""
+    from riverbend.session import scratch_path
+    from riverbend.sources import readers, sinks
+    rep = incident_report(spark, sf_dir)
+    crimes_path = scratch_path(spark, "crimes-parquet")
+    sinks.write_parquet(rep, crimes_path, single_file=True)
+    crimes = readers.read_parquet(spark, crimes_path)
+    stage = crimes.select(
+        F.col("DISTRICT").alias("District"),
+        F.col("crimes_total").alias("Crimes_total"),
+        F.col("crimes_monthly").alias("Crimes_monthly"),
+        F.col("frequent_crime_types").alias("Frequent_crime_types"),
+        F.col("lat").cast("decimal(37,15)").alias("Lat"),
+        F.col("lng").cast("decimal(37,15)").alias("Lng"))
+    root = scratch_path(spark, "dwh")
+    vault.run_load_chain(stage, root, load_ts=FIXED_LOAD_TS)
+    return vault.current_from_tables(spark, root)
+
+
 def key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
     return vault.key_violations(t.orders, ["o_custkey"])
@@ -526,6 +548,7 @@ QUERIES = {
     "hub_delta": hub_delta,
     "sat_delta": sat_delta,
     "vault_current": vault_current,
+    "report_to_vault": report_to_vault,
     "key_check": key_check,
     "lookup_by_id": lookup_by_id,
     "lookup_by_attr": lookup_by_attr,

@@ -290,3 +290,7 @@ GROUP BY event_type ORDER BY doc_count DESC, key ASC LIMIT 10
 # event times truncated to whole seconds on the feed fall in the same 10 s
 # windows and meet the same watermark tests (window ends are whole multiples)
 SQL["window_append_json"] = SQL["window_append_20_10"]
+
+SQL["report_to_vault"] = "SELECT DISTRICT, crimes_total AS CRIMES_TOTAL, crimes_monthly AS CRIMES_MONTHLY, " \
+    "frequent_crime_types AS FREQUENT_CRIME_TYPES, CAST(lat AS DECIMAL(37,15)) AS LAT, " \
+    "CAST(lng AS DECIMAL(37,15)) AS LNG FROM (" + SQL["incident_report"] + ")"
