@@ -495,17 +495,26 @@ def lr_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_ml.score(model, _all_documents(t))
 
 
+TWEET_FEED_FILES = 4
+
+
 def rf_stream_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Random-forest pipeline fitted on the reference's training split (10 %,
-    then 70 % of that), applied to the documents replayed as a stream; score
-    bands counted per micro-batch."""
+    then 70 % of that), applied to a tweet feed: the documents as JSON
+    ``{"tweet": ...}`` files, read one file per trigger; score bands counted
+    per micro-batch."""
     t = _t(spark, sf_dir)
     from riverbend.operators import text_ml
-    from riverbend.sources.readers import table_stream
+    from riverbend.session import scratch_path
+    from riverbend.sources import sinks
+    from riverbend.sources.readers import file_stream
     from riverbend.streaming import scoring
     train = text_ml.rf_training_rows(tb.labelled_documents(t))
     model = text_ml.with_label_names(text_ml.fit_cached(text_ml.rf_pipeline(), train))
-    stream = table_stream(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("tweet"))
+    feed = scratch_path(spark, "tweet-feed")
+    sinks.write_json(t.documents.repartitionByRange(TWEET_FEED_FILES, "doc_id")
+                      .select(F.col("text").alias("tweet")), feed, mode="errorifexists")
+    stream = file_stream(spark, feed, "tweet string", fmt="json", max_files_per_trigger=1)
     sink = scoring.score_stream(model, stream, "rf-bands")
     return (spark.read.parquet(sink).groupBy("clean_probability")
                  .agg(F.sum("count").alias("count")))
