@@ -168,9 +168,10 @@ ODS_DDL, HUB_DDL, SAT_DDL = vault.ODS_DDL, vault.HUB_DDL, vault.SAT_DDL
 def _interrupted_load(spark: SparkSession, t: Tables):
     """Stage, log and targets after a load of the current file that stopped
     once the districts of the first two regions were written."""
-    # the stage and the file log are stored tables in the load chain
+    # the stage is a stored table in the load chain; the file log is read
+    # once, as the current file's scalar row
     stage = materialize(tb.stage_from_supplier(t), "stage")
-    log = materialize(_log_after_insert(spark, stage), "file-log")
+    log = _log_after_insert(spark, stage)
     first = stage.join(tb.districts_of_regions(t, tb.FIRST_LOAD_REGIONS), "District", "left_semi")
     row = vault.current_file_row(log)
     ods = vault.ods_delta(first, log, spark.createDataFrame([], ODS_DDL), file_row=row)
