@@ -63,31 +63,38 @@ def apply_defaults(spark: SparkSession) -> None:
 
 
 def ensure_scratch(spark: SparkSession) -> str:
-    """Return the shared scratch root, creating a local one only if unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    """Return the shared scratch root, creating a local one only if unset.
+
+    ``spark.checkpoint.dir`` is a static setting (fixed when the session
+    starts), so when it is absent the root becomes the SparkContext
+    checkpoint folder, set here to a fresh local folder (tests / laptop).
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         # tests / laptop only: no cluster-wide folder was configured
-        root = tempfile.mkdtemp(prefix="riverbend-scratch-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="riverbend-scratch-"))
+        root = spark.sparkContext.getCheckpointDir()
+    elif spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
 
 
+def join_root(root: str, name: str) -> str:
+    """``name`` under ``root``; a remote root keeps its scheme, a local one
+    (``file:`` or a plain path) becomes a plain local path."""
+    if "://" in root and not root.startswith("file:"):
+        return root.rstrip("/") + "/" + name
+    local = root[len("file:"):] if root.startswith("file:") else root
+    return os.path.join(local, name)
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh, unique folder path under the shared scratch root.
 
     Each streaming query and each materialised stage takes its own folder:
     a rerun against an old checkpoint would read nothing.
     """
-    root = ensure_scratch(spark)
-    name = f"{purpose}-{uuid.uuid4().hex}"
-    if "://" in root and not root.startswith("file:"):
-        return root.rstrip("/") + "/" + name
-    local = root[len("file:"):] if root.startswith("file:") else root
-    return os.path.join(local, name)
+    return join_root(ensure_scratch(spark), f"{purpose}-{uuid.uuid4().hex}")
 
 
 def materialize(df, purpose: str = "stage"):
