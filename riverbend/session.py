@@ -4,12 +4,14 @@ Everything here is plain PySpark configuration. The library never assumes a
 machine-local folder on a cluster: scratch output (streaming checkpoints,
 materialised stages, sink folders) lives under ``spark.checkpoint.dir``,
 which a cluster points at shared storage.  Only when that setting is absent
-(unit tests, a laptop) do we create one ourselves.
+and the master is ``local[...]`` (unit tests, a laptop) do we create one
+ourselves; any other master must set it.
 """
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -66,35 +68,69 @@ def ensure_scratch(spark: SparkSession) -> str:
     """Return the shared scratch root, creating a local one only if unset.
 
     ``spark.checkpoint.dir`` is a static setting (fixed when the session
-    starts), so when it is absent the root becomes the SparkContext
-    checkpoint folder, set here to a fresh local folder (tests / laptop).
+    starts).  When it is absent and the master is ``local[...]`` (tests, a
+    laptop) the root becomes the SparkContext checkpoint folder, set here to
+    a fresh local folder that is deleted at exit.  On any other master a
+    machine-local folder would lose the parts other executors write, so the
+    setting is required.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        # tests / laptop only: no cluster-wide folder was configured
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="riverbend-scratch-"))
+        master = spark.sparkContext.master
+        if not is_local_master(master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder when the master is {master!r}")
+        folder = tempfile.mkdtemp(prefix="riverbend-scratch-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(folder)
         root = spark.sparkContext.getCheckpointDir()
     elif spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
 
 
+def is_local_master(master: str) -> bool:
+    """True for masters whose executors share this machine's folders and JVM."""
+    return master == "local" or master.startswith("local[")
+
+
 def join_root(root: str, name: str) -> str:
-    """``name`` under ``root``; a remote root keeps its scheme, a local one
-    (``file:`` or a plain path) becomes a plain local path."""
-    if "://" in root and not root.startswith("file:"):
-        return root.rstrip("/") + "/" + name
-    local = root[len("file:"):] if root.startswith("file:") else root
-    return os.path.join(local, name)
+    """``name`` under ``root``; the root keeps its scheme, ``file:`` too (a
+    bare path would resolve against the cluster's default file system)."""
+    return root.rstrip("/") + "/" + name
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh, unique folder path under the shared scratch root.
 
     Each streaming query and each materialised stage takes its own folder:
-    a rerun against an old checkpoint would read nothing.
+    a rerun against an old checkpoint would read nothing.  The folder is
+    deleted when the session's JVM ends, or earlier by ``release``.
     """
-    return join_root(ensure_scratch(spark), f"{purpose}-{uuid.uuid4().hex}")
+    path = join_root(ensure_scratch(spark), f"{purpose}-{uuid.uuid4().hex}")
+    fs, jpath = _hadoop_path(spark, path)
+    fs.deleteOnExit(jpath)
+    return path
+
+
+def save(df, purpose: str = "stage") -> tuple:
+    """Write ``df`` once as a parquet table under the scratch root; returns
+    the table read back and its path (for ``release``)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def release(spark: SparkSession, *paths: str) -> None:
+    """Delete saved tables that nothing will read any more."""
+    for path in paths:
+        fs, jpath = _hadoop_path(spark, path)
+        fs.delete(jpath, True)
 
 
 def materialize(df, purpose: str = "stage"):
@@ -104,7 +140,4 @@ def materialize(df, purpose: str = "stage"):
     not re-run the inputs.  One job (``DataFrame.checkpoint`` would compute
     the plan twice unless it was cached first).  Use it for intermediate
     results that several branches read."""
-    spark = df.sparkSession
-    path = scratch_path(spark, purpose)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    return save(df, purpose)[0]
