@@ -2,15 +2,28 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riverbend.llm import simhash
+from riverbend.llm import packing, pii, simhash
 from riverbend.llm.common import table
 
+#: The key of the registered queries; a real run passes its own secret.
+PII_KEY = b"riverbend demonstration key"
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_table(table(spark, sf_dir, "documents"), PII_KEY)
+
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_table(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op10_simhash": op10_simhash}
+QUERIES = {f.__name__: f for f in (op4_packing, op6_pii, op10_simhash)}
 SQL: dict[str, str] = {}
