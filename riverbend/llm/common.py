@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -63,3 +63,30 @@ def whole_groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Tab
         held = [batch.slice(cut)]
     if held:
         yield pa.Table.from_batches(held)
+
+
+def fit_sample(docs: DataFrame, labels: DataFrame, label_col: str, learn: Callable[[str], Column], size: int,
+               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, label, text) of at most ``size`` labelled documents where ``learn``
+    of the id column holds, the first by a hash of the id.  Only labels 0 and 1 count; an id
+    with both counts as 1; of repeated ids the least text is taken.  The
+    chosen labels are ``size`` rows at most, so they are broadcast and no
+    text is shuffled but the sample's."""
+    known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
+             .where(F.col("id").isNotNull() & F.col("label").isin(0, 1)))
+    known = known.where(learn("id")).groupBy("id").agg(F.max("label").alias("label"))
+    chosen = known.orderBy(F.xxhash64("id"), "id").limit(size)
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return own.join(F.broadcast(chosen), "id").groupBy("id").agg(F.max("label").alias("label"), F.min("text").alias("text"))
+
+
+_BLANKS = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
+
+
+def plain_words(text: str) -> list[bytes]:
+    """Lower-cased words without ASCII marks; a mark ends a word."""
+    return text.lower().encode().translate(_BLANKS).split()
+
+
+def as_texts(column: pa.Array | pa.ChunkedArray) -> list[str]:
+    return pc.fill_null(column, "").to_pylist()

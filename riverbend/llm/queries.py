@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riverbend.llm import packing, pii, simhash
+from riverbend.llm import decontaminate, packing, pii, simhash, toxicity
 from riverbend.llm.common import table
 
 #: The key of the registered queries; a real run passes its own secret.
@@ -13,6 +13,14 @@ PII_KEY = b"riverbend demonstration key"
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -25,5 +33,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_table(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_packing, op6_pii, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_decontamination, op4_packing, op6_pii, op10_simhash)}
 SQL: dict[str, str] = {}
