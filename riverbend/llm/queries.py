@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riverbend.llm import decontaminate, packing, pii, simhash, toxicity
+from riverbend.llm import decontaminate, forest, html_text, packing, pii, simhash, toxicity
 from riverbend.llm.common import table
 
 #: The key of the registered queries; a real run passes its own secret.
@@ -29,9 +30,17 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_table(table(spark, sf_dir, "documents"), PII_KEY)
 
 
+def op8_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_table(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_decontamination, op4_packing, op6_pii, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_decontamination, op4_packing, op6_pii, op8_prefix_forest, op9_html, op10_simhash)}
 SQL: dict[str, str] = {}
