@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverbend.llm import decontaminate, forest, html_text, packing, pii, simhash, toxicity
+from riverbend.llm import decontaminate, forest, html_text, packing, pii, quality, simhash, toxicity
 from riverbend.llm.common import table
 
 #: The key of the registered queries; a real run passes its own secret.
@@ -22,6 +22,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -42,5 +46,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_table(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_decontamination, op4_packing, op6_pii, op8_prefix_forest, op9_html, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_quality, op4_packing, op6_pii, op8_prefix_forest, op9_html, op10_simhash)}
 SQL: dict[str, str] = {}
