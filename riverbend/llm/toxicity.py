@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverbend.llm.common import as_texts, fit_sample, held_out, plain_words, small_batches
+from riverbend.llm.common import as_texts, fit_sample, held_out, plain_words, ranges, small_batches
 from riverbend.session import release, save
 
 #: Labelled rows that are learned from, at most.
@@ -75,21 +75,30 @@ class BlockMaxIndex:
         self.most = np.zeros((n_terms, self.blocks))
         np.maximum.at(self.most.reshape(-1), cell, self.weight)
 
+    def _sums(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Entries of ``blocks`` with a term in common, and their cosines."""
+        lo = self.at[np.ix_(terms, blocks)].ravel()
+        n = self.at[np.ix_(terms, blocks + 1)].ravel() - lo
+        own = ranges(lo, n)
+        sums = np.bincount(self.entry[own], np.repeat(np.repeat(weights, len(blocks)), n) * self.weight[own], self.size)
+        hit = np.flatnonzero(sums)
+        return hit, sums[hit]
+
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> Neighbours:
-        """The k entries of largest cosine above 0; ties to the smaller entry."""
+        """The k entries of largest cosine above 0; ties to the smaller entry.
+        Blocks are read a few at a time, best bound first, then twice as many."""
         entries, scores = np.empty(0, np.int64), np.empty(0)
         bound = weights @ self.most[terms]
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or len(scores) == k and bound[b] < scores[-1] - 1e-9:
-                break
-            sums = np.zeros(BLOCK)
-            for t, w in zip(terms.tolist(), weights.tolist(), strict=True):
-                lo, hi = self.at[t, b], self.at[t, b + 1]
-                sums[self.entry[lo:hi] - b * BLOCK] += w * self.weight[lo:hi]
-            hit = np.flatnonzero(sums > 0)
-            entries, scores = np.append(entries, hit + b * BLOCK), np.append(scores, sums[hit])
+        left, size = np.argsort(-bound, kind="stable"), 2
+        left = left[bound[left] > 0]
+        while len(left):
+            hit, sums = self._sums(terms, weights, left[:size])
+            entries, scores = np.append(entries, hit), np.append(scores, sums)
             best = np.lexsort((entries, -np.round(scores, 9)))[:k]
             entries, scores = entries[best], scores[best]
+            left, size = left[size:], 2 * size
+            if len(scores) == k:
+                left = left[bound[left] >= scores[-1] - 1e-9]
         return Neighbours(entries, scores)
 
 
@@ -209,7 +218,8 @@ class ToxicityModel:
 
 
 def _term_counts(sample: DataFrame) -> DataFrame:
-    """Documents and positive documents of each term of (label, text)."""
+    """Texts and positive texts with each term, of (label, text); copies of a text count once."""
+    texts = sample.groupBy(F.xxhash64("text")).agg(F.max("label").alias("label"), F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -223,7 +233,7 @@ def _term_counts(sample: DataFrame) -> DataFrame:
                 [pa.array(found.keys(), pa.binary()), pa.array([x for x, _ in found.values()], pa.int64()), pa.array([x for _, x in found.values()], pa.int64())],
                 names=["term", "docs", "positive"])
 
-    counted = sample.select("label", "text").mapInArrow(run, "term binary, docs long, positive long")
+    counted = texts.select("label", "text").mapInArrow(run, "term binary, docs long, positive long")
     return counted.groupBy("term").agg(F.sum("docs").alias("docs"), F.sum("positive").alias("positive"))
 
 
@@ -271,7 +281,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     row every score is one half."""
     small_batches(docs.sparkSession)
     sample, path = save(fit_sample(docs, labels, label_col, lambda c: ~held_out(c, modulus, remainder), examples, id_col, text_col), "toxicity-fit")
-    n, positive = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    n, positive = (sample.groupBy(F.xxhash64("text")).agg(F.max("label").alias("label"))
+                   .agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first())
     kept = _term_counts(sample).where(f"docs >= {MIN_DOCS}").where(g_squared(F.col("docs"), F.col("positive"), n, positive) >= MIN_G2)
     terms = _without_doubles(kept.collect()) if n else []
     total, seen = _document_frequencies(docs, text_col, terms)

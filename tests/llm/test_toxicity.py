@@ -73,8 +73,8 @@ def test_query_on_held_out_labels(spark, scored):
 
 
 def test_small_tables(spark):
-    docs = spark.createDataFrame([(i, f"{'awful scum' if i % 3 == 0 else 'a fine text'} number", "a", 0.5) for i in range(90)]
-                                 + [(None, None, "a", 0.5), (3, "awful scum number", "a", 0.5), (500, "", "b", 0.1)],
+    docs = spark.createDataFrame([(i, f"{'awful scum' if i % 3 == 0 else 'a fine text'} number w{i}", "a", 0.5) for i in range(90)]
+                                 + [(None, None, "a", 0.5), (3, "awful scum number w3", "a", 0.5), (500, "", "b", 0.1)],
                                  "doc_id long, text string, label string, score double")
     labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(90)] + [(None, 1, 1), (7, 1, None), (8, 1, 5)],
                                    "doc_id long, quality int, toxic int")
