@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverbend.llm import decontaminate, forest, html_text, packing, pii, quality, simhash, toxicity
+from riverbend.llm import decontaminate, forest, html_text, packing, phrases, pii, quality, simhash, suffix_array, toxicity
 from riverbend.llm.common import table
 
 #: The key of the registered queries; a real run passes its own secret.
@@ -30,10 +30,18 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op5_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.remove_passages(table(spark, sf_dir, "documents")).drop("n_spans")
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_table(table(spark, sf_dir, "documents"), PII_KEY)
 
 
+def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array.remove_repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 def op8_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -46,5 +54,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_table(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_quality, op4_packing, op6_pii, op8_prefix_forest, op9_html, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_quality, op4_packing, op5_phrases, op6_pii, op7_suffix_array, op8_prefix_forest, op9_html, op10_simhash)}
 SQL: dict[str, str] = {}
