@@ -6,19 +6,20 @@ are gathered by *anchors*: of the runs of ``gram`` units in a window, the one
 with the least hash (winnowing).  Equal windows choose the same anchor at the
 same place, so they can only meet under the same anchor.
 
-1. One pass over the texts saves each row's anchors, with the span of windows
-   that chose them.  Anchors that occur once are dropped: none of their
-   windows can repeat.
-2. Texts with recurring anchors are joined to them, and each anchor's
-   *segment* (its windows' units) is dealt by the anchor to a shard.  Equal
-   segments are merged before and while shuffling, so copies by the thousand
-   are one row.  An anchor with more than ``hot`` occurrences is dealt by
-   single windows instead, so none of its neighbours gathers in one task.
+1. One pass over the texts counts the anchors.  Those that recur are marked
+   in a bitmap of fixed size (``BITMAP_BITS``), which goes to every task; a
+   marked anchor may be single (then its windows are found to be), an
+   unmarked one never recurs, and neither do its windows.
+2. A second pass deals each marked anchor's *segment* (its windows' units) by
+   the anchor to a shard.  Equal segments are merged before and after the
+   shuffle.  An anchor with more than ``hot`` occurrences (a second bitmap) is
+   dealt by single windows instead, so that nothing gathers in one task.
 3. The operator decides in each shard, by its own method, which windows are
    equal, and gives each window of a segment a value.
 4. The values go back to the documents, and the units they cover are removed.
 
-A row is known by its id and the hash of its text; nothing is collected.
+A row is known by its id and the hash of its text.  Only the bitmaps pass
+through the driver.
 """
 
 from __future__ import annotations
@@ -30,15 +31,15 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riverbend.llm.common import as_bytes, small_batches, whole_groups
-from riverbend.session import release, save
 
 #: Occurrences of an anchor beyond which its windows are dealt one by one.
 HOT = 8192
+#: Size of each of the two bitmaps: 16 MB.
+BITMAP_BITS = 27
 #: Units hashed at once, and bytes of segments that a shard task decides at once.
 CHUNK, SHARD_BYTES = 1 << 18, 1 << 21
 
@@ -149,76 +150,85 @@ def anchors(units: np.ndarray, plan: Plan) -> Anchors:
     return Anchors(*map(np.concatenate, zip(*found, strict=True)))
 
 
-def _digest(units: np.ndarray, plan: Plan) -> str:
-    return hashlib.sha256(plan.units.join(units)).hexdigest()
-
-
-def _anchor_rows(plan: Plan):
-    names = ["doc_id", "th", "row", "n_units", "sha", "anchor", "at", "first", "windows"]
-
+def _anchor_counts(plan: Plan):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            units = [plan.units.split(t) for t in as_bytes(batch.column("text"))]
-            found = [anchors(u, plan) for u in units]
-            lists = [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(f.at) for f in found])]), pa.int32()),
-                                              pa.array(np.concatenate([f[i] for f in found])).cast(pa.int64() if i == 0 else pa.int32())) for i in range(4)] if found else [
-                pa.array([], pa.list_(pa.int64() if i == 0 else pa.int32())) for i in range(4)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("th"), pa.array(np.arange(row, row + len(units))), pa.array([len(u) for u in units], pa.int64()),
-                 pa.array([_digest(u, plan) for u in units], pa.string()), *lists], names=names)
-            row += len(units)
+            found = [anchors(plan.units.split(t), plan).hash for t in as_bytes(batch.column("text"))]
+            own, times = np.unique(np.concatenate(found) if found else np.empty(0, np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(times, pa.int64())], names=["anchor", "times"])
 
     return run
 
 
-def _pieces(batch: pa.RecordBatch, plan: Plan) -> Iterator[tuple[int, np.ndarray, list[dict], list[bytes], list[bytes]]]:
-    """Of each text: its number in the batch, units, spans, and their segments with ids."""
-    for i, (text, spans) in enumerate(zip(as_bytes(batch.column("text")), batch.column("spans").to_pylist(), strict=True)):
-        units = plan.units.split(text)
-        segments = [plan.units.join(units[s["first"]:s["first"] + s["windows"] + plan.window - 1]) for s in spans]
-        yield i, units, spans, segments, [xxhash.xxh3_128_digest(x + s["windows"].to_bytes(4)) for x, s in zip(segments, spans, strict=True)]
+def _marked(bits: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    cell = anchor & ((1 << BITMAP_BITS) - 1)
+    return (bits[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _bitmaps(texts: DataFrame, plan: Plan, hot: int) -> tuple[np.ndarray, np.ndarray]:
+    """Marks of the anchors that recur, and of those with more than ``hot`` occurrences."""
+    counts = texts.select("text").mapInArrow(_anchor_counts(plan), "anchor long, times long").groupBy("anchor").agg(F.sum("times").alias("times"))
+    cell = F.col("anchor").bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
+    cells = counts.where("times > 1").select(cell.alias("cell"), (F.col("times") > hot).alias("hot"))
+    # Spark's bitmaps have 4,096 bytes each, so at most 2 ** (BITMAP_BITS - 14) rows come back
+    parts = (cells.groupBy(F.shiftright("cell", 15).alias("part"), "hot").agg(F.bitmap_construct_agg(F.col("cell").bitwiseAND(F.lit(32767))).alias("bits")).collect())
+    recurring, many = np.zeros(1 << (BITMAP_BITS - 3), np.uint8), np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
+    for p in parts:
+        own = slice(p.part << 12, (p.part + 1) << 12)
+        recurring[own] |= np.frombuffer(p.bits, np.uint8)
+        if p.hot:
+            many[own] |= np.frombuffer(p.bits, np.uint8)
+    return recurring, many
 
 
-def _segment_rows(plan: Plan):
-    names = ["doc_id", "shard", "sid", "skip", "windows", "at", "segment"]
+def _segments(text: bytes, plan: Plan, recurring: np.ndarray) -> Iterator[tuple[int, int, int, int, bytes, bytes]]:
+    """(anchor, its place, first window, number of windows, segment and its id) of a text's marked anchors."""
+    units = plan.units.split(text)
+    found = anchors(units, plan)
+    kept = np.flatnonzero(_marked(recurring, found.hash))
+    for anchor, at, first, windows in zip(*(x[kept].tolist() for x in found), strict=True):
+        segment = plan.units.join(units[first:first + windows + plan.window - 1])
+        yield anchor, at, first, windows, segment, xxhash.xxh3_128_digest(segment + windows.to_bytes(8))
+
+
+def _segment_rows(plan: Plan, marks):
+    """Segments for the shards; equal ones of a batch are one row."""
+    kinds = {"shard": pa.int64(), "sid": pa.binary(), "skip": pa.int32(), "windows": pa.int32(), "at": pa.int32(), "segment": pa.binary(), "least": pa.int64(), "count": pa.int64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        recurring, many = marks.value
         for batch in batches:
-            docs = batch.column("doc_id").to_pylist()
-            rows: list[tuple] = []
-            for i, units, spans, segments, ids in _pieces(batch, plan):
-                for s, segment, sid in zip(spans, segments, ids, strict=True):
-                    offset = s["at"] - s["first"]
-                    if not s["hot"]:
-                        rows.append((docs[i], s["anchor"], sid, 0, s["windows"], offset, segment))
+            rows: dict[tuple[bytes, int], list] = {}
+            for doc, text in zip(batch.column("doc_id").to_pylist(), as_bytes(batch.column("text")), strict=True):
+                doc = NO_ID if doc is None else doc
+                for anchor, at, first, windows, segment, sid in _segments(text, plan, recurring):
+                    if (known := rows.get((sid, -1))) or (known := rows.get((sid, 0))):
+                        for j in range(known[3]) if known[3] else (0,):
+                            own = rows[sid, j] if known[3] else known
+                            own[6] = min(own[6], doc)
+                            own[7] += 1
+                        continue
+                    if not _marked(many, np.array([anchor]))[0]:
+                        rows[sid, -1] = [anchor, sid, 0, 0, windows, segment, doc, 1, at - first]
                         continue
-                    for j in range(s["windows"]):
-                        own = plan.units.join(units[s["first"] + j:s["first"] + j + plan.window])
-                        rows.append((docs[i], xxhash.xxh64_intdigest(own) - (1 << 63), sid, j, 1, offset - j, own))
-                if len(rows) > 8192:
-                    yield _segment_batch(rows, names)
-                    rows = []
-            yield _segment_batch(rows, names)
+                    units = plan.units.split(segment)
+                    for j in range(windows):
+                        own = plan.units.join(units[j:j + plan.window])
+                        rows[sid, j] = [xxhash.xxh64_intdigest(own) - (1 << 63), sid, j, windows, 1, own, doc, 1, at - first - j]
+            columns = list(zip(*rows.values(), strict=True)) or [()] * 9
+            shard, sid, skip, _, windows, segment, least, count, at = columns
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((shard, sid, skip, windows, at, segment, least, count), kinds.values(), strict=True)], names=list(kinds))
 
     return run
 
 
-def _segment_batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-    columns = zip(*rows, strict=True) if rows else [[]] * 7
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
-
-
-def _places(plan: Plan):
+def _places(plan: Plan, marks):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        recurring, _ = marks.value
         for batch in batches:
-            at, first, sid = [], [], []
-            for i, _, spans, _, ids in _pieces(batch, plan):
-                at += [i] * len(ids)
-                first += [s["first"] for s in spans]
-                sid += ids
-            own = pa.array(at, pa.int64())
+            rows = [(i, first, sid) for i, text in enumerate(as_bytes(batch.column("text"))) for _, _, first, _, _, sid in _segments(text, plan, recurring)]
+            i, first, sid = zip(*rows, strict=True) if rows else ((), (), ())
+            own = pa.array(i, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(own), batch.column("th").take(own), pa.array(first, pa.int32()), pa.array(sid, pa.binary())],
                                              names=["doc_id", "th", "first", "sid"])
 
@@ -240,15 +250,22 @@ NO_ID = np.iinfo(np.int64).max
 
 
 def _decide(resolve: Callable[[Segments], np.ndarray]):
-    """``resolve`` gives one value for each window of each segment, in order."""
+    """``resolve`` gives one value for each window of each segment, in order;
+    runs of windows with one value become (from, n, value)."""
 
     def values(parts: list[pa.Table]) -> pa.RecordBatch:
         rows = pa.concat_tables(parts).combine_chunks()
         windows = rows.column("windows").to_numpy().astype(np.int64)
         own = Segments(rows.column("shard").to_numpy(), rows.column("segment").to_pylist(), windows, rows.column("at").to_numpy().astype(np.int64),
-                       rows.column("least").fill_null(NO_ID).to_numpy(), rows.column("count").to_numpy())
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(windows)]), pa.int32()), pa.array(resolve(own), pa.int64()))
-        return pa.RecordBatch.from_arrays([rows.column("sid").chunk(0), rows.column("skip").chunk(0), lists], names=["sid", "skip", "value"])
+                       rows.column("least").to_numpy(), rows.column("count").to_numpy())
+        value = resolve(own)
+        segment = np.repeat(np.arange(len(windows)), windows)
+        begin = np.flatnonzero(np.concatenate(([True], (value[1:] != value[:-1]) | (segment[1:] != segment[:-1]))))
+        n = np.diff(np.append(begin, len(value)))
+        first = begin - (np.cumsum(windows) - windows)[segment[begin]] + rows.column("skip").to_numpy()[segment[begin]]
+        runs = pa.StructArray.from_arrays([pa.array(first, pa.int32()), pa.array(n, pa.int32()), pa.array(value[begin], pa.int64())], names=["from", "n", "value"])
+        at = np.concatenate([[0], np.cumsum(np.bincount(segment[begin], minlength=len(windows)))])
+        return pa.RecordBatch.from_arrays([rows.column("sid").chunk(0), pa.ListArray.from_arrays(pa.array(at, pa.int32()), runs)], names=["sid", "runs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -265,23 +282,21 @@ def _decide(resolve: Callable[[Segments], np.ndarray]):
 
 
 def _removed(plan: Plan):
-    names = ["doc_id", "th", "n_removed", "n_spans", "kept"]
+    names = ["doc_id", "n_units", "n_removed", "n_spans", "kept_sha256"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, th, text, starts in zip(batch.column("doc_id").to_pylist(), batch.column("th").to_pylist(), as_bytes(batch.column("text")), batch.column("starts").to_pylist(), strict=True):
+            for text, runs in zip(as_bytes(batch.column("text")), batch.column("runs").to_pylist(), strict=True):
                 units = plan.units.split(text)
-                depth = np.zeros(len(units) + 1, np.int64)
-                starts = np.array(starts)
-                np.add.at(depth, starts, 1)
-                np.add.at(depth, starts + plan.window, -1)
-                gone = np.cumsum(depth)[:-1] > 0
+                gone = np.zeros(len(units), bool)
+                for r in runs or ():
+                    gone[r["from"]:r["from"] + r["n"] + plan.window - 1] = True
                 spans = int(np.count_nonzero(gone & ~np.concatenate(([False], gone[:-1]))))
-                rows.append((doc, th, int(gone.sum()), spans, _digest(units[~gone], plan)))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
-            columns = zip(*rows, strict=True) if rows else [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+                rows.append((len(units), int(gone.sum()), spans, hashlib.sha256(plan.units.join(units[~gone])).hexdigest()))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
+            columns = zip(*rows, strict=True) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=names)
 
     return run
 
@@ -294,33 +309,20 @@ def remove_repeats(docs: DataFrame, plan: Plan, resolve: Callable[[Segments], np
     spark = docs.sparkSession
     small_batches(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
-    rows, _ = save(texts.mapInArrow(_anchor_rows(plan), "doc_id long, th long, row long, n_units long, sha string, anchor array<long>, at array<int>, first array<int>, windows array<int>"), "anchors")
-    each = rows.select("row", F.posexplode("anchor").alias("n", "anchor"))
-    recurring = each.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1")
-    kept = each.join(recurring, "anchor").select("row", F.struct("n", (F.col("times") > hot).alias("hot")).alias("s"))
-    kept = kept.groupBy("row").agg(F.collect_list("s").alias("kept"))
-    spans = F.transform("kept", lambda s: F.struct(*[F.get(F.col(c), s["n"]).alias(c) for c in ("anchor", "at", "first", "windows")], s["hot"].alias("hot")))
-    kept = rows.join(kept, "row").select("doc_id", "th", "row", spans.alias("spans"))
-    # rows with the same id and text have the same spans
-    kept = kept.join(kept.groupBy("doc_id", "th").agg(F.min("row").alias("row")).select("row"), "row").drop("row")
-    kept = kept.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "spans")
+    marks = spark.sparkContext.broadcast(_bitmaps(texts, plan, hot))  # of fixed size
+    keys = ["shard", "sid", "skip", "windows", "at", "segment"]
+    segments = texts.select("doc_id", "text").mapInArrow(
+        _segment_rows(plan, marks), "shard long, sid binary, skip int, windows int, at int, segment binary, least long, count long")
+    segments = segments.repartition("shard").groupBy(*keys).agg(F.min("least").alias("least"), F.sum("count").alias("count"))
+    values = (segments.sortWithinPartitions("shard", "sid", "skip")
+              .mapInArrow(_decide(resolve), "sid binary, runs array<struct<from: int, n: int, value: long>>"))
+    places = texts.mapInArrow(_places(plan, marks), "doc_id long, th long, first int, sid binary")
+    # runs of rows with the same id and text are the same, and gathered once
+    runs = F.transform(F.filter("runs", lambda r: goes(r["value"], F.col("doc_id"))), lambda r: F.struct((F.col("first") + r["from"]).alias("from"), r["n"].alias("n")))
+    gone = places.join(values, "sid").select("doc_id", "th", runs.alias("runs")).where(F.size("runs") > 0)
+    gone = gone.groupBy("doc_id", "th").agg(F.flatten(F.collect_set("runs")).alias("runs"))
+    gone = gone.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "runs")
     on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))
-    found, found_path = save(texts.join(kept, on).select("doc_id", "th", "text", "spans"), "recurring")
-
-    segments = found.mapInArrow(_segment_rows(plan), "doc_id long, shard long, sid binary, skip int, windows int, at int, segment binary")
-    segments = segments.groupBy("shard", "sid", "skip", "windows", "at", "segment").agg(F.min("doc_id").alias("least"), F.count("*").alias("count"))
-    values = (segments.repartition("shard").sortWithinPartitions("shard", "sid", "skip")
-              .mapInArrow(_decide(resolve), "sid binary, skip int, value array<long>"))
-    places = found.mapInArrow(_places(plan), "doc_id long, th long, first int, sid binary").distinct()
-    starts = F.filter(F.transform("value", lambda v, i: F.when(goes(v, F.col("doc_id")), F.col("first") + F.col("skip") + i)), lambda x: x.isNotNull())
-    gone = places.join(values, "sid").select("doc_id", "th", starts.alias("starts")).where(F.size("starts") > 0)
-    gone = gone.groupBy("doc_id", "th").agg(F.flatten(F.collect_list("starts")).alias("starts"))
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "starts")
-    changed, _ = save(found.join(gone, on).select("doc_id", "th", "text", "starts")
-                      .mapInArrow(_removed(plan), "doc_id long, th long, n_removed long, n_spans long, kept string").distinct(), "removed")
-    release(spark, found_path)
-    changed = changed.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "n_removed", "n_spans", "kept")
-    nothing = F.lit(0).cast("long")
-    return rows.select("doc_id", "th", "n_units", "sha").join(changed, on, "left").select(
-        F.col("doc_id").alias(id_col), "n_units", F.coalesce("n_removed", nothing).alias("n_removed"),
-        F.coalesce("n_spans", nothing).alias("n_spans"), F.coalesce("kept", "sha").alias("kept_sha256"))
+    return (texts.join(gone, on, "left").select("doc_id", "text", "runs")
+            .mapInArrow(_removed(plan), "doc_id long, n_units long, n_removed long, n_spans long, kept_sha256 string")
+            .withColumnRenamed("doc_id", id_col))

@@ -24,85 +24,96 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riverbend.llm.common import ranges
 from riverbend.llm.repeats import HOT, Bytes, Plan, Segments, remove_repeats
 
-WINDOW, GRAM = 200, 48
+WINDOW, GRAM = 200, 32
+
+
+def names_of(keys: np.ndarray) -> np.ndarray:
+    """The place of each key in the order of the distinct keys."""
+    order = np.argsort(keys)
+    sorted_ = keys[order]
+    names = np.empty(len(keys), np.int64)
+    names[order] = np.cumsum(np.concatenate([[False], sorted_[1:] != sorted_[:-1]])) if len(keys) else names
+    return names
+
+
+def less_than(names: np.ndarray, among: np.ndarray, size: int) -> np.ndarray:
+    """For each name, how many of ``among`` are smaller; names are below ``size``."""
+    counts = np.bincount(among, minlength=size)
+    return (np.cumsum(counts) - counts)[names]
 
 
 def suffix_ranks(letters: np.ndarray, depth: int) -> np.ndarray:
     """Rank of the suffix at each place, by its first ``depth`` letters at
-    least; suffixes equal so far may share a rank.  Letters are positive."""
+    least; suffixes equal so far share a rank.  Letters are positive."""
     n = len(letters)
-    t = np.concatenate([letters, np.zeros(3, np.int64)])
-    places = np.arange(n + 1)  # one more, so that a suffix always ends in the sample
-    first, second = places[places % 3 == 1], places[places % 3 == 2]
+    if not n:
+        return np.empty(0, np.int64)
+    t = np.concatenate([letters, np.zeros(6, np.int64)])
+    base = int(letters.max()) + 1
+    # places 0 to n: one more than letters, so that what follows a place in the rest lies in the sample
+    rest, first, second = (np.arange(r, n + (r > 0), 3) for r in range(3))
     sample = np.concatenate([first, second])
-    sample = sample[sample < n + 1]
-    base = int(letters.max(initial=0)) + 1
-    t = np.concatenate([t, np.zeros(3, np.int64)])
-    triples = (t[sample] * base + t[sample + 1]) * base + t[sample + 2] if base < 1 << 20 else _pair(_pair(t[sample], t[sample + 1]), t[sample + 2])
-    distinct, names = np.unique(triples, return_inverse=True)
-    if depth > 3 and len(distinct) < len(sample):
-        names = suffix_ranks(names + 1, -(-depth // 3))
-        names = np.unique(names, return_inverse=True)[1]
-    rank = np.zeros(n + 6, np.int64)
+    pairs = t[sample] * base + t[sample + 1]
+    if base > 1 << 20:  # three letters don't fit into one number
+        pairs = names_of(pairs)
+    names = names_of(pairs * base + t[sample + 2])
+    size = int(names.max()) + 1
+    if depth > 3 and size < len(sample):
+        names = names_of(suffix_ranks(names + 1, -(-depth // 3)))
+        size = int(names.max()) + 1
+    rank = np.zeros(n + 6, np.int64)  # 0: beyond the end
     rank[sample] = names + 1
-    if not n:
-        return rank[:0]
-    top = int(names.max(initial=0)) + 2
-    rest = places[(places % 3 == 0) & (places < n)]
-    key = t[rest] * top + rank[rest + 1]
-    order = np.argsort(key, kind="stable")
-    # a suffix of the rest against those at 1 modulo 3: one letter, then ranks; at 2 modulo 3: two letters, then ranks
-    key1 = np.sort(t[first] * top + rank[first + 1])
-    pair, pair_rest = t[second] * base + t[second + 1], t[rest] * base + t[rest + 1]
-    key2, key2_rest = _triple_keys(pair, rank[second + 2], pair_rest, rank[rest + 2], top)
-    less = np.searchsorted(key1, key, "left") + np.searchsorted(np.sort(key2), key2_rest, "left")
-    own = np.searchsorted(key[order], key, "left")
+    # against places 1 modulo 3: one letter, then ranks in the sample
+    one = names_of(np.concatenate([t[rest] * (size + 1) + rank[rest + 1], t[first] * (size + 1) + rank[first + 1]]))
+    # against places 2 modulo 3: two letters, then ranks
+    both = np.concatenate([rest, second])
+    pairs = t[both] * base + t[both + 1]
+    if base > 1 << 20 or base * base * (size + 1) > 1 << 62:
+        pairs = names_of(pairs)
+    two = names_of(pairs * (size + 1) + rank[both + 2])
+    r = len(rest)
     out = np.empty(n + 1, np.int64)
-    out[rest] = less + own
-    out[first] = np.searchsorted(np.sort(names), names[: len(first)], "left") + np.searchsorted(key[order], t[first] * top + rank[first + 1], "left")
-    out[second] = np.searchsorted(np.sort(names), names[len(first):], "left") + np.searchsorted(np.sort(key2_rest), key2, "left")
+    out[rest] = less_than(one[:r], one[:r], len(one)) + less_than(one[:r], one[r:], len(one)) + less_than(two[:r], two[r:], len(two))
+    within = less_than(names, names, size)
+    out[first] = within[: len(first)] + less_than(one[r:], one[:r], len(one))
+    out[second] = within[len(first):] + less_than(two[r:], two[:r], len(two))
     return out[:n]
 
 
-def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Numbers in the order of the pairs."""
-    return np.unique(a, return_inverse=True)[1] * (int(b.max(initial=0)) + 1) + b
-
-
-def _triple_keys(pair: np.ndarray, rank: np.ndarray, pair2: np.ndarray, rank2: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of (pair, rank) in one order for both sides."""
-    if int(max(pair.max(initial=0), pair2.max(initial=0)) + 1) * top < 1 << 62:
-        return pair * top + rank, pair2 * top + rank2
-    named = np.unique(np.concatenate([pair, pair2]), return_inverse=True)[1]
-    return named[: len(pair)] * top + rank, named[len(pair):] * top + rank2
-
-
 def resolve(plan: Plan):
     """How often each window occurs, over all documents and places."""
 
     def run(rows: Segments) -> np.ndarray:
-        text = b"".join(rows.texts)
+        out = np.repeat(rows.count, rows.windows)
+        # equal segments are one row by now; the only segment of its anchor has nothing to be compared with
+        change = rows.shard[1:] != rows.shard[:-1]
+        alone = np.concatenate(([True], change)) & np.concatenate((change, [True]))
+        own = np.flatnonzero(~alone)
+        if not len(own):
+            return out
+        texts, windows = [rows.texts[i] for i in own.tolist()], rows.windows[own]
+        text = b"".join(texts)
         ranks = suffix_ranks(np.frombuffer(text, np.uint8).astype(np.int64) + 1, plan.window)
-        lengths = np.array([len(x) for x in rows.texts], np.int64)
-        begin = np.cumsum(lengths) - lengths
-        number = np.repeat(np.arange(len(lengths)), rows.windows)
-        offset = np.arange(len(number)) - np.repeat(np.cumsum(rows.windows) - rows.windows, rows.windows)
-        place = begin[number] + offset
-        order = np.argsort(ranks[place], kind="stable")
+        lengths = np.array([len(x) for x in texts], np.int64)
+        number = np.repeat(np.arange(len(texts)), windows)
+        place = ranges(np.cumsum(lengths) - lengths, windows)
+        order = np.argsort(ranks[place])
         sorted_ = place[order]
         # compare the prefixes of neighbours, eight bytes at a time
         padded = np.frombuffer(text + bytes(8), np.uint8)
         eight = np.ndarray((len(padded) - 7,), "<u8", padded.data, strides=(1,))
-        same = np.ones(max(len(sorted_) - 1, 0), bool)
+        same = np.ones(len(sorted_) - 1, bool)
         for at in [*range(0, plan.window - 7, 8), plan.window - 8]:
             x = eight[sorted_ + at]
             same &= x[1:] == x[:-1]
-        group = np.concatenate([[0], np.cumsum(~same)]) if len(sorted_) else np.empty(0, np.int64)
-        counts = np.bincount(group, rows.count[number[order]]).astype(np.int64)
-        out = np.empty(len(number), np.int64)
-        out[order] = counts[group]
+        group = np.concatenate([[0], np.cumsum(~same)])
+        counts = np.bincount(group, rows.count[own][number[order]]).astype(np.int64)
+        found = np.empty(len(number), np.int64)
+        found[order] = counts[group]
+        out[np.repeat(~alone, rows.windows)] = found
         return out
 
     return run
