@@ -15,11 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riverbend.operators.joins import checked_broadcast
 
-
-def purchaser_weights(orders: DataFrame, products: DataFrame, lines: DataFrame | None = None,
-                      products_max_rows: int | None = None) -> DataFrame:
+def purchaser_weights(orders: DataFrame, products: DataFrame, lines: DataFrame | None = None) -> DataFrame:
     """``(purchaser, total_weight)``.
 
     ``orders(id, purchaser[, product_id])``; when ``lines(order_id,
@@ -27,8 +24,6 @@ def purchaser_weights(orders: DataFrame, products: DataFrame, lines: DataFrame |
     ``products(id, weight)``.
     """
     prod = products.select(F.col("id").alias("_pid"), F.col("weight"))
-    if products_max_rows:
-        prod = checked_broadcast(prod, products_max_rows)
     if lines is None:
         items = orders.select("purchaser", "product_id")
         weighted = items.join(prod, items["product_id"] == prod["_pid"], "left")

@@ -1,9 +1,8 @@
-"""Join helpers: size-checked broadcast, anti joins, latest row per key.
+"""Join helpers: anti joins, latest row per key.
 
-Broadcasting is only done behind a proven bound: ``checked_broadcast`` runs a
-bounded count (each task stops after ``max_rows + 1`` rows) and falls back to
-an ordinary shuffle join, which AQE may still turn into a broadcast at run
-time once real sizes are known, or split when a key is skewed.
+Whether a side is broadcast is left to the planner, which decides by bytes
+(``spark.sql.autoBroadcastJoinThreshold``), again at run time under AQE once
+real sizes are known; larger sides are shuffled and skewed keys split.
 """
 
 from __future__ import annotations
@@ -13,22 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a dimension may hold and still be shipped to every executor.  With
-# the narrow projections used here (a key and one or two short columns)
-# this stays far below executor memory.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded scan)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` if it holds at most ``max_rows`` rows, else ``df``."""
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
 def anti_join(src: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``src`` with no row in ``target`` on ``keys`` (LEFT JOIN .. IS NULL).
 
@@ -44,8 +27,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
     Built as ``max(struct(order..., rest...))`` per key: an aggregate with a
     map-side partial step, so a key holding a third of the table is reduced
-    inside every input task before the shuffle instead of being sorted in
-    one task.  ``order`` should end in a unique column to make ties
+    inside every input task before the shuffle.  (Spark runs a maximum of
+    structs as a sort aggregate: each task sorts its own rows by key.)  ``order`` should end in a unique column to make ties
     deterministic.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]

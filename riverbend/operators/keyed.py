@@ -50,10 +50,15 @@ def lookup_by_attr(table: DataFrame, requests: DataFrame, attr: str = "phone",
     return req.join(first, req["_ra"] == first["_a"], "left").drop("_a", "_ra")
 
 
-def upsert(table: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Records of ``updates`` replace those of ``table`` with the same key."""
-    kept = table.join(updates.select(*keys).distinct(), list(keys), "left_anti")
-    return kept.unionByName(updates.select(*table.columns))
+def upsert(table: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """Records of ``updates`` replace those of ``table`` with the same key.
+
+    Of several updates of a key the last by ``order`` wins (columns of
+    ``updates``; without any, the largest record), so a key has one row.
+    """
+    rest = [c for c in table.columns if c not in keys]
+    last = latest_per_key(updates, list(keys), list(order) or rest).select(*table.columns)
+    return table.join(last.select(*keys), list(keys), "left_anti").unionByName(last)
 
 
 def apply_changes(changes: DataFrame, keys: Sequence[str], order: Sequence[str],

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The field names on the wire, of the change feed and of CDC envelopes.
 # Page-change event as published on the change feed (FIXTURES "page change event").
 _PAIR = T.StructType([T.StructField("new", T.LongType()), T.StructField("old", T.LongType())])
 CHANGE_EVENT_SCHEMA = T.StructType([
@@ -60,24 +61,26 @@ _CUSTOMER_ROW = T.StructType([
     T.StructField("email", T.StringType()),
 ])
 
+CDC_SOURCE = T.StructType([
+    T.StructField("version", T.StringType()),
+    T.StructField("connector", T.StringType()),
+    T.StructField("name", T.StringType()),
+    T.StructField("db", T.StringType()),
+    T.StructField("ts_usec", T.LongType()),
+    T.StructField("txId", T.LongType()),
+    T.StructField("lsn", T.LongType()),
+    T.StructField("schema", T.StringType()),
+    T.StructField("table", T.StringType()),
+    T.StructField("snapshot", T.BooleanType()),
+    T.StructField("last_snapshot_record", T.BooleanType()),
+    T.StructField("xmin", T.LongType()),
+])
+
 CDC_ENVELOPE_SCHEMA = T.StructType([
     T.StructField("payload", T.StructType([
         T.StructField("before", _CUSTOMER_ROW),
         T.StructField("after", _CUSTOMER_ROW),
-        T.StructField("source", T.StructType([
-            T.StructField("version", T.StringType()),
-            T.StructField("connector", T.StringType()),
-            T.StructField("name", T.StringType()),
-            T.StructField("db", T.StringType()),
-            T.StructField("ts_usec", T.LongType()),
-            T.StructField("txId", T.LongType()),
-            T.StructField("lsn", T.LongType()),
-            T.StructField("schema", T.StringType()),
-            T.StructField("table", T.StringType()),
-            T.StructField("snapshot", T.BooleanType()),
-            T.StructField("last_snapshot_record", T.BooleanType()),
-            T.StructField("xmin", T.LongType()),
-        ])),
+        T.StructField("source", CDC_SOURCE),
         T.StructField("op", T.StringType()),
         T.StructField("ts_ms", T.LongType()),
     ])),
@@ -111,17 +114,16 @@ def to_json_text(df: DataFrame, alias: str = "value") -> DataFrame:
     return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias(alias))
 
 
-def parse_cdc(df: DataFrame, col: str = "value") -> DataFrame:
-    """Flatten a CDC envelope: ``op, ts_ms, before_*, after_*, source_*``."""
+def parse_cdc(df: DataFrame, col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Flatten a CDC envelope: ``op, ts_ms, before_*, after_*, source_*`` (all
+    fields of the source, among them the log position ``source_lsn``).
+
+    ``keep`` names message columns to carry along, such as the topic offset.
+    """
     p = F.from_json(F.col(col), CDC_ENVELOPE_SCHEMA).getField("payload")
     cols: list[Column] = [p["op"].alias("op"), p["ts_ms"].alias("ts_ms")]
     for side in ("before", "after"):
         for f in _CUSTOMER_ROW.fieldNames():
             cols.append(p[side][f].alias(f"{side}_{f}"))
-    cols += [p["source"]["table"].alias("source_table"), p["source"]["txId"].alias("source_txid")]
-    return df.filter(F.col(col).isNotNull()).select(*cols)
-
-
-def cdc_key(df: DataFrame) -> Column:
-    """The changed row's key: ``after.id``, or ``before.id`` for a delete."""
-    return F.coalesce(F.col("after_id"), F.col("before_id"))
+    cols += [p["source"][f].alias(f"source_{f.lower()}") for f in CDC_SOURCE.fieldNames()]
+    return df.filter(F.col(col).isNotNull()).select(*keep, *cols)

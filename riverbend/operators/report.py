@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riverbend.functions.text import head_before, top_k_text
-from riverbend.operators.joins import checked_broadcast
 from riverbend.session import materialize
 
 # Fixed values of the reference report: three types, joined by ", ".
@@ -57,7 +56,7 @@ def top_k_per_group(counts: DataFrame, group: str, item: str, count: str,
 
 def incident_report(incidents: DataFrame, codes: DataFrame, *, name_sep: str = "-",
                     dedupe_key: bool = False, top_k: int = TOP_K, list_sep: str = LIST_SEP,
-                    codes_max_rows: int | None = None, districts: DataFrame | None = None,
+                    districts: DataFrame | None = None,
                     district_key: str | None = None) -> DataFrame:
     """Report over ``incidents(DISTRICT, OFFENSE_CODE, MONTH, LAT, LONG)`` and
     ``codes(CODE, NAME)``.
@@ -70,8 +69,7 @@ def incident_report(incidents: DataFrame, codes: DataFrame, *, name_sep: str = "
     add up across the join, fan-out included, so the result is the same.
 
     Columns: ``DISTRICT, crimes_total, crimes_monthly, frequent_crime_types,
-    lat, lng``.  ``codes_max_rows`` forces a broadcast of the code dimension
-    after a bounded row count; by default the planner decides from the size
+    lat, lng``.  Whether the code dimension is broadcast the planner decides from the size
     estimate (``spark.sql.autoBroadcastJoinThreshold``) and AQE from the real
     size, with a shuffle join beyond either.  A null district is grouped but dropped by the final inner
     joins, as in the reference.  ``crimes_monthly`` is the approximate
@@ -79,8 +77,6 @@ def incident_report(incidents: DataFrame, codes: DataFrame, *, name_sep: str = "
     different years are pooled.
     """
     dim = clean_codes(codes, name_sep, dedupe_key)
-    if codes_max_rows:
-        dim = checked_broadcast(dim, codes_max_rows)
     joined = incidents.join(dim, incidents["OFFENSE_CODE"] == dim["CODE"], "inner")
 
     if districts is None:

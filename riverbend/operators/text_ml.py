@@ -7,34 +7,34 @@ grid search and sampling, on ``pyspark.ml``.
   VectorIndexer(10 categories) -> RandomForest(10 trees) -> IndexToString.
   The reference indexed the text column instead of the label (every tweet a
   class); here the label is indexed, and unseen labels are kept.
-* ``tfidf_rf_pipeline`` + ``grid_search``: letters-only cleaning, tokens longer
-  than 3, CountVectorizer(maxDF) -> IDF -> RandomForest, 3-fold cross
-  validation over the reference's 3 x 3 x 2 grid.  (The stemmer of the
-  reference is not built; its maxDF of 1.0 means "no limit", which Spark
-  spells by leaving ``maxDF`` unset.)
+* ``tfidf_rf_pipeline`` + ``grid_search``: letters-only cleaning, lower-cased
+  tokens longer than 3, terms in more than a share of the documents removed
+  (an aggregate over all of them), HashingTF -> IDF -> L2 norm ->
+  RandomForest, 3-fold cross validation over the reference's 3 x 3 x 2 grid.
+  Terms are hashed, so none is left out and no vocabulary is gathered.  (The
+  stemmer of the reference is not built.)
 * ``block_scores``: a model trained outside the pipeline (a small numpy
   linear discriminant, fitted from one grouped aggregate) scored with
-  ``mapInPandas`` over 10,000-row Arrow batches, its weights broadcast once.
+  ``mapInPandas`` over Arrow batches of three numbers a row, computed JVM-side.
+
+The hashing stages need no fit, so training texts are hashed before they are
+joined to their labels: vectors are shuffled, not texts.
 """
 
 from __future__ import annotations
 
-import sys
-
 import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import (IDF, CountVectorizer, HashingTF, IndexToString, StringIndexer,
-                                Tokenizer, VectorIndexer)
+from pyspark.ml.feature import (IDF, HashingTF, IndexToString, Normalizer, StringIndexer,
+                                StringIndexerModel, Tokenizer, VectorIndexer)
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riverbend.functions.scores import band, positive_probability
+from riverbend.functions.scores import band, positive_index, positive_probability
 from riverbend.functions.text import clean_long_tokens, letter_count
 
 # Fixed values of the reference pipelines.
@@ -47,7 +47,8 @@ GRID_MAX_DF = (0.5, 0.75, 1.0)
 GRID_TREES = (40, 60, 100)
 GRID_DEPTH = (5, 8)
 CV_FOLDS = 3
-BLOCK_ROWS = 10_000
+# width of the hashed tf-idf vectors: terms that share a place are added up, none is dropped
+TFIDF_FEATURES = 1 << 14
 # the RF is trained on the first part of a 0.1 / 0.9 split, itself split 0.7 / 0.3
 RF_SUBSET = (0.1, 0.9)
 RF_TRAIN_TEST = (0.7, 0.3)
@@ -84,17 +85,28 @@ def fit_cached(estimator, train: DataFrame):
         train.unpersist()
 
 
-def rf_training_rows(labelled: DataFrame, seed: int = 42) -> DataFrame:
-    """The reference's RF training rows: the 10 % part of a 0.1 / 0.9 split,
-    then the 70 % part of a 0.7 / 0.3 split."""
-    subset, _ = labelled.randomSplit(list(RF_SUBSET), seed=seed)
-    train, _ = subset.randomSplit(list(RF_TRAIN_TEST), seed=seed)
-    return train
+def fit_hashed(pipeline: Pipeline, docs: DataFrame, labels: DataFrame, key: str = "doc_id",
+               pick=lambda rows: rows) -> PipelineModel:
+    """Fit a pipeline that starts with a tokenizer and a term hash on ``docs``
+    joined to ``labels`` on ``key``.  Those two stages run before the join;
+    ``pick`` chooses the training rows after it."""
+    first, rest = pipeline.getStages()[:2], pipeline.getStages()[2:]
+    hashed = PipelineModel(stages=first).transform(docs).drop(first[0].getInputCol(), first[0].getOutputCol())
+    model = fit_cached(Pipeline(stages=rest), pick(hashed.join(labels, key)))
+    return PipelineModel(stages=[*first, *model.stages])
+
+
+def rf_training_rows(labelled: DataFrame, seed: int = 42, subset=RF_SUBSET, train_test=RF_TRAIN_TEST) -> DataFrame:
+    """The RF's training rows: the first part of the ``subset`` split (10 % in
+    the reference), then the first part of the ``train_test`` split (70 %).
+    Pass ``subset=(1.0,)`` to learn from all."""
+    rows = labelled.randomSplit(list(subset), seed=seed)[0]
+    return rows.randomSplit(list(train_test), seed=seed)[0]
 
 
 def with_label_names(model: PipelineModel) -> PipelineModel:
     """Append IndexToString with the fitted label names (``predictedLabel``)."""
-    labels = model.stages[2].labels
+    labels = next(s for s in model.stages if isinstance(s, StringIndexerModel)).labels
     conv = IndexToString(inputCol="prediction", outputCol="predictedLabel", labels=list(labels))
     return PipelineModel(stages=list(model.stages) + [conv])
 
@@ -102,15 +114,11 @@ def with_label_names(model: PipelineModel) -> PipelineModel:
 def score(model: PipelineModel, df: DataFrame, keep=("doc_id",)) -> DataFrame:
     """Transform and keep ``keep`` + the positive-class probability and band."""
     out = model.transform(df)
-    p = positive_probability("probability")
+    p = positive_probability("probability", positive_index(model))
     return out.select(*keep, p.alias("clean_probability"),
                       band(p).alias("band"), F.col("prediction"))
 
 
-def band_counts(scored: DataFrame) -> DataFrame:
-    return scored.groupBy(F.col("band").alias("clean_probability")).agg(F.count(F.lit(1)).alias("count"))
-
-
 def save_and_reload(model: PipelineModel, path: str) -> PipelineModel:
     """Persist with overwrite and load back (the deployment round trip)."""
     model.write().overwrite().save(path)
@@ -120,15 +128,31 @@ def save_and_reload(model: PipelineModel, path: str) -> PipelineModel:
 # ------------------------------------------------------------------ tf-idf + grid
 
 def clean_words(df: DataFrame, text_col: str = "tweet", out: str = "tokens") -> DataFrame:
-    """Letters only, tokens longer than 3 characters (no stemming)."""
-    return df.withColumn(out, clean_long_tokens(text_col, 3))
+    """Letters only, tokens longer than 3 characters, lower case (no stemming)."""
+    return df.withColumn(out, F.transform(clean_long_tokens(text_col, 3), F.lower))
+
+
+def frequent_terms(df: DataFrame, max_share: float, col: str = "tokens") -> list[str]:
+    """Terms held by more than ``max_share`` of the rows.  There are at most
+    (mean number of terms in a row) / ``max_share`` of them."""
+    if max_share >= 1.0:
+        return []
+    n = df.count()
+    counts = df.select(F.explode(F.array_distinct(col)).alias("term")).groupBy("term").count()
+    return sorted(r.term for r in counts.where(F.col("count") > max_share * n).collect())
+
+
+def without_terms(df: DataFrame, terms: list[str], col: str = "tokens") -> DataFrame:
+    gone = F.array(*[F.lit(t) for t in terms]).cast("array<string>")
+    return df.withColumn(col, F.filter(col, lambda t: ~F.array_contains(gone, t))) if terms else df
 
 
 def tfidf_rf_pipeline(label_col: str = "label", seed: int = 42):
-    cv = CountVectorizer(inputCol="tokens", outputCol="tf")
-    idf = IDF(inputCol="tf", outputCol="tfidf")
+    tf = HashingTF(numFeatures=TFIDF_FEATURES, inputCol="tokens", outputCol="tf")
+    idf = IDF(inputCol="tf", outputCol="weighted")
+    norm = Normalizer(p=2.0, inputCol="weighted", outputCol="tfidf")
     rf = RandomForestClassifier(labelCol=label_col, featuresCol="tfidf", seed=seed)
-    return Pipeline(stages=[cv, idf, rf]), cv, rf
+    return Pipeline(stages=[tf, idf, norm, rf]), rf
 
 
 def grid_search(train: DataFrame, label_col: str = "label", parallelism: int = 4,
@@ -138,28 +162,26 @@ def grid_search(train: DataFrame, label_col: str = "label", parallelism: int = 4
     Returns ``(results, best_model)``; results hold one row per setting with
     the mean accuracy and a best flag.
     """
-    pipe, cv, rf = tfidf_rf_pipeline(label_col, seed)
-    unlimited = float(cv.getOrDefault(cv.maxDF))   # what "1.0 = no limit" means in Spark
-    grid = (ParamGridBuilder()
-            .addGrid(cv.maxDF, [float(x) if x < 1.0 else unlimited for x in GRID_MAX_DF])
-            .addGrid(rf.numTrees, list(GRID_TREES))
-            .addGrid(rf.maxDepth, list(GRID_DEPTH))
-            .build())
+    pipe, rf = tfidf_rf_pipeline(label_col, seed)
+    grid = (ParamGridBuilder().addGrid(rf.numTrees, list(GRID_TREES)).addGrid(rf.maxDepth, list(GRID_DEPTH)).build())
     ev = MulticlassClassificationEvaluator(labelCol=label_col, metricName="accuracy")
     cvr = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev,
                          numFolds=CV_FOLDS, parallelism=parallelism, seed=seed)
-    fitted = fit_cached(cvr, clean_words(train).select(label_col, "tokens"))
-    best = int(np.argmax(fitted.avgMetrics))
-    rows = []
-    for i, (pm, metric) in enumerate(zip(grid, fitted.avgMetrics)):
-        vals = {p.name: v for p, v in pm.items()}
-        max_df = vals["maxDF"]
-        rows.append((1.0 if max_df >= unlimited else float(max_df), int(vals["numTrees"]),
-                     int(vals["maxDepth"]), float(metric), i == best))
-    spark = train.sparkSession
-    res = spark.createDataFrame(rows, "max_df double, num_trees int, max_depth int, "
-                                      "mean_accuracy double, best boolean")
-    return res, fitted.bestModel
+    words = clean_words(train).select(label_col, "tokens").persist()
+    rows, best = [], None
+    for max_df in GRID_MAX_DF:
+        fitted = fit_cached(cvr, without_terms(words, frequent_terms(words, max_df)))
+        for pm, metric in zip(grid, fitted.avgMetrics):
+            vals = {p.name: v for p, v in pm.items()}
+            rows.append((max_df, int(vals["numTrees"]), int(vals["maxDepth"]), float(metric)))
+        if best is None or max(fitted.avgMetrics) > best[0]:
+            best = (max(fitted.avgMetrics), fitted.bestModel)
+    words.unpersist()
+    first = max(range(len(rows)), key=lambda i: rows[i][3])
+    res = train.sparkSession.createDataFrame([(*r, i == first) for i, r in enumerate(rows)],
+                                             "max_df double, num_trees int, max_depth int, "
+                                             "mean_accuracy double, best boolean")
+    return res, best[1]
 
 
 # ------------------------------------------------------------------ block inference
@@ -187,12 +209,13 @@ def fit_foreign_model(train: DataFrame, label_col: str = "label") -> dict[str, n
     sum((mu1^2 - mu0^2) / (2 var))``.  The result is 3 weights and an
     intercept (a fixed small size), scored outside Spark ML by numpy.
     """
-    feats = numeric_features(train).select(F.col(label_col).cast("int").alias("y"),
-                                           *NUMERIC_FEATURES)
+    rows = train if set(NUMERIC_FEATURES) <= set(train.columns) else numeric_features(train)
+    feats = rows.select(F.col(label_col).cast("int").alias("y"), *NUMERIC_FEATURES)
     aggs = [F.count(F.lit(1)).alias("n")]
     for f in NUMERIC_FEATURES:
         aggs += [F.avg(f).alias(f"m_{f}"), F.var_pop(f).alias(f"v_{f}")]
-    by_class = {r["y"]: r for r in feats.groupBy("y").agg(*aggs).collect()}   # one row per class
+    known = feats.where(F.col("y").isin(0, 1))
+    by_class = {r["y"]: r for r in known.groupBy("y").agg(*aggs).collect()}   # one row per class
     c0, c1 = by_class.get(0), by_class.get(1)
     if c0 is None or c1 is None:
         only = 1.0 if c1 is not None else 0.0
@@ -208,60 +231,57 @@ def fit_foreign_model(train: DataFrame, label_col: str = "label") -> dict[str, n
     return {"w": w, "b": np.array([b])}
 
 
-def _pandas_features(text: pd.Series) -> np.ndarray:
-    t = text.fillna("")
-    n = t.str.len().to_numpy(dtype=float)
-    letters = t.str.count("[a-zA-Z]").to_numpy(dtype=float)
-    words = t.str.strip().str.split(r"\s+").str.len().to_numpy(dtype=float)
-    share = np.divide(letters, n, out=np.zeros_like(n), where=n > 0)
-    mean_len = np.divide(n, words, out=np.zeros_like(n), where=words > 0)
-    return np.column_stack([np.log1p(n), share, mean_len])
+WEIGHTS_DDL = "w array<double>, b double"
+
+
+def save_weights(spark: SparkSession, weights: dict[str, np.ndarray], path: str) -> None:
+    row = [([float(x) for x in weights["w"]], float(weights["b"][0]))]
+    spark.createDataFrame(row, WEIGHTS_DDL).write.mode("overwrite").parquet(path)
+
+
+def load_weights(spark: SparkSession, path: str) -> dict[str, np.ndarray]:
+    row = spark.read.schema(WEIGHTS_DDL).parquet(path).first()
+    return {"w": np.array(row["w"]), "b": np.array([row["b"]])}
 
 
 def block_scores(df: DataFrame, weights: dict[str, np.ndarray], text_col: str = "tweet",
                  keep=("doc_id",)) -> DataFrame:
-    """Score every row with the foreign model in Arrow batches of 10,000 rows.
+    """Score every row with the foreign model in Arrow batches.
 
-    The weights are shipped once per executor in a broadcast variable; each
-    task scores whole batches with numpy (no per-row Python call).
+    The features are computed JVM-side, so three numbers a row go to Python;
+    each task scores whole batches with numpy (no per-row Python call).
     """
-    spark = df.sparkSession
-    # tasks carry this module's code with them (pickled by value), so the
-    # executors need numpy and pandas but not this package installed
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    bc = spark.sparkContext.broadcast(weights)
     keep = list(keep)
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField("proba", T.DoubleType())])
+    w, b, names = weights["w"], float(weights["b"][0]), list(NUMERIC_FEATURES)
 
     def classify(batches):
-        w = bc.value["w"]
-        b = bc.value["b"][0]
         for pdf in batches:
-            z = _pandas_features(pdf[text_col]) @ w + b
             out = pdf[keep].copy()
-            out["proba"] = 1.0 / (1.0 + np.exp(-z))
+            out["proba"] = 1.0 / (1.0 + np.exp(-(pdf[names].to_numpy() @ w + b)))
             yield out
 
-    return df.select(*keep, text_col).mapInPandas(classify, schema)
+    return numeric_features(df, text_col).select(*keep, *names).mapInPandas(classify, schema)
 
 
 # ------------------------------------------------------------------ sampling
 
 # Fixed values of the reference's sampling: 0.5 % without replacement for the
-# grid-search sample, 0.001 % with replacement for the stream feeder, seed 42.
+# grid-search sample, 16 rows (0.001 % of its 1.6 million) with replacement
+# for the stream feeder, seed 42.
 SAMPLE_FRACTION = 0.005
-FEED_FRACTION = 0.00001
+FEED_ROWS = 16
 SEED = 42
 
 
 def samples(df: DataFrame, fraction: float = SAMPLE_FRACTION, seed: int = SEED,
-            split=(0.7, 0.3), feed_fraction: float = FEED_FRACTION) -> DataFrame:
-    """``doc_id, part``: a seeded sample without replacement (``sample``), one
-    with replacement (``feed``, a row may repeat) and a seeded random split
-    (``train`` / ``test``)."""
+            split=(0.7, 0.3), feed_rows: int = FEED_ROWS) -> DataFrame:
+    """``doc_id, part``: a seeded sample without replacement (``sample``), one of
+    about ``feed_rows`` rows with replacement (``feed``, a row may repeat) and
+    a seeded random split (``train`` / ``test``)."""
     s = df.sample(withReplacement=False, fraction=fraction, seed=seed) \
           .select("doc_id", F.lit("sample").alias("part"))
-    feed = df.sample(withReplacement=True, fraction=feed_fraction, seed=seed) \
+    feed = df.sample(withReplacement=True, fraction=feed_rows / max(1, df.count()), seed=seed) \
              .select("doc_id", F.lit("feed").alias("part"))
     s = s.unionByName(feed)
     train, test = df.randomSplit(list(split), seed=seed)

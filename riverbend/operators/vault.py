@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from riverbend.functions.hashing import hash_key, hashdiff
 from riverbend.operators.joins import anti_join, latest_per_key, one_row
+from riverbend.session import release, save
 
 # Fixed values of the reference load: the source system and the file name
 # of the operational stage.
@@ -38,7 +39,7 @@ LOG_SCHEMA = T.StructType([
 
 STAGE_COLUMNS = ["District", "Crimes_total", "Crimes_monthly", "Frequent_crime_types", "Lat", "Lng"]
 
-# hash-difference recipe: (column, type, default), as in the reference view
+# The hash-difference recipe (stored hashes must match): (column, type, default), as in the reference view
 HASHDIFF_PARTS = [
     ("Crimes_total", "int", 0),
     ("Crimes_monthly", "int", 0),
@@ -63,18 +64,18 @@ def new_file_rows(stage: DataFrame, log: DataFrame, source: str = SOURCE,
     """Rows to append to the file log: one row when the stage is not empty and
     the log has no row for ``(source, file_name)`` yet, else none.
 
-    ``FILE_ID`` continues the log's maximum (auto increment).  The candidate
-    is ``DISTINCT`` over constants, so there is at most one new row.
+    ``FILE_ID`` continues the log's maximum (auto increment).
     """
     # one pass over the (small) log: the next id, and whether this file is
-    # logged already (LEFT JOIN log ON constants WHERE log.FILE_ID IS NULL)
+    # logged already (LEFT JOIN log ON constants WHERE log.FILE_ID IS NULL);
+    # of the stage only its first row is looked for
     this_file = (F.col("SOURCE") == source) & (F.col("FILE_NAME") == file_name)
     st = one_row(log.agg((F.coalesce(F.max("FILE_ID"), F.lit(0)) + 1).cast("long").alias("next_id"),
                          F.max(this_file.cast("int")).alias("logged")))
-    cand = stage.select(F.lit(st["next_id"]).cast("long").alias("FILE_ID"),
-                        F.lit(source).alias("SOURCE"), F.lit(file_name).alias("FILE_NAME"),
-                        _ts(load_ts).alias("LOAD_TS")).distinct()
-    return cand.limit(0) if st["logged"] == 1 else cand
+    row = stage.sparkSession.range(1).select(F.lit(st["next_id"]).cast("long").alias("FILE_ID"),
+                                             F.lit(source).alias("SOURCE"), F.lit(file_name).alias("FILE_NAME"),
+                                             _ts(load_ts).alias("LOAD_TS"))
+    return row.limit(0) if st["logged"] == 1 or stage.isEmpty() else row
 
 
 def latest_files(log: DataFrame) -> DataFrame:
@@ -143,28 +144,34 @@ def satellite_rows(stage: DataFrame) -> DataFrame:
     )
 
 
-SAT_COLUMNS = ["HK_DISTRICT", "FILE_ID", "LOAD_TS", "HASHDIFF", "CRIMES_TOTAL",
+SAT_COLUMNS = ["HK_DISTRICT", "FILE_ID", "LOAD_TS", "ROW_LOAD_TS", "LOAD_SEQ", "HASHDIFF", "CRIMES_TOTAL",
                "CRIMES_MONTHLY", "FREQUENT_CRIME_TYPES", "LAT", "LNG"]
 
 
 def sat_delta(stage: DataFrame, log: DataFrame, sat: DataFrame,
-              source: str = SOURCE, file_name: str = FILE_NAME, file_row=_LOOKUP) -> DataFrame:
+              source: str = SOURCE, file_name: str = FILE_NAME, file_row=_LOOKUP, row_load_ts=None) -> DataFrame:
     """Satellite rows whose ``(HK_DISTRICT, HASHDIFF)`` is not in the satellite.
 
     The anti join covers all history, so values returning to an older state
-    are not recorded again (reference behaviour).
+    are not recorded again (reference behaviour).  ``FILE_ID`` and ``LOAD_TS``
+    are the file's, logged once however often it is loaded; ``ROW_LOAD_TS``
+    (default: the file's) and ``LOAD_SEQ``, one more than any in the
+    satellite, are the row's own.
     """
     src = with_current_file(satellite_rows(stage), log, source, file_name, file_row)
+    seq = one_row(sat.agg((F.coalesce(F.max("LOAD_SEQ"), F.lit(0)) + 1).alias("n")))["n"]
+    src = src.withColumn("ROW_LOAD_TS", F.col("LOAD_TS") if row_load_ts is None else _ts(row_load_ts)) \
+             .withColumn("LOAD_SEQ", F.lit(seq).cast("long"))
     return anti_join(src, sat, ["HK_DISTRICT", "HASHDIFF"]).select(*SAT_COLUMNS)
 
 
 def current_view(hub: DataFrame, sat: DataFrame) -> DataFrame:
-    """Latest satellite row per district (by ``LOAD_TS``, then ``FILE_ID``)."""
+    """The satellite row loaded last per district (by ``LOAD_SEQ``)."""
     joined = hub.select("HK_DISTRICT", "DISTRICT").join(sat, "HK_DISTRICT", "inner")
     latest = latest_per_key(
-        joined.select("DISTRICT", "LOAD_TS", "FILE_ID", "CRIMES_TOTAL", "CRIMES_MONTHLY",
+        joined.select("DISTRICT", "LOAD_SEQ", "CRIMES_TOTAL", "CRIMES_MONTHLY",
                       "FREQUENT_CRIME_TYPES", "LAT", "LNG"),
-        ["DISTRICT"], ["LOAD_TS", "FILE_ID"])
+        ["DISTRICT"], ["LOAD_SEQ"])
     return latest.select("DISTRICT", "CRIMES_TOTAL", "CRIMES_MONTHLY", "FREQUENT_CRIME_TYPES",
                          "LAT", "LNG")
 
@@ -182,11 +189,6 @@ def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counts.filter((F.col("n_rows") > 1) | any_null)
 
 
-def null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One row: number of nulls per column."""
-    return df.agg(*[F.sum(F.col(c).isNull().cast("long")).alias(c) for c in cols])
-
-
 def enforce(df: DataFrame, keys: Sequence[str], not_null: Sequence[str] = ()) -> DataFrame:
     """Raise when ``keys`` are not unique or ``not_null`` columns hold nulls.
 
@@ -202,25 +204,31 @@ def enforce(df: DataFrame, keys: Sequence[str], not_null: Sequence[str] = ()) ->
 
 # ---------------------------------------------------------------- table chain
 
+# The warehouse's tables, their keys and NOT NULL columns.
 ODS_DDL = ("FILE_ID long, LOAD_TS timestamp_ntz, District string, Crimes_total long, "
            "Crimes_monthly long, Frequent_crime_types string, Lat decimal(37,15), Lng decimal(37,15)")
 HUB_DDL = "HK_DISTRICT string, FILE_ID long, LOAD_TS timestamp_ntz, DISTRICT string"
-SAT_DDL = ("HK_DISTRICT string, FILE_ID long, LOAD_TS timestamp_ntz, HASHDIFF string, "
+SAT_DDL = ("HK_DISTRICT string, FILE_ID long, LOAD_TS timestamp_ntz, ROW_LOAD_TS timestamp_ntz, "
+           "LOAD_SEQ long, HASHDIFF string, "
            "CRIMES_TOTAL long, CRIMES_MONTHLY long, FREQUENT_CRIME_TYPES string, "
            "LAT decimal(37,15), LNG decimal(37,15)")
 LOG_DDL = "FILE_ID long, SOURCE string, FILE_NAME string, LOAD_TS timestamp_ntz"
 
-TABLES = {"file_log": (LOG_DDL, ["FILE_ID", "SOURCE", "FILE_NAME"], ["SOURCE", "FILE_NAME"]),
-          "ods": (ODS_DDL, ["FILE_ID", "District"], ["District"]),
-          "hub": (HUB_DDL, ["HK_DISTRICT"], ["HK_DISTRICT"]),
-          "satellite": (SAT_DDL, ["HK_DISTRICT", "HASHDIFF"], ["HK_DISTRICT"])}
+# name: columns, key, segmentation, NOT NULL
+TABLES = {"file_log": (LOG_DDL, ["FILE_ID", "SOURCE", "FILE_NAME"], ["SOURCE", "FILE_NAME"],
+                       ["FILE_ID", "SOURCE", "FILE_NAME", "LOAD_TS"]),
+          "ods": (ODS_DDL, ["FILE_ID", "District"], ["District"],
+                  ["FILE_ID", "LOAD_TS", "District", "Crimes_total", "Crimes_monthly"]),
+          "hub": (HUB_DDL, ["HK_DISTRICT"], ["HK_DISTRICT"], ["HK_DISTRICT", "FILE_ID", "LOAD_TS", "DISTRICT"]),
+          "satellite": (SAT_DDL, ["HK_DISTRICT", "HASHDIFF"], ["HK_DISTRICT"],
+                        ["HK_DISTRICT", "FILE_ID", "LOAD_TS", "HASHDIFF", "CRIMES_TOTAL", "CRIMES_MONTHLY"])}
 
 
 def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
     from riverbend.sources.sinks import create_table_if_absent
     path = f"{root.rstrip('/')}/{name}"
     create_table_if_absent(spark, path, TABLES[name][0])
-    return spark.read.parquet(path)
+    return spark.read.schema(TABLES[name][0]).parquet(path)
 
 
 def _append(spark: SparkSession, root: str, name: str, delta: DataFrame, check: bool) -> int:
@@ -230,20 +238,24 @@ def _append(spark: SparkSession, root: str, name: str, delta: DataFrame, check:
     is an anti join against the stored rows on that key (the log's new id is
     max + 1), so a clash can only come from inside the delta, and the check
     costs O(delta), not a scan of the table."""
-    from riverbend.session import materialize
-    ddl, key, cluster = TABLES[name]
-    delta = materialize(delta, f"delta-{name}")
-    # one aggregate gives the row count and the key check: distinct key
-    # tuples equal the rows exactly when keys are unique and never null
+    ddl, key, cluster, not_null = TABLES[name]
+    delta, path = save(delta, f"delta-{name}")
+    # one aggregate gives the row count, the nulls and the key check: distinct
+    # key tuples equal the rows exactly when keys are unique and never null
     st = one_row(delta.agg(F.count(F.lit(1)).alias("n"),
-                           F.count_distinct(*[F.col(k) for k in key]).alias("d")))
+                           F.count_distinct(*[F.col(k) for k in key]).alias("d"),
+                           *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in not_null]))
     n = st["n"]
     if n:
+        nulls = [c for c in not_null if st[f"null_{c}"]]
+        if check and nulls:
+            raise ValueError(f"{name}: NOT NULL columns {nulls} hold nulls")
         if check and st["d"] != n:
             raise ValueError(f"{name}: primary key {key} violated (unique, not null)")
         # rows hash-distributed and sorted on the segmentation key
         (delta.repartition(*cluster).sortWithinPartitions(*cluster)
               .write.mode("append").parquet(f"{root.rstrip('/')}/{name}"))
+    release(spark, path)
     return n
 
 
@@ -251,8 +263,9 @@ def run_load_chain(stage: DataFrame, root: str, source: str = SOURCE, file_name:
                    load_ts=None, check_keys: bool = True) -> dict[str, int]:
     """One run of the load: file log, ODS, hub, satellite as parquet tables
     under ``root`` (created when absent).  Returns rows added per table; a
-    rerun with the same stage adds nothing."""
+    rerun with the same stage adds nothing.  The stage is computed once."""
     spark = stage.sparkSession
+    stage, stage_path = save(stage, "stage")
     added = {}
     log = _table(spark, root, "file_log")
     added["file_log"] = _append(spark, root, "file_log",
@@ -267,8 +280,9 @@ def run_load_chain(stage: DataFrame, root: str, source: str = SOURCE, file_name:
                            check_keys)
     added["satellite"] = _append(spark, root, "satellite",
                                  sat_delta(stage, log, _table(spark, root, "satellite"), source,
-                                           file_name, row),
+                                           file_name, row, load_ts),
                                  check_keys)
+    release(spark, stage_path)
     return added
 
 

@@ -54,8 +54,11 @@ def incident_report_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
                       dec4("lat"), dec4("lng"))
 
 
-# Input schemas of the reference's file sources (positional binding).
-INCIDENT_CSV_SCHEMA = "DISTRICT string, OFFENSE_CODE long, MONTH int, LAT decimal(18,2), LONG decimal(18,2)"
+# The input schemas of the reference's file sources (positional binding).
+INCIDENT_CSV_SCHEMA = (
+    "INCIDENT_NUMBER string, OFFENSE_CODE long, OFFENSE_CODE_GROUP string, OFFENSE_DESCRIPTION string, DISTRICT string, "
+    "REPORTING_AREA int, SHOOTING string, OCCURRED_ON_DATE string, YEAR int, MONTH int, DAY_OF_WEEK string, HOUR int, "
+    "UCR_PART string, STREET string, LAT decimal(18,2), LONG decimal(18,2), LOCATION string")
 CODES_CSV_SCHEMA = "CODE long, NAME string"
 TWEET_CSV_SCHEMA = ("target int, id long, raw_timestamp string, query_status string, "
                     "author string, tweet string")
@@ -73,7 +76,9 @@ def incident_report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riverbend.session import scratch_path
     from riverbend.sources import readers, sinks
     inc_path, codes_path = scratch_path(spark, "incidents-csv"), scratch_path(spark, "codes-csv")
-    sinks.write_csv(incidents_from_tables(t), inc_path)
+    incidents = incidents_from_tables(t)
+    names = [c.split()[0] for c in INCIDENT_CSV_SCHEMA.split(", ")]
+    sinks.write_csv(incidents.select(*[F.col(c) if c in incidents.columns else F.lit(None).cast("string").alias(c) for c in names]), inc_path)
     sinks.write_csv(codes_from_tables(t), codes_path)
     rep = report.incident_report(readers.read_csv(spark, inc_path, INCIDENT_CSV_SCHEMA),
                                  readers.read_csv(spark, codes_path, CODES_CSV_SCHEMA), name_sep=" ")
@@ -131,6 +136,21 @@ def customer_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     load_ts=FIXED_LOAD_TS, name_cols=("name",))
 
 
+# a bound that the smallest tables exceed
+CUSTOMER_MAX_ID = 100
+
+
+def customer_weight_upto(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for customers up to an id: the filter reaches both scans."""
+    t = _t(spark, sf_dir)
+    customers = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    orders = t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("purchaser"))
+    lines = t.lineitem.select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"))
+    products = t.part.select(F.col("p_partkey").alias("id"), F.col("p_size").alias("weight"))
+    return customer.customer_weight(customers, orders, products, lines, max_id=CUSTOMER_MAX_ID,
+                                    load_ts=FIXED_LOAD_TS, name_cols=("name",))
+
+
 # --------------------------------------------------------------------------
 # C. warehouse load
 # --------------------------------------------------------------------------
@@ -196,9 +216,10 @@ def sat_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vault_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table-backed load chain run twice (suppliers as the first file,
-    customers as a later one) into fresh parquet tables, then the current
-    view: hub x satellite, latest satellite row per district."""
+    """The table-backed load chain run three times (suppliers as the first
+    file, customers as a later one, which is then loaded again with every
+    total one lower) into fresh parquet tables, then the current view: hub x
+    satellite, the satellite row loaded last per district."""
     t = _t(spark, sf_dir)
     from riverbend.session import scratch_path
     root = scratch_path(spark, "dwh")
@@ -206,6 +227,8 @@ def vault_current(spark: SparkSession, sf_dir: str) -> DataFrame:
                          load_ts="2024-01-01 00:00:00")
     vault.run_load_chain(tb.stage_from_customer(t), root, file_name="STG_OPER_2",
                          load_ts="2024-02-01 00:00:00")
+    vault.run_load_chain(tb.stage_from_customer(t).withColumn("Crimes_total", F.col("Crimes_total") - 1), root,
+                         file_name="STG_OPER_2", load_ts="2024-03-01 00:00:00")
     return vault.current_from_tables(spark, root)
 
 
@@ -259,6 +282,14 @@ def apply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.apply_changes(changes, ["user_id"], ["ts", "event_id"])
 
 
+def upsert_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer records replaced by the customer's last order: status and total."""
+    t = _t(spark, sf_dir)
+    updates = t.orders.select(F.col("o_custkey").alias("customer_id"), F.col("o_orderstatus").alias("phone"),
+                              F.col("o_totalprice").cast("decimal(18,2)").alias("ltv"), "o_orderdate", "o_orderkey")
+    return keyed.upsert(tb.customer_store(t), updates, ["customer_id"], ["o_orderdate", "o_orderkey"])
+
+
 # --------------------------------------------------------------------------
 # E. change streams: batch forms
 # --------------------------------------------------------------------------
@@ -303,15 +334,27 @@ def search_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(ev, must=[cond], terms_field="user_id", size=10)
 
 
+def search_must_not(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top event types of a time range, without error events and nameless users."""
+    ev = _t(spark, sf_dir).events
+    cond = search.epoch_millis_range(ev, "ts", SEARCH_GTE_MS, SEARCH_LTE_MS)
+    return search.search(ev, must=[cond, F.col("user_id").isNotNull()], must_not=[F.col("event_type") == "error"],
+                         terms_field="event_type", size=10)
+
+
 # --------------------------------------------------------------------------
 # F. text: labels, bands, histogram, cleaning
 # --------------------------------------------------------------------------
 
-def tweet_labels_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+# line breaks in a CSV cell would make the file unsplittable, so they are
+# written as private-use characters and put back by the reader's projection
+_BREAKS, _STAND_INS = "\r\n", "\ue00d\ue00a"
+
+
+def _tweets_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents as the 6-column tweet CSV without header (target 4
-    = positive), read back with the fixed schema; label balance."""
+    = positive), read back with the fixed schema."""
     t = _t(spark, sf_dir)
-    from riverbend.functions.scores import binary_label
     from riverbend.session import scratch_path
     from riverbend.sources import readers, sinks
     path = scratch_path(spark, "tweets-csv")
@@ -319,8 +362,22 @@ def tweet_labels_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.write_csv(docs.select((F.col("label") * 4).cast("int").alias("target"),
                                 F.col("doc_id").alias("id"), F.lit(None).cast("string").alias("raw_timestamp"),
                                 F.lit("NO_QUERY").alias("query_status"), F.lit(None).cast("string").alias("author"),
-                                "tweet"), path, header=False)
-    raw = readers.read_csv(spark, path, TWEET_CSV_SCHEMA, header=False, multi_line=True)
+                                F.translate("tweet", _BREAKS, _STAND_INS).alias("tweet")), path, header=False,
+                    quote_all=True)
+    raw = readers.read_csv(spark, path, TWEET_CSV_SCHEMA, header=False)
+    return raw.withColumn("tweet", F.translate("tweet", _STAND_INS, _BREAKS))
+
+
+def tweet_text_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tweet's label and the hash of its text after the CSV round trip."""
+    from riverbend.functions.scores import binary_label
+    return _tweets_csv(spark, sf_dir).select("id", binary_label("target").alias("label"), F.md5("tweet").alias("tweet_md5"))
+
+
+def tweet_labels_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label balance of the tweet CSV."""
+    from riverbend.functions.scores import binary_label
+    raw = _tweets_csv(spark, sf_dir)
     return raw.groupBy(binary_label("target").alias("label")).agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -340,6 +397,18 @@ def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.json_field_defaults(typed, WINE_DEFAULTS)
 
 
+def json_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts appended twice to one JSON folder, one file each time; copies of each."""
+    t = _t(spark, sf_dir)
+    from riverbend.session import scratch_path
+    from riverbend.sources import readers, sinks
+    path = scratch_path(spark, "append-json")
+    for _ in range(2):
+        sinks.write_json(t.part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("title")), path)
+    rows = readers.read_json_records(spark, path, "id long, title string")
+    return rows.groupBy("id", "title").agg(F.count(F.lit(1)).alias("copies"))
+
+
 def label_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
     return tb.labelled_documents(t).groupBy("label").agg(F.count(F.lit(1)).alias("count"))
@@ -438,42 +507,67 @@ def lang_index_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(index, must=[cond], terms_field="CHANNEL", size=10)
 
 
-CDC_FILES = 4
-LEGACY_FILES = 4
+def typed_change_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Binary key/value messages of the full change event as a stream: decoded,
+    parsed with the whole schema, star-expanded, appended to a table."""
+    t = _t(spark, sf_dir)
+    from riverbend.session import scratch_path
+    from riverbend.sources.readers import file_stream
+    from riverbend.streaming import runner
+    n = F.col("event_id")
+    event = F.struct(
+        n.alias("id"), F.col("event_type").alias("type"), (F.col("event_type") == "error").alias("bot"),
+        F.col("user_id").cast("string").alias("user"), F.unix_seconds(F.col("ts").cast("timestamp")).alias("timestamp"),
+        F.struct(F.concat(F.lit("dom"), (n % 7).cast("string")).alias("domain")).alias("meta"),
+        F.struct(n.alias("new"), (n - 1).alias("old")).alias("length"), F.struct((n * 2).alias("new")).alias("revision"),
+        n.cast("string").alias("title"))
+    feed = scratch_path(spark, "typed-feed")
+    t.events.select(n.cast("string").cast("binary").alias("key"), F.to_json(event).cast("binary").alias("value")).write.parquet(feed)
+    stream = file_stream(spark, feed, "key binary, value binary", fmt="parquet", max_files_per_trigger=None,
+                         max_bytes_per_trigger=FEED_BYTES_PER_TRIGGER)
+    typed = records.parse_json(records.decode_kv(stream), records.CHANGE_EVENT_SCHEMA)
+    out = runner.run_to_table(typed.where("id is not null"), "typed-changes")
+    return runner.read_table(spark, out).select(
+        "id", "type", "bot", "user", "timestamp", F.col("meta.domain").alias("meta_domain"), F.col("length.new").alias("length_new"),
+        F.col("length.old").alias("length_old"), F.col("revision.new").alias("revision_new"), "title")
+
+
+# micro-batches of the replayed feeds are cut by size
+FEED_BYTES_PER_TRIGGER = 8 << 30
 
 
 def legacy_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change events as JSON texts in several files, one file per micro-batch;
-    per batch the schema is inferred, the ``bot`` column checked and non-bot
-    events counted per type; the counts are summed over 5-minute windows of
-    a replayed batch clock (5 s per batch)."""
+    """Change events as JSON texts with their time of arrival; per micro-batch
+    the schema is inferred, the ``bot`` column checked and non-bot events
+    counted per type and 5 seconds; the counts are summed over 5-minute
+    windows of the arrival clock."""
     t = _t(spark, sf_dir)
     from riverbend.session import scratch_path
     from riverbend.sources.readers import file_stream
     from riverbend.streaming import legacy
     feed = scratch_path(spark, "legacy-feed")
     changes = tb.change_events(t).withColumn("timestamp", F.unix_timestamp(F.col("timestamp").cast("timestamp")))
-    (records.to_json_text(changes.drop("props", "value"))
-       .repartitionByRange(LEGACY_FILES, F.get_json_object("value", "$.id").cast("long"))
-       .write.text(feed))
-    stream = file_stream(spark, feed, "value string", fmt="text", max_files_per_trigger=1)
-    sink = legacy.run_legacy_counts(stream, "legacy", legacy.replay_clock())
-    return legacy.windowed_type_counts(spark.read.parquet(sink))
+    message = F.to_json(F.struct(*[c for c in changes.columns if c not in ("props", "value")]))
+    (changes.select(message.alias("value"), F.timestamp_seconds("timestamp").alias("arrived")).write.parquet(feed))
+    stream = file_stream(spark, feed, "value string, arrived timestamp", fmt="parquet", max_files_per_trigger=None,
+                         max_bytes_per_trigger=FEED_BYTES_PER_TRIGGER)
+    return legacy.windowed_type_counts(legacy.run_legacy_counts(stream, "legacy"))
 
 
 def cdc_apply_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as CDC messages in several JSON files, streamed one file per
-    batch and applied to a current table with ``foreachBatch``."""
+    """Events as CDC messages in JSON files, streamed and applied to a current
+    table with ``foreachBatch``, in two runs on one root: every third message
+    is written after the first run has ended."""
     t = _t(spark, sf_dir)
     from riverbend.session import scratch_path
     from riverbend.sources.readers import file_stream
-    from riverbend.streaming import cdc, runner
-    feed = scratch_path(spark, "cdc-feed")
-    (tb.cdc_messages(t).repartitionByRange(CDC_FILES, F.col("key").cast("long"))
-       .write.json(feed))
-    stream = file_stream(spark, feed, "key string, value string", fmt="json", max_files_per_trigger=1)
-    root = scratch_path(spark, "cdc-state")
-    runner.run_batches(stream, cdc.make_batch_writer(root), "cdc-apply")
+    from riverbend.streaming import cdc
+    feed, root = scratch_path(spark, "cdc-feed"), scratch_path(spark, "cdc-state")
+    messages, late = tb.cdc_messages(t), F.col("offset") % 3 == 0
+    for part in (~late, late):
+        messages.where(part).write.mode("append").json(feed)
+        cdc.apply_stream(file_stream(spark, feed, "key string, value string, offset long", fmt="json", max_files_per_trigger=None,
+                                     max_bytes_per_trigger=FEED_BYTES_PER_TRIGGER), root)
     return cdc.current_table(spark, root)
 
 
@@ -485,48 +579,54 @@ def _all_documents(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.col("text").alias("tweet"))
 
 
+def _quality_labels(t: Tables) -> DataFrame:
+    return t.labels.select("doc_id", F.col("quality").alias("label"))
+
+
 def lr_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit the hashing-TF logistic pipeline on the labelled documents, save
     and reload it, and score every document."""
     t = _t(spark, sf_dir)
     from riverbend.operators import text_ml
     from riverbend.session import scratch_path
-    model = text_ml.fit_cached(text_ml.lr_pipeline(), tb.labelled_documents(t))
+    model = text_ml.fit_hashed(text_ml.lr_pipeline(), _all_documents(t), _quality_labels(t))
     model = text_ml.save_and_reload(model, scratch_path(spark, "lr-model"))
     return text_ml.score(model, _all_documents(t))
 
 
-TWEET_FEED_FILES = 4
-
-
 def rf_stream_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Random-forest pipeline fitted on the reference's training split (10 %,
     then 70 % of that), applied to a tweet feed: the documents as JSON
-    ``{"tweet": ...}`` files, read one file per trigger; score bands counted
-    per micro-batch."""
+    ``{"tweet": ...}`` files; score bands counted per micro-batch."""
     t = _t(spark, sf_dir)
     from riverbend.operators import text_ml
     from riverbend.session import scratch_path
     from riverbend.sources import sinks
     from riverbend.sources.readers import file_stream
     from riverbend.streaming import scoring
-    train = text_ml.rf_training_rows(tb.labelled_documents(t))
-    model = text_ml.with_label_names(text_ml.fit_cached(text_ml.rf_pipeline(), train))
+    model = text_ml.with_label_names(text_ml.fit_hashed(text_ml.rf_pipeline(), _all_documents(t), _quality_labels(t),
+                                                        pick=text_ml.rf_training_rows))
     feed = scratch_path(spark, "tweet-feed")
-    sinks.write_json(t.documents.repartitionByRange(TWEET_FEED_FILES, "doc_id")
-                      .select(F.col("text").alias("tweet")), feed, mode="errorifexists")
-    stream = file_stream(spark, feed, "tweet string", fmt="json", max_files_per_trigger=1)
+    sinks.write_json(t.documents.select(F.col("text").alias("tweet")), feed, mode="errorifexists")
+    stream = file_stream(spark, feed, "tweet string", fmt="json", max_files_per_trigger=None,
+                         max_bytes_per_trigger=FEED_BYTES_PER_TRIGGER)
     sink = scoring.score_stream(model, stream, "rf-bands")
-    return (spark.read.parquet(sink).groupBy("clean_probability")
+    return (sinks.read_or_empty(spark, sink, scoring.BANDS_DDL).groupBy("clean_probability")
                  .agg(F.sum("count").alias("count")))
 
 
 def block_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A foreign (numpy) model scored over every document in 10,000-row blocks."""
+    """A foreign (numpy) model, its weights saved and loaded again, scored over
+    every document in Arrow batches."""
     t = _t(spark, sf_dir)
     from riverbend.operators import text_ml
-    weights = text_ml.fit_foreign_model(tb.labelled_documents(t))
-    return text_ml.block_scores(_all_documents(t), weights)
+    from riverbend.session import scratch_path
+    # features before the join: three numbers a row are shuffled, not texts
+    features = text_ml.numeric_features(_all_documents(t)).drop("tweet")
+    path = scratch_path(spark, "weights")
+    text_ml.save_weights(spark, text_ml.fit_foreign_model(features.join(_quality_labels(t), "doc_id")), path)
+    scores = text_ml.block_scores(_all_documents(t), text_ml.load_weights(spark, path))
+    return scores.select("doc_id", F.round("proba", 6).cast("decimal(18,6)").alias("proba"))
 
 
 def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -552,6 +652,12 @@ QUERIES = {
     "top3_types": top3_types,
     "code_name_head": code_name_head,
     "customer_weight": customer_weight,
+    "customer_weight_upto": customer_weight_upto,
+    "upsert_last": upsert_last,
+    "search_must_not": search_must_not,
+    "tweet_text_csv": tweet_text_csv,
+    "json_append": json_append,
+    "typed_change_stream": typed_change_stream,
     "file_log_once": file_log_once,
     "latest_file": latest_file,
     "ods_delta": ods_delta,

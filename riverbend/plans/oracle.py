@@ -95,11 +95,17 @@ _OPS = """(SELECT *, CASE WHEN event_type = 'signup' THEN 'c'
                           WHEN event_type = 'error' THEN 'd' ELSE 'u' END AS op FROM events)"""
 
 
-def _cdc_side(side: str, skip_op: str) -> str:
+# the CDC feed: an update before every delete, every second creation a snapshot row
+_FEED = f"""(SELECT *, CASE WHEN op = 'c' AND event_id % 2 = 0 THEN 'r' ELSE op END AS code,
+                    CASE WHEN op = 'd' THEN 1 ELSE 0 END AS step FROM {_OPS}
+             UNION ALL SELECT *, 'u', 0 FROM {_OPS} WHERE op = 'd')"""
+
+
+def _cdc_side(side: str, skip_ops: str) -> str:
     cols = [("id", "CAST(user_id AS INTEGER)"), ("first_name", "event_type"),
             ("last_name", "CAST(event_id AS VARCHAR)"), ("email", "props")]
     return ",\n       ".join(
-        f"CASE WHEN op = '{skip_op}' THEN NULL ELSE {expr} END AS {side}_{name}"
+        f"CASE WHEN code IN ({skip_ops}) THEN NULL ELSE {expr} END AS {side}_{name}"
         for name, expr in cols)
 
 
@@ -137,14 +143,15 @@ SELECT md5(District) AS HK_DISTRICT, {_CUR}, District AS DISTRICT FROM rest
 """,
     "sat_delta": f"""
 WITH stage AS ({_stage('supplier', 's')}), {_REST}
-SELECT md5(District) AS HK_DISTRICT, {_CUR}, {_HASHDIFF} AS HASHDIFF,
+SELECT md5(District) AS HK_DISTRICT, {_CUR}, TIMESTAMP '2024-01-01 00:00:00' AS ROW_LOAD_TS,
+       CAST(2 AS BIGINT) AS LOAD_SEQ, {_HASHDIFF} AS HASHDIFF,
        Crimes_total AS CRIMES_TOTAL, Crimes_monthly AS CRIMES_MONTHLY,
        Frequent_crime_types AS FREQUENT_CRIME_TYPES, Lat AS LAT, Lng AS LNG
 FROM rest
 """,
     "vault_current": f"""
 WITH v1 AS ({_stage('supplier', 's')}), v2 AS ({_stage('customer', 'c')}),
-  cur AS (SELECT * FROM v2 UNION ALL
+  cur AS (SELECT * REPLACE (Crimes_total - 1 AS Crimes_total) FROM v2 UNION ALL
           SELECT * FROM v1 WHERE District NOT IN (SELECT District FROM v2))
 SELECT District AS DISTRICT, Crimes_total AS CRIMES_TOTAL, Crimes_monthly AS CRIMES_MONTHLY,
        Frequent_crime_types AS FREQUENT_CRIME_TYPES, Lat AS LAT, Lng AS LNG
@@ -172,11 +179,15 @@ SELECT user_id, ts, event_id, event_type, CAST(value AS DECIMAL(18,2)) AS value,
 WHERE rn = 1 AND op <> 'd'
 """,
     "cdc_parse": f"""
-SELECT op, epoch_us(ts) // 1000 AS ts_ms,
-       {_cdc_side('before', 'c')},
-       {_cdc_side('after', 'd')},
-       'events' AS source_table, event_id AS source_txid
-FROM {_OPS}
+SELECT code AS op, epoch_us(ts) // 1000 AS ts_ms,
+       {_cdc_side('before', "'c', 'r'")},
+       {_cdc_side('after', "'d'")},
+       CAST(NULL AS VARCHAR) AS source_version, CAST(NULL AS VARCHAR) AS source_connector,
+       CAST(NULL AS VARCHAR) AS source_name, 'shop' AS source_db, epoch_us(ts) // 1000 * 1000 AS source_ts_usec,
+       CASE WHEN code <> 'r' THEN event_id END AS source_txid, event_id * 10 + step AS source_lsn,
+       CAST(NULL AS VARCHAR) AS source_schema, 'events' AS source_table, code = 'r' AS source_snapshot,
+       CAST(NULL AS BOOLEAN) AS source_last_snapshot_record, CAST(NULL AS BIGINT) AS source_xmin
+FROM {_FEED}
 """,
     "json_flatten": """
 SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
@@ -260,7 +271,7 @@ FROM events WHERE event_type <> 'click' AND event_type <> 'error'
     "cdc_apply_stream": f"""
 SELECT CAST(user_id AS INTEGER) AS id, event_type AS first_name, CAST(event_id AS VARCHAR) AS last_name,
        props AS email
-FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts) // 1000 DESC, event_id DESC) AS rn
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn
       FROM {_OPS})
 WHERE rn = 1 AND op <> 'd'
 """,
@@ -294,3 +305,65 @@ SQL["window_append_json"] = SQL["window_append_20_10"]
 SQL["report_to_vault"] = "SELECT DISTRICT, crimes_total AS CRIMES_TOTAL, crimes_monthly AS CRIMES_MONTHLY, " \
     "frequent_crime_types AS FREQUENT_CRIME_TYPES, CAST(lat AS DECIMAL(37,15)) AS LAT, " \
     "CAST(lng AS DECIMAL(37,15)) AS LNG FROM (" + SQL["incident_report"] + ")"
+
+SQL["customer_weight_upto"] = SQL["customer_weight"].replace("GROUP BY", "WHERE c.c_custkey <= 100\nGROUP BY")
+
+SQL["upsert_last"] = """
+WITH last AS (
+  SELECT o_custkey AS customer_id, o_orderstatus AS phone, CAST(o_totalprice AS DECIMAL(18,2)) AS ltv FROM (
+    SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders)
+  WHERE rn = 1)
+SELECT * FROM last UNION ALL
+SELECT c_custkey, CAST(c_nationkey AS VARCHAR), CAST(c_acctbal AS DECIMAL(18,2)) FROM customer
+WHERE c_custkey NOT IN (SELECT customer_id FROM last)
+"""
+
+SQL["search_must_not"] = """
+SELECT event_type AS key, count(*) AS doc_count FROM events
+WHERE ts >= TIMESTAMP '2024-01-08 00:00:00' AND ts < TIMESTAMP '2024-01-22 00:00:00'
+  AND user_id IS NOT NULL AND event_type <> 'error'
+GROUP BY event_type ORDER BY doc_count DESC, key ASC LIMIT 10
+"""
+
+SQL["tweet_text_csv"] = """
+SELECT d.doc_id AS id, CASE WHEN l.quality = 1 THEN 1 ELSE 0 END AS label, md5(d.text) AS tweet_md5
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+"""
+
+SQL["json_append"] = """
+SELECT p_partkey AS id, p_name AS title, CAST(n AS BIGINT) AS copies FROM part, (SELECT 2 AS n)
+"""
+
+SQL["typed_change_stream"] = """
+SELECT event_id AS id, event_type AS type, event_type = 'error' AS bot, CAST(user_id AS VARCHAR) AS "user",
+       epoch_us(ts) // 1000000 AS "timestamp", 'dom' || (event_id % 7) AS meta_domain, event_id AS length_new,
+       event_id - 1 AS length_old, event_id * 2 AS revision_new, CAST(event_id AS VARCHAR) AS title
+FROM events
+"""
+
+SQL["legacy_type_counts"] = """
+WITH c AS (SELECT event_type AS type, time_bucket(INTERVAL '5 seconds', ts, TIMESTAMP '1970-01-01') AS load, count(*) AS n
+           FROM events WHERE event_type <> 'error' AND event_type <> '142' GROUP BY 1, 2)
+SELECT time_bucket(INTERVAL '10 seconds', load, TIMESTAMP '1970-01-01') - to_seconds(10 * k) AS window_start,
+       time_bucket(INTERVAL '10 seconds', load, TIMESTAMP '1970-01-01') - to_seconds(10 * k) + INTERVAL 300 SECOND AS window_end,
+       type, CAST(sum(n) AS BIGINT) AS count
+FROM c, range(30) r(k) GROUP BY 1, 2, 3
+"""
+
+SQL["block_scores"] = """
+WITH f AS (SELECT doc_id, ln(1 + length(text)) AS a,
+                  CASE WHEN length(text) > 0 THEN length(regexp_replace(text, '[^a-zA-Z]', '', 'g')) / length(text) ELSE 0 END AS b,
+                  length(text) / len(string_split_regex(trim(text), '\\s+')) AS c FROM documents),
+  g AS (SELECT l.quality AS y, count(*) AS n, avg(a) AS ma, avg(b) AS mb, avg(c) AS mc,
+               var_pop(a) AS va, var_pop(b) AS vb, var_pop(c) AS vc
+        FROM f JOIN labels l ON f.doc_id = l.doc_id GROUP BY 1),
+  p AS (SELECT x.n AS n0, z.n AS n1, x.ma AS a0, z.ma AS a1, x.mb AS b0, z.mb AS b1, x.mc AS c0, z.mc AS c1,
+               greatest(1e-12, (x.n * x.va + z.n * z.va) / (x.n + z.n)) AS va,
+               greatest(1e-12, (x.n * x.vb + z.n * z.vb) / (x.n + z.n)) AS vb,
+               greatest(1e-12, (x.n * x.vc + z.n * z.vc) / (x.n + z.n)) AS vc
+        FROM g x, g z WHERE x.y = 0 AND z.y = 1)
+SELECT doc_id, CAST(round(1 / (1 + exp(-(
+         (a1 - a0) / va * a + (b1 - b0) / vb * b + (c1 - c0) / vc * c + ln(n1 / n0)
+         - ((a1*a1 - a0*a0) / (2*va) + (b1*b1 - b0*b0) / (2*vb) + (c1*c1 - c0*c0) / (2*vc))))), 6) AS DECIMAL(18,6)) AS proba
+FROM f, p
+"""

@@ -12,6 +12,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from riverbend.session import materialize
 
@@ -33,8 +34,8 @@ WITH per_month AS (
 totals AS (
   SELECT DISTRICT, sum(n) AS crimes_total,
          percentile_approx(n, 0.5) AS crimes_monthly,
-         CAST(sum(s_lat) AS DECIMAL(22,2)) / sum(c_lat) AS lat,
-         CAST(sum(s_lng) AS DECIMAL(22,2)) / sum(c_lng) AS lng
+         CAST(sum(s_lat) AS {lat}) / sum(c_lat) AS lat,
+         CAST(sum(s_lng) AS {lng}) / sum(c_lng) AS lng
   FROM per_month GROUP BY DISTRICT),
 ranked AS (
   SELECT DISTRICT, NAME,
@@ -50,14 +51,27 @@ FROM totals t JOIN types y ON t.DISTRICT = y.DISTRICT
 """
 
 
+def _sum_type(df: DataFrame, col: str) -> str:
+    """Type to narrow a sum to before the division: 20 integer digits for a
+    decimal, which keeps its own scale (see ``operators.report.exact_mean``)."""
+    kind = df.schema[col].dataType
+    if isinstance(kind, T.DecimalType):
+        return f"DECIMAL({min(38, kind.scale + 20)},{kind.scale})"
+    return "DOUBLE"
+
+
 def incident_report_sql(spark: SparkSession, incidents: DataFrame, codes: DataFrame,
                         name_sep: str = "-", top_k: int = 3) -> DataFrame:
-    """Same result as ``operators.report.incident_report`` (incidents with a
-    ``decimal(18,2)`` location), built from SQL text and temp views."""
+    """Same result as ``operators.report.incident_report``, built from SQL text
+    and temp views, which are dropped once the plans are made."""
     tag = uuid.uuid4().hex[:8]
     inc_v, codes_v, fine_v = f"incidents_{tag}", f"codes_{tag}", f"fine_{tag}"
     incidents.createOrReplaceTempView(inc_v)
     codes.createOrReplaceTempView(codes_v)
     fine = spark.sql(FINE_SQL.format(incidents=inc_v, codes=codes_v, sep=name_sep))
     materialize(fine, "report-fine").createOrReplaceTempView(fine_v)
-    return spark.sql(REPORT_SQL.format(fine=fine_v, k=int(top_k)))
+    out = spark.sql(REPORT_SQL.format(fine=fine_v, k=int(top_k), lat=_sum_type(incidents, "LAT"),
+                                      lng=_sum_type(incidents, "LONG")))
+    for view in (inc_v, codes_v, fine_v):
+        spark.catalog.dropTempView(view)
+    return out

@@ -153,21 +153,31 @@ def event_ops(t: Tables) -> DataFrame:
 
 
 def cdc_messages(t: Tables) -> DataFrame:
-    """Each event as a CDC envelope JSON text (``to_json``)."""
-    ev = event_ops(t)
+    """Events as CDC messages: ``key``, ``value`` (the envelope as JSON) and
+    ``offset``.  A delete follows an update of the same row in the same
+    transaction; every second creation is a snapshot row, which has no
+    transaction.  The log position grows with the event id."""
+    steps = F.when(F.col("op") == "d", F.array(F.lit("u"), F.lit("d"))).when(
+        (F.col("op") == "c") & (F.col("event_id") % 2 == 0), F.array(F.lit("r"))).otherwise(F.array(F.col("op")))
+    ev = event_ops(t).select("*", F.posexplode(steps).alias("step", "code"))
     row = F.struct(F.col("user_id").cast("int").alias("id"),
                    F.col("event_type").alias("first_name"),
                    F.col("event_id").cast("string").alias("last_name"),
                    F.col("props").alias("email"))
+    ts_ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    offset = F.col("event_id") * 10 + F.col("step")
+    snapshot = F.col("code") == "r"
     payload = F.struct(
-        F.when(F.col("op") == "c", F.lit(None)).otherwise(row).alias("before"),
-        F.when(F.col("op") == "d", F.lit(None)).otherwise(row).alias("after"),
-        F.struct(F.lit("events").alias("table"), F.col("event_id").alias("txId")).alias("source"),
-        F.col("op").alias("op"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"),
+        F.when(~F.col("code").isin("c", "r"), row).alias("before"),
+        F.when(F.col("code") != "d", row).alias("after"),
+        F.struct(F.lit("shop").alias("db"), F.lit("events").alias("table"),
+                 F.when(~snapshot, F.col("event_id")).alias("txId"), offset.alias("lsn"),
+                 (ts_ms * 1000).alias("ts_usec"), snapshot.alias("snapshot")).alias("source"),
+        F.col("code").alias("op"),
+        ts_ms.alias("ts_ms"),
     )
     return ev.select(F.col("event_id").cast("string").alias("key"),
-                     F.to_json(F.struct(payload.alias("payload"))).alias("value"))
+                     F.to_json(F.struct(payload.alias("payload"))).alias("value"), offset.alias("offset"))
 
 
 # ---------------------------------------------------------------- keyed

@@ -117,6 +117,25 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there; any other trouble raises."""
+    fs, jpath = _hadoop_path(spark, path)
+    return fs.exists(jpath)
+
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    fs, jpath = _hadoop_path(spark, path)
+    return fs.getFileStatus(jpath).isFile()
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the folders directly under ``path`` (none if it is absent)."""
+    fs, jpath = _hadoop_path(spark, path)
+    if not fs.exists(jpath):
+        return []
+    return [str(s.getPath().toString()) for s in fs.listStatus(jpath) if s.isDirectory()]
+
+
 def save(df, purpose: str = "stage") -> tuple:
     """Write ``df`` once as a parquet table under the scratch root; returns
     the table read back and its path (for ``release``)."""

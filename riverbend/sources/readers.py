@@ -10,8 +10,11 @@ trigger limit.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riverbend.session import is_file, scratch_path
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True,
              sep: str = ",", encoding: str = "utf-8", mode: str = "PERMISSIVE",
@@ -22,7 +25,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header:
     quoted fields holding line breaks (such files are not split)."""
     return (spark.read.option("header", str(header).lower()).option("sep", sep)
                  .option("encoding", encoding).option("mode", mode)
-                 .option("enforceSchema", "true").option("multiLine", str(multi_line).lower())
+                 .option("escape", "\"").option("enforceSchema", "true").option("multiLine", str(multi_line).lower())
                  .schema(schema).csv(path))
 
 
@@ -39,11 +42,11 @@ def read_json_inferred(spark: SparkSession, path_or_df) -> DataFrame:
     """JSON with the schema inferred from all the data (a path, or a DataFrame
     holding one JSON text per row in column ``value``).  A DataFrame is
     written as text to the shared scratch folder and read back, so the
-    inference runs in the JVM over every row (no Python row loop)."""
+    inference runs in the JVM over every row (no Python row loop).  Line
+    breaks are white space in JSON and become blanks, as a text is one line."""
     if isinstance(path_or_df, DataFrame):
-        from riverbend.session import scratch_path
         path = scratch_path(spark, "json-texts")
-        path_or_df.select("value").write.text(path)
+        path_or_df.select(F.translate("value", "\r\n", "  ").alias("value")).write.text(path)
         return spark.read.json(path)
     return spark.read.json(path_or_df)
 
@@ -86,11 +89,15 @@ def topic_stream(spark: SparkSession, servers: str, topic: str, starting_offsets
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "json",
-                max_files_per_trigger: int | None = 1, glob: str | None = None) -> DataFrame:
-    """Files of a folder as a stream, ``max_files_per_trigger`` files per batch."""
+                max_files_per_trigger: int | None = 1, glob: str | None = None,
+                max_bytes_per_trigger: int | None = None) -> DataFrame:
+    """Files of a folder as a stream, in batches of ``max_files_per_trigger``
+    files or about ``max_bytes_per_trigger`` bytes."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.load(path)
@@ -106,9 +113,7 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str,
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     batch = spark.read.parquet(path)
-    files = batch.inputFiles()
-    single = len(files) == 1 and files[0].rstrip("/").endswith(f"/{name}.parquet")
-    if single:
+    if is_file(spark, path):
         return file_stream(spark, sf_dir, batch.schema, fmt="parquet",
                            max_files_per_trigger=max_files_per_trigger, glob=f"{name}.parquet")
     return file_stream(spark, path, batch.schema, fmt="parquet",

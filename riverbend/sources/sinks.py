@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from riverbend.session import path_exists, release
+
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", single_file: bool = False,
                   partition_by: list[str] | None = None) -> None:
@@ -22,8 +24,10 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", single_
     writer.parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).option("header", str(header).lower()).csv(path)
+def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists",
+              quote_all: bool = False) -> None:
+    """``quote_all`` keeps a null (no quotes) apart from an empty text."""
+    df.write.mode(mode).option("header", str(header).lower()).option("quoteAll", str(quote_all).lower()).option("escape", "\"").csv(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "append", single_file: bool = False) -> None:
@@ -52,13 +56,22 @@ def append_into(df: DataFrame, path: str, columns: list[str]) -> None:
 
 
 def create_table_if_absent(spark, path: str, ddl: str) -> None:
-    """``CREATE TABLE IF NOT EXISTS``: an empty parquet table with the schema."""
-    try:
-        spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - absent or empty folder
+    """``CREATE TABLE IF NOT EXISTS``: an empty parquet table with the schema
+    (and its folder, ``CREATE SCHEMA``)."""
+    if not path_exists(spark, path):
         spark.createDataFrame([], ddl).write.mode("ignore").parquet(path)
 
 
+def drop_table_if_exists(spark, path: str) -> None:
+    """``DROP TABLE IF EXISTS``."""
+    release(spark, path)
+
+
+def read_or_empty(spark, path: str, ddl: str) -> DataFrame:
+    """A parquet table, empty while nothing has been written yet."""
+    return spark.read.schema(ddl).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], ddl)
+
+
 def start_stream(df: DataFrame, checkpoint: str, path: str | None = None, fmt: str = "parquet",
                  output_mode: str = "append", trigger: dict | None = None,
                  query_name: str | None = None) -> StreamingQuery:

@@ -2,38 +2,59 @@
 (merge on read).
 
 Each micro-batch parses its envelopes, keeps the last change per key within
-the batch, and writes those rows to its own partition ``batch_id`` of a
-change-log table (dynamic partition overwrite: a retried batch replaces
-exactly what it wrote before).  A batch therefore costs O(its changes).
-
-The current table is read as one aggregate over the log: the change with
-the largest ``(ts_ms, seq)`` per key, without the keys whose last change is
-a delete.  The aggregate has a map-side partial step, so a key changed in
-every batch is combined inside each scan task.  Because the rule is "largest
-``(ts_ms, seq)`` wins", batches may arrive in any order and an older insert
-never resurrects a deleted key.  ``compact`` rewrites the log as one
-snapshot (tombstones kept) when it has grown.  (With a transactional table
-format on the classpath this would be one MERGE per batch.)
+the batch, and writes those rows to its own partition of a change-log table,
+named by the query and the batch (dynamic partition overwrite: a retried
+batch replaces exactly what it wrote before, and nothing else does).  The
+checkpoint lies beside the log, so a later run on the same root continues
+where the last one stopped.
+
+The current table is read as one aggregate over the log: per key the change
+that is last by ``ORDER``, without the keys whose last change is a delete.
+The order starts with the log position (``lsn``), which tells apart the
+changes of one transaction; sources without one are ordered by their time,
+transaction and message offset, and a delete is last among equals.  The
+aggregate has a map-side partial step, so a key changed in every batch is
+combined inside each scan task.  Because the last change wins wherever it
+is stored, batches may arrive in any order and an older insert never
+resurrects a deleted key.  When the log has many partitions it is rewritten
+as one (tombstones kept); the old ones are deleted only after the new one is
+complete, and reading both gives the same table.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverbend.operators.joins import latest_per_key
 from riverbend.operators.keyed import OP_DELETE
 from riverbend.operators.records import parse_cdc
+from riverbend.session import list_folders, path_exists, release
+from riverbend.sources.sinks import start_batches
+from riverbend.streaming.runner import await_query
+
+ORDER = ["lsn", "ts_ms", "txid", "offset", "deleted"]
+CHANGE_DDL = ("id int, lsn long, ts_ms long, txid long, offset long, deleted boolean, op string, "
+              "first_name string, last_name string, email string")
+STATE_COLUMNS = [c.split()[0] for c in CHANGE_DDL.split(", ")]
+LOG_DDL = CHANGE_DDL + ", query_id string, batch_id long"
 
-STATE_COLUMNS = ["id", "ts_ms", "seq", "op", "first_name", "last_name", "email"]
+# partitions of the log after which it is rewritten as one
+COMPACT_PARTITIONS = 64
 
 
-def change_rows(messages: DataFrame, seq: str = "source_txid") -> DataFrame:
-    """CDC envelopes -> one change row per message, keyed by the row id."""
-    p = parse_cdc(messages)
+def change_rows(messages: DataFrame, offset: str = "offset") -> DataFrame:
+    """CDC envelopes -> one change row per message, keyed by the row id.
+    ``offset`` is the message's place in its feed, if the feed has that column."""
+    has_offset = offset in messages.columns
+    p = parse_cdc(messages, keep=(offset,) if has_offset else ())
     return p.select(
         F.coalesce(F.col("after_id"), F.col("before_id")).alias("id"),
-        "ts_ms", F.col(seq).alias("seq"), "op",
+        F.col("source_lsn").alias("lsn"), "ts_ms", F.col("source_txid").alias("txid"),
+        (F.col(offset).cast("long") if has_offset else F.lit(None).cast("long")).alias("offset"),
+        (F.col("op") == OP_DELETE).alias("deleted"), "op",
         F.col("after_first_name").alias("first_name"),
         F.col("after_last_name").alias("last_name"),
         F.col("after_email").alias("email"),
@@ -41,44 +62,59 @@ def change_rows(messages: DataFrame, seq: str = "source_txid") -> DataFrame:
 
 
 def last_changes(changes: DataFrame) -> DataFrame:
-    """The change with the largest ``(ts_ms, seq)`` per key (deletes kept)."""
-    return latest_per_key(changes.select(*STATE_COLUMNS), ["id"], ["ts_ms", "seq"])
+    """The last change per key by ``ORDER`` (deletes kept)."""
+    return latest_per_key(changes.select(*STATE_COLUMNS), ["id"], ORDER)
 
 
 def _log_path(root: str) -> str:
     return f"{root.rstrip('/')}/changes"
 
 
-def _read_log(spark: SparkSession, root: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(_log_path(root))
-    except Exception:  # noqa: BLE001 - nothing written yet
-        return None
+def _read_log(spark: SparkSession, root: str) -> DataFrame:
+    if not path_exists(spark, _log_path(root)):
+        return spark.createDataFrame([], LOG_DDL)
+    return spark.read.schema(LOG_DDL).parquet(_log_path(root))
+
+
+def _write_partition(changes: DataFrame, root: str, query_id: str, batch_id: int) -> None:
+    (last_changes(changes).withColumn("query_id", F.lit(query_id)).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("query_id", "batch_id").parquet(_log_path(root)))
 
 
-def make_batch_writer(root: str):
+def make_batch_writer(root: str, compact_partitions: int = COMPACT_PARTITIONS):
     """``foreachBatch`` function appending each batch's last changes per key."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        (last_changes(change_rows(batch)).withColumn("batch_id", F.lit(batch_id).cast("long"))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id").parquet(_log_path(root)))
+        spark = batch.sparkSession
+        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+        _write_partition(change_rows(batch), root, query_id, batch_id)
+        if len(_partitions(spark, root)) > compact_partitions:
+            compact(spark, root)
     return apply
 
 
+def apply_stream(stream: DataFrame, root: str, timeout_s: float | None = None) -> None:
+    """Apply what ``stream`` has to the log under ``root``; run again, it goes
+    on from the checkpoint kept there."""
+    q = start_batches(stream, make_batch_writer(root), f"{root.rstrip('/')}/checkpoint")
+    await_query(q, timeout_s)
+
+
 def current_table(spark: SparkSession, root: str) -> DataFrame:
     """The current rows: ``id, first_name, last_name, email``."""
-    log = _read_log(spark, root)
-    if log is None:
-        return spark.createDataFrame([], "id int, first_name string, last_name string, email string")
-    return (last_changes(log).filter(F.col("op") != OP_DELETE)
+    return (last_changes(_read_log(spark, root)).filter(F.col("op") != OP_DELETE)
             .select("id", "first_name", "last_name", "email"))
 
 
-def compact(spark: SparkSession, root: str, new_root: str) -> str:
-    """Write the log's last change per key (tombstones kept) as the single
-    partition of a new log under ``new_root``; later batches append to it."""
-    log = _read_log(spark, root)
-    if log is not None:
-        (last_changes(log).withColumn("batch_id", F.lit(-1).cast("long"))
-            .write.partitionBy("batch_id").parquet(_log_path(new_root)))
-    return new_root
+def _partitions(spark: SparkSession, root: str) -> list[str]:
+    return [batch for query in list_folders(spark, _log_path(root)) for batch in list_folders(spark, query) if "batch_id=" in batch]
+
+
+def compact(spark: SparkSession, root: str) -> None:
+    """Rewrite the log's partitions as one (tombstones kept), then delete them."""
+    old = _partitions(spark, root)
+    if len(old) < 2:
+        return
+    log = spark.read.schema(LOG_DDL).option("basePath", _log_path(root)).parquet(*old)
+    _write_partition(log, root, f"compacted-{uuid.uuid4().hex}", 0)
+    release(spark, *old)

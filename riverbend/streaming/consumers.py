@@ -11,16 +11,16 @@ EXCLUDED_TYPE = "142"
 
 
 def guarded_type_counts(df: DataFrame, required: str = "bot",
-                        excluded_type: str = EXCLUDED_TYPE) -> DataFrame:
+                        excluded_type: str = EXCLUDED_TYPE, keys: tuple[str, ...] = ()) -> DataFrame:
     """Per-batch guard + count: when the batch has the ``required`` column,
-    count non-bot events per type (type ``excluded_type`` left out; a null
+    count non-bot events per type (and ``keys``) (type ``excluded_type`` left out; a null
     ``bot`` or ``type`` is left out too); otherwise an empty result."""
     if required not in df.columns:
         spark = df.sparkSession
         return spark.createDataFrame([], T.StructType([T.StructField("type", T.StringType()),
                                                        T.StructField("count", T.LongType())]))
     kept = df.filter((F.col("bot") == F.lit(False)) & (F.col("type") != F.lit(excluded_type)))
-    return kept.groupBy("type").agg(F.count(F.lit(1)).alias("count"))
+    return kept.groupBy("type", *keys).agg(F.count(F.lit(1)).alias("count"))
 
 
 def window_counts(df: DataFrame, ts: str = "timestamp", length: str = "20 seconds",

@@ -1,28 +1,27 @@
 """The micro-batch consumer of the older stream job, on Structured Streaming.
 
 Per batch: infer the schema of the batch's JSON texts, log it, and if the
-required column is there count non-bot events per type (else nothing);
-stamp the counts with the batch clock; write them idempotently per batch.
-Afterwards the stamped counts are summed per type over sliding windows of
-arrival time (5 minutes every 10 seconds).
+required column is there count non-bot events per type and 5-second interval
+of arrival (else nothing); write the counts idempotently per batch.
+Afterwards they are summed per type over sliding windows of arrival time
+(5 minutes every 10 seconds).
 
 The schema is inferred JVM-side over the whole batch: the batch texts are
 written to the shared scratch folder and read back with the JSON reader
-(no Python row loop).  The clock is a parameter so that a replay is
-repeatable; by default it is the processing time.
+(no Python row loop).  The time of arrival is a column of the feed (a topic's
+message timestamp), so a replay gives the same counts.
 """
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from riverbend.session import scratch_path
 from riverbend.sources.readers import read_json_inferred
+from riverbend.sources.sinks import read_or_empty
 from riverbend.streaming.consumers import arrival_window_sums, guarded_type_counts
 from riverbend.streaming.runner import run_batches
 
@@ -38,40 +37,45 @@ def infer_batch(batch: DataFrame) -> DataFrame:
         return batch.sparkSession.createDataFrame([], StructType([]))
     df = read_json_inferred(batch.sparkSession, batch)
     for field in df.schema.fields:
-        log.info("Field data: %s with type %s", field.name, field.dataType.simpleString())
+        log.info("inferred column %s: %s", field.name, field.dataType.simpleString())
     return df
 
 
-def batch_type_counts(batch: DataFrame, clock: F.Column) -> DataFrame:
-    counts = guarded_type_counts(infer_batch(batch))
-    return counts.withColumn("load_dttm", clock)
+COUNTS_DDL = "type string, count long, load_dttm timestamp, batch_id long"
+
+
+def batch_type_counts(batch: DataFrame, arrived: str = "arrived") -> DataFrame:
+    """Counts per type and arrival interval of ``BATCH_SECONDS``.  The guard
+    looks at the schema inferred from the texts of the whole batch."""
+    texts = batch.select("value", F.window(F.col(arrived), f"{BATCH_SECONDS} seconds").alias("w"))
+    seen = infer_batch(texts)
+    if "bot" not in seen.columns or "type" not in seen.columns:
+        return batch.sparkSession.createDataFrame([], "type string, count long, load_dttm timestamp")
+    fields = StructType([f for f in seen.schema.fields if f.name in ("bot", "type")])
+    typed = texts.select(F.col("w.start").alias("load_dttm"), F.from_json("value", fields).alias("e")).select("load_dttm", "e.*")
+    return guarded_type_counts(typed, keys=("load_dttm",)).select("type", "count", "load_dttm")
 
 
-def run_legacy_counts(stream: DataFrame, purpose: str = "legacy",
-                      clock: Callable[[int], F.Column] | None = None) -> str:
-    """Run the per-batch counts over ``stream`` (column ``value``); returns the
-    parquet table of ``type, count, load_dttm, batch_id``."""
+def run_legacy_counts(stream: DataFrame, purpose: str = "legacy", arrived: str = "arrived") -> DataFrame:
+    """Run the per-batch counts over ``stream`` (columns ``value`` and
+    ``arrived``); returns the table ``type, count, load_dttm, batch_id``.
+    The clock is the messages' own, so how the input falls into micro-batches
+    does not change the sums."""
     spark = stream.sparkSession
     sink = scratch_path(spark, f"{purpose}-counts")
-    stamp = clock or (lambda batch_id: F.current_timestamp())
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch_type_counts(batch, stamp(batch_id)).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        (batch_type_counts(batch, arrived).withColumn("batch_id", F.lit(batch_id).cast("long"))
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch_id").parquet(sink))
 
     run_batches(stream, write, purpose)
-    return sink
-
-
-def replay_clock(start_epoch_s: int = 0, step_s: int = BATCH_SECONDS) -> Callable[[int], F.Column]:
-    """Batch ``i`` arrives at ``start + i * step`` seconds (a repeatable clock)."""
-    return lambda batch_id: F.timestamp_seconds(F.lit(start_epoch_s + batch_id * step_s))
+    return read_or_empty(spark, sink, COUNTS_DDL)
 
 
 def windowed_type_counts(counts: DataFrame) -> DataFrame:
     """5-minute sums every 10 seconds of arrival time: ``window_start,
     window_end, type, count``."""
     w = arrival_window_sums(counts, "load_dttm", "300 seconds", "10 seconds", ("type",), "count")
-    return w.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-                    "type", "count")
+    return w.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
+                    F.col("window.end").cast("timestamp_ntz").alias("window_end"), "type", "count")

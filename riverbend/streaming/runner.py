@@ -13,15 +13,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQueryListener
 
 from riverbend.session import scratch_path
 from riverbend.sources.sinks import start_batches, start_stream
 
-DEFAULT_TIMEOUT_S = 900
-
 
 def run_to_table(stream: DataFrame, purpose: str, fmt: str = "parquet",
-                 output_mode: str = "append", timeout_s: int = DEFAULT_TIMEOUT_S) -> str:
+                 output_mode: str = "append", timeout_s: float | None = None) -> str:
     """Run ``stream`` into a fresh sink folder until all input is processed;
     returns the folder."""
     spark = stream.sparkSession
@@ -33,7 +32,7 @@ def run_to_table(stream: DataFrame, purpose: str, fmt: str = "parquet",
 
 
 def run_batches(stream: DataFrame, fn: Callable[[DataFrame, int], None], purpose: str,
-                timeout_s: int = DEFAULT_TIMEOUT_S) -> str:
+                timeout_s: float | None = None) -> str:
     """Run ``foreachBatch(fn)`` to completion; returns the checkpoint folder."""
     chk = scratch_path(stream.sparkSession, f"{purpose}-chk")
     q = start_batches(stream, fn, chk)
@@ -41,8 +40,10 @@ def run_batches(stream: DataFrame, fn: Callable[[DataFrame, int], None], purpose
     return chk
 
 
-def await_query(q, timeout_s: int = DEFAULT_TIMEOUT_S) -> None:
-    finished = q.awaitTermination(timeout_s)
+def await_query(q, timeout_s: float | None = None) -> None:
+    """Wait until the query ends: without a limit, or ``timeout_s`` seconds,
+    after which it is stopped and a TimeoutError raised."""
+    finished = q.awaitTermination() is None if timeout_s is None else q.awaitTermination(timeout_s)
     if not finished:
         q.stop()
         raise TimeoutError(f"streaming query {q.name or q.id} did not finish in {timeout_s}s")
@@ -50,26 +51,54 @@ def await_query(q, timeout_s: int = DEFAULT_TIMEOUT_S) -> None:
         raise RuntimeError(str(q.exception()))
 
 
-def await_any(spark: SparkSession, timeout_s: int = DEFAULT_TIMEOUT_S) -> None:
-    spark.streams.awaitAnyTermination(timeout_s)
+def await_any(spark: SparkSession, timeout_s: float | None = None) -> None:
+    """Wait until any query of the session has ended; a TimeoutError if none
+    has after ``timeout_s`` seconds (no limit by default)."""
+    if timeout_s is None:
+        spark.streams.awaitAnyTermination()
+    elif not spark.streams.awaitAnyTermination(timeout_s):
+        raise TimeoutError(f"no streaming query ended in {timeout_s}s")
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)
 
 
-def progress_stats(q) -> dict:
-    """Live statistics of a running or finished query from its progress
-    reports: total input rows, the latest input and processing rates, and the
-    time of the last batch (the stream's ``describe extended`` figures)."""
-    reports = [p if isinstance(p, dict) else p.jsonValue() if hasattr(p, "jsonValue") else dict(p)
-               for p in (q.recentProgress or [])]
-    with_rows = [p for p in reports if p.get("numInputRows")]
-    last = with_rows[-1] if with_rows else (reports[-1] if reports else {})
-    return {
-        "total_messages": int(sum(p.get("numInputRows", 0) for p in reports)),
-        "input_rows_per_sec": float(last.get("inputRowsPerSecond") or 0.0),
-        "processed_rows_per_sec": float(last.get("processedRowsPerSecond") or 0.0),
-        "last_batch": last.get("timestamp"),
-        "batches": len(reports),
-    }
+class ProgressTotals(StreamingQueryListener):
+    """Exact totals of every query started while the listener is registered
+    (``spark.streams.addListener``).  A query itself keeps its last 100
+    reports only, so totals are added up as the reports arrive."""
+
+    def __init__(self) -> None:
+        self._of: dict[str, dict] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self._of[str(event.id)] = {"total_messages": 0, "input_rows_per_sec": 0.0,
+                                   "processed_rows_per_sec": 0.0, "last_batch": None, "batches": 0}
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        st = self._of[str(p.id)]
+        st["batches"] += 1
+        st["total_messages"] += int(p.numInputRows)
+        if p.numInputRows or st["last_batch"] is None:
+            st.update(input_rows_per_sec=float(p.inputRowsPerSecond or 0.0),
+                      processed_rows_per_sec=float(p.processedRowsPerSecond or 0.0), last_batch=p.timestamp)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def of(self, q) -> dict:
+        """Total input rows, the latest input and processing rates, time of
+        the last batch with rows, and number of reports of one query."""
+        return dict(self._of[str(q.id)])
+
+
+def progress_totals(spark: SparkSession) -> ProgressTotals:
+    """Register and return a ``ProgressTotals``."""
+    totals = ProgressTotals()
+    spark.streams.addListener(totals)
+    return totals

@@ -7,17 +7,20 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riverbend.functions.scores import band, positive_probability
+from riverbend.functions.scores import band, positive_index, positive_probability
 from riverbend.session import scratch_path
 from riverbend.streaming.runner import run_batches
 
 WINDOW = "10 seconds"
 
 
-def band_batch_counts(batch: DataFrame) -> DataFrame:
+BANDS_DDL = "window_start timestamp, clean_probability string, count long, batch_id long"
+
+
+def band_batch_counts(batch: DataFrame, index: int = 1) -> DataFrame:
     """Per batch: band of the positive-class probability, counted per band
     in 10-second windows of processing time (the batch clock)."""
-    banded = (batch.select(band(positive_probability("probability")).alias("clean_probability"))
+    banded = (batch.select(band(positive_probability("probability", index)).alias("clean_probability"))
                    .withColumn("time_stamp", F.current_timestamp()))
     return (banded.groupBy(F.window("time_stamp", WINDOW).alias("time_stamp"), "clean_probability")
                   .count()
@@ -31,9 +34,10 @@ def score_stream(model: PipelineModel, stream: DataFrame, purpose: str = "scores
     spark = stream.sparkSession
     sink = scratch_path(spark, f"{purpose}-out")
     scored = model.transform(stream)
+    index = positive_index(model)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (band_batch_counts(batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        (band_batch_counts(batch, index).withColumn("batch_id", F.lit(batch_id).cast("long"))
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch_id").parquet(sink))
 

@@ -50,5 +50,8 @@ def test_apply_changes_on_current_and_upsert(spark):
     ch = spark.createDataFrame([(1, 5, 1, "u", "new")], "id long, ts long, seq long, op string, v string")
     got = sorted((r["id"], r["v"]) for r in keyed.apply_changes(ch, ["id"], ["ts", "seq"], current=cur).collect())
     assert got == [(1, "new"), (3, "keep")]
+    twice = ch.unionByName(spark.createDataFrame([(1, 9, 2, "u", "newer"), (7, 1, 3, "c", "x"), (7, 1, 2, "c", "y")], ch.schema))
+    up = keyed.upsert(cur, twice, ["id"], ["ts", "seq"]).collect()
+    assert sorted((r["id"], r["v"]) for r in up) == [(1, "newer"), (3, "keep"), (7, "x")]
     up = keyed.upsert(cur, ch, ["id"]).collect()
     assert sorted((r["id"], r["v"]) for r in up) == [(1, "new"), (3, "keep")]

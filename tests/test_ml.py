@@ -1,6 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
-from riverbend.functions.scores import band, binary_label
+from riverbend.functions.scores import band, binary_label, positive_index
 from riverbend.operators import text_ml
 from riverbend.plans import tables as tb
 
@@ -53,4 +54,42 @@ def test_samples_are_seeded(spark):
 
 def test_clean_words(spark):
     df = spark.createDataFrame([("Hello, world!! it's 2024 wonderful",)], "tweet string")
-    assert text_ml.clean_words(df).first()["tokens"] == ["Hello", "world", "wonderful"]
+    assert text_ml.clean_words(df).first()["tokens"] == ["hello", "world", "wonderful"]
+
+
+def test_positive_class_is_looked_up(spark):
+    docs = spark.createDataFrame([(i, f"text {i} of words", i % 2) for i in range(40)], "doc_id long, tweet string, label int")
+    model = text_ml.rf_pipeline().fit(docs)
+    assert positive_index(model) == 1 and positive_index(model, 0.0) == 0
+    one = text_ml.rf_pipeline().fit(docs.where("label = 1"))
+    assert positive_index(one) == 0
+    s = text_ml.score(one, docs).select("band").distinct().collect()
+    assert [r.band for r in s] == ["positive"]
+    with pytest.raises(ValueError, match="label 0"):
+        positive_index(one, 0.0)
+    with pytest.raises(ValueError, match="label 1"):
+        positive_index(text_ml.rf_pipeline().fit(docs.where("label = 0")))
+
+
+def test_texts_are_hashed_before_the_labels_are_joined(spark):
+    t = tb.Tables(spark, SF_SMALL)
+    docs = t.documents.select("doc_id", F.col("text").alias("tweet"))
+    labels = t.labels.select("doc_id", F.col("quality").alias("label"))
+    model = text_ml.fit_hashed(text_ml.lr_pipeline(), docs, labels)
+    direct = text_ml.lr_pipeline().fit(docs.join(labels, "doc_id"))
+    a, b = ({r.doc_id: r.clean_probability for r in text_ml.score(m, docs).collect()} for m in (model, direct))
+    assert all(abs(a[i] - b[i]) < 1e-3 for i in a)
+
+
+def test_frequent_terms(spark):
+    df = spark.createDataFrame([(["aa", "bb", "aa"],), (["aa"],), (["cc"],), (["aa", "cc"],)], "tokens array<string>")
+    assert text_ml.frequent_terms(df, 0.5) == ["aa"] and text_ml.frequent_terms(df, 1.0) == []
+    assert [r.tokens for r in text_ml.without_terms(df, ["aa"]).collect()] == [["bb"], [], ["cc"], ["cc"]]
+
+
+def test_weights_round_trip(spark, tmp_dir):
+    import numpy as np
+    w = {"w": np.array([0.1, -2.5, 3.0]), "b": np.array([0.7])}
+    text_ml.save_weights(spark, w, tmp_dir + "/w")
+    again = text_ml.load_weights(spark, tmp_dir + "/w")
+    assert (again["w"] == w["w"]).all() and again["b"][0] == 0.7

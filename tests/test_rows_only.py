@@ -23,10 +23,8 @@ def test_grid_search_reports_every_setting_once(spark):
 
 def test_scores_cover_every_document(spark):
     n_docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
-    for name, col in (("lr_scores", "clean_probability"), ("block_scores", "proba")):
-        df = run(spark, name)
-        s = df.agg(F.count("*"), F.countDistinct("doc_id"), F.min(col), F.max(col)).first()
-        assert s[0] == s[1] == n_docs and 0.0 <= s[2] <= s[3] <= 1.0
+    s = run(spark, "lr_scores").agg(F.count("*"), F.countDistinct("doc_id"), F.min("clean_probability"), F.max("clean_probability")).first()
+    assert s[0] == s[1] == n_docs and 0.0 <= s[2] <= s[3] <= 1.0
 
 
 def test_stream_bands_add_up_to_the_documents(spark):
@@ -44,9 +42,4 @@ def test_samples_parts(spark):
     n_lab = spark.read.parquet(f"{SF_SMALL}/labels.parquet").count()
     assert len(parts["train"]) + len(parts["test"]) == n_lab
     assert not set(parts["train"]) & set(parts["test"])
-
-
-def test_legacy_counts_are_windowed_sums(spark):
-    df = run(spark, "legacy_type_counts")
-    assert df.columns == ["window_start", "window_end", "type", "count"]
-    assert df.filter(F.col("count") <= 0).count() == 0
+    assert parts["feed"]

@@ -2,6 +2,7 @@ import json
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from riverbend.operators import keyed, records, windows
@@ -68,30 +69,65 @@ def test_json_malformed_and_null(spark):
     assert sorted((r["a"] is None, r["a"]) for r in rows) == [(False, 1), (True, None)]
 
 
-def test_recorded_cdc_message(spark):
-    msg = {"schema": {}, "payload": {
-        "before": None,
-        "after": {"id": 1384, "first_name": "Rhonda", "last_name": "Thompson", "email": "x@example.com"},
-        "source": {"connector": "postgresql", "table": "customers", "txId": 1106, "snapshot": False},
-        "op": "c", "ts_ms": 1561567603677}}
-    df = spark.createDataFrame([(json.dumps(msg),)], "value string")
+def envelope(op, before=None, after=None, ts=5, **source):
+    return json.dumps({"payload": {"before": before, "after": after, "op": op, "ts_ms": ts,
+                                   "source": {"table": "people", **source}}})
+
+
+def person(i, name="Ada"):
+    return {"id": i, "first_name": name, "last_name": "Byte", "email": f"{name.lower()}@example.org"}
+
+
+def test_cdc_message(spark):
+    df = spark.createDataFrame([(envelope("c", after=person(7), txId=31, lsn=900, snapshot=False),)], "value string")
     r = records.parse_cdc(df).collect()[0]
-    assert (r["op"], r["after_id"], r["before_id"], r["source_txid"]) == ("c", 1384, None, 1106)
+    assert (r["op"], r["after_id"], r["before_id"], r["source_txid"], r["source_lsn"], r["source_snapshot"]) == ("c", 7, None, 31, 900, False)
 
 
 def test_cdc_stream_is_order_independent(spark, tmp_dir):
     msgs = tb.cdc_messages(tb.Tables(spark, SF_SMALL))
-    rows = [(r["key"], r["value"]) for r in msgs.collect()]
+    rows = [r.asDict() for r in msgs.collect()]
     # newest changes first: batches arrive in reverse time order
     chunks = [rows[i:i + 1000] for i in range(0, len(rows), 1000)][::-1]
-    _write_batches(tmp_dir, [[{"key": k, "value": v} for k, v in c] for c in chunks])
-    stream = file_stream(spark, tmp_dir, "key string, value string", fmt="json", max_files_per_trigger=1)
+    _write_batches(tmp_dir, chunks)
+    stream = file_stream(spark, tmp_dir, "key string, value string, offset long", fmt="json", max_files_per_trigger=1)
     root = os.path.join(tmp_dir, "state")
-    runner.run_batches(stream, cdc.make_batch_writer(root), "cdc-test")
+    cdc.apply_stream(stream, root)
     got = sorted(map(tuple, cdc.current_table(spark, root).collect()))
     ch = cdc.change_rows(msgs)
-    want = keyed.apply_changes(ch, ["id"], ["ts_ms", "seq"]).select("id", "first_name", "last_name", "email")
-    assert got == sorted(map(tuple, want.collect()))
+    want = keyed.apply_changes(ch, ["id"], cdc.ORDER).select("id", "first_name", "last_name", "email")
+    assert got == sorted(map(tuple, want.collect())) and got
+
+
+def test_cdc_delete_in_the_transaction_of_an_update(spark, tmp_dir):
+    same = {"ts": 9, "txId": 4}
+    messages = [envelope("r", after=person(1), ts=1, snapshot=True), envelope("u", person(1), person(1, "Bo"), lsn=20, **same),
+                envelope("d", person(1, "Bo"), lsn=21, **same), envelope("r", after=person(2), ts=1, snapshot=True),
+                envelope("u", person(3), person(3, "Cy"), **same), envelope("d", person(3), **same)]
+    for order in (messages, messages[::-1]):
+        df = spark.createDataFrame([(m,) for m in order], "value string")
+        assert [r["id"] for r in cdc.last_changes(cdc.change_rows(df)).where("op <> 'd'").collect()] == [2]
+
+
+def test_cdc_second_run_on_one_root_keeps_the_first(spark, tmp_dir):
+    src, root = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "root")
+    schema = "value string, offset long"
+    for run, i in enumerate((1, 2)):
+        os.makedirs(src, exist_ok=True)
+        with open(os.path.join(src, f"part-{run}.json"), "w") as fh:
+            fh.write(json.dumps({"value": envelope("c", after=person(i), lsn=run), "offset": run}) + "\n")
+        cdc.apply_stream(file_stream(spark, src, schema), root)
+    assert sorted(r["id"] for r in cdc.current_table(spark, root).collect()) == [1, 2]
+
+
+def test_cdc_read_errors_are_not_hidden(spark, tmp_dir):
+    assert cdc.current_table(spark, tmp_dir + "/none").count() == 0
+    folder = os.path.join(tmp_dir, "changes", "query_id=q", "batch_id=0")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "part-0.parquet"), "w") as fh:
+        fh.write("not parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        cdc.current_table(spark, tmp_dir).collect()
 
 
 def test_filtered_projection(spark):
@@ -146,45 +182,74 @@ def test_decode_kv(spark):
     assert tuple(records.decode_kv(df).first()) == ("k", '{"a":1}')
 
 
+def arrivals(spark, texts):
+    return spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "value string, at long").select(
+        "value", F.timestamp_seconds("at").alias("arrived"))
+
+
 def test_legacy_batch_guard_and_clock(spark, tmp_dir):
     from riverbend.streaming import legacy
-    good = spark.createDataFrame([('{"bot": false, "type": "edit"}',), ('{"bot": true, "type": "edit"}',),
-                                  ('{"bot": false, "type": "142"}',)], "value string")
-    rows = legacy.batch_type_counts(good, F.timestamp_seconds(F.lit(0))).collect()
-    assert [(r["type"], r["count"]) for r in rows] == [("edit", 1)]
-    bad = spark.createDataFrame([('{"type": "edit"}',)], "value string")
-    assert legacy.batch_type_counts(bad, F.timestamp_seconds(F.lit(0))).count() == 0
+    good = arrivals(spark, ['{"bot": false,\n "type": "edit"}', '{"bot": true, "type": "edit"}', '{"bot": false, "type": "142"}',
+                            '{"bot": false, "type": "edit"}', None, '{"bot": false, "type": "edit"}'])
+    rows = legacy.batch_type_counts(good).collect()
+    assert sorted((r["type"], r["count"], int(r["load_dttm"].timestamp())) for r in rows) == [("edit", 1, 5), ("edit", 2, 0)]
+    assert legacy.batch_type_counts(arrivals(spark, ['{"type": "edit"}'])).count() == 0
 
 
-def test_progress_stats(spark, tmp_dir):
-    _write_batches(tmp_dir, [[{"type": "a", "bot": False, "timestamp": i} for i in range(5)],
-                             [{"type": "b", "bot": False, "timestamp": 9}]])
+def test_legacy_counts_do_not_depend_on_the_batches(spark, tmp_dir):
+    from riverbend.streaming import legacy
+    texts = [json.dumps({"bot": i % 3 == 0, "type": "ab"[i % 2]}) for i in range(40)]
+    sums = []
+    for n, files in enumerate((1, 5)):
+        path = os.path.join(tmp_dir, str(n))
+        arrivals(spark, texts).repartition(files).write.parquet(path)
+        stream = file_stream(spark, path, "value string, arrived timestamp", fmt="parquet")
+        sums.append(sorted(map(tuple, legacy.windowed_type_counts(legacy.run_legacy_counts(stream)).collect())))
+    assert sums[0] == sums[1] and sums[0]
+
+
+def test_progress_totals_beyond_the_kept_reports(spark, tmp_dir):
+    _write_batches(tmp_dir, [[{"type": "a", "bot": False, "timestamp": i}] * (i + 1) for i in range(8)])
     from riverbend.sources.sinks import start_stream
-    q = start_stream(file_stream(spark, tmp_dir, "type string, bot boolean, timestamp long"),
-                     os.path.join(tmp_dir, "chk"), os.path.join(tmp_dir, "out"))
-    runner.await_query(q)
-    st = runner.progress_stats(q)
-    assert st["total_messages"] == 6 and st["batches"] >= 2 and st["last_batch"]
+    totals = runner.progress_totals(spark)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        q = start_stream(file_stream(spark, tmp_dir, "type string, bot boolean, timestamp long"),
+                         os.path.join(tmp_dir, "chk"), os.path.join(tmp_dir, "out"))
+        runner.await_query(q)
+        assert len(q.recentProgress) <= 3
+        for _ in range(100):  # reports arrive on the listener's thread
+            st = totals.of(q)
+            if st["total_messages"] == 36:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+        spark.streams.removeListener(totals)
+    assert st["total_messages"] == 36 and st["batches"] >= 8 and st["last_batch"]
 
 
 def test_cdc_compaction_keeps_current_table(spark, tmp_dir):
     msgs = tb.cdc_messages(tb.Tables(spark, SF_SMALL))
     root = os.path.join(tmp_dir, "a")
-    writer = cdc.make_batch_writer(root)
-    half = msgs.filter(F.col("key").cast("long") % 2 == 0)
-    writer(half, 0)
-    writer(msgs.subtract(half), 1)
-    writer(msgs.subtract(half), 1)     # a retried batch replaces its own rows
-    before = sorted(map(tuple, cdc.current_table(spark, root).collect()))
-    new_root = cdc.compact(spark, root, os.path.join(tmp_dir, "b"))
-    after = sorted(map(tuple, cdc.current_table(spark, new_root).collect()))
-    assert before == after and len(before) > 0
+    writer = cdc.make_batch_writer(root, compact_partitions=2)
+    parts = [msgs.filter(F.col("offset") % 4 == i) for i in range(4)]
+    writer(parts[0], 0)
+    writer(parts[1], 1)
+    writer(parts[1], 1)     # a retried batch replaces its own rows
+    assert len(cdc._partitions(spark, root)) == 2
+    writer(parts[2], 2)     # one too many: rewritten as one
+    assert len(cdc._partitions(spark, root)) == 1
+    writer(parts[3], 3)
+    want = cdc.last_changes(cdc.change_rows(msgs)).where("op <> 'd'").select("id", "first_name", "last_name", "email")
+    got = sorted(map(tuple, cdc.current_table(spark, root).collect()))
+    assert got == sorted(map(tuple, want.collect())) and got
 
 
 def test_legacy_empty_batch_counts_nothing(spark):
     from riverbend.streaming import legacy
-    empty = spark.createDataFrame([], "value string")
-    assert legacy.batch_type_counts(empty, F.timestamp_seconds(F.lit(0))).count() == 0
+    empty = spark.createDataFrame([], "value string, arrived timestamp")
+    assert legacy.batch_type_counts(empty).count() == 0
 
 
 def test_console_sink_and_await_any(spark, tmp_dir):

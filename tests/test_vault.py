@@ -11,8 +11,7 @@ STAGE = ("District string, Crimes_total long, Crimes_monthly long, Frequent_crim
 ODS = ("FILE_ID long, LOAD_TS timestamp_ntz, District string, Crimes_total long, Crimes_monthly long, "
        "Frequent_crime_types string, Lat decimal(37,15), Lng decimal(37,15)")
 HUB = "HK_DISTRICT string, FILE_ID long, LOAD_TS timestamp_ntz, DISTRICT string"
-SAT = ("HK_DISTRICT string, FILE_ID long, LOAD_TS timestamp_ntz, HASHDIFF string, CRIMES_TOTAL long, "
-       "CRIMES_MONTHLY long, FREQUENT_CRIME_TYPES string, LAT decimal(37,15), LNG decimal(37,15)")
+SAT = vault.SAT_DDL
 
 
 def stage(spark, total_b=5):
@@ -59,8 +58,9 @@ def test_changed_metric_adds_one_satellite_row(spark):
     assert (log, ods, hub, sat) == (0, 0, 0, 1)
     # the insert-once log gives both B rows the same file id and load time;
     # the view still returns exactly one row per district
-    cur = [r["DISTRICT"] for r in vault.current_view(s2[2], s2[3]).collect()]
-    assert sorted(cur) == ["A", "B"]
+    # the view returns the row loaded last
+    cur = {r["DISTRICT"]: r["CRIMES_TOTAL"] for r in vault.current_view(s2[2], s2[3]).collect()}
+    assert cur == {"A": 10, "B": 6}
 
 
 def test_file_id_continues_log(spark):
@@ -101,7 +101,15 @@ def test_table_chain_rerun_and_change(spark, tmp_dir):
     assert again == {"file_log": 0, "ods": 0, "hub": 0, "satellite": 0}
     changed = vault.run_load_chain(stage(spark, total_b=6), root, load_ts="2024-01-03 00:00:00")
     assert changed == {"file_log": 0, "ods": 0, "hub": 0, "satellite": 1}
-    assert vault.current_from_tables(spark, root).count() == 2
+    fallen = vault.run_load_chain(stage(spark, total_b=3), root, load_ts="2024-01-03 00:00:00")
+    assert fallen["satellite"] == 1
+    assert {r["DISTRICT"]: r["CRIMES_TOTAL"] for r in vault.current_from_tables(spark, root).collect()} == {"A": 10, "B": 3}
+
+
+def test_table_chain_rejects_null_metrics(spark, tmp_dir):
+    bad = stage(spark).withColumn("Crimes_total", F.when(F.col("District") == "A", F.col("Crimes_total")))
+    with pytest.raises(ValueError, match="NOT NULL.*Crimes_total"):
+        vault.run_load_chain(bad, tmp_dir + "/dwh", load_ts="2024-01-01 00:00:00")
 
 
 def test_table_chain_rejects_duplicate_stage_keys(spark, tmp_dir):
