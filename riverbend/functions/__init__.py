@@ -1,15 +1,14 @@
 """Column-expression helpers.  All of them are built-in Spark expressions, so
 they stay inside whole-stage codegen (no Python UDF on the hot path)."""
 
-from riverbend.functions.text import (clean_long_tokens, head_before, letter_count, letters_only,
-                                      long_tokens, top_k_text)
+from riverbend.functions.text import clean_long_tokens, head_before, letter_count, top_k_text
 from riverbend.functions.hashing import hash_key, hashdiff
 from riverbend.functions.scores import band, binary_label, positive_probability
-from riverbend.functions.time import epoch_millis_to_ts, epoch_seconds_to_ts, to_epoch_millis, to_instant
+from riverbend.functions.time import epoch_seconds_to_ts
 
 __all__ = [
-    "clean_long_tokens", "head_before", "letter_count", "letters_only", "long_tokens", "top_k_text",
+    "clean_long_tokens", "head_before", "letter_count", "top_k_text",
     "hash_key", "hashdiff",
     "band", "binary_label", "positive_probability",
-    "epoch_millis_to_ts", "epoch_seconds_to_ts", "to_epoch_millis", "to_instant",
+    "epoch_seconds_to_ts",
 ]

@@ -21,20 +21,8 @@ def head_before(col: Column | str, sep: str = "-") -> Column:
     return F.trim(F.split(c, _quoted(sep)).getItem(0))
 
 
-def letters_only(col: Column | str) -> Column:
-    """Replace every character that is not an ASCII letter by a space."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.regexp_replace(c, "[^a-zA-Z]", " ")
-
-
-def long_tokens(col: Column | str, min_len: int = 3) -> Column:
-    """Whitespace tokens strictly longer than ``min_len`` characters (array)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.filter(F.split(c, "\\s+"), lambda w: F.length(w) > F.lit(min_len))
-
-
 def clean_long_tokens(col: Column | str, min_len: int = 3) -> Column:
-    """``long_tokens(letters_only(col), min_len)`` in one regex pass.
+    """Letter runs longer than ``min_len``: non-letters to spaces, split, filter, in one regex pass.
 
     After non-letters become spaces the tokens are exactly the maximal runs
     of ASCII letters, so the runs longer than ``min_len`` are the matches of

@@ -7,22 +7,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def to_instant(col: Column | str) -> Column:
-    """A ``timestamp`` (instant) column; watermarks need this type."""
-    c = F.col(col) if isinstance(col, str) else col
-    return c.cast("timestamp")
-
-
 def epoch_seconds_to_ts(col: Column | str) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return c.cast("long").cast("timestamp")
-
-
-def epoch_millis_to_ts(col: Column | str) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return F.timestamp_millis(c.cast("long"))
-
-
-def to_epoch_millis(col: Column | str) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return F.unix_millis(c.cast("timestamp"))

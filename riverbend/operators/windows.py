@@ -54,13 +54,3 @@ def sliding_counts(df: DataFrame, ts: str, length_s: int, slide_s: int,
         _like(df, ts, F.col("_s") * F.lit(step)).alias("window_start"),
         _like(df, ts, (F.col("_s") + F.lit(n)) * F.lit(step)).alias("window_end"),
         *keys, count_col)
-
-
-def tumbling_counts(df: DataFrame, ts: str, length_s: int, keys: Sequence[str] = (),
-                    count_col: str = "count") -> DataFrame:
-    return sliding_counts(df, ts, length_s, length_s, keys, count_col)
-
-
-def closed_windows(counts: DataFrame, watermark_ts: F.Column) -> DataFrame:
-    """Windows an append-mode stream has emitted: those ending at or before the watermark."""
-    return counts.filter(F.col("window_end") <= watermark_ts)

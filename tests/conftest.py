@@ -15,7 +15,9 @@ def spark():
     from riverbend.session import build_session
     scratch = tempfile.mkdtemp(prefix="riverbend-tests-")
     s = build_session("local[*]", app_name="riverbend-tests", shuffle_partitions=8,
-                      extra={"spark.checkpoint.dir": scratch})
+                      extra={"spark.checkpoint.dir": scratch, "spark.eventLog.enabled": "true",
+                             "spark.eventLog.dir": tempfile.mkdtemp(prefix="riverbend-events-"),
+                             "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"})
     yield s
     s.stop()
 

@@ -6,16 +6,21 @@
   so a key holding a third of the rows is combined inside each scan task.
 """
 
+import json
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from riverbend.operators import joins, keyed, report
+from riverbend.plans import catalog, oracle
 
 from conftest import SF_SMALL
 
 BANNED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
-FAST = sorted(set(entry.oracle_sql()) - {"window_append_20_10", "filtered_stream", "cdc_apply_stream"})
+STREAMS = {"window_append_20_10", "filtered_stream", "cdc_apply_stream", "legacy_type_counts", "typed_change_stream"}
+FAST = sorted(set(catalog.QUERIES) & set(oracle.SQL) - STREAMS)
 
 
 def plan_text(df):
@@ -31,6 +36,30 @@ def test_no_cross_join_or_row_udf(spark, name):
         assert op not in text, f"{name} plan has {op}"
 
 
+def logged_plans(spark, run):
+    """The physical plans of all SQL executions that ``run`` starts: of saved
+    intermediate tables and streaming batches too."""
+    log = spark.conf.get("spark.eventLog.dir").removeprefix("file:") + "/" + spark.sparkContext.applicationId
+    path = next(p for p in (log, log + ".inprogress") if os.path.exists(p))
+    bus = spark.sparkContext._jsc.sc().listenerBus()
+    bus.waitUntilEmpty(60_000)
+    with open(path) as fh:
+        fh.seek(0, os.SEEK_END)
+        run()
+        bus.waitUntilEmpty(60_000)
+        events = [json.loads(line) for line in fh if '"physicalPlanDescription"' in line and line.endswith("\n")]
+    return [e["physicalPlanDescription"] for e in events]
+
+
+@pytest.mark.parametrize("name", sorted(STREAMS | {"incident_report", "vault_current"}))
+def test_no_cross_join_in_any_job(spark, name):
+    plans = logged_plans(spark, lambda: entry.queries()[name](spark, SF_SMALL).write.format("noop").mode("overwrite").save())
+    assert len(plans) > 1
+    for plan in plans:
+        for op in BANNED:
+            assert op not in plan, f"{name} runs a {op}"
+
+
 def test_hot_key_is_reduced_before_the_shuffle(spark):
     # one key holds a third of the rows
     n = 30000

@@ -64,3 +64,15 @@ def test_district_dimension_path_equals_direct_path(spark):
     via_dim = report.incident_report(tb.incident_facts(t), tb.codes_from_tables(t), name_sep=" ",
                                      districts=districts, district_key="l_suppkey")
     assert sorted(map(tuple, direct.collect())) == sorted(map(tuple, via_dim.collect()))
+
+
+def test_sql_report_keeps_the_scale_of_the_coordinates(spark):
+    from decimal import Decimal
+    from riverbend.plans.sql_views import incident_report_sql
+    inc = spark.createDataFrame([("A", 1, 1, Decimal("42.3601"), Decimal("-71.0589"))],
+                                "DISTRICT string, OFFENSE_CODE long, MONTH int, LAT decimal(38,18), LONG decimal(38,18)")
+    codes = spark.createDataFrame([(1, "X-Y")], "CODE long, NAME string")
+    before = {t.name for t in spark.catalog.listTables()}
+    row = incident_report_sql(spark, inc, codes).first()
+    assert (round(row.lat, 4), round(row.lng, 4)) == (Decimal("42.3601"), Decimal("-71.0589"))
+    assert {t.name for t in spark.catalog.listTables()} == before
