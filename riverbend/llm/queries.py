@@ -55,4 +55,32 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_quality, op4_packing, op5_phrases, op6_pii, op7_suffix_array, op8_prefix_forest, op9_html, op10_simhash)}
-SQL: dict[str, str] = {}
+# whole tables, by brute force: every window is a row
+SQL: dict[str, str] = {
+    "op5_phrases": r"""
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+  win AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS h FROM w, range(1, len(ws) - 48) r(i)),
+  least AS (SELECT h, min(doc_id) AS m FROM win GROUP BY h),
+  gone AS (SELECT DISTINCT doc_id, i + k AS p FROM win JOIN least USING (h), range(50) t(k) WHERE m < doc_id),
+  words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w),
+  kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+""",
+    "op7_suffix_array": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+  win AS (SELECT doc_id, i, md5(substr(x, CAST(2 * i + 1 AS BIGINT), 400)) AS h FROM d, range(n - 199) r(i)),
+  dup AS (SELECT h FROM win GROUP BY h HAVING count(*) > 1),
+  starts AS (SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS step FROM win SEMI JOIN dup USING (h)),
+  runs AS (SELECT doc_id, i, sum(CASE WHEN step <= 200 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM starts),
+  spans AS (SELECT doc_id, run, min(i) AS a, max(i) + 200 AS b FROM runs GROUP BY doc_id, run),
+  gaps AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans),
+  kept AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+                  string_agg(substr(x, CAST(2 * before + 1 AS BIGINT), CAST(2 * (a - before) AS BIGINT)), '' ORDER BY a) AS t
+           FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(t, '') || substr(x, CAST(2 * coalesce(last, 0) + 1 AS BIGINT)))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+""",
+}
