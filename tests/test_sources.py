@@ -89,3 +89,23 @@ def test_index_documents_mapping(spark):
 
 def test_number_range(spark):
     assert readers.number_range(spark, 1000).agg(F.sum("id")).first()[0] == 499500
+
+
+def test_create_read_and_drop_a_table(spark, tmp_dir):
+    path = tmp_dir + "/schema/t"
+    assert sinks.read_or_empty(spark, path, "a long").count() == 0
+    sinks.create_table_if_absent(spark, path, "a long")
+    sinks.append_into(spark.range(3).selectExpr("id AS a", "id AS b"), path, ["a"])
+    sinks.create_table_if_absent(spark, path, "a long")
+    assert sinks.read_or_empty(spark, path, "a long").count() == 3
+    sinks.drop_table_if_exists(spark, path)
+    sinks.drop_table_if_exists(spark, path)
+    assert sinks.read_or_empty(spark, path, "a long").count() == 0
+
+
+def test_csv_keeps_quotes_and_slashes(spark, tmp_dir):
+    rows = [(1, 'say "hi", twice'), (2, "back\\slash"), (3, '"')]
+    df = spark.createDataFrame(rows, "id long, text string")
+    sinks.write_csv(df, tmp_dir + "/c", header=False, quote_all=True)
+    got = readers.read_csv(spark, tmp_dir + "/c", "id long, text string", header=False).collect()
+    assert sorted(map(tuple, got)) == rows
