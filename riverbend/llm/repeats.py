@@ -17,6 +17,8 @@ same place, so they can only meet under the same anchor.
 3. The operator decides in each shard, by its own method, which windows are
    equal, and gives each window of a segment a value.
 4. The values go back to the documents, and the units they cover are removed.
+   A third bitmap marks the texts that lose something, so that only those are
+   shuffled.
 
 A row is known by its id and the hash of its text.  Only the bitmaps pass
 through the driver.
@@ -35,10 +37,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riverbend.llm.common import as_bytes, small_batches, whole_groups
+from riverbend.session import release, save
 
 #: Occurrences of an anchor beyond which its windows are dealt one by one.
 HOT = 8192
-#: Size of each of the two bitmaps: 16 MB.
+#: Size of each of the bitmaps: 16 MB.
 BITMAP_BITS = 27
 #: Units hashed at once, and bytes of segments that a shard task decides at once.
 CHUNK, SHARD_BYTES = 1 << 18, 1 << 21
@@ -168,17 +171,21 @@ def _marked(bits: np.ndarray, anchor: np.ndarray) -> np.ndarray:
 def _bitmaps(texts: DataFrame, plan: Plan, hot: int) -> tuple[np.ndarray, np.ndarray]:
     """Marks of the anchors that recur, and of those with more than ``hot`` occurrences."""
     counts = texts.select("text").mapInArrow(_anchor_counts(plan), "anchor long, times long").groupBy("anchor").agg(F.sum("times").alias("times"))
-    cell = F.col("anchor").bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
-    cells = counts.where("times > 1").select(cell.alias("cell"), (F.col("times") > hot).alias("hot"))
-    # Spark's bitmaps have 4,096 bytes each, so at most 2 ** (BITMAP_BITS - 14) rows come back
-    parts = (cells.groupBy(F.shiftright("cell", 15).alias("part"), "hot").agg(F.bitmap_construct_agg(F.col("cell").bitwiseAND(F.lit(32767))).alias("bits")).collect())
-    recurring, many = np.zeros(1 << (BITMAP_BITS - 3), np.uint8), np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
+    saved, path = save(counts.where("times > 1").select("anchor", (F.col("times") > hot).alias("hot")), "recurring")
+    out = _bitmap(saved, "anchor"), _bitmap(saved.where("hot"), "anchor")
+    release(texts.sparkSession, path)
+    return out
+
+
+def _bitmap(rows: DataFrame, col: str) -> np.ndarray:
+    """Marks of a column of hashes."""
+    cell = F.col(col).bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
+    # Spark's bitmaps have 4,096 bytes each, so at most 2 ** (BITMAP_BITS - 15) rows come back
+    parts = rows.groupBy(F.shiftright(cell, 15).alias("part")).agg(F.bitmap_construct_agg(cell.bitwiseAND(F.lit(32767))).alias("bits")).collect()
+    out = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
     for p in parts:
-        own = slice(p.part << 12, (p.part + 1) << 12)
-        recurring[own] |= np.frombuffer(p.bits, np.uint8)
-        if p.hot:
-            many[own] |= np.frombuffer(p.bits, np.uint8)
-    return recurring, many
+        out[p.part << 12:(p.part + 1) << 12] = np.frombuffer(p.bits, np.uint8)
+    return out
 
 
 def _segments(text: bytes, plan: Plan, recurring: np.ndarray) -> Iterator[tuple[int, int, int, int, bytes, bytes]]:
@@ -323,6 +330,16 @@ def remove_repeats(docs: DataFrame, plan: Plan, resolve: Callable[[Segments], np
     gone = gone.groupBy("doc_id", "th").agg(F.flatten(F.collect_set("runs")).alias("runs"))
     gone = gone.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "runs")
     on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))
-    return (texts.join(gone, on, "left").select("doc_id", "text", "runs")
-            .mapInArrow(_removed(plan), "doc_id long, n_units long, n_removed long, n_spans long, kept_sha256 string")
+    # of the texts, only those that may lose something are shuffled
+    gone, _ = save(gone, "gone")
+    losing = spark.sparkContext.broadcast(_bitmap(gone, "_th"))  # of fixed size
+
+    @F.arrow_udf("boolean")
+    def may_lose(th: pa.Array) -> pa.Array:
+        return pa.array(_marked(losing.value, th.to_numpy(zero_copy_only=False)))
+
+    changed = texts.where(may_lose("th")).join(gone, on, "left").select("doc_id", "text", "runs")
+    same = texts.where(~may_lose("th")).select("doc_id", "text", F.lit(None).cast(gone.schema["runs"].dataType).alias("runs"))
+    schema = "doc_id long, n_units long, n_removed long, n_spans long, kept_sha256 string"
+    return (changed.mapInArrow(_removed(plan), schema).unionByName(same.mapInArrow(_removed(plan), schema))
             .withColumnRenamed("doc_id", id_col))
