@@ -214,8 +214,14 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
     found = near_duplicates(docs, id_col, text_col, shingle, radius, tree_size)
     first = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("text_hash").alias("h")))
     kept = found.groupBy("group_fp").agg(first.alias("k")).select(F.col("k.id").alias("_kept_id"), F.col("k.h").alias("_kept_hash"))
-    own = docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.xxhash64(F.col(text_col)) == F.col("_kept_hash")))
-    own = own.withColumn("_nth", F.expr(f"row_number() over (partition by _kept_id, _kept_hash order by `{id_col}`)"))
+    # one long key, so that the texts are shuffled once for the join and the row number
+    kept = kept.withColumn("_key", F.xxhash64("_kept_id", "_kept_hash"))
+    keyed = docs.withColumn("_text_hash", F.xxhash64(F.col(text_col))).withColumn("_key", F.xxhash64(F.col(id_col), "_text_hash"))
+    # against chance equality of keys; written as ranges, as further equalities would become join keys too
+    same = F.col("_text_hash").between(F.col("_kept_hash"), F.col("_kept_hash"))
+    same &= F.coalesce(id_col, F.lit(0)).between(F.coalesce("_kept_id", F.lit(0)), F.coalesce("_kept_id", F.lit(0)))
+    own = keyed.join(kept, "_key").where(same)
+    own = own.withColumn("_nth", F.expr("row_number() over (partition by _key order by _text_hash)"))
     return own.where("_nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
