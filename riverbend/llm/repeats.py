@@ -44,7 +44,7 @@ HOT = 8192
 #: Size of each of the bitmaps: 16 MB.
 BITMAP_BITS = 27
 #: Units hashed at once, and bytes of segments that a shard task decides at once.
-CHUNK, SHARD_BYTES = 1 << 18, 1 << 21
+CHUNK, SHARD_BYTES = 1 << 18, 1 << 19
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
