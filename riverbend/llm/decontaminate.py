@@ -1,13 +1,17 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman.
 
 Words are lower-cased and freed of ASCII marks.  Every run of ``n`` words of
-a test item that is rare for the item (its document frequency over the whole
-corpus is at most ``RARE`` times the item's lower quartile, or below a small
-share of the corpus) is a seed.  Where a document holds a seed, the stretch
+a test item is a seed.  It is rare for the item if its document frequency
+over the whole corpus is at most ``RARE`` times the item's lower quartile, or
+below a small share of the corpus.  Where a document holds a seed, the stretch
 round it is aligned with the item word by word; the best local alignment,
 divided by the item's length, is the score: 1 for a whole copy, less for
-edited, paraphrased or partial ones.  As the quartile is the item's own, an
-item that leaks into a third of the corpus keeps its seeds.
+edited, paraphrased or partial ones.
+
+A frequent seed may owe its count to the leak itself (an edited copy in a
+third of the corpus leaves only its own grams in the counts), so it is never
+dropped: a stretch with frequent seeds only is aligned too, if some part of it
+has as many of the item's words as the threshold asks for, which all leaks have.
 
 The items go to the tasks as they are, in blocks of at most ``BLOCK_WORDS``
 words; a larger benchmark takes one pass for each block.
@@ -74,7 +78,8 @@ class Items:
             own = self.grams(ids, min(n, len(ids)))
             for place, g in enumerate(own.tolist()):
                 grams[g].append((k, place))
-        self.places = dict(grams)
+        self.places = dict(grams)  # of the rare seeds; all of them, until the counts are known
+        self.common: dict[int, list[tuple[int, int]]] = {}
         self.lengths = sorted({min(n, len(ids)) for _, ids in self.items if len(ids)})
         self.seeds = np.array(sorted(self.places), np.int64)
 
@@ -109,21 +114,25 @@ class Items:
                 yield from zip(hit.tolist(), own[hit].tolist(), strict=True)
 
     def keep_rare(self, counts: dict[int, int], n_docs: int) -> None:
-        """Seeds by the document frequencies ``counts`` of the grams."""
+        """Parts rare and frequent seeds by the document frequencies ``counts`` of the grams."""
         of_item = defaultdict(list)
         for g, places in self.places.items():
             for k, _ in places:
                 of_item[k].append(counts.get(g, 0))
         limit = {k: max(RARE * float(np.quantile(x, 0.25)), 5, RARE_SHARE * n_docs) for k, x in of_item.items()}
-        self.places = {g: kept for g, places in self.places.items() if (kept := [p for p in places if counts.get(g, 0) <= limit[p[0]]])}
-        self.seeds = np.array(sorted(self.places), np.int64)
+        every = self.places
+        self.places = {g: kept for g, places in every.items() if (kept := [p for p in places if counts.get(g, 0) <= limit[p[0]]])}
+        self.common = {g: rest for g, places in every.items() if (rest := [p for p in places if counts.get(g, 0) > limit[p[0]]])}
+        self.seeds = np.array(sorted({*self.places, *self.common}), np.int64)
 
     def leaks(self, text: str, threshold: float) -> list[Leak]:
         """The best alignment with each item that reaches ``threshold``."""
         ids = self.ids(text)
-        spans = defaultdict(list)
+        spans, rare = defaultdict(list), set()
         for at, gram in self.hits(ids):
-            for k, place in self.places[gram]:
+            own = self.places.get(gram, [])
+            rare.update(k for k, _ in own)
+            for k, place in own + self.common.get(gram, []):
                 size = len(self.items[k][1])
                 slack = size // 4 + 2
                 spans[k].append((max(0, at - place - slack), min(len(ids), at - place + size + slack)))
@@ -135,7 +144,10 @@ class Items:
             best = Leak(item_id, 0.0, 0, 0)
             for lo, hi in _merged(found):
                 words = ids[lo:hi]
-                if known[words].sum() * MATCH < threshold * len(item):  # no alignment could reach it
+                # no alignment that reaches it is longer, as each word between costs a gap
+                reach = len(words) if k in rare else min(len(words), int(len(item) * (1 + (threshold - 1) * MATCH / GAP)) + 1)
+                seen = np.concatenate([[0], np.cumsum(known[words])])
+                if (seen[reach:] - seen[:len(seen) - reach]).max() * MATCH < threshold * len(item):  # no alignment could reach it
                     continue
                 score, end = best_local(item, words)
                 if score / len(item) >= threshold and score / len(item) > best.score:

@@ -56,6 +56,28 @@ def test_rare_seeds_stay_for_an_item_that_leaks_everywhere():
     assert len(items.places) == n - 1
 
 
+@pytest.mark.parametrize("share", [0.1, 0.2, 0.3])
+def test_edited_item_in_a_third_of_all_documents(spark, share):
+    rng = np.random.default_rng(int(share * 10))
+    item = [f"w{i}" for i in range(40)]
+    gone = set(np.linspace(2, 38, round(share * 40)).astype(int).tolist())
+    leak = [f"x{i}" if i in gone else w for i, w in enumerate(item)]
+    texts = [[f"c{i}" for i in rng.integers(0, 400, 60)] for _ in range(90)]
+    for i in range(0, 90, 3):
+        texts[i][20:20] = leak
+    for i in range(1, 90, 9):  # shares a frequent gram, but is clean
+        texts[i][5:5] = leak[-5:]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    ids = {w: i for i, w in enumerate(item)}
+    scores = [slow_score(list(ids.values()), [ids.get(w, -1) for w in words]) / 40 for words in texts]
+    want = {i: s for i, s in enumerate(scores) if s >= 0.5}
+    got = {r.doc_id: r.score for r in d.leaks(docs, bench).collect()}
+    assert sorted(got) == sorted(want) == list(range(0, 90, 3))
+    assert all(got[i] == pytest.approx(s) for i, s in want.items())
+    assert d.decontaminate(docs, bench).count() == 60
+
+
 def test_query_against_brute_force(spark):
     from riverbend.llm.queries import op2_decontamination
     docs = {r.doc_id: plain_words(r.text or "") for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
