@@ -13,6 +13,11 @@ third of the corpus leaves only its own grams in the counts), so it is never
 dropped: a stretch with frequent seeds only is aligned too, if some part of it
 has as many of the item's words as the threshold asks for, which all leaks have.
 
+An item of fewer than ``n`` words is its own seed, so any mention is a whole
+copy.  Such an item is a leak only where it stands whole and is rare in the
+corpus: in at most ``SHORT_DOCS`` documents or ``RARE_SHARE`` of them.  A more
+frequent one, like a place name, tells nothing and matches no document.
+
 The items go to the tasks as they are, in blocks of at most ``BLOCK_WORDS``
 words; a larger benchmark takes one pass for each block.
 """
@@ -33,6 +38,7 @@ from riverbend.llm.common import as_texts, plain_words, small_batches
 N = 3
 RARE = 4
 RARE_SHARE = 1 / 2000
+SHORT_DOCS = 5
 THRESHOLD = 0.5
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
 BLOCK_WORDS = 1_000_000
@@ -120,7 +126,8 @@ class Items:
             for k, _ in places:
                 of_item[k].append(counts.get(g, 0))
         limit = {k: max(RARE * float(np.quantile(x, 0.25)), 5, RARE_SHARE * n_docs) for k, x in of_item.items()}
-        every = self.places
+        often = {k for k, x in of_item.items() if len(self.items[k][1]) < self.n and max(x) > max(SHORT_DOCS, RARE_SHARE * n_docs)}
+        every = {g: rest for g, places in self.places.items() if (rest := [p for p in places if p[0] not in often])}
         self.places = {g: kept for g, places in every.items() if (kept := [p for p in places if counts.get(g, 0) <= limit[p[0]]])}
         self.common = {g: rest for g, places in every.items() if (rest := [p for p in places if counts.get(g, 0) > limit[p[0]]])}
         self.seeds = np.array(sorted({*self.places, *self.common}), np.int64)

@@ -78,6 +78,14 @@ def test_edited_item_in_a_third_of_all_documents(spark, share):
     assert d.decontaminate(docs, bench).count() == 60
 
 
+def test_short_items_take_no_clean_documents(spark):
+    texts = [f"a trip to Paris in the year {i}" for i in range(30)] + ["nothing here", "only this one says zanzibar", "the zebra yodels"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "Paris"), (2, "the"), (3, "in the"), (4, "Zanzibar!"), (5, "zebra yodels")], "item_id long, text string")
+    assert sorted((r.doc_id, r.item_id, r.score) for r in d.leaks(docs, bench).collect()) == [(31, 4, 1.0), (32, 5, 1.0)]
+    assert sorted(r.doc_id for r in d.decontaminate(docs, bench).collect()) == list(range(31))
+
+
 def test_query_against_brute_force(spark):
     from riverbend.llm.queries import op2_decontamination
     docs = {r.doc_id: plain_words(r.text or "") for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
