@@ -6,8 +6,10 @@ and divided by its number of nodes; running text scores high in both, menus
 and captions in neither.  The two ratios of the nodes, in page order, are
 smoothed, multiplied, and compared with a share of their standard deviation.
 The nodes above it vote for the smallest container that holds nearly all of
-their text, and its blocks are the main text, without link lists and without
-parts that their tag, role, class or id declares to be something else.
+their text.  Where articles or a main element enclose it, these are the main
+text, whole; elsewhere it is the smallest container that holds all of the
+nodes' text.  Only lists of links are left out of it, and parts that their
+tag, role, class or id declares to be something else.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd",
           "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
 CONTAINERS = {"#root", "html", "body", "main", "article", "section", "div", "td", "center"}
+ARTICLES = {"article", "main"}
+LIST_ITEMS = {"li", "dt", "dd"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: An opening tag ends these open elements, as far as the nearest of the barriers.
 IMPLIED_END = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -56,6 +60,7 @@ class Node(NamedTuple):
     path: tuple[str, ...]
     block: int
     containers: tuple[int, ...]
+    article: int  # the outermost article or main element, or 0
     main: bool
 
 
@@ -85,7 +90,8 @@ def nodes(page: str) -> list[Node]:
     def text(upto: int) -> None:
         raw = page[at:upto]
         if raw and not raw.isspace():
-            out.append(Node(raw, tuple(t for t, _, _ in stack[1:]), block, tuple(n for t, _, n in stack if t in CONTAINERS), stack[-1][1]))
+            out.append(Node(raw, tuple(t for t, _, _ in stack[1:]), block, tuple(n for t, _, n in stack if t in CONTAINERS),
+                            next((n for t, _, n in stack if t in ARTICLES), 0), stack[-1][1]))
 
     def pop_to(i: int) -> None:
         del stack[i:]
@@ -142,6 +148,37 @@ def _smooth(values: np.ndarray) -> np.ndarray:
     return np.convolve(values, KERNEL, "same") / np.convolve(np.ones(len(values)), KERNEL, "same") if len(values) >= 5 else values
 
 
+def _link_lists(own: list[Node]) -> set[int]:
+    """The blocks that are lists of links: made of links without marks only, and
+    in a list, or with another such link in the block or in the one beside it."""
+    marks: dict[tuple[str, ...], int] = defaultdict(int)
+    blocks: dict[int, list[Node]] = defaultdict(list)
+    for n in own:
+        marks[n.path] += _punctuation(n.text)
+        blocks[n.block].append(n)
+    out, row = set(), []  # row: link-only blocks in succession
+
+    def end() -> None:
+        if len(row) > 1 or row and len(blocks[row[0]]) > 1:
+            out.update(row)
+        row.clear()
+
+    for b, nodes_ in blocks.items():
+        if not all("a" in n.path and not marks[n.path] for n in nodes_):
+            end()
+            continue
+        path = nodes_[0].path
+        own_path = path[max((i + 1 for i, t in enumerate(path) if t in ARTICLES), default=0):]
+        if LIST_ITEMS & set(own_path):
+            out.add(b)
+        elif next((t for t in reversed(own_path) if t not in INLINE), "") in HEADINGS | {"p", "blockquote", "figcaption"}:
+            end()  # a sentence or a heading that is a link
+        else:
+            row.append(b)
+    end()
+    return out
+
+
 def main_text(page: str) -> str:
     """The blocks of the main text, joined by an empty line; empty if there is none."""
     found = [n._replace(text=html.unescape(n.text)) for n in nodes(page) if n.main]
@@ -159,18 +196,23 @@ def main_text(page: str) -> str:
     score = _smooth(length) * (0.1 + _smooth(marks))
     chosen = score >= THRESHOLD * score.std()
     # the deepest container with nearly all of the chosen nodes' text
-    weight: dict[int, float] = defaultdict(float)
+    weight: dict[int, int] = defaultdict(int)
     depth: dict[int, int] = {}
     for n, c in zip(own, chosen.tolist(), strict=True):
         for d, e in enumerate(n.containers):
             depth[e] = d
             weight[e] += len(n.text) * c
     root = max((e for e in weight if weight[e] >= COVER * weight[0]), key=lambda e: (depth[e], weight[e]))
-    linked = {p for p in sums if "a" in p and not sums[p][1]}  # paths of bare links
-    plain = {n.block for n in own if n.path not in linked}
+    most = [n for n, c in zip(own, chosen.tolist(), strict=True) if c]
+    if all(n.article for n in most if root in n.containers):
+        roots = {n.article for n in most if n.article}
+    else:
+        roots = {max((e for e in weight if weight[e] == weight[0]), key=lambda e: depth[e])}
+    lists = _link_lists(own)
+    plain = {n.block for n in own} - lists
     blocks: dict[int, list[str]] = {}
     for n in found:
-        if root in n.containers and n.block in plain:
+        if not roots.isdisjoint(n.containers) and n.block in plain:
             blocks.setdefault(n.block, []).append(n.text)
     return "\n\n".join(t for b in blocks.values() if (t := " ".join("".join(b).split())))
 

@@ -60,6 +60,23 @@ def test_what_is_left_out():
     assert main_text(page) == f"Head & line\n\n{P1}\n\n{P2} more of it, – end."
 
 
+def test_articles_of_several_parts():
+    page = "<body><nav><a>Home</a></nav>{}<footer>(c) us, 2020.</footer></body>"
+    long, short = f"<p>{P1}</p><p>{P2}</p><p>{P1}</p><p>{P2}</p><p>{P1}</p>", f"<p>{P2}</p>"
+    body = "\n\n".join([P1, P2, P1, P2, P1])
+    for tag in ("article", "main", "div"):
+        assert main_text(page.format(f"<{tag}><section>{long}</section><section>{short}</section></{tag}>")) == f"{body}\n\n{P2}"
+    assert main_text(page.format(f"<article><h1>A head</h1><div class=intro><p>Intro, short.</p></div><div class=body>{long}</div></article>")) == f"A head\n\nIntro, short.\n\n{body}"
+    assert main_text(page.format(f"<div><article>{long}</article><article>{short}</article></div>")) == f"{body}\n\n{P2}"
+    assert main_text(page.format(f"<main><h1>A head</h1><article>{long}</article></main>")) == f"A head\n\n{body}"
+
+
+def test_only_lists_of_links_go():
+    page = f"""<article><h2><a>A linked head</a></h2><p>{P1}</p><p><a>Read the report</a></p><p>{P2}</p>
+      <ul><li><a>One</a></li><li><a>Two</a></li></ul><div><a>Three</a> <a>Four</a></div><p>{P1}</p><div><a>Five</a></div><div><a>Six</a></div></article>"""
+    assert main_text(page) == f"A linked head\n\n{P1}\n\nRead the report\n\n{P2}\n\n{P1}"
+
+
 def test_odd_pages():
     assert main_text("") == main_text("<p>") == main_text("<script>var x = 1;") == ""
     assert main_text("just text, no tags.") == "just text, no tags."
