@@ -9,7 +9,9 @@ The nodes above it vote for the smallest container that holds nearly all of
 their text.  Where articles or a main element enclose it, these are the main
 text, whole; elsewhere it is the smallest container that holds all of the
 nodes' text.  Only lists of links are left out of it, and parts that their
-tag, role, class or id declares to be something else.
+tag, role, class or id declares to be something else.  A class, an id or a
+form may also stand round the whole page; where it holds most of the text, or
+is the body, main or article element, it declares nothing.
 """
 
 from __future__ import annotations
@@ -43,16 +45,21 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: An opening tag ends these open elements, as far as the nearest of the barriers.
 IMPLIED_END = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 BARRIERS = {"ul", "ol", "dl", "table", "select", "article", "section", "div", "main", "body"}
-NOT_MAIN_TAGS = {"nav", "footer", "aside", "form", "head", "button", "select", "dialog", "menu", "object", "map", *RAW}
+NOT_MAIN_TAGS = {"nav", "footer", "aside", "head", "button", "select", "dialog", "menu", "object", "map", *RAW}
 NOT_MAIN_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu", "menubar", "form"}
 NOT_MAIN_NAMES = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promotion", "banner", "cookie", "cookies", "consent",
     "gdpr", "notice", "notices", "alert", "sidebar", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "masthead", "comment",
     "comments", "disqus", "share", "sharing", "social", "related", "recommended", "newsletter", "subscribe", "subscription", "signup", "login", "popup",
     "modal", "overlay", "widget", "toolbar", "pagination", "pager", "search", "replies"}
+COMMENT_NAMES = {"comment", "comments", "disqus", "replies"}
 KERNEL = np.exp(-np.arange(-2, 3) ** 2 / 2)
 THRESHOLD = 0.5
 COVER = 0.8
+#: A part that its class, id or form tag declares to be something else is main
+#: if it has more than this share of the text; readers' comments often have.
+MOST = 0.5
+Stack = list[tuple[str, tuple[tuple[int, float], ...] | None, int]]
 
 
 class Node(NamedTuple):
@@ -61,29 +68,33 @@ class Node(NamedTuple):
     block: int
     containers: tuple[int, ...]
     article: int  # the outermost article or main element, or 0
-    main: bool
+    doubts: tuple[tuple[int, float], ...] | None  # (element, share) of the parts round it that may be something else; None: it is
 
 
-def _declared(tag: str, rest: str, stack: list[tuple[str, bool, int]]) -> bool:
-    """Whether a tag says that it isn't part of the main text."""
+def _declared(tag: str, rest: str, stack: Stack) -> float:
+    """The share of the text up to which a tag says that it isn't part of the
+    main text: 0 says nothing, 1 is always believed."""
     if tag in NOT_MAIN_TAGS or tag == "header" and not any(t in ("article", "main") for t, _, _ in stack):
-        return True
+        return 1
+    out = MOST if tag == "form" else 0
     if "=" not in rest:
-        return bool(re.search(r"(?<![\w-])hidden(?![\w-])", rest))
+        return 1 if re.search(r"(?<![\w-])hidden(?![\w-])", rest) else out
+    # an article in an article may be a comment
+    named = tag not in ("html", "body", "main") and (tag != "article" or any(t == "article" for t, _, _ in stack))
     for name, *values in ATTRIBUTE.findall(rest):
         name, value = name.lower(), "".join(values).lower()
         if name == "role" and value in NOT_MAIN_ROLES or name == "aria-hidden" and value == "true" or name == "hidden":
-            return True
+            return 1
         if name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-        if name in ("class", "id") and NOT_MAIN_NAMES & set(re.split(r"[^a-z0-9]+", value)):
-            return True
-    return False
+            return 1
+        if named and name in ("class", "id") and (names := NOT_MAIN_NAMES & set(re.split(r"[^a-z0-9]+", value))):
+            out = max(out, COVER if names <= COMMENT_NAMES else MOST)
+    return out
 
 
 def nodes(page: str) -> list[Node]:
     """The text nodes of a page, in order."""
-    stack: list[tuple[str, bool, int]] = [("#root", True, 0)]  # tag, main, element number
+    stack: Stack = [("#root", (), 0)]  # tag, doubts, element number
     out: list[Node] = []
     at, block, element = 0, 0, 0
 
@@ -134,7 +145,10 @@ def nodes(page: str) -> list[Node]:
         if rest.endswith("/"):
             continue
         element += 1
-        stack.append((tag, stack[-1][1] and not _declared(tag, rest, stack), element))
+        doubts, share = stack[-1][1], 0.0
+        if doubts is not None and (share := _declared(tag, rest, stack)):
+            doubts = None if share == 1 else (*doubts, (element, share))
+        stack.append((tag, doubts, element))
     text(len(page))
     return out
 
@@ -181,7 +195,14 @@ def _link_lists(own: list[Node]) -> set[int]:
 
 def main_text(page: str) -> str:
     """The blocks of the main text, joined by an empty line; empty if there is none."""
-    found = [n._replace(text=html.unescape(n.text)) for n in nodes(page) if n.main]
+    found = [n._replace(text=html.unescape(n.text)) for n in nodes(page) if n.doubts is not None]
+    held: dict[tuple[int, float], int] = defaultdict(int)
+    for n in found:
+        for doubt in n.doubts:
+            held[doubt] += len(n.text.strip())
+    total = sum(len(n.text.strip()) for n in found)
+    declared = {d for d in held if held[d] <= d[1] * total}
+    found = [n for n in found if declared.isdisjoint(n.doubts)]
     own = [n for n in found if not n.text.isspace()]
     if not own:
         return ""

@@ -77,6 +77,18 @@ def test_only_lists_of_links_go():
     assert main_text(page) == f"A linked head\n\n{P1}\n\nRead the report\n\n{P2}\n\n{P1}"
 
 
+def test_wrappers_with_names():
+    inner = f"<p>{P1}</p><p>{P2}</p>"
+    side = '<div class="sidebar"><p>Aside, short.</p></div><form>Mail, please. <input></form>'
+    wrappers = ['<body class="single has-sidebar">{}</body>', '<main id="main-with-menu">{}</main>', '<main><article class="post no-comments">{}</article></main>',
+                '<article id="social-policy">{}</article>', '<body><div class="page with-menu">{}</div><footer>Us.</footer></body>', '<body><form id="f">{}</form></body>',
+                '<form><div id="nav-open">{}</div></form>', '<html class="nav-closed"><body><div class="post no-comments">{}</div></body></html>']
+    for w in wrappers:
+        assert main_text(w.format(inner + side)) == f"{P1}\n\n{P2}", w
+    replies = f'<div id="comments">{inner}{inner}</div>'
+    assert main_text(f"<body><div>{inner}{inner}</div>{replies}</body>") == "\n\n".join([P1, P2] * 2)
+
+
 def test_odd_pages():
     assert main_text("") == main_text("<p>") == main_text("<script>var x = 1;") == ""
     assert main_text("just text, no tags.") == "just text, no tags."
