@@ -30,17 +30,27 @@ from riverbend.llm.common import small_batches
 ROUNDS = 8
 FIRST_DAY, DAYS = datetime.date(1900, 1, 1).toordinal(), datetime.date(2100, 1, 1).toordinal() - datetime.date(1900, 1, 1).toordinal()
 
-PATTERN = re.compile(
-    r"(?P<secret>(?<![A-Za-z0-9])(?:token|password|passwd|pwd|secret|api[_-]?key|access[_-]?key)\s*[=:]\s*[\"']?(?P<value>[A-Za-z0-9_+/-]{8,}))"
-    r"|(?P<key>(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9]))"
-    r"|(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})"
-    r"|(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))"
-    r"|(?P<ip>(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d))"
-    r"|(?P<date>(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}([./])\d{1,2}\8\d{4})(?![\w/-]|\.\d))"
-    r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
-    r"|(?P<card>(?<![\w.-])\d(?:[ -]?\d){12,18}(?![ -]?\d|\w))"
-    r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,5}(?:[ .-]?\d{2,5}){1,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?!\w))",
-    re.IGNORECASE)
+KINDS = {
+    "secret": r"(?<![A-Za-z0-9])(?:token|password|passwd|pwd|secret|api[_-]?key|access[_-]?key)\s*[=:]\s*[\"']?(?P<value>[A-Za-z0-9_+/-]{8,})",
+    "key": r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "ip": r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d)",
+    "date": r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}(?P<mark>[./])\d{1,2}(?P=mark)\d{4})(?:(?=T\d\d)|(?![\w/-]|\.\d))",
+    "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
+    "card": r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?!\w)",
+    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,5}(?:[ .-]?\d{2,5}){1,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?!\w)"}
+PATTERN = re.compile("|".join(f"(?P<{k}>{x})" for k, x in KINDS.items()), re.IGNORECASE)
+ALONE = {k: re.compile(x, re.IGNORECASE) for k, x in KINDS.items()}
+#: Lengths of a country's IBANs; those of others are found by the check digits alone.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20, "ES": 24, "FI": 18, "FR": 27, "GB": 22,
+    "GR": 27, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IS": 26, "IT": 27, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MT": 31, "NL": 18, "NO": 15,
+    "PL": 28, "PT": 25, "RO": 24, "SA": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "TR": 26}
+#: Digits after the country code, where all numbers of a country have as many.
+PHONE_LENGTHS = {"1": 10, "7": 10, "31": 9, "33": 9, "34": 9, "41": 9, "44": 10, "45": 8, "47": 8, "48": 9, "61": 9, "91": 10, "351": 9, "420": 9}
+OTHER_SHAPES = re.compile(r"(?<![\w+-])(?:\d{3}-\d{3}-\d{4}|\d{3}-\d{2}-\d{4}|\d{4}-\d{2}-\d{2})(?![\w-])")
+CARD_SHAPES = re.compile(r"\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}[ -]\d{6}[ -]\d{4,5}")
 HINT = re.compile(r"[0-9@]|[=:]\s*[\"']?[A-Za-z0-9_+/-]{8}")
 
 
@@ -193,6 +203,40 @@ class Pseudonymizer:
     def key_id(self, text: str, back: bool = False) -> str:
         return text[:4] + self.characters(text[4:], "key", back)
 
+    def readings(self, kind: str, text: str, after: str = "") -> Iterator[str]:
+        """What of a match may be the value, as the words or numbers after it may
+        have been taken for its end: all of it, and shorter beginnings that end at
+        a separator.  The likeliest comes first."""
+        ends = [m.start() for m in re.finditer(r"[ .-]+", text)] + [len(text)]
+        if kind == "iban":
+            size = IBAN_LENGTHS.get(text[:2].upper())
+            yield from (text[:e] for e in reversed(ends) if size is None or len(text[:e].replace(" ", "")) == size)
+        elif kind == "card":
+            sized = [text[:e] for e in ends if 13 <= sum(c.isdigit() for c in text[:e]) <= 19]
+            usual = [x for x in sized if CARD_SHAPES.fullmatch(x)]
+            yield from usual
+            # digits before a card in a usual shape are no part of it, nor are other values
+            run = re.match(r"\d(?:[ -]?\d)*", text + after)[0]
+            cuts = [m.start() for m in re.finditer(r"[ -]", run)]
+            if not OTHER_SHAPES.search(text) and not any(CARD_SHAPES.fullmatch(x) and self.card(x) for a in cuts for e in [*cuts, len(run)] if (x := run[a + 1:e])):
+                yield from (x for x in reversed(sized) if x not in usual)
+        elif kind == "phone":
+            yield from sorted((text[:e] for e in ends), key=lambda x: (not self._whole_phone(x, text), -len(x)))
+        else:
+            yield text
+
+    @staticmethod
+    def _whole_phone(number: str, text: str) -> bool:
+        """Whether ``number``, a beginning of ``text``, needs nothing of the rest: it
+        has its country's length, or the rest follows a blank after ten digits
+        and more that end in a part of seven, or that are joined by other marks."""
+        digits = "".join(c for c in number if c.isdigit())
+        if not number.startswith("+") or len(number) == len(text):
+            return False
+        if any(digits.startswith(c) and len(digits) == len(c) + n for c, n in PHONE_LENGTHS.items()):
+            return True
+        return text[len(number)] == " " and 10 <= len(digits) <= 15 and bool(re.search(r"\d{7}$|\d[.-]\d+$", number))
+
     def find(self, text: str, back: bool = False) -> Iterator[Found]:
         """All validated values of ``text``, from left to right."""
         kinds: dict[str, Callable[[str, bool], str | None]] = {
@@ -202,15 +246,19 @@ class Pseudonymizer:
             return
         at = 0
         while m := PATTERN.search(text, at):
-            kind = m.lastgroup if m.lastgroup in kinds else next(k for k in ("secret", *kinds) if m[k] is not None)
-            if kind == "secret":
-                yield Found(kind, m.start("value"), m.end(), self.characters(m["value"], "secret", back))
-            elif (new := kinds[kind](m[kind], back)) is not None:
-                yield Found(kind, m.start(), m.end(), new)
+            if m["secret"] is not None:
+                yield Found("secret", m.start("value"), m.end(), self.characters(m["value"], "secret", back))
+                at = m.end()
+                continue
+            for kind, read in kinds.items():
+                own = m[kind] and m or ALONE[kind].match(text, m.start())
+                found = own and next(((x, new) for x in self.readings(kind, own[0], text[own.end():own.end() + 24]) if (new := read(x, back)) is not None), None)
+                if found:
+                    at = m.start() + len(found[0])
+                    yield Found(kind, m.start(), at, found[1])
+                    break
             else:  # not valid: what follows its first run of digits or letters is looked at again
                 at = max(m.start() + 1, re.compile(r"\+?\w*").match(text, m.start()).end())
-                continue
-            at = m.end()
 
     def replace(self, text: str, back: bool = False) -> tuple[str, list[Found]]:
         found = list(self.find(text, back))

@@ -35,6 +35,27 @@ def test_each_kind_is_found_changed_linked_and_restored(kind, value):
     assert pii.Pseudonymizer(b"other").replace(text)[0] != new
 
 
+MORE = [("iban", "AT611904300234573201"), ("iban", "ES9121000418450200051332"), ("iban", "PL61109010140000071219812874"), ("phone", "+1 415 555 2671")]
+
+
+@pytest.mark.parametrize(("kind", "value"), [(k, v) for k, x in VALUES.items() for v in x] + MORE)
+@pytest.mark.parametrize("after", [" 12/27", " 123", " 123456", " 1234567890123456789", " and", " from me", " a 1", ", 5", "; x"])
+@pytest.mark.parametrize("before", ["", "see ", "of 12 ", "no 1234567 "])
+def test_words_and_numbers_beside_a_value(kind, value, before, after):
+    if kind == "phone" and value.startswith("+") and after == " 1234567890123456789":
+        after = " 123456789"
+    new, found = P.replace(before + value + after)
+    first = next(f for f in found if f.start == len(before))
+    assert (first.kind, first.end - first.start, first.pseudonym) == (kind, len(value), P.replace(value)[1][0].pseudonym)
+    assert value not in new
+
+
+def test_times_after_dates():
+    new, found = P.replace("at 2024-01-05T10:00:00Z and 2024-01-05")
+    assert [f.kind for f in found] == ["date", "date"] and found[0].pseudonym == found[1].pseudonym
+    assert "T10:00:00Z" in new and P.restore(new) == "at 2024-01-05T10:00:00Z and 2024-01-05"
+
+
 @pytest.mark.parametrize("text", LEFT)
 def test_the_rest_stays(text):
     assert P.replace(text) == (text, [])
