@@ -10,8 +10,11 @@ precision.  Vectors get one more component so that they are all as long as
 the longest, which makes largest inner product and smallest angle the same.
 
 Vectors are dealt by hash to shards of about ``shard_size``; each shard has
-its own forest, built in the task that searches it, so every row is indexed
-and nothing grows in one task.  Equal vectors are one entry with its smallest
+its own forest, built in the task that searches it, so every row is indexed.
+The queries are dealt by hash to blocks of about ``asked_size``, and each
+shard meets each block in a group of its own, with its vectors sent once for
+each block: a task holds one shard and one block, however large the table.
+Equal vectors are one entry with its smallest
 ids, as many as a result can show, so a vector held by a third of all rows
 costs no more than any other.
 
@@ -37,6 +40,7 @@ TREES = 48
 BITS = 24
 SHARE = 0.6
 SHARD_SIZE = 16_384
+ASKED_SIZE = 16_384
 QUERY_BLOCK = 1024
 
 
@@ -139,10 +143,10 @@ def _asked(rows: DataFrame, size: int) -> DataFrame:
 
 def _search(longest: float, k: int, share: float, trees: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in whole_groups(batches, "shard"):
-            shard = part.column("shard").to_numpy()
-            for s in np.unique(shard).tolist():
-                own = part.filter(pa.array(shard == s))
+        for part in whole_groups(batches, "part"):
+            parts = part.column("part").to_numpy()
+            for s in np.unique(parts).tolist():
+                own = part.filter(pa.array(parts == s))
                 query = own.column("query").to_numpy()
                 vectors = np.frombuffer(b"".join(own.column("vec").to_pylist()), np.float64).reshape(len(query), -1)
                 ids = own.column("ids").filter(pa.array(query < 0)).combine_chunks()
@@ -160,8 +164,21 @@ def _search(longest: float, k: int, share: float, trees: int, bits: int):
     return run
 
 
+def _dealt(entries: DataFrame, unique: DataFrame, shards: int, blocks: int) -> DataFrame:
+    """(vec, ids, query, part): each shard of the entries (query -1) with each block of the queries, as one part."""
+
+    def numbers(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+    shard, block = F.pmod(F.xxhash64("vec"), F.lit(shards)), F.pmod(F.xxhash64("vec", F.lit("block")), F.lit(blocks))
+    asked = unique.select("vec", F.lit(None).cast("array<long>").alias("ids"), "query", block.alias("block"), numbers(shards).alias("shard"))
+    held = entries.select("vec", "ids", F.lit(-1).cast("long").alias("query"), numbers(blocks).alias("block"), shard.alias("shard"))
+    return held.unionByName(asked).select("vec", "ids", "query", (F.col("shard") * blocks + F.col("block")).alias("part"))
+
+
 def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
-            share: float = SHARE, shard_size: int = SHARD_SIZE, trees: int = TREES, bits: int = BITS) -> DataFrame:
+            share: float = SHARE, shard_size: int = SHARD_SIZE, trees: int = TREES, bits: int = BITS,
+            asked_size: int = ASKED_SIZE) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each row where
     ``queries`` holds, among all rows but its own; ties go to the smaller id.
 
@@ -191,9 +208,8 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec
     asked = _asked(rows.where("q"), sizes["size"])
     asked, _ = save(asked, "vector-queries")
     unique = asked.groupBy("vec").agg(F.min("id").alias("query"))
-    everywhere = unique.select("vec", F.lit(None).cast("array<long>").alias("ids"), "query", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-    dealt = entries.select("vec", "ids", F.lit(-1).cast("long").alias("query"), F.pmod(F.xxhash64("vec"), F.lit(shards)).cast("int").alias("shard"))
-    dealt = dealt.unionByName(everywhere).repartition(shards, "shard").sortWithinPartitions("shard", "query", "vec")
+    blocks = max(1, -(-unique.count() // asked_size))
+    dealt = _dealt(entries, unique, shards, blocks).repartition(shards * blocks, "part").sortWithinPartitions("part", "query", "vec")
     found = dealt.mapInArrow(_search(longest, k + 1, share, trees, bits), "query long, score double, ids array<long>")
     # k + 1 of each query vector, as a row leaves out at most itself
     one = found.select("query", "score", F.explode("ids").alias("vec_id"))

@@ -43,6 +43,24 @@ def test_ranges_hold_the_longest_prefixes():
         assert all((np.flatnonzero(o) == np.arange(a, b)).all() for o, a, b in zip(own, lo[i], hi[i]))
 
 
+def test_a_part_holds_one_shard_and_one_block_of_queries(spark):
+    n, shards, blocks = 3000, 3, 10
+    entries = spark.range(n).select(F.encode(F.col("id").cast("string"), "utf-8").alias("vec"), F.array("id").alias("ids"))
+    dealt = forest._dealt(entries, entries.select("vec", F.col("ids")[0].alias("query")), shards, blocks)
+    parts = dealt.groupBy("part").agg(F.expr("count_if(query >= 0)").alias("asked"), F.expr("count_if(query < 0)").alias("held")).collect()
+    assert len(parts) == shards * blocks
+    assert max(p.asked for p in parts) < 1.3 * n / blocks and max(p.held for p in parts) < 1.2 * n / shards
+    pairs = dealt.where("query < 0").select("part", F.col("ids")[0].alias("id")).join(dealt.where("query >= 0").select("part", "query"), "part")
+    assert pairs.count() == pairs.distinct().count() == n * n
+
+
+def test_blocks_of_queries_change_no_result(spark):
+    x = np.random.default_rng(5).standard_normal((600, 6))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    whole, cut = (result(forest.nearest(df, F.col("vec_id") % 2 == 0, k=5, shard_size=200, asked_size=a)) for a in (1000, 40))
+    assert whole == cut and len(whole) == 300
+
+
 def test_query_recall(spark):
     from riverbend.llm.queries import op8_prefix_forest
     sf = "/root/testdata/sf0.1"
