@@ -1,10 +1,10 @@
-"""Removal of repeated passages by repeated-phrase automata.
+"""Removal of repeated passages by repeated phrases, located by winnowing.
 
 A phrase is a run of ``PHRASE`` words that recurs; by winnowing, every
 window of ``WINDOW`` words that occurs twice holds the same phrase at the
-same place (see ``repeats``).  Each shard compiles its phrases into one
-Aho-Corasick automaton, with one letter for each word, and streams all text
-round them through it, which confirms and locates every occurrence exactly.
+same place (see ``repeats``, whose hashes and bitmaps locate the phrases).
+In a shard an Aho-Corasick automaton, with one letter for each word, numbers
+the phrases exactly; it reads no more than each segment's own phrase.
 From each occurrence the text is followed word by word to either side:
 occurrences fall into classes of equal left and of equal right context of
 every length, and two windows are equal if they have the phrase at the same
