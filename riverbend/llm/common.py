@@ -30,6 +30,13 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(TEXT_BATCH))
 
 
+def sliced(batches: Iterable[pa.RecordBatch], rows: int = TEXT_BATCH) -> Iterator[pa.RecordBatch]:
+    """The batches cut to a few rows each, as one row here is a whole document."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """Texts as UTF-8; null gives the empty text."""
     return pc.fill_null(pc.cast(column, pa.binary()), b"").to_pylist()
