@@ -536,24 +536,96 @@ def typed_change_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 FEED_BYTES_PER_TRIGGER = 8 << 30
 
 
+LEGACY_FEED_DDL = "value string, arrived timestamp"
+
+
+def _legacy_messages(t: Tables) -> DataFrame:
+    """Change events as JSON texts with their time of arrival."""
+    changes = tb.change_events(t).withColumn("timestamp", F.unix_timestamp(F.col("timestamp").cast("timestamp")))
+    message = F.to_json(F.struct(*[c for c in changes.columns if c not in ("props", "value")]))
+    return changes.select(message.alias("value"), F.timestamp_seconds("timestamp").alias("arrived"))
+
+
 def legacy_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change events as JSON texts with their time of arrival; per micro-batch
-    the schema is inferred, the ``bot`` column checked and non-bot events
-    counted per type and 5 seconds; the counts are summed over 5-minute
-    windows of the arrival clock."""
+    each is parsed once, the schema inferred, the ``bot`` and ``type`` columns
+    looked for and non-bot events counted per type and 5 seconds; the counts
+    are summed over 5-minute windows of the arrival clock."""
     t = _t(spark, sf_dir)
     from riverbend.session import scratch_path
     from riverbend.sources.readers import file_stream
     from riverbend.streaming import legacy
     feed = scratch_path(spark, "legacy-feed")
-    changes = tb.change_events(t).withColumn("timestamp", F.unix_timestamp(F.col("timestamp").cast("timestamp")))
-    message = F.to_json(F.struct(*[c for c in changes.columns if c not in ("props", "value")]))
-    (changes.select(message.alias("value"), F.timestamp_seconds("timestamp").alias("arrived")).write.parquet(feed))
-    stream = file_stream(spark, feed, "value string, arrived timestamp", fmt="parquet", max_files_per_trigger=None,
-                         max_bytes_per_trigger=FEED_BYTES_PER_TRIGGER)
+    _legacy_messages(t).write.parquet(feed)
+    stream = file_stream(spark, feed, LEGACY_FEED_DDL, fmt="parquet", max_files_per_trigger=None, max_bytes_per_trigger=FEED_BYTES_PER_TRIGGER)
     return legacy.windowed_type_counts(legacy.run_legacy_counts(stream, "legacy"))
 
 
+def _cut_in_time(rows: DataFrame, clock: str, shares: tuple[float, ...]) -> list[DataFrame]:
+    """``rows`` cut at these shares of the time they span."""
+    ends = rows.agg(F.min(clock).alias("first"), F.max(clock).alias("last")).select(F.unix_micros("first"), F.unix_micros("last")).first()
+    if ends[0] is None:
+        return [rows]
+    at = [int(ends[0] + (ends[1] - ends[0]) * share) for share in shares]
+    micros = F.unix_micros(clock)
+    bounds = [(None, at[0]), *zip(at, at[1:]), (at[-1], None)]
+    return [rows.where((F.lit(True) if low is None else micros >= low) & (F.lit(True) if high is None else micros < high)) for low, high in bounds]
+
+
+def legacy_live_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages arriving in three parts: after each, the per-batch
+    counts go to the state store of the sliding sums, which writes every sum
+    that changed; the table holds what was written last."""
+    t = _t(spark, sf_dir)
+    from riverbend.session import scratch_path
+    from riverbend.sources.readers import file_stream
+    from riverbend.streaming import legacy
+    feed = scratch_path(spark, "live-feed")
+    live = legacy.LiveSums(spark, scratch_path(spark, "live-sums"))
+    for part in _cut_in_time(_legacy_messages(t), "arrived", (0.4, 0.7)):
+        part.write.mode("append").parquet(feed)
+        live.advance(file_stream(spark, feed, LEGACY_FEED_DDL, fmt="parquet", max_files_per_trigger=None, max_bytes_per_trigger=FEED_BYTES_PER_TRIGGER))
+    return live.table()
+
+
+def window_state_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 s / 10 s windows over a feed that stops in the middle of a window:
+    the first run ends there, a second one resumes from the checkpoint.  The
+    windows that the watermark closed come from the sink, those still open
+    are read back from the state store's files."""
+    t = _t(spark, sf_dir)
+    from riverbend.session import scratch_path
+    from riverbend.sources.readers import file_stream
+    from riverbend.streaming import consumers, state
+    feed, root = scratch_path(spark, "restart-feed"), scratch_path(spark, "restart-windows")
+    changes = consumers.non_bot_changes(tb.change_events(t))
+    for part in _cut_in_time(changes, "timestamp", (0.5,)):
+        part.write.mode("append").parquet(feed)
+        stream = file_stream(spark, feed, changes.schema, fmt="parquet", max_files_per_trigger=None, max_bytes_per_trigger=FEED_BYTES_PER_TRIGGER)
+        state.run_windows(consumers.window_counts(stream), root)
+    return state.windows_with_state(spark, root)
+
+
+def cdc_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The CDC feed with every third message delivered again, in the same run
+    and in the next: the duplicates are dropped by key and log position as
+    the stream is applied.  The current rows, with how many messages of each
+    row were applied."""
+    t = _t(spark, sf_dir)
+    from riverbend.session import scratch_path
+    from riverbend.sources.readers import file_stream
+    from riverbend.streaming import cdc, state
+    feed, root = scratch_path(spark, "cdc-again"), scratch_path(spark, "cdc-once")
+    messages, third = tb.cdc_messages(t), F.col("offset") % 3 == 0
+    for rows in (messages.unionByName(messages.where(third)), messages.where(third)):
+        rows.write.mode("append").json(feed)
+        stream = file_stream(spark, feed, "key string, value string, offset long", fmt="json", max_files_per_trigger=None,
+                             max_bytes_per_trigger=FEED_BYTES_PER_TRIGGER)
+        with state.rocksdb(spark):
+            cdc.apply_stream(cdc.once(stream), root)
+    return cdc.current_table(spark, root).join(cdc.applied(spark, root), "id")
+
+
 def cdc_apply_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as CDC messages in JSON files, streamed and applied to a current
     table with ``foreachBatch``, in two runs on one root: every third message
@@ -687,6 +759,9 @@ QUERIES = {
     "lang_index_search": lang_index_search,
     "cdc_apply_stream": cdc_apply_stream,
     "legacy_type_counts": legacy_type_counts,
+    "legacy_live_counts": legacy_live_counts,
+    "window_state_restart": window_state_restart,
+    "cdc_redelivered": cdc_redelivered,
     "lr_scores": lr_scores,
     "rf_stream_bands": rf_stream_bands,
     "block_scores": block_scores,

@@ -367,3 +367,19 @@ SELECT doc_id, CAST(round(1 / (1 + exp(-(
          - ((a1*a1 - a0*a0) / (2*va) + (b1*b1 - b0*b0) / (2*vb) + (c1*c1 - c0*c0) / (2*vc))))), 6) AS DECIMAL(18,6)) AS proba
 FROM f, p
 """
+
+SQL["legacy_live_counts"] = SQL["legacy_type_counts"]
+
+SQL["window_state_restart"] = """
+WITH ne AS (SELECT ts, event_type FROM events WHERE event_type <> 'error' AND ts IS NOT NULL),
+  wm AS (SELECT max(ts) - INTERVAL 20 SECOND AS w FROM ne),
+  win AS (SELECT time_bucket(INTERVAL '10 seconds', ts, TIMESTAMP '1970-01-01') - to_seconds(10 * k) AS ws, event_type AS type
+          FROM ne, range(2) r(k))
+SELECT ws AS window_start, ws + INTERVAL 20 SECOND AS window_end, type, count(*) AS count, ws + INTERVAL 20 SECOND <= any_value(wm.w) AS closed
+FROM win, wm GROUP BY ws, type
+"""
+
+SQL["cdc_redelivered"] = f"""
+SELECT c.*, n.n AS n_messages FROM ({SQL["cdc_apply_stream"]}) c
+JOIN (SELECT CAST(user_id AS INTEGER) AS id, count(*) AS n FROM {_FEED} GROUP BY 1) n USING (id)
+"""

@@ -14,6 +14,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -64,6 +66,22 @@ def apply_defaults(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the time of a block; what was set before, or unset, comes back."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def ensure_scratch(spark: SparkSession) -> str:
     """Return the shared scratch root, creating a local one only if unset.
 

@@ -39,7 +39,7 @@ ORDER = ["lsn", "ts_ms", "txid", "offset", "deleted"]
 CHANGE_DDL = ("id int, lsn long, ts_ms long, txid long, offset long, deleted boolean, op string, "
               "first_name string, last_name string, email string")
 STATE_COLUMNS = [c.split()[0] for c in CHANGE_DDL.split(", ")]
-LOG_DDL = CHANGE_DDL + ", query_id string, batch_id long"
+LOG_DDL = CHANGE_DDL + ", n_messages long, query_id string, batch_id long"
 
 # partitions of the log after which it is rewritten as one
 COMPACT_PARTITIONS = 64
@@ -76,12 +76,35 @@ def _read_log(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(LOG_DDL).parquet(_log_path(root))
 
 
+def _with_counts(changes: DataFrame) -> DataFrame:
+    """The last change per key and ``n_messages``, how many there were of the key."""
+    n = F.sum(F.coalesce("n_messages", F.lit(1)) if "n_messages" in changes.columns else F.lit(1)).cast("long")
+    row = F.max(F.struct(*ORDER, *[c for c in STATE_COLUMNS if c not in ("id", *ORDER)]))
+    return changes.groupBy("id").agg(row.alias("_row"), n.alias("n_messages")).select("id", "_row.*", "n_messages").select(*STATE_COLUMNS, "n_messages")
+
+
 def _write_partition(changes: DataFrame, root: str, query_id: str, batch_id: int) -> None:
-    (last_changes(changes).withColumn("query_id", F.lit(query_id)).withColumn("batch_id", F.lit(batch_id).cast("long"))
+    (_with_counts(changes).withColumn("query_id", F.lit(query_id)).withColumn("batch_id", F.lit(batch_id).cast("long"))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("query_id", "batch_id").parquet(_log_path(root)))
 
 
+# what names a message of the feed: its key, and its place in the database's log
+_POSITION = "payload struct<source: struct<lsn: string>>"
+
+
+def once(stream: DataFrame, delay: str = "1 day", key: str = "key", value: str = "value") -> DataFrame:
+    """``stream`` without messages delivered again within ``delay`` of the first
+    delivery: those of equal key and log position (of equal text, where a message has none).
+
+    The clock of the watermark is the time of the batch that reads a message,
+    not the message's own, so that no message is ever too late to be applied;
+    the state holds the key and position of each message for ``delay``."""
+    lsn = F.from_json(value, _POSITION)["payload"]["source"]["lsn"]
+    marked = stream.withColumns({"_seen": F.current_timestamp(), "_place": F.coalesce(lsn, F.sha2(value, 256), F.lit(""))})
+    return marked.withWatermark("_seen", delay).dropDuplicatesWithinWatermark([key, "_place"]).drop("_seen", "_place")
+
+
 def make_batch_writer(root: str, compact_partitions: int = COMPACT_PARTITIONS):
     """``foreachBatch`` function appending each batch's last changes per key."""
     def apply(batch: DataFrame, batch_id: int) -> None:
@@ -106,6 +129,11 @@ def current_table(spark: SparkSession, root: str) -> DataFrame:
             .select("id", "first_name", "last_name", "email"))
 
 
+def applied(spark: SparkSession, root: str) -> DataFrame:
+    """``id, n_messages``: how many messages of each row have been applied."""
+    return _read_log(spark, root).groupBy("id").agg(F.sum(F.coalesce("n_messages", F.lit(1))).cast("long").alias("n_messages"))
+
+
 def _partitions(spark: SparkSession, root: str) -> list[str]:
     return [batch for query in list_folders(spark, _log_path(root)) for batch in list_folders(spark, query) if "batch_id=" in batch]
 

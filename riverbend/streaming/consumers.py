@@ -74,5 +74,7 @@ def arrival_window_sums(counts: DataFrame, clock: str = "load_dttm", length: str
     batch clock (``clock``), and the windows are aligned to the epoch rather
     than to the stream start.
     """
-    w = F.window(F.col(clock).cast("timestamp"), length, slide)
+    # a cast would hide the clock's watermark
+    at = F.col(clock) if isinstance(counts.schema[clock].dataType, T.TimestampType) else F.col(clock).cast("timestamp")
+    w = F.window(at, length, slide)
     return counts.groupBy(w.alias("window"), *keys).agg(F.sum(value).alias(value))
