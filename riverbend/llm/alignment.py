@@ -240,7 +240,7 @@ class Aligner:
     def _sizes(ids: list[list[int]], sizes: np.ndarray) -> list[int]:
         """The bytes that each list of ids spells."""
         flat = np.append(0, np.cumsum(sizes[np.fromiter(chain.from_iterable(ids), np.int32)]))
-        ends = np.cumsum([len(own) for own in ids])
+        ends = np.cumsum([len(own) for own in ids], dtype=np.int64)
         return np.diff(flat[np.append(0, ends)]).tolist()
 
 
