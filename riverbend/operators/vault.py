@@ -231,27 +231,36 @@ def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name][0]).parquet(path)
 
 
-def _append(spark: SparkSession, root: str, name: str, delta: DataFrame, check: bool) -> int:
-    """Append ``delta`` (materialised first: it reads the table it extends).
-
-    With ``check`` the table key is enforced on the delta alone: every delta
-    is an anti join against the stored rows on that key (the log's new id is
-    max + 1), so a clash can only come from inside the delta, and the check
-    costs O(delta), not a scan of the table."""
-    ddl, key, cluster, not_null = TABLES[name]
-    delta, path = save(delta, f"delta-{name}")
+def checked_rows(name: str, delta: DataFrame, check: bool = True) -> int:
+    """The number of rows of a saved delta of the table ``name``; with
+    ``check``, raises where its key is not unique or a NOT NULL column holds nulls.
+
+    The key is enforced on the delta alone: every delta is an anti join
+    against the stored rows on that key (the log's new id is max + 1), so a
+    clash can only come from inside the delta, and the check costs O(delta),
+    not a scan of the table."""
+    _, key, _, not_null = TABLES[name]
     # one aggregate gives the row count, the nulls and the key check: distinct
     # key tuples equal the rows exactly when keys are unique and never null
     st = one_row(delta.agg(F.count(F.lit(1)).alias("n"),
                            F.count_distinct(*[F.col(k) for k in key]).alias("d"),
                            *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in not_null]))
     n = st["n"]
-    if n:
+    if n and check:
         nulls = [c for c in not_null if st[f"null_{c}"]]
-        if check and nulls:
+        if nulls:
             raise ValueError(f"{name}: NOT NULL columns {nulls} hold nulls")
-        if check and st["d"] != n:
+        if st["d"] != n:
             raise ValueError(f"{name}: primary key {key} violated (unique, not null)")
+    return n
+
+
+def _append(spark: SparkSession, root: str, name: str, delta: DataFrame, check: bool) -> int:
+    """Append ``delta`` (materialised first: it reads the table it extends)."""
+    cluster = TABLES[name][2]
+    delta, path = save(delta, f"delta-{name}")
+    n = checked_rows(name, delta, check)
+    if n:
         # rows hash-distributed and sorted on the segmentation key
         (delta.repartition(*cluster).sortWithinPartitions(*cluster)
               .write.mode("append").parquet(f"{root.rstrip('/')}/{name}"))

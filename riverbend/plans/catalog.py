@@ -232,6 +232,34 @@ def vault_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vault.current_from_tables(spark, root)
 
 
+def vault_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same three loads into catalog tables of a schema of their own: each
+    file an external table over its parquet files, inserted into the stage;
+    stage, ODS, hub and satellite segmented by their keys.  The current view
+    is kept and the schema dropped."""
+    t = _t(spark, sf_dir)
+    import uuid
+
+    from riverbend.operators import warehouse as dwh
+    from riverbend.session import join_root, save, scratch_path
+    root = scratch_path(spark, "catalog")
+    house = dwh.Warehouse(spark, f"dwh_{uuid.uuid4().hex}", location=join_root(root, "schema"))
+    house.create()
+    try:
+        again = tb.stage_from_customer(t).withColumn("Crimes_total", F.col("Crimes_total") - 1)
+        loads = [(tb.stage_from_supplier(t), "STG_OPER"), (tb.stage_from_customer(t), "STG_OPER_2"), (again, "STG_OPER_2")]
+        for month, (rows, file_name) in enumerate(loads, 1):
+            path = join_root(root, f"crimes-{month}")
+            rows.write.parquet(path)
+            dwh.drop_table(spark, house.name("crimes"))
+            dwh.create_external_table(spark, house.name("crimes"), dwh.STAGE_DDL, path)
+            house.fill_stage(house.table("crimes"))
+            house.load(file_name=file_name, load_ts=f"2024-0{month}-01 00:00:00")
+        return save(house.current(), "current")[0]
+    finally:
+        house.drop()
+
+
 def report_to_vault(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole flow: incident report -> one parquet file -> read back as the
     crimes table -> stage (warehouse types) -> table-backed load chain ->
@@ -736,6 +764,7 @@ QUERIES = {
     "hub_delta": hub_delta,
     "sat_delta": sat_delta,
     "vault_current": vault_current,
+    "vault_catalog": vault_catalog,
     "report_to_vault": report_to_vault,
     "key_check": key_check,
     "lookup_by_id": lookup_by_id,

@@ -368,6 +368,8 @@ SELECT doc_id, CAST(round(1 / (1 + exp(-(
 FROM f, p
 """
 
+SQL["vault_catalog"] = SQL["vault_current"]
+
 SQL["legacy_live_counts"] = SQL["legacy_type_counts"]
 
 SQL["window_state_restart"] = """
