@@ -23,6 +23,8 @@ joined to their labels: vectors are shuffled, not texts.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -36,6 +38,7 @@ from pyspark.sql import types as T
 
 from riverbend.functions.scores import band, positive_index, positive_probability
 from riverbend.functions.text import clean_long_tokens, letter_count
+from riverbend.operators import sampling
 
 # Fixed values of the reference pipelines.
 NUM_FEATURES = 1000
@@ -96,12 +99,12 @@ def fit_hashed(pipeline: Pipeline, docs: DataFrame, labels: DataFrame, key: str
     return PipelineModel(stages=[*first, *model.stages])
 
 
-def rf_training_rows(labelled: DataFrame, seed: int = 42, subset=RF_SUBSET, train_test=RF_TRAIN_TEST) -> DataFrame:
+def rf_training_rows(labelled: DataFrame, seed: int = 42, subset=RF_SUBSET, train_test=RF_TRAIN_TEST, key: str = "doc_id") -> DataFrame:
     """The RF's training rows: the first part of the ``subset`` split (10 % in
     the reference), then the first part of the ``train_test`` split (70 %).
-    Pass ``subset=(1.0,)`` to learn from all."""
-    rows = labelled.randomSplit(list(subset), seed=seed)[0]
-    return rows.randomSplit(list(train_test), seed=seed)[0]
+    Pass ``subset=(1.0,)`` to learn from all.  Rows are dealt by their key's hash."""
+    rows = sampling.split(labelled, key, subset, seed, "subset")[0]
+    return sampling.split(rows, key, train_test, seed, "train")[0]
 
 
 def with_label_names(model: PipelineModel) -> PipelineModel:
@@ -275,15 +278,14 @@ SEED = 42
 
 
 def samples(df: DataFrame, fraction: float = SAMPLE_FRACTION, seed: int = SEED,
-            split=(0.7, 0.3), feed_rows: int = FEED_ROWS) -> DataFrame:
+            split=(0.7, 0.3), feed_rows: int = FEED_ROWS, key: str = "doc_id") -> DataFrame:
     """``doc_id, part``: a seeded sample without replacement (``sample``), one of
     about ``feed_rows`` rows with replacement (``feed``, a row may repeat) and
-    a seeded random split (``train`` / ``test``)."""
-    s = df.sample(withReplacement=False, fraction=fraction, seed=seed) \
-          .select("doc_id", F.lit("sample").alias("part"))
-    feed = df.sample(withReplacement=True, fraction=feed_rows / max(1, df.count()), seed=seed) \
-             .select("doc_id", F.lit("feed").alias("part"))
-    s = s.unionByName(feed)
-    train, test = df.randomSplit(list(split), seed=seed)
-    return s.unionByName(train.select("doc_id", F.lit("train").alias("part"))) \
-            .unionByName(test.select("doc_id", F.lit("test").alias("part")))
+    a seeded random split (``train`` / ``test``).  All are drawn from the keys'
+    hashes, so they are the same however the rows are partitioned."""
+    train, test = sampling.split(df, key, split, seed)
+    parts = {"sample": sampling.sample(df, key, fraction, seed),
+             "feed": sampling.sample_with_replacement(df, key, feed_rows / max(1, df.count()), seed),
+             "train": train, "test": test}
+    named = [rows.select(key, F.lit(name).alias("part")) for name, rows in parts.items()]
+    return reduce(DataFrame.unionByName, named)

@@ -140,6 +140,33 @@ def customer_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
 CUSTOMER_MAX_ID = 100
 
 
+# large parts of a few types: the dimension that keeps few of the facts
+PART_MIN_SIZE = 45
+
+
+def _large_parts(t: Tables) -> DataFrame:
+    return t.part.where(F.col("p_size") >= PART_MIN_SIZE).select("p_partkey", "p_brand")
+
+
+def _sales_by_brand(joined: DataFrame) -> DataFrame:
+    return joined.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("decimal(18,2)").alias("quantity"))
+
+
+def replicated_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines of large parts per brand: the parts, of a measured size, are copied to the executors."""
+    from riverbend.operators.joins import dimension_join
+    t = _t(spark, sf_dir)
+    return _sales_by_brand(dimension_join(t.lineitem.select("l_partkey", "l_quantity"), _large_parts(t), "l_partkey", "p_partkey"))
+
+
+def bloom_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as if the parts were too many to be copied: a Bloom filter of
+    their keys thins the lines out before both sides are shuffled."""
+    from riverbend.operators.joins import dimension_join
+    t = _t(spark, sf_dir)
+    return _sales_by_brand(dimension_join(t.lineitem.select("l_partkey", "l_quantity"), _large_parts(t), "l_partkey", "p_partkey", replicate_bytes=0))
+
+
 def customer_weight_upto(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same for customers up to an id: the filter reaches both scans."""
     t = _t(spark, sf_dir)
@@ -437,6 +464,29 @@ def json_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("id", "title").agg(F.count(F.lit(1)).alias("copies"))
 
 
+def record_effects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as a stream of JSON records, in two runs; each record, with
+    printed defaults for missing fields, is written by a ``foreach`` writer
+    in the executors, once.  What was written, read back."""
+    t = _t(spark, sf_dir)
+    from riverbend.session import scratch_path
+    from riverbend.sources import sinks
+    from riverbend.sources.readers import file_stream
+    from riverbend.streaming import effects
+    feed, root = scratch_path(spark, "record-feed"), scratch_path(spark, "record-effects")
+    recs = t.part.select(F.col("p_partkey").alias("id"), F.when(F.col("p_size") > 25, F.col("p_brand")).alias("country"),
+                         F.col("p_size").alias("points"), F.col("p_name").alias("title"), F.col("p_type").alias("variety"))
+    for part in (F.col("id") % 3 == 0, F.col("id") % 3 != 0):
+        sinks.write_json(recs.where(part), feed)
+        stream = file_stream(spark, feed, WINE_SCHEMA, max_files_per_trigger=None, max_bytes_per_trigger=FEED_BYTES_PER_TRIGGER)
+        effects.run_effects(records.json_field_defaults(stream, WINE_DEFAULTS), root)
+    kinds = {"id": "decimal(38,0)", "points": "decimal(38,0)"}
+    names = ("id", "country", "points", "title", "variety", "winery")
+    line = F.from_json("value", ", ".join(f"{n} string" for n in names))
+    written = effects.rendered(spark, root).select(line.alias("r"))
+    return written.select(*[F.col(f"r.{n}").cast(kinds.get(n, "string")).alias(n) for n in names])
+
+
 def label_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _t(spark, sf_dir)
     return tb.labelled_documents(t).groupBy("label").agg(F.count(F.lit(1)).alias("count"))
@@ -729,6 +779,31 @@ def block_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", F.round("proba", 6).cast("decimal(18,6)").alias("proba"))
 
 
+def _labelled_numbers(spark: SparkSession, t: Tables) -> DataFrame:
+    """Three numbers and the label of each labelled document, computed once: texts are not shuffled."""
+    from riverbend.operators import text_ml
+    numbers = text_ml.numeric_features(_all_documents(t)).drop("tweet")
+    return materialize(numbers.join(_quality_labels(t), "doc_id"), "labelled-numbers")
+
+
+def newton_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logistic regression of the quality label on three numbers of a
+    document, fitted by Newton's method with one aggregate a step."""
+    t = _t(spark, sf_dir)
+    from riverbend.operators import newton, text_ml
+    model = newton.fit(_labelled_numbers(spark, t), text_ml.NUMERIC_FEATURES, ridge=text_ml.LR_REG_PARAM)
+    rows = [("intercept", model.intercept), *zip(model.features, model.coefficients, strict=True)]
+    return spark.createDataFrame(rows, "term string, coefficient double").select("term", F.round("coefficient", 6).cast("decimal(18,6)").alias("coefficient"))
+
+
+def newton_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by that model."""
+    t = _t(spark, sf_dir)
+    from riverbend.operators import newton, text_ml
+    model = newton.fit(_labelled_numbers(spark, t), text_ml.NUMERIC_FEATURES, ridge=text_ml.LR_REG_PARAM)
+    return text_ml.numeric_features(_all_documents(t)).select("doc_id", F.round(model.probability(), 6).cast("decimal(18,6)").alias("proba"))
+
+
 def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """3-fold cross validation of the tf-idf random forest over 18 settings."""
     t = _t(spark, sf_dir)
@@ -738,10 +813,10 @@ def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seeded sample and seeded 70/30 split of the labelled documents."""
+    """Seeded samples and a seeded 70/30 split of the labelled documents, by their ids."""
     t = _t(spark, sf_dir)
     from riverbend.operators import text_ml
-    return text_ml.samples(tb.labelled_documents(t))
+    return text_ml.samples(t.documents.select("doc_id").join(t.labels.select("doc_id"), "doc_id"))
 
 
 QUERIES = {
@@ -777,6 +852,11 @@ QUERIES = {
     "stream_stats": stream_stats,
     "search_top10": search_top10,
     "label_balance": label_balance,
+    "record_effects": record_effects,
+    "replicated_join": replicated_join,
+    "bloom_join": bloom_join,
+    "newton_coefficients": newton_coefficients,
+    "newton_scores": newton_scores,
     "tweet_labels_csv": tweet_labels_csv,
     "json_records": json_records,
     "score_bands": score_bands,

@@ -385,3 +385,61 @@ SQL["cdc_redelivered"] = f"""
 SELECT c.*, n.n AS n_messages FROM ({SQL["cdc_apply_stream"]}) c
 JOIN (SELECT CAST(user_id AS INTEGER) AS id, count(*) AS n FROM {_FEED} GROUP BY 1) n USING (id)
 """
+
+SQL["record_effects"] = SQL["json_records"]
+
+SQL["replicated_join"] = SQL["bloom_join"] = """
+SELECT p_brand, count(*) AS n_lines, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS quantity
+FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size >= 45 GROUP BY p_brand
+"""
+
+# a draw: the first 13 hexadecimal digits of an md5 as a fraction
+_DRAW = "CAST('0x' || substr(md5('42:{}:' || doc_id), 1, 13) AS BIGINT) / 4503599627370496.0"
+
+SQL["samples"] = f"""
+WITH d AS (SELECT doc_id FROM documents JOIN labels USING (doc_id)),
+  rate AS (SELECT 16.0 / greatest(1, count(*)) AS r FROM d),
+  steps AS (SELECT list_transform(range(0, 25), lambda k:
+              exp(-r) * list_sum(list_transform(range(0, k + 1), lambda i: pow(r, i) / factorial(CAST(i AS INTEGER))))) AS s FROM rate),
+  copies AS (SELECT doc_id, len(list_filter(s, lambda p: p <= {_DRAW.format('feed')})) AS n FROM d, steps)
+SELECT doc_id, 'sample' AS part FROM d WHERE {_DRAW.format('sample')} < 0.005
+UNION ALL SELECT doc_id, 'feed' FROM copies, range(n)
+UNION ALL SELECT doc_id, CASE WHEN {_DRAW.format('split')} < 0.7 THEN 'train' ELSE 'test' END FROM d
+"""
+
+# Newton's method for three standardised numbers: each step adds up gradient
+# and Hessian and solves the system by Cholesky's decomposition
+_NEWTON = """
+WITH RECURSIVE f AS (SELECT doc_id, ln(1 + length(text)) AS a,
+                  CASE WHEN length(text) > 0 THEN length(regexp_replace(text, '[^a-zA-Z]', '', 'g')) / length(text) ELSE 0 END AS b,
+                  length(text) / len(string_split_regex(trim(text), '\\s+')) AS c FROM documents),
+  l AS (SELECT f.*, CAST(quality AS DOUBLE) AS y FROM f JOIN labels USING (doc_id) WHERE quality IN (0, 1)),
+  m AS (SELECT avg(a) AS ma, avg(b) AS mb, avg(c) AS mc, stddev_samp(a) AS sa, stddev_samp(b) AS sb, stddev_samp(c) AS sc, 0.001 * count(*) AS r FROM l),
+  x AS (SELECT (a - ma) / sa AS x1, (b - mb) / sb AS x2, (c - mc) / sc AS x3, y, r FROM l, m),
+  w(k, w0, w1, w2, w3) AS (
+    SELECT 0, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)
+    UNION ALL
+    SELECT k + 1, w0 + d0, w1 + d1, w2 + d2, w3 + d3 FROM (
+      SELECT *, z3 / l33 AS d3, (z2 - l32 * d3) / l22 AS d2, (z1 - l21 * d2 - l31 * d3) / l11 AS d1, (z0 - l10 * d1 - l20 * d2 - l30 * d3) / l00 AS d0 FROM (
+        SELECT *, sqrt(h00) AS l00, h01 / l00 AS l10, h02 / l00 AS l20, h03 / l00 AS l30, sqrt(h11 - l10 * l10) AS l11,
+               (h12 - l20 * l10) / l11 AS l21, (h13 - l30 * l10) / l11 AS l31, sqrt(h22 - l20 * l20 - l21 * l21) AS l22,
+               (h23 - l30 * l20 - l31 * l21) / l22 AS l32, sqrt(h33 - l30 * l30 - l31 * l31 - l32 * l32) AS l33,
+               g0 / l00 AS z0, (g1 - l10 * z0) / l11 AS z1, (g2 - l20 * z0 - l21 * z1) / l22 AS z2, (g3 - l30 * z0 - l31 * z1 - l32 * z2) / l33 AS z3
+        FROM (
+          SELECT k, w0, w1, w2, w3, sum(q) AS h00, sum(q * x1) AS h01, sum(q * x2) AS h02, sum(q * x3) AS h03, sum(q * x1 * x1) + any_value(r) AS h11,
+                 sum(q * x1 * x2) AS h12, sum(q * x1 * x3) AS h13, sum(q * x2 * x2) + any_value(r) AS h22, sum(q * x2 * x3) AS h23,
+                 sum(q * x3 * x3) + any_value(r) AS h33, sum(y - p) AS g0, sum((y - p) * x1) - any_value(r) * w1 AS g1,
+                 sum((y - p) * x2) - any_value(r) * w2 AS g2, sum((y - p) * x3) - any_value(r) * w3 AS g3
+          FROM (SELECT w.*, x.*, 1 / (1 + exp(-(w0 + w1 * x1 + w2 * x2 + w3 * x3))) AS p, p * (1 - p) AS q FROM w, x WHERE k < 15)
+          GROUP BY k, w0, w1, w2, w3)))),
+  fit AS (SELECT w0 - w1 / sa * ma - w2 / sb * mb - w3 / sc * mc AS i, w1 / sa AS ca, w2 / sb AS cb, w3 / sc AS cc FROM w, m WHERE k = 15)
+"""
+
+SQL["newton_coefficients"] = _NEWTON + """
+SELECT term, CAST(round(v, 6) AS DECIMAL(18,6)) AS coefficient
+FROM (SELECT unnest(['intercept', 'n_chars', 'letter_share', 'mean_word_len']) AS term, unnest([i, ca, cb, cc]) AS v FROM fit)
+"""
+
+SQL["newton_scores"] = _NEWTON + """
+SELECT doc_id, CAST(round(1 / (1 + exp(-(i + ca * a + cb * b + cc * c))), 6) AS DECIMAL(18,6)) AS proba FROM f, fit
+"""

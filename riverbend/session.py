@@ -135,6 +135,28 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return path
 
 
+def ship_package(spark: SparkSession) -> str:
+    """Send this package's code to the executors, for workers that don't have
+    it on their path: a zip of its modules, added to the session's Python
+    files (what ``--py-files`` does at submission).  Returns the zip's name."""
+    import os
+    import zipfile
+
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="riverbend-code-")  # on the driver, which serves it to the executors
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "riverbend.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for where, folders, names in os.walk(package):
+            folders[:] = sorted(f for f in folders if f != "__pycache__")
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(where, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(path)
+    return os.path.basename(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there; any other trouble raises."""
     fs, jpath = _hadoop_path(spark, path)

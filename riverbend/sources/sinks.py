@@ -91,6 +91,11 @@ def start_batches(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoin
               .trigger(**(trigger or {"availableNow": True})).start())
 
 
+def start_foreach(df: DataFrame, writer, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """``foreach`` with a checkpoint: ``writer`` (``open``, ``process``, ``close``) sees every record in the executors."""
+    return df.writeStream.foreach(writer).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
 def index_documents(df: DataFrame, mapping: dict[str, str], time_fields=("CREATEDAT",)) -> DataFrame:
     """Project a stream onto a search-index mapping: epoch-millis date fields
     become timestamps, keyword/text fields strings; the message key is not used."""
