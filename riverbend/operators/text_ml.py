@@ -10,7 +10,8 @@ grid search and sampling, on ``pyspark.ml``.
 * ``tfidf_rf_pipeline`` + ``grid_search``: letters-only cleaning, lower-cased
   tokens longer than 3, terms in more than a share of the documents removed
   (an aggregate over all of them), HashingTF -> IDF -> L2 norm ->
-  RandomForest, 3-fold cross validation over the reference's 3 x 3 x 2 grid.
+  RandomForest, 3-fold cross validation over the reference's 3 x 3 x 2 grid
+  (nine forests are grown, in which all 18 settings are scored).
   Terms are hashed, so none is left out and no vocabulary is gathered.  (The
   stemmer of the reference is not built.)
 * ``block_scores``: a model trained outside the pipeline (a small numpy
@@ -24,21 +25,22 @@ joined to their labels: vectors are shuffled, not texts.
 from __future__ import annotations
 
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (IDF, HashingTF, IndexToString, Normalizer, StringIndexer,
                                 StringIndexerModel, Tokenizer, VectorIndexer)
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riverbend.functions.scores import band, positive_index, positive_probability
 from riverbend.functions.text import clean_long_tokens, letter_count
-from riverbend.operators import sampling
+from riverbend.operators import forests, sampling
+from riverbend.session import release, save, scratch_path
 
 # Fixed values of the reference pipelines.
 NUM_FEATURES = 1000
@@ -50,6 +52,9 @@ GRID_MAX_DF = (0.5, 0.75, 1.0)
 GRID_TREES = (40, 60, 100)
 GRID_DEPTH = (5, 8)
 CV_FOLDS = 3
+# partitions that the rows of a fit are dealt to, and what a pass over them may gather for the nodes it splits
+GRID_PARTITIONS = 8
+GRID_MEMORY_MB = 1024
 # width of the hashed tf-idf vectors: terms that share a place are added up, none is dropped
 TFIDF_FEATURES = 1 << 14
 # the RF is trained on the first part of a 0.1 / 0.9 split, itself split 0.7 / 0.3
@@ -154,37 +159,75 @@ def tfidf_rf_pipeline(label_col: str = "label", seed: int = 42):
     tf = HashingTF(numFeatures=TFIDF_FEATURES, inputCol="tokens", outputCol="tf")
     idf = IDF(inputCol="tf", outputCol="weighted")
     norm = Normalizer(p=2.0, inputCol="weighted", outputCol="tfidf")
-    rf = RandomForestClassifier(labelCol=label_col, featuresCol="tfidf", seed=seed)
+    rf = RandomForestClassifier(labelCol=label_col, featuresCol="tfidf", seed=seed, maxMemoryInMB=GRID_MEMORY_MB)
     return Pipeline(stages=[tf, idf, norm, rf]), rf
 
 
-def grid_search(train: DataFrame, label_col: str = "label", parallelism: int = 4,
-                seed: int = 42) -> tuple[DataFrame, object]:
-    """3-fold cross validation over maxDF x trees x depth (18 settings, 54 fits).
+def _dealt(rows: DataFrame, key: str) -> DataFrame:
+    """Rows in an order and partitioning that follow from their keys: a forest draws its samples in that order."""
+    return rows.repartition(GRID_PARTITIONS, key).sortWithinPartitions(key)
+
+
+def _grown(spark: SparkSession, forest) -> forests.Forest:
+    """The nodes of a fitted forest, read from its saved form."""
+    path = scratch_path(spark, "forest")
+    forest.write().save(path)
+    grown = forests.read_forest(spark, path)
+    release(spark, path)
+    return grown
+
+
+def grid_search(train: DataFrame, label_col: str = "label", parallelism: int = 4, seed: int = 42, key: str = "doc_id",
+                folds: int = CV_FOLDS) -> tuple[DataFrame, PipelineModel]:
+    """3-fold cross validation over maxDF x trees x depth (18 settings).
+
+    Folds are dealt by the key's hash and term vectors written once.  For each
+    fold and maxDF the largest forest is grown, once; a setting with fewer
+    trees or less depth is its first trees, cut at that depth, which are drawn
+    and grown in the same way.  All settings are scored in one pass over the held-out rows of a fold.
 
     Returns ``(results, best_model)``; results hold one row per setting with
-    the mean accuracy and a best flag.
+    the mean accuracy over the folds and a best flag (the first of equal
+    ones); the model is fitted with it to all rows.  The same rows give the same result in any partitioning.
+    Rows without a label of 0, 1, ... are left out.
     """
-    pipe, rf = tfidf_rf_pipeline(label_col, seed)
-    grid = (ParamGridBuilder().addGrid(rf.numTrees, list(GRID_TREES)).addGrid(rf.maxDepth, list(GRID_DEPTH)).build())
-    ev = MulticlassClassificationEvaluator(labelCol=label_col, metricName="accuracy")
-    cvr = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev,
-                         numFolds=CV_FOLDS, parallelism=parallelism, seed=seed)
-    words = clean_words(train).select(label_col, "tokens").persist()
-    rows, best = [], None
-    for max_df in GRID_MAX_DF:
-        fitted = fit_cached(cvr, without_terms(words, frequent_terms(words, max_df)))
-        for pm, metric in zip(grid, fitted.avgMetrics):
-            vals = {p.name: v for p, v in pm.items()}
-            rows.append((max_df, int(vals["numTrees"]), int(vals["maxDepth"]), float(metric)))
-        if best is None or max(fitted.avgMetrics) > best[0]:
-            best = (max(fitted.avgMetrics), fitted.bestModel)
-    words.unpersist()
-    first = max(range(len(rows)), key=lambda i: rows[i][3])
-    res = train.sparkSession.createDataFrame([(*r, i == first) for i, r in enumerate(rows)],
-                                             "max_df double, num_trees int, max_depth int, "
-                                             "mean_accuracy double, best boolean")
-    return res, best[1]
+    spark = train.sparkSession
+    words, words_path = save(clean_words(train.where(F.col(label_col) >= 0)).select(key, F.col(label_col).cast("double").alias("label"), "tokens"), "grid-words")
+    vectors = words.withColumn("fold", sampling.split_part(key, [1.0] * folds, seed, "fold"))
+    common = {share: frequent_terms(words, share) for share in GRID_MAX_DF}
+    for i, share in enumerate(GRID_MAX_DF):
+        kept = without_terms(vectors.withColumn("kept", F.col("tokens")), common[share], "kept")
+        vectors = HashingTF(numFeatures=TFIDF_FEATURES, inputCol="kept", outputCol=f"tf_{i}").transform(kept).drop("kept")
+    vectors, vectors_path = save(_dealt(vectors.drop("tokens"), key), "grid-vectors")
+
+    def grow(job: tuple[int, int]):
+        fold, i = job
+        rows = _dealt(vectors.where(F.col("fold") != fold).select(key, "label", F.col(f"tf_{i}").alias("tf")), key)
+        pipe, rf = tfidf_rf_pipeline(seed=seed)
+        rf.setNumTrees(max(GRID_TREES)).setMaxDepth(max(GRID_DEPTH))
+        fitted = fit_cached(Pipeline(stages=pipe.getStages()[1:]), rows)
+        return job, (fitted.stages[0].idf.toArray(), _grown(spark, fitted.stages[-1]))
+
+    jobs = [(fold, i) for fold in range(folds) for i in range(len(GRID_MAX_DF))]
+    with ThreadPool(parallelism) as pool:
+        grown = dict(pool.map(inheritable_thread_target(spark)(grow), jobs, chunksize=1))
+
+    settings = [(i, trees, depth) for i in range(len(GRID_MAX_DF)) for trees in GRID_TREES for depth in GRID_DEPTH]
+    hits = np.zeros((folds, len(settings)))
+    for fold in range(folds):
+        rows = vectors.where(F.col("fold") == fold)
+        models = [grown[fold, i] for i in range(len(GRID_MAX_DF))]
+        hits[fold] = forests.accuracies(rows, "label", [f"tf_{i}" for i in range(len(models))], models, settings)
+    mean = np.nanmean(hits, axis=0)
+    first = int(np.argmax(mean))
+    results = spark.createDataFrame([(GRID_MAX_DF[i], trees, depth, float(m), k == first) for k, ((i, trees, depth), m) in enumerate(zip(settings, mean, strict=True))],
+                                    "max_df double, num_trees int, max_depth int, mean_accuracy double, best boolean")
+    i, trees, depth = settings[first]
+    pipe, rf = tfidf_rf_pipeline(seed=seed)
+    rf.setNumTrees(trees).setMaxDepth(depth)
+    best = fit_cached(pipe, without_terms(_dealt(words, key), common[GRID_MAX_DF[i]]))
+    release(spark, words_path, vectors_path)
+    return results, best
 
 
 # ------------------------------------------------------------------ block inference
