@@ -23,10 +23,10 @@ def held_out(id_col: str, modulus: int, remainder: int) -> Column:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Ask for Arrow batches of few rows, as one row here is a whole document.
-    A user's own setting wins; Spark's byte limit per batch holds besides."""
+    """Ask for Arrow batches of few rows, as one row here is a whole document,
+    where the session has no setting of its own.  Spark's byte limit per batch holds besides."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key, None) in (None, "10000"):
+    if spark.conf.get(key, None) is None:
         spark.conf.set(key, str(TEXT_BATCH))
 
 

@@ -7,9 +7,9 @@ with the least hash (winnowing).  Equal windows choose the same anchor at the
 same place, so they can only meet under the same anchor.
 
 1. One pass over the texts counts the anchors.  Those that recur are marked
-   in a bitmap of fixed size (``BITMAP_BITS``), which goes to every task; a
-   marked anchor may be single (then its windows are found to be), an
-   unmarked one never recurs, and neither do its windows.
+   in a bitmap sized by their number (``CELLS``, ``MOST_BITS``), which goes to
+   every task; a marked anchor may be single (then its windows are found to
+   be), an unmarked one never recurs, and neither do its windows.
 2. A second pass deals each marked anchor's *segment* (its windows' units) by
    the anchor to a shard.  Equal segments are merged before and after the
    shuffle.  An anchor with more than ``hot`` occurrences (a second bitmap) is
@@ -41,8 +41,8 @@ from riverbend.session import release, save
 
 #: Occurrences of an anchor beyond which its windows are dealt one by one.
 HOT = 8192
-#: Size of each of the bitmaps: 16 MB.
-BITMAP_BITS = 27
+#: A bitmap has this many cells for each hash that it marks, but at most 2 ** MOST_BITS (16 MB).
+CELLS, LEAST_BITS, MOST_BITS = 32, 16, 27
 #: Units hashed at once, and bytes of segments that a shard task decides at once.
 CHUNK, SHARD_BYTES = 1 << 18, 1 << 19
 
@@ -163,8 +163,8 @@ def _anchor_counts(plan: Plan):
     return run
 
 
-def _marked(bits: np.ndarray, anchor: np.ndarray) -> np.ndarray:
-    cell = anchor & ((1 << BITMAP_BITS) - 1)
+def _marked(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    cell = hashes & (8 * len(bits) - 1)
     return (bits[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)
 
 
@@ -178,11 +178,12 @@ def _bitmaps(texts: DataFrame, plan: Plan, hot: int) -> tuple[np.ndarray, np.nda
 
 
 def _bitmap(rows: DataFrame, col: str) -> np.ndarray:
-    """Marks of a column of hashes."""
-    cell = F.col(col).bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
-    # Spark's bitmaps have 4,096 bytes each, so at most 2 ** (BITMAP_BITS - 15) rows come back
+    """Marks of a column of hashes of a saved table."""
+    n_bits = min(max((CELLS * rows.count()).bit_length(), LEAST_BITS), MOST_BITS)
+    cell = F.col(col).bitwiseAND(F.lit((1 << n_bits) - 1))
+    # Spark's bitmaps have 4,096 bytes each, so at most 2 ** (MOST_BITS - 15) rows come back
     parts = rows.groupBy(F.shiftright(cell, 15).alias("part")).agg(F.bitmap_construct_agg(cell.bitwiseAND(F.lit(32767))).alias("bits")).collect()
-    out = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
+    out = np.zeros(1 << (n_bits - 3), np.uint8)
     for p in parts:
         out[p.part << 12:(p.part + 1) << 12] = np.frombuffer(p.bits, np.uint8)
     return out
@@ -316,7 +317,7 @@ def remove_repeats(docs: DataFrame, plan: Plan, resolve: Callable[[Segments], np
     spark = docs.sparkSession
     small_batches(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
-    marks = spark.sparkContext.broadcast(_bitmaps(texts, plan, hot))  # of fixed size
+    marks = spark.sparkContext.broadcast(_bitmaps(texts, plan, hot))  # of bounded size
     keys = ["shard", "sid", "skip", "windows", "at", "segment"]
     segments = texts.select("doc_id", "text").mapInArrow(
         _segment_rows(plan, marks), "shard long, sid binary, skip int, windows int, at int, segment binary, least long, count long")
@@ -332,7 +333,8 @@ def remove_repeats(docs: DataFrame, plan: Plan, resolve: Callable[[Segments], np
     on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))
     # of the texts, only those that may lose something are shuffled
     gone, _ = save(gone, "gone")
-    losing = spark.sparkContext.broadcast(_bitmap(gone, "_th"))  # of fixed size
+    marks.destroy()
+    losing = spark.sparkContext.broadcast(_bitmap(gone, "_th"))  # of bounded size
 
     @F.arrow_udf("boolean")
     def may_lose(th: pa.Array) -> pa.Array:

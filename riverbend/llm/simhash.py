@@ -213,16 +213,19 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
     smallest id (null ids last; ties: the smallest text hash).  All columns stay."""
     found = near_duplicates(docs, id_col, text_col, shingle, radius, tree_size)
     first = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("text_hash").alias("h")))
-    kept = found.groupBy("group_fp").agg(first.alias("k")).select(F.col("k.id").alias("_kept_id"), F.col("k.h").alias("_kept_hash"))
+    kept = found.groupBy("group_fp").agg(first.alias("k")).select(F.col("k.id").alias("id"), F.col("k.h").alias("h"))
     # one long key, so that the texts are shuffled once for the join and the row number
-    kept = kept.withColumn("_key", F.xxhash64("_kept_id", "_kept_hash"))
-    keyed = docs.withColumn("_text_hash", F.xxhash64(F.col(text_col))).withColumn("_key", F.xxhash64(F.col(id_col), "_text_hash"))
+    kept = kept.select(F.xxhash64("id", "h").alias("key"), F.struct("id", "h").alias("kept"))
+    # a row's columns are fields of one, so that no name clashes
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.select(row.alias("row"), F.xxhash64(F.col(text_col)).alias("h")).withColumn("id", F.col("row").getField(id_col))
+    keyed = keyed.select("row", "h", "id", F.xxhash64("id", "h").alias("key"))
     # against chance equality of keys; written as ranges, as further equalities would become join keys too
-    same = F.col("_text_hash").between(F.col("_kept_hash"), F.col("_kept_hash"))
-    same &= F.coalesce(id_col, F.lit(0)).between(F.coalesce("_kept_id", F.lit(0)), F.coalesce("_kept_id", F.lit(0)))
-    own = keyed.join(kept, "_key").where(same)
-    own = own.withColumn("_nth", F.expr("row_number() over (partition by _key order by _text_hash)"))
-    return own.where("_nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    same = F.col("h").between(F.col("kept.h"), F.col("kept.h"))
+    same &= F.coalesce("id", F.lit(0)).between(F.coalesce("kept.id", F.lit(0)), F.coalesce("kept.id", F.lit(0)))
+    own = keyed.join(kept, "key").where(same)
+    own = own.withColumn("nth", F.expr("row_number() over (partition by key order by h)"))
+    return own.where("nth = 1").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def simhash_table(docs: DataFrame) -> DataFrame:

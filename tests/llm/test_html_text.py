@@ -110,3 +110,37 @@ def test_small_tables(spark):
     out = extract(df).collect()
     assert sorted((r.page_id or 0, r.n_chars) for r in out) == [(0, len(P1)), (1, 0), (2, 0), (2, 0)]
     assert extract(df.limit(0)).count() == 0
+
+
+def test_names_cut_no_headings_sections_or_parts_of_names():
+    inner = f"<p>{P1}</p><p>{P2}</p><p>{P1}</p>"
+    keep = ['<h2 id="related-work">Related work</h2>', '<h2 id="search">Related work</h2>', '<section class="share-prices"><p>Related work</p></section>',
+            '<section id="social-history"><p>Related work</p></section>', '<p class="ad-free">Related work</p>', '<p id="ad">Related work</p>',
+            '<section id="search"><p>Related work</p></section>', '<div class="has-comments"><p>Related work</p></div>']
+    for tag in ("article", "main"):
+        for part in keep:
+            assert main_text(f"<body><{tag}>{inner}{part}<p>{P2}</p></{tag}></body>") == f"{P1}\n\n{P2}\n\n{P1}\n\nRelated work\n\n{P2}", part
+        for part in ('<div class="share-buttons">Share, now.</div>', '<section id="comments"><p>No, no.</p></section>', '<div class="ad-box"><p>Buy.</p></div>',
+                     '<div id="related-posts">More.</div>', '<p class="advert">Buy.</p>', '<div class="cookie_notice">Yes.</div>', '<header hidden>Head.</header>'):
+            assert main_text(f"<body><{tag}>{inner}{part}</{tag}></body>") == f"{P1}\n\n{P2}\n\n{P1}", part
+
+
+def test_references_stay():
+    refs = "<ol><li><a href=1>Smith and Jones</a></li><li><a href=2>The other book</a></li></ol>"
+    assert main_text(f"<article><p>{P1}</p><p>{P2}</p>{refs}</article>") == f"{P1}\n\n{P2}\n\nSmith and Jones\n\nThe other book"
+
+
+def test_a_page_of_divs_loses_banner_and_foot():
+    body = "".join(f"<p>{P1 if i % 2 else P2}</p>" for i in range(30))
+    page = f"<body><div>My site</div><div><h1>A head</h1>{body}</div><div>Copyright 2020 by us</div><div>Posted in: <a>News</a></div></body>"
+    assert main_text(page) == "A head\n\n" + "\n\n".join(P1 if i % 2 else P2 for i in range(30))
+
+
+def test_deep_pages_take_linear_time():
+    import time
+    pages = ["<div>" * 100_000 + P1, "<div>x, " * 50_000, "<b>" * 100_000 + P1, "<div></p>" * 50_000, "<p><div>" + "<center>x" * 50_000, "<b><div>" + "<i>" * 50_000 + "</b>" * 50_000,
+             "<div class=ad>x" * 50_000, "<p>" + "<section><p>x." * 30_000, "<a <" * 30_000, "<ul><li>x" * 30_000]
+    for page in pages:
+        began = time.perf_counter()
+        assert isinstance(main_text(page), str)
+        assert time.perf_counter() - began < 8, page[:20]

@@ -1,6 +1,7 @@
 import itertools
 
 import numpy as np
+import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -107,3 +108,11 @@ def test_query_against_brute_force(spark):
     fps = [(d.doc_id, slow_fingerprint(d.text or "")) for d in docs]
     want = {(i, f"{f:016x}", c) for (i, f), c in zip(fps, slow_components(fps))}
     assert {tuple(r) for r in op10_simhash(spark, sf).collect()} == want
+
+
+@pytest.mark.parametrize("name", ["_key", "_text_hash", "_nth", "_kept_id", "_kept_hash", "key", "h", "id", "row", "nth", "kept", "fp", "group_fp", "text_hash", "component_id", "_id", "_text", "a.b"])
+def test_dedup_keeps_columns_of_any_name(spark, name):
+    docs = spark.createDataFrame([(1, "one two three four", 7), (2, "one two three four", 8), (3, "quite another text here", 9)], ["doc_id", "text", name])
+    out = simhash.dedup(docs)
+    assert out.columns == docs.columns
+    assert sorted(map(tuple, out.collect())) == [(1, "one two three four", 7), (3, "quite another text here", 9)]
