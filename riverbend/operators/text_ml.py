@@ -28,6 +28,7 @@ from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import (IDF, HashingTF, IndexToString, Normalizer, StringIndexer,
@@ -290,6 +291,24 @@ def load_weights(spark: SparkSession, path: str) -> dict[str, np.ndarray]:
     return {"w": np.array(row["w"]), "b": np.array([row["b"]])}
 
 
+# Fixed value of the reference's inference: rows of a block.
+BLOCK_ROWS = 10_000
+
+
+def in_blocks(batches, rows: int):
+    """A task's batches as blocks of ``rows`` rows, the last of what is left, whatever the session's batch size."""
+    held, n = [], 0
+    for pdf in batches:
+        while n + len(pdf) >= rows:
+            yield pd.concat([*held, pdf.iloc[:rows - n]], ignore_index=True)
+            pdf, held, n = pdf.iloc[rows - n:], [], 0
+        if len(pdf):
+            held.append(pdf)
+            n += len(pdf)
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def block_scores(df: DataFrame, weights: dict[str, np.ndarray], text_col: str = "tweet",
                  keep=("doc_id",)) -> DataFrame:
     """Score every row with the foreign model in Arrow batches.
@@ -302,7 +321,7 @@ def block_scores(df: DataFrame, weights: dict[str, np.ndarray], text_col: str =
     w, b, names = weights["w"], float(weights["b"][0]), list(NUMERIC_FEATURES)
 
     def classify(batches):
-        for pdf in batches:
+        for pdf in in_blocks(batches, BLOCK_ROWS):
             out = pdf[keep].copy()
             out["proba"] = 1.0 / (1.0 + np.exp(-(pdf[names].to_numpy() @ w + b)))
             yield out

@@ -29,10 +29,8 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # every timestamp we emit is computed in UTC
     "spark.sql.session.timeZone": "UTC",
-    # Arrow batches for pandas UDFs; 10,000 rows is the block size of the
-    # foreign-model inference (M6)
+    # Arrow batches for pandas UDFs, of Spark's 10,000 rows where the session sets none
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
 }
 
 

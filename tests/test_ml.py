@@ -93,3 +93,12 @@ def test_weights_round_trip(spark, tmp_dir):
     text_ml.save_weights(spark, w, tmp_dir + "/w")
     again = text_ml.load_weights(spark, tmp_dir + "/w")
     assert (again["w"] == w["w"]).all() and again["b"][0] == 0.7
+
+
+def test_blocks_do_not_depend_on_the_batches():
+    import pandas as pd
+    frames = [pd.DataFrame({"a": range(n)}) for n in (3, 0, 25, 1, 10, 1)]
+    blocks = list(text_ml.in_blocks(frames, 10))
+    assert [len(b) for b in blocks] == [10, 10, 10, 10]
+    assert [v for b in blocks for v in b["a"]] == [v for f in frames for v in f["a"]]
+    assert list(text_ml.in_blocks([], 10)) == [] and [len(b) for b in text_ml.in_blocks(frames[:1], 10)] == [3]
