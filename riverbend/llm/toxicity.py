@@ -3,9 +3,12 @@
 A text is a TF-IDF vector over the terms that go with the label; its nearest
 examples by exact cosine vote, each with weight 1 / (distance + eps).
 
-* Terms are words and word beginnings (``pref*``); those whose G-squared
-  statistic against the label passes ``MIN_G2`` in the fitted sample are kept.
+* Terms are words and word beginnings (``pref*``).  The ``TERMS`` of the
+  largest G-squared statistic against the label in the fitted sample are kept,
+  and all others that pass ``MIN_G2``.
 * The inverse document frequencies are counted over all documents.
+* A text of the same words as an example, whatever terms it has, has that
+  example as its nearest, at the cosine 1.
 * Examples with equal vectors are one entry with its votes, so ties by the
   thousand cost no more than one.  The entries lie in blocks of ``BLOCK``,
   sorted by their heaviest terms; for each term and block the index knows the
@@ -24,6 +27,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +36,9 @@ from riverbend.session import release, save
 
 #: Labelled rows that are learned from, at most.
 EXAMPLES = 20_000
+#: The fewest terms kept, of however small a sample, and what others must pass.
+TERMS = 100
 MIN_G2 = 30.0
-MIN_DOCS = 5
 PREFIXES = (4, 5, 6, 7)
 NEIGHBOURS = 32
 BLOCK = 64
@@ -146,15 +151,28 @@ class TermCounter:
         return self.__dict__ | {"cache": {}}
 
 
+def whole(text: str) -> int:
+    """What texts of the same words in the same order have in common; 0 without words."""
+    words = plain_words(text)
+    return xxhash.xxh64_intdigest(b" ".join(words)) - (1 << 63) if words else 0
+
+
 class ToxicityModel:
     """Terms, weights, example index and calibration; of bounded size."""
 
-    def __init__(self, terms: list[bytes], idf: np.ndarray, examples: list[tuple[int, int, Counts]]):
-        """``examples``: (id, label, term counts); ``idf``: of each term."""
+    def __init__(self, terms: list[bytes], idf: np.ndarray, examples: list[tuple[int, int, Counts, int]]):
+        """``examples``: (id, label, term counts, ``whole``); ``idf``: of each term."""
         self.counts = TermCounter(terms)
         self.idf = idf
         votes: dict[Counts, list] = {}
-        for doc, label, counts in examples:
+        self.copies: dict[int, list] = {}
+        for doc, label, _, own in examples:
+            if own:
+                v = self.copies.setdefault(own, [0, 0, doc])
+                v[0] += 1
+                v[1] += label
+                v[2] = min(v[2], doc)
+        for doc, label, counts, _ in examples:
             v = votes.setdefault(counts, [0, 0, doc])
             v[0] += 1
             v[1] += label
@@ -180,38 +198,42 @@ class ToxicityModel:
                     weight.append(count)
         if raw:
             self.steps = isotonic(np.array(raw), np.array(label, float), np.array(weight))
-        self.known: dict[Counts, tuple] = {}
+        self.known: dict[tuple[Counts, int | None], tuple] = {}
 
     def vector(self, counts: Counts) -> tuple[np.ndarray, np.ndarray]:
         terms, n = np.array(counts, np.int64).T
         weights = (1 + np.log(n)) * self.idf[terms]
         return terms, weights / np.linalg.norm(weights)
 
-    def vote(self, near: Neighbours, without: tuple[int, int] | None = None) -> float:
-        """Share of positive votes; ``without``: an entry and the label of one vote to leave out."""
+    def vote(self, near: Neighbours, without: tuple[int, int] | None = None, copies: tuple[int, int] = (0, 0)) -> float:
+        """Share of positive votes; ``without``: an entry and the label of one vote
+        to leave out; ``copies``: votes, and positive ones, of examples that are the text itself."""
         n, positive = self.n[near.entry].copy(), self.positive[near.entry].copy()
         if without:
             own = near.entry == without[0]
             n[own] -= 1
             positive[own] -= without[1]
         w = 1 / (np.clip(1 - near.cosine, 0, 1) + EPS)
-        return float((w @ positive + self.prior) / (w @ n + 1))
+        return float((w @ positive + copies[1] / EPS + self.prior) / (w @ n + copies[0] / EPS + 1))
 
     def score(self, text: str) -> tuple[float, list[tuple[int, float, float]]]:
         """The calibrated score, and as evidence the nearest example of each of
         up to three entries: (id, cosine, share of positive votes)."""
         counts = self.counts(text)
-        if not counts:
+        n, positive, doc = self.copies.get(whole(text), (0, 0, None))
+        if not counts and not n:
             return self.none, []
-        if counts not in self.known:
+        if (counts, doc) not in self.known:
             if len(self.known) > 50_000:
                 self.known.clear()
-            near = self.index.search(*self.vector(counts), NEIGHBOURS)
-            raw = self.vote(near)
+            near = self.index.search(*self.vector(counts), NEIGHBOURS) if counts else Neighbours(np.empty(0, np.int64), np.empty(0))
+            raw = self.vote(near, copies=(n, positive))
             score = 0.98 * float(np.interp(raw, *self.steps)) + 0.02 * raw
             top = [(self.example[e], float(c), float(self.positive[e] / self.n[e])) for e, c in zip(near.entry[:3].tolist(), near.cosine[:3], strict=False)]
-            self.known[counts] = (min(1.0, max(0.0, score)), top)
-        return self.known[counts]
+            if n:
+                top = [(doc, 1.0, positive / n), *(t for t in top if t[0] != doc)][:3]
+            self.known[counts, doc] = (min(1.0, max(0.0, score)), top)
+        return self.known[counts, doc]
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"known": {}}
@@ -283,22 +305,26 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     sample, path = save(fit_sample(docs, labels, label_col, lambda c: ~held_out(c, modulus, remainder), examples, id_col, text_col), "toxicity-fit")
     n, positive = (sample.groupBy(F.xxhash64("text")).agg(F.max("label").alias("label"))
                    .agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first())
-    kept = _term_counts(sample).where(f"docs >= {MIN_DOCS}").where(g_squared(F.col("docs"), F.col("positive"), n, positive) >= MIN_G2)
+    counted, terms_path = save(_term_counts(sample).withColumn("g2", g_squared(F.col("docs"), F.col("positive"), n, positive)).where("g2 > 1e-9"), "toxicity-terms")
+    strongest = counted.orderBy(F.desc("g2"), "term").limit(TERMS)  # ties by the term itself
+    kept = counted.where(F.col("g2") >= MIN_G2).union(strongest).distinct()
     terms = _without_doubles(kept.collect()) if n else []
     total, seen = _document_frequencies(docs, text_col, terms)
     count = TermCounter(terms)
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [count(x) for x in as_texts(batch.column("text"))]
+            texts = as_texts(batch.column("text"))
+            own = [count(x) for x in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("label"), pa.array([[t for t, _ in c] for c in own], pa.list_(pa.int64())),
-                 pa.array([[n for _, n in c] for c in own], pa.list_(pa.int64()))], names=["id", "label", "terms", "n"])
+                 pa.array([[n for _, n in c] for c in own], pa.list_(pa.int64())),
+                 pa.array([whole(x) for x in texts], pa.int64())], names=["id", "label", "terms", "n", "whole"])
 
-    found = sample.mapInArrow(counts, "id long, label int, terms array<long>, n array<long>").orderBy("id").collect()
-    release(docs.sparkSession, path)
+    found = sample.mapInArrow(counts, "id long, label int, terms array<long>, n array<long>, whole long").orderBy("id").collect()
+    release(docs.sparkSession, path, terms_path)
     idf = np.log((total + 1) / (seen + 1)) + 1
-    return ToxicityModel(terms, idf, [(r.id, r.label, tuple(zip(r.terms, r.n, strict=True))) for r in found])
+    return ToxicityModel(terms, idf, [(r.id, r.label, tuple(zip(r.terms, r.n, strict=True)), r.whole) for r in found])
 
 
 def score(text: Column, model: ToxicityModel) -> Column:
