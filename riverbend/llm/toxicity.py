@@ -164,6 +164,7 @@ class ToxicityModel:
         """``examples``: (id, label, term counts, ``whole``); ``idf``: of each term."""
         self.counts = TermCounter(terms)
         self.idf = idf
+        self.learned = len(examples)
         votes: dict[Counts, list] = {}
         self.copies: dict[int, list] = {}
         for doc, label, _, own in examples:
@@ -360,5 +361,6 @@ def toxicity_table(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def remove_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` with a score below ``threshold``; all columns stay.
-    Null and empty texts have no terms and stay."""
-    return docs.where(score(F.col("text"), fit(docs, labels)) < threshold)
+    Null and empty texts have no terms and stay.  Without any labelled row nothing is known to be toxic, and all rows stay."""
+    model = fit(docs, labels)
+    return docs.where(score(F.col("text"), model) < threshold) if model.learned else docs
