@@ -70,6 +70,11 @@ def lr_pipeline(text_col: str = "tweet", label_col: str = "label") -> Pipeline:
     return Pipeline(stages=[tok, tf, lr])
 
 
+def lower_tokens(df: DataFrame, text_col: str = "tweet", out: str = "words") -> DataFrame:
+    """The tokens that both pipelines start from: lower case, cut at every white-space character."""
+    return Tokenizer(inputCol=text_col, outputCol=out).transform(df)
+
+
 def rf_pipeline(text_col: str = "tweet", label_col: str = "label", seed: int = 42) -> Pipeline:
     tok = Tokenizer(inputCol=text_col, outputCol="words")
     tf = HashingTF(numFeatures=NUM_FEATURES, inputCol="words", outputCol="features")

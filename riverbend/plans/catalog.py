@@ -804,6 +804,31 @@ def newton_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_ml.numeric_features(_all_documents(t)).select("doc_id", F.round(model.probability(), 6).cast("decimal(18,6)").alias("proba"))
 
 
+def newton_stream_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """That model applied to a tweet feed: the documents as JSON ``{"tweet": ...}``
+    files, scored and counted by score band in every micro-batch."""
+    t = _t(spark, sf_dir)
+    from riverbend.operators import newton, text_ml
+    from riverbend.session import scratch_path
+    from riverbend.sources import sinks
+    from riverbend.sources.readers import file_stream
+    from riverbend.streaming import scoring
+    model = newton.fit(_labelled_numbers(spark, t), text_ml.NUMERIC_FEATURES, ridge=text_ml.LR_REG_PARAM)
+    feed = scratch_path(spark, "number-feed")
+    sinks.write_json(t.documents.select(F.col("text").alias("tweet")), feed, mode="errorifexists")
+    stream = file_stream(spark, feed, "tweet string", fmt="json", max_files_per_trigger=None, max_bytes_per_trigger=FEED_BYTES_PER_TRIGGER)
+    sink = scoring.band_stream(text_ml.numeric_features(stream), "number-bands", probability=model.probability())
+    return sinks.read_or_empty(spark, sink, scoring.BANDS_DDL).groupBy("clean_probability").agg(F.sum("count").alias("count"))
+
+
+def lower_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pipelines' tokens of every document: their number, and a hash of them."""
+    t = _t(spark, sf_dir)
+    from riverbend.operators import text_ml
+    words = text_ml.lower_tokens(_all_documents(t))
+    return words.select("doc_id", F.size("words").cast("long").alias("n_tokens"), F.md5(F.array_join("words", " ")).alias("tokens_md5"))
+
+
 def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """3-fold cross validation of the tf-idf random forest over 18 settings."""
     t = _t(spark, sf_dir)
@@ -857,6 +882,8 @@ QUERIES = {
     "bloom_join": bloom_join,
     "newton_coefficients": newton_coefficients,
     "newton_scores": newton_scores,
+    "newton_stream_bands": newton_stream_bands,
+    "lower_tokens": lower_tokens,
     "tweet_labels_csv": tweet_labels_csv,
     "json_records": json_records,
     "score_bands": score_bands,

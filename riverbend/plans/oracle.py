@@ -443,3 +443,13 @@ FROM (SELECT unnest(['intercept', 'n_chars', 'letter_share', 'mean_word_len']) A
 SQL["newton_scores"] = _NEWTON + """
 SELECT doc_id, CAST(round(1 / (1 + exp(-(i + ca * a + cb * b + cc * c))), 6) AS DECIMAL(18,6)) AS proba FROM f, fit
 """
+
+SQL["newton_stream_bands"] = _NEWTON + """
+SELECT CASE WHEN p > 0.55 THEN 'positive' WHEN p < 0.45 THEN 'negative' ELSE 'undefine' END AS clean_probability, count(*) AS count
+FROM (SELECT 1 / (1 + exp(-(i + ca * a + cb * b + cc * c))) AS p FROM f, fit) GROUP BY 1
+"""
+
+SQL["lower_tokens"] = """
+SELECT doc_id, CAST(len(t) AS BIGINT) AS n_tokens, md5(array_to_string(t, ' ')) AS tokens_md5
+FROM (SELECT doc_id, string_split_regex(regexp_replace(lower(text), '[ \\t\\n\\x0B\\f\\r]+$', ''), '[ \\t\\n\\x0B\\f\\r]') AS t FROM documents)
+"""
