@@ -63,8 +63,9 @@ def create_segmented_table(spark: SparkSession, name: str, ddl: str, segmented_b
     ``segmented_by`` into ``buckets`` and sorted on ``order_by`` (default: the
     same columns) within each; without ``segmented_by``, of a plain one.
 
-    A load's tasks and files a bucket grow with the table, so ``buckets`` is
-    the number of tasks that should read it: its size / 1 GB, say."""
+    A bucket is read, and a load of it written, by one task.  So ``buckets``
+    grows with the table (its size / 1 GB, say), and ``segmented_by`` are
+    columns of many values: the load's tables have unique keys."""
     layout = ""
     if segmented_by:
         order = ", ".join(map(_name, order_by or segmented_by))
