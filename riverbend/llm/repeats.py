@@ -42,7 +42,7 @@ from riverbend.session import release, save
 #: Occurrences of an anchor beyond which its windows are dealt one by one.
 HOT = 8192
 #: A bitmap has this many cells for each hash that it marks, but at most 2 ** MOST_BITS (16 MB).
-CELLS, LEAST_BITS, MOST_BITS = 32, 16, 27
+CELLS, LEAST_BITS, MOST_BITS = 128, 16, 27
 #: Units hashed at once, and bytes of segments that a shard task decides at once.
 CHUNK, SHARD_BYTES = 1 << 18, 1 << 19
 
