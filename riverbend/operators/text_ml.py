@@ -53,8 +53,11 @@ GRID_MAX_DF = (0.5, 0.75, 1.0)
 GRID_TREES = (40, 60, 100)
 GRID_DEPTH = (5, 8)
 CV_FOLDS = 3
-# partitions that the rows of a fit are dealt to, and what a pass over them may gather for the nodes it splits
+# partitions that the rows of a fit are dealt to at least, rows of one at most (on average), and what a pass over them
+# may gather for the nodes it splits.  A forest keeps a number for each row and feature, 64 KB a row, and a task reads
+# its partition in every pass: 0.5 GB of 8,000 rows.  Fewer rows would mean more gathered nodes.
 GRID_PARTITIONS = 8
+GRID_ROWS = 8000
 GRID_MEMORY_MB = 1024
 # width of the hashed tf-idf vectors: terms that share a place are added up, none is dropped
 TFIDF_FEATURES = 1 << 14
@@ -169,9 +172,9 @@ def tfidf_rf_pipeline(label_col: str = "label", seed: int = 42):
     return Pipeline(stages=[tf, idf, norm, rf]), rf
 
 
-def _dealt(rows: DataFrame, key: str) -> DataFrame:
+def _dealt(rows: DataFrame, key: str, parts: int) -> DataFrame:
     """Rows in an order and partitioning that follow from their keys: a forest draws its samples in that order."""
-    return rows.repartition(GRID_PARTITIONS, key).sortWithinPartitions(key)
+    return rows.repartition(parts, key).sortWithinPartitions(key)
 
 
 def _grown(spark: SparkSession, forest) -> forests.Forest:
@@ -199,16 +202,17 @@ def grid_search(train: DataFrame, label_col: str = "label", parallelism: int = 4
     """
     spark = train.sparkSession
     words, words_path = save(clean_words(train.where(F.col(label_col) >= 0)).select(key, F.col(label_col).cast("double").alias("label"), "tokens"), "grid-words")
+    parts = max(GRID_PARTITIONS, -(-words.count() // GRID_ROWS))  # follows from the rows alone
     vectors = words.withColumn("fold", sampling.split_part(key, [1.0] * folds, seed, "fold"))
     common = {share: frequent_terms(words, share) for share in GRID_MAX_DF}
     for i, share in enumerate(GRID_MAX_DF):
         kept = without_terms(vectors.withColumn("kept", F.col("tokens")), common[share], "kept")
         vectors = HashingTF(numFeatures=TFIDF_FEATURES, inputCol="kept", outputCol=f"tf_{i}").transform(kept).drop("kept")
-    vectors, vectors_path = save(_dealt(vectors.drop("tokens"), key), "grid-vectors")
+    vectors, vectors_path = save(_dealt(vectors.drop("tokens"), key, parts), "grid-vectors")
 
     def grow(job: tuple[int, int]):
         fold, i = job
-        rows = _dealt(vectors.where(F.col("fold") != fold).select(key, "label", F.col(f"tf_{i}").alias("tf")), key)
+        rows = _dealt(vectors.where(F.col("fold") != fold).select(key, "label", F.col(f"tf_{i}").alias("tf")), key, parts)
         pipe, rf = tfidf_rf_pipeline(seed=seed)
         rf.setNumTrees(max(GRID_TREES)).setMaxDepth(max(GRID_DEPTH))
         fitted = fit_cached(Pipeline(stages=pipe.getStages()[1:]), rows)
@@ -231,7 +235,7 @@ def grid_search(train: DataFrame, label_col: str = "label", parallelism: int = 4
     i, trees, depth = settings[first]
     pipe, rf = tfidf_rf_pipeline(seed=seed)
     rf.setNumTrees(trees).setMaxDepth(depth)
-    best = fit_cached(pipe, without_terms(_dealt(words, key), common[GRID_MAX_DF[i]]))
+    best = fit_cached(pipe, without_terms(_dealt(words, key, parts), common[GRID_MAX_DF[i]]))
     release(spark, words_path, vectors_path)
     return results, best
 

@@ -60,3 +60,15 @@ def test_grid_search_tells_settings_apart_and_does_not_depend_on_partitions(spar
     assert max(r[3] for r in one) > 0.75 and len({r[3] for r in one}) > 1
     scored = best.transform(text_ml.clean_words(df.where("label >= 0")))
     assert scored.where("prediction = label").count() / 120 > 0.7
+
+
+def test_partitions_of_a_fit_grow_with_its_rows(spark, monkeypatch):
+    for name, value in (("GRID_TREES", (1, 2)), ("GRID_DEPTH", (1,)), ("GRID_MAX_DF", (1.0,)), ("TFIDF_FEATURES", 64), ("GRID_PARTITIONS", 2)):
+        monkeypatch.setattr(text_ml, name, value)
+    monkeypatch.setattr(text_ml, "GRID_ROWS", 25, raising=False)
+    sizes, fit = [], text_ml.fit_cached
+    monkeypatch.setattr(text_ml, "fit_cached", lambda pipe, rows: sizes.append(rows.rdd.glom().map(len).collect()) or fit(pipe, rows))
+    for n, parts in ((40, 2), (500, 20)):
+        sizes.clear()
+        text_ml.grid_search(spark.createDataFrame([(i, i % 2, f"word{i % 3} thing{i % 7}") for i in range(n)], "doc_id long, label int, tweet string"))
+        assert len(sizes) == 4 and {len(s) for s in sizes} == {parts} and sum(sizes[-1]) == n and max(map(max, sizes)) <= 50
