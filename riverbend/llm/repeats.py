@@ -32,11 +32,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riverbend.llm.common import as_bytes, small_batches, whole_groups
+from riverbend.llm.common import as_bytes, ranges, small_batches, whole_groups
 from riverbend.session import release, save
 
 #: Occurrences of an anchor beyond which its windows are dealt one by one.
@@ -45,6 +46,8 @@ HOT = 8192
 CELLS, LEAST_BITS, MOST_BITS = 128, 16, 27
 #: Units hashed at once, and bytes of segments that a shard task decides at once.
 CHUNK, SHARD_BYTES = 1 << 18, 1 << 19
+#: Units of short texts that are hashed side by side.
+SIDE_BY_SIDE = 1 << 15
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -62,9 +65,12 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A fixed one-to-one scramble of 64-bit numbers."""
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
+    out = x.copy()
+    for _ in range(2):
+        out ^= out >> np.uint64(32)
+        out *= np.uint64(0xD6E8FEB86659FD93)
+    out ^= out >> np.uint64(32)
+    return out
 
 
 def range_hashes(units: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -130,33 +136,69 @@ class Anchors(NamedTuple):
     windows: np.ndarray
 
 
+def _least_grams(units: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all grams, and the place of the anchor of each window."""
+    own = plan.units.hashes(units)
+    power, inverse = _power(len(own) + 1)
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(own * power[:-1])])
+    grams = mix((sums[plan.gram:] - sums[:-plan.gram]) * inverse[:len(own) - plan.gram + 1])
+    # least hash, then leftmost: the place is in the low bits; minima over doubling widths
+    least = grams >> np.uint64(31) << np.uint64(31)
+    least |= np.arange(len(grams), dtype=np.uint64)
+    grams_in_window, width = plan.window - plan.gram + 1, 1
+    while 2 * width <= grams_in_window:
+        least = np.minimum(least[:-width], least[width:])
+        width *= 2
+    if width < grams_in_window:
+        least = np.minimum(least[:width - grams_in_window], least[grams_in_window - width:])
+    return grams, (least & np.uint64((1 << 31) - 1)).view(np.int64)
+
+
 def anchors(units: np.ndarray, plan: Plan) -> Anchors:
     """The anchors of all windows of a text, in order."""
     found: list[tuple[np.ndarray, ...]] = [(np.empty(0, np.int64),) * 4]
-    grams_in_window = plan.window - plan.gram + 1
     for base in range(0, len(units) - plan.window + 1, CHUNK):
-        own = plan.units.hashes(units[base:base + CHUNK + plan.window - 1])
-        starts = np.arange(len(own) - plan.gram + 1)
-        grams = range_hashes(own, starts, starts + plan.gram)
-        # least hash, then leftmost: the place is in the low bits; minima over doubling widths
-        least = grams >> np.uint64(31) << np.uint64(31) | starts.astype(np.uint64)
-        width = 1
-        while 2 * width <= grams_in_window:
-            least = np.minimum(least[:-width], least[width:])
-            width *= 2
-        if width < grams_in_window:
-            least = np.minimum(least[:width - grams_in_window], least[grams_in_window - width:])
-        at = (least & np.uint64((1 << 31) - 1)).astype(np.int64)
+        grams, at = _least_grams(units[base:base + CHUNK + plan.window - 1], plan)
         first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+        n = np.diff(np.append(first, len(at)))
         at = at[first]
-        found.append((grams[at].view(np.int64), at + base, first + base, np.diff(np.append(first, len(least)))))
+        found.append((grams[at].view(np.int64), at + base, first + base, n))
     return Anchors(*map(np.concatenate, zip(*found, strict=True)))
 
 
+def anchors_of(texts: list[np.ndarray], plan: Plan) -> Iterator[tuple[np.ndarray, Anchors]]:
+    """The anchors of many texts: some of them with the number of the text of each.
+    Short texts are hashed side by side, and the windows across their ends left out."""
+    def together(numbers: list[int]) -> tuple[np.ndarray, Anchors]:
+        if len(numbers) == 1:
+            found = anchors(texts[numbers[0]], plan)
+            return np.full(len(found.at), numbers[0]), found
+        sizes = np.array([len(texts[k]) for k in numbers], np.int64)
+        begin, n = np.cumsum(sizes) - sizes, sizes - plan.window + 1
+        grams, at = _least_grams(np.concatenate([texts[k] for k in numbers]), plan)
+        window, text = ranges(begin, n), np.repeat(np.arange(len(numbers)), n)
+        at = at[window]
+        first = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (text[1:] != text[:-1]))))
+        at, of = at[first], text[first]
+        return np.array(numbers)[of], Anchors(grams[at].view(np.int64), at - begin[of], window[first] - begin[of], np.diff(np.append(first, len(window))))
+
+    held, size = [], 0
+    for k, own in enumerate(texts):
+        if len(own) < plan.window:
+            continue
+        if held and size + len(own) > SIDE_BY_SIDE:
+            yield together(held)
+            held, size = [], 0
+        held.append(k)
+        size += len(own)
+    if held:
+        yield together(held)
+
+
 def _anchor_counts(plan: Plan):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [anchors(plan.units.split(t), plan).hash for t in as_bytes(batch.column("text"))]
+            found = [own.hash for _, own in anchors_of([plan.units.split(t) for t in as_bytes(batch.column("text"))], plan)]
             own, times = np.unique(np.concatenate(found) if found else np.empty(0, np.int64), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(times, pa.int64())], names=["anchor", "times"])
 
@@ -189,14 +231,16 @@ def _bitmap(rows: DataFrame, col: str) -> np.ndarray:
     return out
 
 
-def _segments(text: bytes, plan: Plan, recurring: np.ndarray) -> Iterator[tuple[int, int, int, int, bytes, bytes]]:
-    """(anchor, its place, first window, number of windows, segment and its id) of a text's marked anchors."""
-    units = plan.units.split(text)
-    found = anchors(units, plan)
-    kept = np.flatnonzero(_marked(recurring, found.hash))
-    for anchor, at, first, windows in zip(*(x[kept].tolist() for x in found), strict=True):
-        segment = plan.units.join(units[first:first + windows + plan.window - 1])
-        yield anchor, at, first, windows, segment, xxhash.xxh3_128_digest(segment + windows.to_bytes(8))
+def _segments(texts: list[bytes], plan: Plan, recurring: np.ndarray, many: np.ndarray) -> Iterator[tuple[int, int, bool, int, int, int, bytes, bytes]]:
+    """(number of the text, anchor, whether it is hot, its place, first window, number of windows, segment and its id)
+    of the texts' marked anchors."""
+    split = [plan.units.split(t) for t in texts]
+    for number, found in anchors_of(split, plan):
+        kept = np.flatnonzero(_marked(recurring, found.hash))
+        hot = _marked(many, found.hash[kept])
+        for i, anchor, is_hot, at, first, windows in zip(*(x.tolist() for x in (number[kept], found.hash[kept], hot, found.at[kept], found.first[kept], found.windows[kept])), strict=True):
+            segment = plan.units.join(split[i][first:first + windows + plan.window - 1])
+            yield i, anchor, is_hot, at, first, windows, segment, xxhash.xxh3_128_digest(segment + windows.to_bytes(8))
 
 
 def _segment_rows(plan: Plan, marks):
@@ -207,22 +251,22 @@ def _segment_rows(plan: Plan, marks):
         recurring, many = marks.value
         for batch in batches:
             rows: dict[tuple[bytes, int], list] = {}
-            for doc, text in zip(batch.column("doc_id").to_pylist(), as_bytes(batch.column("text")), strict=True):
-                doc = NO_ID if doc is None else doc
-                for anchor, at, first, windows, segment, sid in _segments(text, plan, recurring):
-                    if (known := rows.get((sid, -1))) or (known := rows.get((sid, 0))):
-                        for j in range(known[3]) if known[3] else (0,):
-                            own = rows[sid, j] if known[3] else known
-                            own[6] = min(own[6], doc)
-                            own[7] += 1
-                        continue
-                    if not _marked(many, np.array([anchor]))[0]:
-                        rows[sid, -1] = [anchor, sid, 0, 0, windows, segment, doc, 1, at - first]
-                        continue
-                    units = plan.units.split(segment)
-                    for j in range(windows):
-                        own = plan.units.join(units[j:j + plan.window])
-                        rows[sid, j] = [xxhash.xxh64_intdigest(own) - (1 << 63), sid, j, windows, 1, own, doc, 1, at - first - j]
+            docs = [NO_ID if doc is None else doc for doc in batch.column("doc_id").to_pylist()]
+            for i, anchor, hot, at, first, windows, segment, sid in _segments(as_bytes(batch.column("text")), plan, recurring, many):
+                doc = docs[i]
+                if (known := rows.get((sid, -1))) or (known := rows.get((sid, 0))):
+                    for j in range(known[3]) if known[3] else (0,):
+                        own = rows[sid, j] if known[3] else known
+                        own[6] = min(own[6], doc)
+                        own[7] += 1
+                    continue
+                if not hot:
+                    rows[sid, -1] = [anchor, sid, 0, 0, windows, segment, doc, 1, at - first]
+                    continue
+                units = plan.units.split(segment)
+                for j in range(windows):
+                    own = plan.units.join(units[j:j + plan.window])
+                    rows[sid, j] = [xxhash.xxh64_intdigest(own) - (1 << 63), sid, j, windows, 1, own, doc, 1, at - first - j]
             columns = list(zip(*rows.values(), strict=True)) or [()] * 9
             shard, sid, skip, _, windows, segment, least, count, at = columns
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((shard, sid, skip, windows, at, segment, least, count), kinds.values(), strict=True)], names=list(kinds))
@@ -232,9 +276,9 @@ def _segment_rows(plan: Plan, marks):
 
 def _places(plan: Plan, marks):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        recurring, _ = marks.value
+        recurring, many = marks.value
         for batch in batches:
-            rows = [(i, first, sid) for i, text in enumerate(as_bytes(batch.column("text"))) for _, _, first, _, _, sid in _segments(text, plan, recurring)]
+            rows = [(i, first, sid) for i, _, _, _, first, _, _, sid in _segments(as_bytes(batch.column("text")), plan, recurring, many)]
             i, first, sid = zip(*rows, strict=True) if rows else ((), (), ())
             own = pa.array(i, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(own), batch.column("th").take(own), pa.array(first, pa.int32()), pa.array(sid, pa.binary())],
@@ -294,14 +338,18 @@ def _removed(plan: Plan):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for text, runs in zip(as_bytes(batch.column("text")), batch.column("runs").to_pylist(), strict=True):
-                units = plan.units.split(text)
-                gone = np.zeros(len(units), bool)
-                for r in runs or ():
-                    gone[r["from"]:r["from"] + r["n"] + plan.window - 1] = True
+            rows, runs = [], batch.column("runs")
+            n_runs = pc.fill_null(pc.list_value_length(runs), 0).to_numpy(zero_copy_only=False)
+            begin, n = (pc.struct_field(runs.flatten(), k).to_numpy(zero_copy_only=False) for k in ("from", "n"))
+            begin, end = begin.astype(np.int64), begin.astype(np.int64) + n + plan.window - 1
+            p = 0
+            for text, own in zip(as_bytes(batch.column("text")), n_runs.tolist(), strict=True):
+                units, q = plan.units.split(text), p + own
+                change = np.bincount(begin[p:q], minlength=len(units) + 1) - np.bincount(end[p:q], minlength=len(units) + 1)
+                gone = np.cumsum(change[:-1]) > 0
+                p = q
                 spans = int(np.count_nonzero(gone & ~np.concatenate(([False], gone[:-1]))))
-                rows.append((len(units), int(gone.sum()), spans, hashlib.sha256(plan.units.join(units[~gone])).hexdigest()))
+                rows.append((len(units), int(np.count_nonzero(gone)), spans, hashlib.sha256(plan.units.join(units[~gone] if own else units)).hexdigest()))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
             columns = zip(*rows, strict=True) if rows else [[]] * 4
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=names)

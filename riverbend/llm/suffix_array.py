@@ -1,17 +1,15 @@
 """Removal of repeated byte strings by suffix arrays.
 
 The texts that can hold a repeat are dealt to shards (see ``repeats``); each
-shard sorts all suffixes of its text by the difference-cover algorithm:
+shard ranks all suffixes of its text by their first ``WINDOW`` bytes, by
+prefix doubling:
 
-* the suffixes at places 1 and 2 modulo 3 are named by the order of their
-  first three letters,
-* equal names are told apart by the same algorithm on the string of names, as
-  far as names stand for ``WINDOW`` bytes or more (longer is never asked),
-* the remaining suffixes are sorted by their first letter and the rank of
-  what follows, and merged by the comparisons the cover allows.
+* suffixes are sorted by as many bytes as fit into a number with their place,
+* those that tie are sorted by their rank so far and the rank of what follows
+  the bytes that are known to be equal; this doubles the known bytes,
+* the last step overlaps the one before, so ranks stand for ``WINDOW`` bytes.
 
-Suffixes with the same first ``WINDOW`` bytes are then neighbours, and equal
-prefixes of neighbours are the repeats.
+Suffixes that share a rank are the repeats.
 
 A cluster-wide sort of every suffix would write at least 16 bytes for each
 byte of text and level.  Dealing by anchors keeps all suffixes that could
@@ -30,57 +28,49 @@ from riverbend.llm.repeats import HOT, Bytes, Plan, Segments, remove_repeats
 WINDOW, GRAM = 200, 32
 
 
-def names_of(keys: np.ndarray) -> np.ndarray:
-    """The place of each key in the order of the distinct keys."""
-    order = np.argsort(keys)
-    sorted_ = keys[order]
-    names = np.empty(len(keys), np.int64)
-    names[order] = np.cumsum(np.concatenate([[False], sorted_[1:] != sorted_[:-1]])) if len(keys) else names
-    return names
-
-
-def less_than(names: np.ndarray, among: np.ndarray, size: int) -> np.ndarray:
-    """For each name, how many of ``among`` are smaller; names are below ``size``."""
-    counts = np.bincount(among, minlength=size)
-    return (np.cumsum(counts) - counts)[names]
+def in_order(keys: np.ndarray, above: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted keys and the place of each; keys are below ``above``."""
+    bits = len(keys).bit_length()
+    if above << bits > 1 << 63:
+        order = np.argsort(keys)
+        return keys[order], order
+    packed = np.sort(keys << bits | np.arange(len(keys)))  # several times as quick
+    return packed >> bits, packed & (1 << bits) - 1
 
 
 def suffix_ranks(letters: np.ndarray, depth: int) -> np.ndarray:
-    """Rank of the suffix at each place, by its first ``depth`` letters at
-    least; suffixes equal so far share a rank.  Letters are positive."""
+    """How many suffixes are smaller than the one at each place, by their first
+    ``depth`` letters; suffixes equal so far share a rank.  Letters are positive."""
     n = len(letters)
     if not n:
         return np.empty(0, np.int64)
-    t = np.concatenate([letters, np.zeros(6, np.int64)])
-    base = int(letters.max()) + 1
-    # places 0 to n: one more than letters, so that what follows a place in the rest lies in the sample
-    rest, first, second = (np.arange(r, n + (r > 0), 3) for r in range(3))
-    sample = np.concatenate([first, second])
-    pairs = t[sample] * base + t[sample + 1]
-    if base > 1 << 20:  # three letters don't fit into one number
-        pairs = names_of(pairs)
-    names = names_of(pairs * base + t[sample + 2])
-    size = int(names.max()) + 1
-    if depth > 3 and size < len(sample):
-        names = names_of(suffix_ranks(names + 1, -(-depth // 3)))
-        size = int(names.max()) + 1
-    rank = np.zeros(n + 6, np.int64)  # 0: beyond the end
-    rank[sample] = names + 1
-    # against places 1 modulo 3: one letter, then ranks in the sample
-    one = names_of(np.concatenate([t[rest] * (size + 1) + rank[rest + 1], t[first] * (size + 1) + rank[first + 1]]))
-    # against places 2 modulo 3: two letters, then ranks
-    both = np.concatenate([rest, second])
-    pairs = t[both] * base + t[both + 1]
-    if base > 1 << 20 or base * base * (size + 1) > 1 << 62:
-        pairs = names_of(pairs)
-    two = names_of(pairs * (size + 1) + rank[both + 2])
-    r = len(rest)
-    out = np.empty(n + 1, np.int64)
-    out[rest] = less_than(one[:r], one[:r], len(one)) + less_than(one[:r], one[r:], len(one)) + less_than(two[:r], two[r:], len(two))
-    within = less_than(names, names, size)
-    out[first] = within[: len(first)] + less_than(one[r:], one[:r], len(one))
-    out[second] = within[len(first):] + less_than(two[r:], two[:r], len(two))
-    return out[:n]
+    t = np.cumsum(np.bincount(letters) > 0)[letters]  # the letters that occur, from 1 on
+    base, known = int(t.max()) + 1, 1
+    keys = t
+    while known < depth and base ** (known + 1) << n.bit_length() <= 1 << 63:
+        keys = keys * base
+        keys[:max(0, n - known)] += t[known:]
+        known += 1
+    ranks, tied = np.empty(n, np.int64), np.arange(n)
+    group = np.zeros(n, np.int64)  # of the tied places, their ranks so far
+    above = base ** known
+    while True:
+        keys, order = in_order(keys, above)
+        places, group = tied[order], group[order]
+        starts = np.concatenate(([True], keys[1:] != keys[:-1]))
+        heads = np.concatenate(([True], group[1:] != group[:-1]))
+        at = np.arange(len(keys))
+        group = group + np.maximum.accumulate(at * starts) - np.maximum.accumulate(at * heads)
+        ranks[places] = group
+        open_ = ~(starts & np.append(starts[1:], True))
+        if known >= depth or not open_.any():
+            return ranks
+        # what follows the known letters; the last step overlaps them, so that none beyond ``depth`` counts
+        step = min(known, depth - known)
+        tied, group = places[open_], group[open_]
+        after = np.append(ranks + 1, 0)[np.minimum(tied + step, n)]
+        keys, above = group * (n + 1) + after, n * (n + 1)
+        known += step
 
 
 def resolve(plan: Plan):
@@ -99,20 +89,8 @@ def resolve(plan: Plan):
         ranks = suffix_ranks(np.frombuffer(text, np.uint8).astype(np.int64) + 1, plan.window)
         lengths = np.array([len(x) for x in texts], np.int64)
         number = np.repeat(np.arange(len(texts)), windows)
-        place = ranges(np.cumsum(lengths) - lengths, windows)
-        order = np.argsort(ranks[place])
-        sorted_ = place[order]
-        # compare the prefixes of neighbours, eight bytes at a time
-        padded = np.frombuffer(text + bytes(8), np.uint8)
-        eight = np.ndarray((len(padded) - 7,), "<u8", padded.data, strides=(1,))
-        same = np.ones(len(sorted_) - 1, bool)
-        for at in [*range(0, plan.window - 7, 8), plan.window - 8]:
-            x = eight[sorted_ + at]
-            same &= x[1:] == x[:-1]
-        group = np.concatenate([[0], np.cumsum(~same)])
-        counts = np.bincount(group, rows.count[own][number[order]]).astype(np.int64)
-        found = np.empty(len(number), np.int64)
-        found[order] = counts[group]
+        own_ranks = ranks[ranges(np.cumsum(lengths) - lengths, windows)]
+        found = np.bincount(own_ranks, rows.count[own][number]).astype(np.int64)[own_ranks]
         out[np.repeat(~alone, rows.windows)] = found
         return out
 

@@ -58,6 +58,32 @@ def test_suffix_ranks(letters, depth):
         assert suffixes[a][:depth] == suffixes[b][:depth] or ranks[a] < ranks[b]
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from([1, 2, 255, 256, 1 << 20]), max_size=60), st.integers(1, 70))
+def test_ranks_count_smaller_prefixes(letters, depth):
+    ranks = suffix_array.suffix_ranks(np.array(letters, np.int64), depth).tolist()
+    prefixes = [tuple(letters[i:i + depth]) for i in range(len(letters))]
+    assert ranks == [sum(q < p for q in prefixes) for p in prefixes]
+
+
+def test_ranks_of_ties_and_of_keys_too_large_to_pack():
+    assert suffix_array.suffix_ranks(np.ones(7, np.int64), 1).tolist() == [0] * 7
+    assert suffix_array.suffix_ranks(np.ones(7, np.int64), 3).tolist() == [2, 2, 2, 2, 2, 1, 0]
+    keys = np.array([1 << 61, 5, 1 << 60, 5])
+    got, order = suffix_array.in_order(keys, 1 << 62)
+    assert got.tolist() == sorted(keys.tolist()) == keys[order].tolist()
+
+
+@pytest.mark.parametrize("units, size", [(Bytes, (20, 6)), (Words, (9, 3))])
+def test_texts_hashed_side_by_side_have_their_own_anchors(monkeypatch, units, size):
+    plan, rng = Plan(units, *size), np.random.default_rng(4)
+    texts = [units.split(b" ".join(rng.choice([b"a", b"b", b"cc"], n))) for n in (0, 40, 3, 9, 200, 1, 25, 60, 8, 30, 500)]
+    for most in (1, 90, 1 << 15):
+        monkeypatch.setattr(repeats, "SIDE_BY_SIDE", most)
+        found = [row for number, own in repeats.anchors_of(texts, plan) for row in zip(number.tolist(), *(x.tolist() for x in own), strict=True)]
+        assert found == [(k, *row) for k, t in enumerate(texts) for row in zip(*(x.tolist() for x in repeats.anchors(t, plan)), strict=True)]
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.binary(max_size=120), st.sampled_from([(9, 3), (20, 6), (8, 8), (12, 1)]), st.booleans())
 def test_each_window_has_one_anchor_that_depends_on_it_alone(data, size, few):
