@@ -9,6 +9,12 @@ words.  The groups and links of a window depend on its ids alone, so they are
 found once for each pair of id tuples and kept, with the bytes that the ids
 spell; a document's windows, one after another, must spell its text.
 
+Neither tokenizer joins what a single space parts: A's pattern begins a match
+at such a space and B has no piece with a space after another letter.  So in
+a text of words of plain characters with one space between any two, the ids of
+a word are the same whatever stands around it, and each word is a window.  Such
+words are tokenised once, many side by side in one text; all other texts are tokenised whole.
+
 Two tokens that end at one offset have the same bytes as far as the shorter
 one reaches: one is a suffix of the other.  The vocabularies have a fixed
 number of such id pairs, some hundred thousand, whatever the corpus, so the
@@ -22,7 +28,6 @@ import base64
 import re
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -41,8 +46,12 @@ KEPT_WINDOWS = 200_000
 KEPT_IDS = 4_000_000
 #: Characters of white space in a row that the regular expression of the quick tokenizer is given.
 MOST_BLANKS = 256
+#: Words that are tokenised side by side when they are met for the first time.
+WORDS_AT_ONCE = 256
 #: Marks the ids of B in a window.
 OF_B = 1 << 24
+#: Not printable ASCII, a line end or a Latin letter of one code point, which no rule of B's normaliser joins to what follows.
+ODD = re.compile("[^\n !-~\u00c0-\u024f]")
 BLANKS = re.compile(r"\s{%d}" % MOST_BLANKS)
 
 ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, pairs array<int>, times array<int>"
@@ -76,6 +85,7 @@ class Tokenizers:
         self.same = all(self.a_bytes[i] == word for word, i in ranks.items())
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=files.pieces)
         self.b_bytes = [self._piece(i) for i in range(self.pieces.get_piece_size())]
+        self.by_word = not any(b" " in word.lstrip(b" ") for word in self.b_bytes)
 
     def _piece(self, i: int) -> bytes:
         piece = self.pieces.id_to_piece(i)
@@ -107,23 +117,40 @@ def id_pairs(a_bytes: Sequence[bytes], b_bytes: Sequence[bytes]) -> np.ndarray:
     return np.array(sorted(pairs), np.int64)
 
 
-class Windows(dict):
-    """Numbers of windows, by their ids: those of A, then those of B with the bit ``OF_B``, as bytes of int32."""
+class Numbers(dict):
+    """Numbers of words, or of windows by their ids: those of A, then those of B with the bit ``OF_B``, as bytes of int32."""
 
     def __init__(self) -> None:
-        self.new: list[bytes] = []
+        self.new: list = []
 
-    def __missing__(self, ids: bytes) -> int:
-        self[ids] = n = len(self)
-        self.new.append(ids)
+    def __missing__(self, key: bytes | str) -> int:
+        self[key] = n = len(self)
+        self.new.append(key)
         return n
 
 
-def _spelt(ids: np.ndarray, window: np.ndarray, words: list[bytes], n: int) -> list[bytes]:
-    """The bytes of each window's ids."""
-    spelt = list(map(words.__getitem__, ids.tolist()))
-    ends = np.cumsum(np.bincount(window, minlength=n)).tolist()
-    return [b"".join(spelt[p:q]) for p, q in zip([0, *ends[:-1]], ends, strict=True)]
+def _words(text: str) -> list[str]:
+    """The words of a text of plain characters with a single space and no line end between any two; none for other texts."""
+    odd = not text or ODD.search(text) or "  " in text or " \n" in text or "\n " in text or text[0] in " \n" or text[-1] in " \n"
+    return [] if odd else text.split(" ")
+
+
+def _joined(words: pa.Array, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The words of the ids, one after another, and where each begins (and the last ends)."""
+    taken = words.take(pa.array(ids))
+    bounds = np.frombuffer(taken.buffers()[1], np.int64, len(ids) + 1)
+    return taken.buffers()[2].to_pybytes() if bounds[-1] else b"", bounds
+
+
+def _cut(whole: bytes | str, bounds: np.ndarray) -> list:
+    """``whole`` cut at the bounds."""
+    at = bounds.tolist()
+    return [whole[p:q] for p, q in zip(at[:-1], at[1:], strict=True)]
+
+
+def _flat(lists: list[list[int]]) -> np.ndarray:
+    """The ids of all lists, one after another."""
+    return np.concatenate([np.empty(0, np.int32), *(np.array(own, np.int32) for own in lists)])
 
 
 class Aligner:
@@ -135,11 +162,15 @@ class Aligner:
         self.a_sizes, self.b_sizes = (np.array(list(map(len, words)), np.int64) for words in (t.a_bytes, t.b_bytes))
         self.a_marked, self.b_marked = (np.array([w[:1] == b" " for w in words]) for words in (t.a_bytes, t.b_bytes))
         # an id with what follows it in the groups
-        self.texts = [f"{i}{mark}" for words, marks in ((t.a_bytes, ",|"), (t.b_bytes, [",", ";", ""])) for mark in marks for i in range(len(words))]
+        self.texts = pa.array([f"{i}{mark}" for words, marks in ((t.a_bytes, ",|"), (t.b_bytes, [",", ";", ""])) for mark in marks for i in range(len(words))], pa.large_string())
+        self.a_words, self.b_words = (pa.array(words, pa.large_binary()) for words in (t.a_bytes, t.b_bytes))
         self._clear()
 
     def _clear(self) -> None:
-        self.numbers = Windows()
+        self.numbers = Numbers()
+        self.words = Numbers()
+        self.window_of = np.empty(0, np.int64)  # of each word; -1 where it is not one
+        self.tokens = np.empty((2, 0), np.int64)  # of each window its A and B ids
         self.groups: list[str] = []
         self.bytes: list[bytes] = []  # what a window's ids spell; b"" where those of A and of B differ
         self.links, self.bounds = np.empty(0, np.int32), np.zeros(1, np.int64)
@@ -150,12 +181,23 @@ class Aligner:
         """Keep the windows met most often, a quarter of what is kept at most."""
         keys = list(self.numbers)
         order = np.argsort(-self.seen, kind="stable")
-        fits = np.cumsum([len(keys[i]) // 4 for i in order.tolist()]) <= KEPT_IDS // 4
-        kept = order[:KEPT_WINDOWS // 4][fits[:KEPT_WINDOWS // 4]].tolist()
+        sizes = np.array([len(key) // 4 for key in keys], np.int64)
+        fits = np.cumsum(sizes[order]) <= KEPT_IDS // 4
+        at = order[:KEPT_WINDOWS // 4][fits[:KEPT_WINDOWS // 4]]
+        kept, groups, spelt, links, bounds, tokens = at.tolist(), self.groups, self.bytes, self.links, self.bounds, self.tokens
+        renumbered = np.full(len(keys) + 1, -1)  # the last for words that are no window
+        renumbered[at] = np.arange(len(at))
+        words, window_of = list(self.words), renumbered[self.window_of]
         self._clear()
-        for i in kept:
-            self.numbers[keys[i]]
-        self._learn()
+        known = np.flatnonzero(window_of >= 0)
+        self.words.update(zip(map(words.__getitem__, known.tolist()), range(len(known)), strict=True))
+        self.window_of, self.tokens = window_of[known], tokens[:, at]
+        self.numbers.update(zip(map(keys.__getitem__, kept), range(len(kept)), strict=True))
+        self.groups, self.bytes = list(map(groups.__getitem__, kept)), list(map(spelt.__getitem__, kept))
+        n = bounds[at + 1] - bounds[at]
+        self.links, self.bounds = links[ranges(bounds[at], n)], np.append(0, np.cumsum(n))
+        self.seen = np.zeros(len(kept), np.int64)
+        self.ids = int(sizes[at].sum())
 
     def _learn(self) -> None:
         """Align the windows met for the first time, side by side: each has as many bytes of A as of B."""
@@ -164,7 +206,8 @@ class Aligner:
             return
         ids = np.frombuffer(b"".join(new), np.int32)
         of_b = ids >= OF_B
-        window = np.repeat(np.arange(len(new)), [len(key) // 4 for key in new])
+        sizes = np.fromiter(map(len, new), np.int64, len(new)) // 4
+        window = np.repeat(np.arange(len(new)), sizes)
         a, b = ids[~of_b], ids[of_b] - OF_B
         a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
         place = np.searchsorted(b_ends, a_ends)
@@ -178,16 +221,18 @@ class Aligner:
         at[np.arange(len(a)) + before] = a + a_last * len(self.a_sizes)
         upto = (i + 1)[np.cumsum(b_last > 0) - (b_last > 0)]
         at[np.arange(len(b)) + upto] = b + b_last * len(self.b_sizes) + 2 * len(self.a_sizes)
-        texts = list(map(self.texts.__getitem__, at.tolist()))
-        cuts = np.append(0, np.cumsum([len(key) // 4 for key in new])).tolist()
-        self.groups.extend(["".join(texts[p:q]) for p, q in zip(cuts[:-1], cuts[1:], strict=True)])
-        a_spelt = _spelt(a, window[~of_b], self.tokenizers.a_bytes, len(new))
-        b_spelt = _spelt(b, window[of_b], self.tokenizers.b_bytes, len(new))
-        self.bytes.extend([x if x == y else b"" for x, y in zip(a_spelt, b_spelt, strict=True)])
+        texts, begin = _joined(self.texts, at)
+        self.groups.extend(_cut(texts.decode(), begin[np.append(0, np.cumsum(sizes))]))
+        spelt = []
+        for words, own, mine in ((self.a_words, a, ~of_b), (self.b_words, b, of_b)):
+            whole, begin = _joined(words, own)
+            spelt.append(_cut(whole, begin[np.append(0, np.cumsum(np.bincount(window[mine], minlength=len(new))))]))
+        self.bytes.extend([x if x == y else b"" for x, y in zip(*spelt, strict=True)])
         links = np.searchsorted(self.pairs, a[i].astype(np.int64) << 32 | b[j])
         self.links = np.concatenate([self.links, links.astype(np.int32)])
         self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(np.bincount(window[~of_b][i], minlength=len(new)))])
         self.seen = np.concatenate([self.seen, np.zeros(len(new), np.int64)])
+        self.tokens = np.concatenate([self.tokens, [np.bincount(window[own], minlength=len(new)) for own in (~of_b, of_b)]], axis=1)
         self.ids += len(ids)
 
     def _windows(self, a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray, last: np.ndarray) -> tuple[list[int], np.ndarray]:
@@ -206,42 +251,62 @@ class Aligner:
         ids[ranges(i - n_a + j - n_b, n_a)] = a
         ids[ranges(i + j - n_b, n_b)] = b + OF_B
         raw, cuts, numbers = ids.tobytes(), (4 * (i + j)).tolist(), self.numbers
-        return [numbers[raw[p:q]] for p, q in zip([0, *cuts[:-1]], cuts, strict=True)], np.flatnonzero(ends[before[anchor]])
+        return list(map(numbers.__getitem__, map(raw.__getitem__, map(slice, [0, *cuts[:-1]], cuts)))), np.flatnonzero(ends[before[anchor]])
 
-    def align(self, texts: list[str]) -> Iterator[tuple[int, int, str, np.ndarray]]:
-        """Of each text the numbers of A ids and B ids, the groups, and the links' id pairs by their numbers."""
-        if len(self.groups) > KEPT_WINDOWS or self.ids > KEPT_IDS:
-            self._forget()
-        none = 0, 0, "", np.empty(0, np.int32)
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        """The windows of texts that are tokenised whole, by their numbers; none where the ids' bytes don't give a text back."""
+        if not texts:
+            return []
         a_ids, b_ids = self.tokenizers.a(texts), self.tokenizers.b(texts)
         whole = [b" " + text.encode() for text in texts]
-        a_sizes = self._sizes(a_ids, self.a_sizes)
-        b_sizes = self._sizes(b_ids, self.b_sizes)
-        fits = [k for k, w in enumerate(whole) if len(w) > 1 and a_sizes[k] == b_sizes[k] == len(w)]
-        rows = [none] * len(texts)
+        a, b = (_flat(ids) for ids in (a_ids, b_ids))
+        a_ends, b_ends = np.append(0, np.cumsum(self.a_sizes[a])), np.append(0, np.cumsum(self.b_sizes[b]))
+        a_upto, b_upto = (np.cumsum([0, *map(len, ids)]) for ids in (a_ids, b_ids))
+        sizes = np.fromiter(map(len, whole), np.int64, len(whole))
+        fit = (sizes > 1) & (np.diff(a_ends[a_upto]) == sizes) & (np.diff(b_ends[b_upto]) == sizes)
+        fits = np.flatnonzero(fit).tolist()
+        out: list[list[int]] = [[] for _ in texts]
         if fits:
-            a, b = (np.fromiter(chain.from_iterable(ids[k] for k in fits), np.int32) for ids in (a_ids, b_ids))
-            last = np.cumsum([len(a_ids[k]) for k in fits]) - 1
-            windows, ends = self._windows(a, b, np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b]), last)
+            if len(fits) < len(texts):
+                a, b = (ids[np.repeat(fit, np.diff(upto))] for ids, upto in ((a, a_upto), (b, b_upto)))
+                a_ends, b_ends = np.append(0, np.cumsum(self.a_sizes[a])), np.append(0, np.cumsum(self.b_sizes[b]))
+            last = np.cumsum(np.diff(a_upto)[fit]) - 1
+            windows, ends = self._windows(a, b, a_ends[1:], b_ends[1:], last)
             self._learn()
-            self.seen += np.bincount(windows, minlength=len(self.seen))
             p = 0
             for k, q in zip(fits, (ends + 1).tolist(), strict=True):
-                own = windows[p:q]
+                if b"".join(map(self.bytes.__getitem__, windows[p:q])) == whole[k]:
+                    out[k] = windows[p:q]
                 p = q
-                if b"".join([self.bytes[w] for w in own]) != whole[k]:
-                    continue
-                at = np.array(own, np.int64)
-                links = self.links[ranges(self.bounds[at], self.bounds[at + 1] - self.bounds[at])]
-                rows[k] = len(a_ids[k]), len(b_ids[k]), ";".join([self.groups[w] for w in own]), links
-        return iter(rows)
-
-    @staticmethod
-    def _sizes(ids: list[list[int]], sizes: np.ndarray) -> list[int]:
-        """The bytes that each list of ids spells."""
-        flat = np.append(0, np.cumsum(sizes[np.fromiter(chain.from_iterable(ids), np.int32)]))
-        ends = np.cumsum([len(own) for own in ids], dtype=np.int64)
-        return np.diff(flat[np.append(0, ends)]).tolist()
+        return out
+
+    def _learn_words(self) -> None:
+        """The windows of the words met for the first time."""
+        new, self.words.new = self.words.new, []
+        chunks = [new[k:k + WORDS_AT_ONCE] for k in range(0, len(new), WORDS_AT_ONCE)]
+        found: list[int] = []
+        for chunk, own in zip(chunks, self._whole([" ".join(chunk) for chunk in chunks]), strict=True):
+            if [self.bytes[w] for w in own] != [b" " + word.encode() for word in chunk]:
+                own = [alone[0] if len(alone) == 1 else -1 for alone in self._whole(chunk)]
+                self.ids += sum(map(len, chunk))
+            found += own
+        self.window_of = np.concatenate([self.window_of, np.array(found, np.int64)])
+
+    def align(self, texts: list[str]) -> Iterator[tuple[int, int, str, np.ndarray]]:
+        """Of each text the numbers of A ids and B ids, the groups, and the links' id pairs by their numbers."""
+        if max(len(self.groups), len(self.words)) > KEPT_WINDOWS or self.ids > KEPT_IDS:
+            self._forget()
+        own = [list(map(self.words.__getitem__, _words(text) if self.tokenizers.by_word else ())) for text in texts]
+        self._learn_words()
+        windows = [self.window_of[np.array(words, np.int64)] for words in own]
+        rest = [k for k, at in enumerate(windows) if not len(at) or at.min() < 0]
+        for k, at in zip(rest, self._whole([texts[k] for k in rest]), strict=True):
+            windows[k] = np.array(at, np.int64)
+        self.seen += np.bincount(np.concatenate([np.empty(0, np.int64), *windows]), minlength=len(self.seen))
+        for at in windows:
+            links = self.links[ranges(self.bounds[at], self.bounds[at + 1] - self.bounds[at])]
+            n_a, n_b = self.tokens[:, at].sum(axis=1).tolist()
+            yield n_a, n_b, ";".join(map(self.groups.__getitem__, at.tolist())), links
 
 
 @lru_cache(maxsize=2)

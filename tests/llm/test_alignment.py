@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import re
 
 import numpy as np
 import pytest
@@ -61,6 +62,35 @@ def test_blanks_and_marks(aligner, texts):
     check(aligner, texts)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.text(st.characters(min_codepoint=33, max_codepoint=126) | st.sampled_from("\n\nésßÉŉſ×'1a"), min_size=1, max_size=9)
+                         | st.sampled_from(["don't", "the", "x\n\ny", "<s>", "</s>", "<0x41>", "1999.", "'s", "_", "--"]), min_size=1, max_size=25).map(" ".join), max_size=4))
+def test_words_with_single_spaces(aligner, texts):
+    check(aligner, texts)
+
+
+def test_plain_words_are_tokenised_once(aligner, monkeypatch):
+    own = alignment.Aligner(queries.ALIGNED)
+    seen, b = [], own.tokenizers.b
+    monkeypatch.setattr(own.tokenizers, "b", lambda texts: seen.extend(texts) or b(texts))
+    texts = ["The café is open.\nThe door is café", "a  b the", " the", "the ", "the\n door", "the \ndoor", "the\tdoor", "漢 the", "is open.\nThe the"]
+    check(own, texts)
+    assert " ".join(seen) == "The café is open.\nThe door the a  b the  the the  the\n door the \ndoor the\tdoor 漢 the"
+    seen.clear()
+    check(own, ["door door is The", "the the café"])
+    assert not seen
+
+
+def test_words_that_are_no_windows_leave_their_texts_whole(aligner, monkeypatch):
+    own = alignment.Aligner(queries.ALIGNED)
+    monkeypatch.setattr(alignment, "WORDS_AT_ONCE", 3)
+    monkeypatch.setattr(alignment, "ODD", re.compile("[^ -~▁]"))  # B takes a ▁ for a space
+    texts = ["▁a the dog", "the fox dog", "x ▁ y"]
+    check(own, texts)
+    check(own, texts)
+    assert (own.window_of < 0).any() and (own.window_of >= 0).any() and len(own.window_of) == len(own.words)
+
+
 def test_documents(aligner, spark):
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
     check(aligner, texts)
