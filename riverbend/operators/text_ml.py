@@ -11,7 +11,7 @@ grid search and sampling, on ``pyspark.ml``.
   tokens longer than 3, terms in more than a share of the documents removed
   (an aggregate over all of them), HashingTF -> IDF -> L2 norm ->
   RandomForest, 3-fold cross validation over the reference's 3 x 3 x 2 grid
-  (nine forests are grown, in which all 18 settings are scored).
+  (nine forests at most are grown, in which all 18 settings are scored).
   Terms are hashed, so none is left out and no vocabulary is gathered.  (The
   stemmer of the reference is not built.)
 * ``block_scores``: a model trained outside the pipeline (a small numpy
@@ -24,6 +24,7 @@ joined to their labels: vectors are shuffled, not texts.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -40,8 +41,8 @@ from pyspark.sql import types as T
 
 from riverbend.functions.scores import band, positive_index, positive_probability
 from riverbend.functions.text import clean_long_tokens, letter_count
-from riverbend.operators import forests, sampling
-from riverbend.session import release, save, scratch_path
+from riverbend.operators import forests, growth, sampling
+from riverbend.session import release, save
 
 # Fixed values of the reference pipelines.
 NUM_FEATURES = 1000
@@ -53,9 +54,8 @@ GRID_MAX_DF = (0.5, 0.75, 1.0)
 GRID_TREES = (40, 60, 100)
 GRID_DEPTH = (5, 8)
 CV_FOLDS = 3
-# partitions that the rows of a fit are dealt to at least, rows of one at most (on average), and what a pass over them
-# may gather for the nodes it splits.  A forest keeps a number for each row and feature, 64 KB a row, and a task reads
-# its partition in every pass: 0.5 GB of 8,000 rows.  Fewer rows would mean more gathered nodes.
+# partitions that the rows of a fit are dealt to at least, rows of one at most (on average), and the counts, as Spark's
+# forest would hold them, of the nodes that are split in one pass.  A forest's draws depend on all three.
 GRID_PARTITIONS = 8
 GRID_ROWS = 8000
 GRID_MEMORY_MB = 1024
@@ -152,11 +152,18 @@ def clean_words(df: DataFrame, text_col: str = "tweet", out: str = "tokens") ->
 def frequent_terms(df: DataFrame, max_share: float, col: str = "tokens") -> list[str]:
     """Terms held by more than ``max_share`` of the rows.  There are at most
     (mean number of terms in a row) / ``max_share`` of them."""
-    if max_share >= 1.0:
-        return []
+    return terms_above(df, (max_share,), col)[0]
+
+
+def terms_above(df: DataFrame, max_shares: Sequence[float], col: str = "tokens") -> list[list[str]]:
+    """``frequent_terms`` for several limits, from one aggregate."""
+    limits = [share for share in max_shares if share < 1.0]
+    if not limits:
+        return [[] for _ in max_shares]
     n = df.count()
     counts = df.select(F.explode(F.array_distinct(col)).alias("term")).groupBy("term").count()
-    return sorted(r.term for r in counts.where(F.col("count") > max_share * n).collect())
+    found = counts.where(F.col("count") > min(limits) * n).collect()
+    return [sorted(r["term"] for r in found if share < 1.0 and r["count"] > share * n) for share in max_shares]
 
 
 def without_terms(df: DataFrame, terms: list[str], col: str = "tokens") -> DataFrame:
@@ -164,12 +171,13 @@ def without_terms(df: DataFrame, terms: list[str], col: str = "tokens") -> DataF
     return df.withColumn(col, F.filter(col, lambda t: ~F.array_contains(gone, t))) if terms else df
 
 
-def tfidf_rf_pipeline(label_col: str = "label", seed: int = 42):
+def tfidf_rf_pipeline(label_col: str = "label", seed: int = 42, **draws):
+    """The pipeline and the settings of its forest; ``draws`` are those that ``growth.SparseForest`` may share."""
     tf = HashingTF(numFeatures=TFIDF_FEATURES, inputCol="tokens", outputCol="tf")
     idf = IDF(inputCol="tf", outputCol="weighted")
     norm = Normalizer(p=2.0, inputCol="weighted", outputCol="tfidf")
     rf = RandomForestClassifier(labelCol=label_col, featuresCol="tfidf", seed=seed, maxMemoryInMB=GRID_MEMORY_MB)
-    return Pipeline(stages=[tf, idf, norm, rf]), rf
+    return Pipeline(stages=[tf, idf, norm, growth.SparseForest(rf, **draws)]), rf
 
 
 def _dealt(rows: DataFrame, key: str, parts: int) -> DataFrame:
@@ -177,15 +185,6 @@ def _dealt(rows: DataFrame, key: str, parts: int) -> DataFrame:
     return rows.repartition(parts, key).sortWithinPartitions(key)
 
 
-def _grown(spark: SparkSession, forest) -> forests.Forest:
-    """The nodes of a fitted forest, read from its saved form."""
-    path = scratch_path(spark, "forest")
-    forest.write().save(path)
-    grown = forests.read_forest(spark, path)
-    release(spark, path)
-    return grown
-
-
 def grid_search(train: DataFrame, label_col: str = "label", parallelism: int = 4, seed: int = 42, key: str = "doc_id",
                 folds: int = CV_FOLDS) -> tuple[DataFrame, PipelineModel]:
     """3-fold cross validation over maxDF x trees x depth (18 settings).
@@ -193,7 +192,8 @@ def grid_search(train: DataFrame, label_col: str = "label", parallelism: int = 4
     Folds are dealt by the key's hash and term vectors written once.  For each
     fold and maxDF the largest forest is grown, once; a setting with fewer
     trees or less depth is its first trees, cut at that depth, which are drawn
-    and grown in the same way.  All settings are scored in one pass over the held-out rows of a fold.
+    and grown in the same way.  Limits that remove the same terms have the same
+    vectors and share a forest.  All settings are scored in one pass over the held-out rows of a fold.
 
     Returns ``(results, best_model)``; results hold one row per setting with
     the mean accuracy over the folds and a best flag (the first of equal
@@ -204,39 +204,50 @@ def grid_search(train: DataFrame, label_col: str = "label", parallelism: int = 4
     words, words_path = save(clean_words(train.where(F.col(label_col) >= 0)).select(key, F.col(label_col).cast("double").alias("label"), "tokens"), "grid-words")
     parts = max(GRID_PARTITIONS, -(-words.count() // GRID_ROWS))  # follows from the rows alone
     vectors = words.withColumn("fold", sampling.split_part(key, [1.0] * folds, seed, "fold"))
-    common = {share: frequent_terms(words, share) for share in GRID_MAX_DF}
-    for i, share in enumerate(GRID_MAX_DF):
-        kept = without_terms(vectors.withColumn("kept", F.col("tokens")), common[share], "kept")
+    common = terms_above(words, GRID_MAX_DF)
+    removed = [terms for i, terms in enumerate(common) if terms not in common[:i]]
+    for i, terms in enumerate(removed):
+        kept = without_terms(vectors.withColumn("kept", F.col("tokens")), terms, "kept")
         vectors = HashingTF(numFeatures=TFIDF_FEATURES, inputCol="kept", outputCol=f"tf_{i}").transform(kept).drop("kept")
-    vectors, vectors_path = save(_dealt(vectors.drop("tokens"), key, parts), "grid-vectors")
+    vectors, vectors_path = save(_dealt(vectors.drop("tokens"), key, parts).withColumn("part", F.spark_partition_id()), "grid-vectors")
+    sizes = {r["part"]: r["count"] for r in vectors.groupBy("part").count().collect()}
+    subsets = growth.Subsets()
+
+    def rows_of(chosen: DataFrame, i: int) -> DataFrame:
+        return _dealt(chosen.select(key, "label", F.col(f"tf_{i}").alias("tf")), key, parts)
 
     def grow(job: tuple[int, int]):
         fold, i = job
-        rows = _dealt(vectors.where(F.col("fold") != fold).select(key, "label", F.col(f"tf_{i}").alias("tf")), key, parts)
-        pipe, rf = tfidf_rf_pipeline(seed=seed)
+        pipe, rf = tfidf_rf_pipeline(seed=seed, counts=counts.get, subsets=subsets)
         rf.setNumTrees(max(GRID_TREES)).setMaxDepth(max(GRID_DEPTH))
-        fitted = fit_cached(Pipeline(stages=pipe.getStages()[1:]), rows)
-        return job, (fitted.stages[0].idf.toArray(), _grown(spark, fitted.stages[-1]))
+        fitted = fit_cached(Pipeline(stages=pipe.getStages()[1:]), rows_of(vectors.where(F.col("fold") != fold), i))
+        return job, (fitted.stages[0].idf.toArray(), fitted.stages[-1].nodes())
 
-    jobs = [(fold, i) for fold in range(folds) for i in range(len(GRID_MAX_DF))]
+    jobs = [(fold, i) for fold in range(folds) for i in range(len(removed))]
     with ThreadPool(parallelism) as pool:
+        counts = pool.apply_async(inheritable_thread_target(spark)(growth.bootstrap_counts), (spark, sizes, max(GRID_TREES), seed))
         grown = dict(pool.map(inheritable_thread_target(spark)(grow), jobs, chunksize=1))
 
     settings = [(i, trees, depth) for i in range(len(GRID_MAX_DF)) for trees in GRID_TREES for depth in GRID_DEPTH]
+    of = [(removed.index(common[i]), trees, depth) for i, trees, depth in settings]
+    scored = list(dict.fromkeys(of))
     hits = np.zeros((folds, len(settings)))
     for fold in range(folds):
         rows = vectors.where(F.col("fold") == fold)
-        models = [grown[fold, i] for i in range(len(GRID_MAX_DF))]
-        hits[fold] = forests.accuracies(rows, "label", [f"tf_{i}" for i in range(len(models))], models, settings)
+        models = [grown[fold, i] for i in range(len(removed))]
+        found = forests.accuracies(rows, "label", [f"tf_{i}" for i in range(len(models))], models, scored)
+        hits[fold] = [found[scored.index(setting)] for setting in of]
     mean = np.nanmean(hits, axis=0)
     first = int(np.argmax(mean))
     results = spark.createDataFrame([(GRID_MAX_DF[i], trees, depth, float(m), k == first) for k, ((i, trees, depth), m) in enumerate(zip(settings, mean, strict=True))],
                                     "max_df double, num_trees int, max_depth int, mean_accuracy double, best boolean")
     i, trees, depth = settings[first]
-    pipe, rf = tfidf_rf_pipeline(seed=seed)
+    pipe, rf = tfidf_rf_pipeline(seed=seed, counts=counts.get, subsets=subsets)
     rf.setNumTrees(trees).setMaxDepth(depth)
-    best = fit_cached(pipe, without_terms(_dealt(words, key, parts), common[GRID_MAX_DF[i]]))
-    release(spark, words_path, vectors_path)
+    tf, *rest = pipe.getStages()
+    fitted = fit_cached(Pipeline(stages=rest), rows_of(vectors, removed.index(common[i])))
+    best = PipelineModel(stages=[tf, *fitted.stages[:-1], fitted.stages[-1].model(spark)])
+    release(spark, words_path, vectors_path, counts.get().path)
     return results, best
 
 
